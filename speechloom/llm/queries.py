@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, token_counts
+from . import decontaminate, exact_dedup, jaccard_join, packing, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_token_counts": token_counts.query,
+    "op6_jaccard_join": jaccard_join.query,
     "op7_decontaminate": decontaminate.query,
+    "op10_pack": packing.query,
 }
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
