@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, jaccard_join, packing, token_counts
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, langid, packing, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_token_counts": token_counts.query,
+    "op4_url_filter": url_filter.query,
+    "op5_chat_format": chat_format.query,
     "op6_jaccard_join": jaccard_join.query,
     "op7_decontaminate": decontaminate.query,
+    "op8_toxicity": toxicity.query,
+    "op9_language": langid.query,
     "op10_pack": packing.query,
 }
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
