@@ -1,3 +1,62 @@
-STAGES=[]
-ORACLE_SQL=None
-def run(spark, sf_dir): raise NotImplementedError
+"""The corpus pipeline: five stages, each applied to all that the stage before it kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from speechloom.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
+from speechloom.llm._common import checkpoint, table
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. A null or empty text is judged like any other."""
+    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
+    return found.filter("not rejected").select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
+
+
+def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one stays. Rows of one id are kept or dropped together."""
+    found = exact_dedup.exact_dedup(docs)
+    return without(docs, found.filter("not kept").select("doc_id"))
+
+
+def near_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    found = jaccard_join.near_duplicates(docs)
+    return without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+
+
+def leaks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
+    return found.filter("not contaminated").select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+STAGES = [
+    ("toxicity", toxic_out),
+    ("exact dedup", copies_out),
+    ("near duplicates", near_out),
+    ("decontamination", leaks_out),
+    ("packing", packed),
+]
+
+#: SQL can express neither the classifier nor the packing; tests compare each stage with a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = checkpoint(docs)
+    return docs

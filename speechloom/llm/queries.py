@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, langid, packing, token_counts, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, langid, packing, quality, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_token_counts": token_counts.query,
+    "op3_quality": quality.query,
     "op4_url_filter": url_filter.query,
     "op5_chat_format": chat_format.query,
     "op6_jaccard_join": jaccard_join.query,

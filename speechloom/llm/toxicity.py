@@ -197,7 +197,7 @@ def calibrate(net: Net, docs: list[np.ndarray], y: np.ndarray, langs: list[str |
     for lang in sorted({v for v in langs if v is not None}):
         mine = np.array([v == lang for v in langs])
         if min(y[mine].sum(), (1 - y[mine]).sum()) >= least:
-            net.thresholds[lang] = min(0.9, max(0.1, best_cut(score[mine], y[mine])))
+            net.thresholds[lang] = min(0.8, max(0.2, best_cut(score[mine], y[mine])))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None, sample: int = 2500) -> Net:
