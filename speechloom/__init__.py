@@ -1 +1 @@
-"""Speech-and-text corpus engine on Spark."""
+"""A Spark-native engine for speech-and-text corpora: codec alphabets, interleaved documents, views, statistics, audits."""
