@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,17 +74,18 @@ def train(strings: DataFrame, column: str, plan: MergePlan, rounds: int | None =
         for _ in range(plan.merges if rounds is None else min(rounds, plan.merges)):
             done = list(learned)
 
-            def pairs(batches: Iterable[pd.DataFrame], done=done) -> Iterator[pd.DataFrame]:
+            def pairs(batches: Iterable[pa.RecordBatch], done=done) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     sums: dict[tuple[str, str], int] = {}
-                    for s, w in zip(b["s"], b["w"], strict=True):
+                    for s, w in zip(b["s"].to_pylist(), b["w"].to_pylist(), strict=True):
                         tokens = apply(s, done)
                         for p in zip(tokens, tokens[1:], strict=False):
                             if limit is None or len(p[0]) + len(p[1]) <= limit:
                                 sums[p] = sums.get(p, 0) + int(w)
-                    yield pd.DataFrame({"a": [p[0] for p in sums], "b": [p[1] for p in sums], "n": list(sums.values())}).astype({"n": "int64"})
+                    cols = [pa.array([p[0] for p in sums], pa.string()), pa.array([p[1] for p in sums], pa.string()), pa.array(list(sums.values()), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(cols, ["a", "b", "n"])
 
-            best = weighted.mapInPandas(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= plan.min_frequency).orderBy(F.desc("n"), "a", "b").first()
+            best = weighted.mapInArrow(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= plan.min_frequency).orderBy(F.desc("n"), "a", "b").first()
             if best is None:
                 break
             learned.append((best["a"], best["b"]))

@@ -9,6 +9,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 class Encoder(Protocol):
@@ -86,7 +87,7 @@ def token_length_udf(make: Callable[[], Callable[[str], list]]) -> Callable[[Col
     return length
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition, which goes before ids.folded(). Not for codec strings."""
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))

@@ -6,7 +6,7 @@ import io
 import tarfile
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,25 +95,26 @@ def pairs_tsv(spark: SparkSession, path: str) -> DataFrame:
 def archive_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """(archive, name, content) of tar and tar.gz files; a lost task reads its archive again."""
 
-    def members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for archive, content in zip(b["path"], b["content"], strict=True):
+            for archive, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as t:
                     for m in t:
                         if m.isfile() and m.name.endswith(suffix):
-                            yield pd.DataFrame({"archive": [archive], "name": [m.name], "content": [t.extractfile(m).read()]})
+                            cols = [pa.array([archive]), pa.array([m.name]), pa.array([t.extractfile(m).read()], pa.binary())]
+                            yield pa.RecordBatch.from_arrays(cols, ["archive", "name", "content"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "archive string, name string, content binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "archive string, name string, content binary")
 
 
 def code_arrays(spark: SparkSession, path: str) -> DataFrame:
     """(path, item, codes) of .npy files: object arrays of matrices, or dense arrays of rank 2 to 4."""
 
-    def arrays(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for b in batches:
-            for name, content in zip(b["path"], b["content"], strict=True):
+            for name, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
                 a = np.load(io.BytesIO(content), allow_pickle=True)
                 if a.dtype == object:
                     items = [a.item()] if a.ndim == 0 else list(a)
@@ -121,9 +122,11 @@ def code_arrays(spark: SparkSession, path: str) -> DataFrame:
                     while a.ndim > 2:
                         a = a[0]
                     items = [a]
-                yield pd.DataFrame({"path": [name] * len(items), "item": range(len(items)), "codes": [np.asarray(m).astype("int32").tolist() for m in items]})
+                codes = [np.asarray(m).astype("int32").tolist() for m in items]
+                cols = [pa.array([name] * len(items)), pa.array(range(len(items)), pa.int32()), pa.array(codes, pa.list_(pa.list_(pa.int32())))]
+                yield pa.RecordBatch.from_arrays(cols, ["path", "item", "codes"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(arrays, "path string, item int, codes array<array<int>>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(arrays, "path string, item int, codes array<array<int>>")
 
 
 def numbered(spark: SparkSession, n: int, pattern: str = "%08d", name: str = "id", first: int = 0) -> DataFrame:
