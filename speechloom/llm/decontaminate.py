@@ -13,8 +13,8 @@ block's index is broadcast, and with several blocks a document's hits are united
 the documents, and a benchmark of any size is taken block by block.
 
 Defined results: null and empty texts have no words, no hits, and the digest of no items; items without words have no
-windows and null or repeated item ids count as separate strings only if they differ (null ids are left out); each row of
-the documents gives one row, also if ids repeat; other columns are neither read nor returned.
+windows; items with a null id are left out, and rows of one item id are one item; each row of the documents gives one
+row, also if ids repeat; other columns are neither read nor returned, but for those in `keep`.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import Bounded, checkpoint, ship, table
 
@@ -155,8 +156,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     many = rest is not None
     if many:  # hits of a row are united by a key of its own, in the order of the scan that a checkpoint fixes
         source = checkpoint(source.withColumn("row", F.monotonically_increasing_id()))
-    head = ", ".join([*(f"keep{i} {source.schema[f'keep{i}'].dataType.simpleString()}" for i in range(kept)), f"id {source.schema['id'].dataType.simpleString()}", *(["row long"] if many else [])])
-    schema = head + ", n_words long, items array<string>, spans array<array<int>>"
+    head = [f for f in source.schema if f.name != "text"]
+    schema = T.StructType([*head, *T.StructType.fromDDL("n_words long, items array<string>, spans array<array<int>>")])
 
     def passed(items: list[tuple]) -> DataFrame:
         wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(hashes(w), min(k, len(w))) for _, text in items for w in windows(words_of(text), width))]))
@@ -179,7 +180,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         spans.append(turn.reshape(-1, 2).tolist())
                 cols = [b.column(i) for i in range(kept + 1)] + ([b.column(kept + 2)] if many else [])
                 cols += [pa.array(n_words, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int32())))]
-                yield pa.RecordBatch.from_arrays(cols, [x.strip().split(" ")[0] for x in head.split(", ")[: kept + 1 + many]] + ["n_words", "items", "spans"])
+                yield pa.RecordBatch.from_arrays(cols, [f.name for f in schema])
 
         return source.mapInArrow(run, schema)
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import Bounded, ship, small_or_plain, table
 from .decontaminate import words_of
@@ -259,8 +260,8 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
             cols = [b.column(i) for i in range(len(names)) if names[i] != "text"]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(scores) if scores else np.zeros(0))], [n for n in names if n != "text"] + ["score"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text"]
-    scored = source.mapInArrow(run, ", ".join(fields) + ", score double")
+    schema = T.StructType([*(f for f in source.schema if f.name != "text"), T.StructField("score", T.DoubleType())])
+    scored = source.mapInArrow(run, schema)
     threshold = F.lit(0.5)
     for lang, t in net.thresholds.items():
         threshold = F.when(F.col("lang") == lang, F.lit(t)).otherwise(threshold)
