@@ -565,3 +565,86 @@ def sample_ranges(spark, d):
     start = (F.col("value") * 100).cast("long")
     return Tables(spark, d).events.select("event_id", documents.sample_range(start, start + F.col("event_id") % 7).alias("r")).select("event_id", "r.*")
 
+
+
+# lists, listings and unions
+
+
+@query("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5) GROUP BY l_suppkey")
+def batch_restricted(spark, d):
+    t = Tables(spark, d)
+    listed = t.supplier.filter("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey"))
+    return audits.restricted(t.lineitem, listed, "l_suppkey").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """WITH e AS (SELECT source || '/' || lang || '/' || printf('%08d', doc_id) || '.parquet' AS path, source, lang FROM documents),
+ p AS (SELECT DISTINCT source || '/' || lang || '/' || printf('%08d', doc_id) || '.parquet' AS path FROM documents JOIN labels USING (doc_id))
+ SELECT source, lang, count(*) AS total, count(p.path) AS existing, count(*) - count(p.path) AS missing, count(p.path) * 100.0 / count(*) AS pct FROM e LEFT JOIN p USING (path) GROUP BY source, lang"""
+)
+def path_completeness(spark, d):
+    t = Tables(spark, d)
+    path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.format_string("%08d", F.col("doc_id")), F.lit(".parquet")).alias("path")
+    published = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi").select(path)
+    return audits.completeness(t.documents.select("source", "lang", path), published, "path", ["source", "lang"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'O')")
+def not_queued(spark, d):
+    t = Tables(spark, d)
+    open_ = t.orders.filter("o_orderstatus <> 'F'").select("o_orderkey")
+    return audits.pending(open_, t.lineitem.filter("l_linestatus = 'O'").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
+@query(
+    "WITH g AS (SELECT l_orderkey, count(*) AS total, count(*) FILTER (l_linestatus = 'F') AS done FROM lineitem GROUP BY 1) SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM g WHERE total = done AND total > 0)"
+)
+def not_finished(spark, d):
+    t = Tables(spark, d)
+    done = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("l_linestatus") == "F").alias("done")).filter("total = done and total > 0")
+    return audits.pending(t.orders.select("o_orderkey"), done, "o_orderkey")
+
+
+@query("SELECT lang, split, count(*) AS n FROM (SELECT 'de' AS lang, lang AS split FROM documents WHERE lang = 'de' UNION ALL SELECT 'fr', lang FROM documents WHERE lang = 'fr' UNION ALL SELECT 'es', lang FROM documents WHERE lang = 'es') GROUP BY ALL")
+def union_languages(spark, d):
+    docs = Tables(spark, d).documents
+    parts = [docs.filter(F.col("lang") == lang).select(F.lit(lang).alias("lang"), ids.language_of_split(F.concat("lang", F.lit("000/1"))).alias("split")) for lang in ("de", "fr", "es")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {PRETRAIN} SELECT DISTINCT split FROM p")
+def distinct_splits(spark, d):
+    return Tables(spark, d).pretrain().select("split").distinct()
+
+
+@query(f"WITH r AS (SELECT doc_id, {WORDS} AS t FROM documents ORDER BY doc_id LIMIT 100) SELECT count(*) AS sample, CAST(sum(t) AS BIGINT) AS tokens, CAST(trunc(sum(t) * ((SELECT count(*) FROM documents) / CAST(count(*) AS DOUBLE))) AS BIGINT) AS estimate, avg(t) * 1000000 AS projected FROM r")
+def first_n_estimate(spark, d):
+    docs = Tables(spark, d).documents
+    sums = docs.orderBy("doc_id").limit(100).select(markup.words(F.col("text")).alias("t")).agg(F.count(F.lit(1)).alias("sample"), F.sum("t").alias("tokens"), F.avg("t").alias("mean"))
+    sized = sums.join(F.broadcast(docs.agg(F.count(F.lit(1)).alias("docs"))))  # one row
+    return sized.select("sample", "tokens", statistics.extrapolated(F.col("tokens"), F.col("sample"), F.col("docs")).alias("estimate"), (F.col("mean") * 1_000_000).alias("projected"))
+
+
+@query("SELECT count(DISTINCT lang) AS done, round(count(DISTINCT lang) * 100.0 / 145, 6) AS pct FROM documents")
+def token_completion(spark, d):
+    return Tables(spark, d).documents.agg(F.countDistinct("lang").alias("done")).select("done", F.round(F.col("done") * 100.0 / 145, 6).alias("pct"))
+
+
+@query("SELECT lpad(CAST(i AS VARCHAR), 8, '0') AS subshard, 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') AS listed, 'mls' || lpad(CAST(i AS VARCHAR), 4, '0') AS job FROM range(1000) r(i)")
+def generated_ids(spark, d):
+    i = F.col("id")
+    shard = F.format_string("train-%04d-of-1416", i)
+    return spark.range(1000).select(F.format_string("%08d", i).alias("subshard"), F.format_string("EN-B%06d", i).alias("listed"), ids.job_name(shard).alias("job"))
+
+
+@query("SELECT c_custkey, c_mktsegment || '_' || c_name AS file_id, c_mktsegment AS doc_key, 'BU' AS split_lang FROM customer WHERE c_mktsegment = 'BUILDING'")
+def document_keys(spark, d):
+    name = F.concat_ws("_", "c_mktsegment", "c_name")
+    rows = Tables(spark, d).customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey", name.alias("file_id"))
+    return rows.select("c_custkey", "file_id", ids.document_key(F.col("file_id")).alias("doc_key"), ids.language_of_shard(F.col("file_id")).alias("split_lang"))
+
+
+@query("SELECT source, n, CASE WHEN n >= 1000 THEN format('{:,}', n) || ' (' || printf('%.2fK', n / 1000.0) || ')' ELSE CAST(n AS VARCHAR) END AS shown FROM (SELECT source, CAST(sum(n_chars) AS BIGINT) % 999000 AS n FROM documents GROUP BY source)")
+def human_numbers(spark, d):
+    sums = Tables(spark, d).documents.groupBy("source").agg((F.sum("n_chars") % 999000).alias("n"))
+    return sums.select("source", "n", display.human(F.col("n")).alias("shown"))
