@@ -36,7 +36,7 @@ END = b"\0\0\0\0"
 class Encoder:
     """Token ids of whole texts as little-endian bytes, by the `tokenizers` library; chunks met before come from a memo."""
 
-    def __init__(self, path: str, memo: int = 800_000):
+    def __init__(self, path: str, memo: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -221,40 +221,39 @@ def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, islands: i
         kinds = pa.schema([("shard", pa.int64()), ("island", pa.int32()), ("rows", pa.binary()), ("sizes", pa.binary()), ("people", pa.binary())])
         return pa.Table.from_pylist(out, kinds)
 
+    def leaving(own: dict) -> dict:
+        """The best packing on its way to the next island."""
+        return own | {"island": (own["island"] + 1) % islands, "rows": None, "sizes": None, "people": own["people"][: len(own["sizes"])]}
+
     def found(t: pa.Table) -> pa.Table:
         order = np.argsort(t["row"].to_numpy(), kind="stable")
         rows, sizes, shard = t["row"].to_numpy()[order].astype(np.int64), t["length"].to_numpy()[order].astype(np.int64), int(t["shard"][0].as_py())
-        return table_of([state(shard, k, rows.tobytes(), sizes, founders(sizes, population, capacity, random.Random(f"{shard}/{k}"))) for k in range(islands)])
-
-    def emigrate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                one = len(r["sizes"])
-                out += [r, r | {"island": (r["island"] + 1) % islands, "rows": None, "sizes": None, "people": r["people"][:one]}]
-            yield from table_of(out).to_batches()
+        out = [state(shard, k, rows.tobytes(), sizes, founders(sizes, population, capacity, random.Random(f"{shard}/{k}"))) for k in range(islands)]
+        return table_of(out + [leaving(r) for r in out])
+
+    def lived(t: pa.Table, k: int) -> tuple[dict, np.ndarray, list[np.ndarray]]:
+        """An island's state, its sizes and its population after epoch k."""
+        got = t.to_pylist()
+        own = next(r for r in got if r["rows"] is not None)
+        sizes = np.frombuffer(own["sizes"], np.int32).astype(np.int64)
+        people = [p for r in sorted(got, key=lambda r: r["rows"] is None) for p in np.frombuffer(r["people"], np.int32).reshape(-1, len(sizes))]
+        rng = random.Random(f"{own['shard']}/{own['island']}/{k}")
+        return own, sizes, evolve(people, sizes, population, generations, capacity, rng)
 
     def epoch(k: int):
         def step(t: pa.Table) -> pa.Table:
-            got = t.to_pylist()
-            own = next(r for r in got if r["rows"] is not None)
-            sizes = np.frombuffer(own["sizes"], np.int32).astype(np.int64)
-            people = [p for r in sorted(got, key=lambda r: r["rows"] is None) for p in np.frombuffer(r["people"], np.int32).reshape(-1, len(sizes))]
-            rng = random.Random(f"{own['shard']}/{own['island']}/{k}")
-            return table_of([state(own["shard"], own["island"], own["rows"], sizes, evolve(people, sizes, population, generations, capacity, rng))])
+            own, sizes, people = lived(t, k)
+            own = state(own["shard"], own["island"], own["rows"], sizes, people)
+            return table_of([own, leaving(own)])
 
         return step
 
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                sizes = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
-                best = np.frombuffer(r["people"][: len(r["sizes"])], np.int32)
-                bins, squares = fitness(best, sizes)
-                out.append({"shard": r["shard"], "rank": {"bins": bins, "squares": squares, "island": r["island"]}, "packing": {"rows": r["rows"], "sizes": r["sizes"], "best": best.tobytes()}})
-            kinds = pa.schema([("shard", pa.int64()), ("rank", pa.struct([("bins", pa.int64()), ("squares", pa.int64()), ("island", pa.int32())])), ("packing", pa.struct([("rows", pa.binary()), ("sizes", pa.binary()), ("best", pa.binary())]))])
-            yield from pa.Table.from_pylist(out, kinds).to_batches()
+    def last(t: pa.Table) -> pa.Table:
+        own, sizes, people = lived(t, epochs - 1)
+        bins, squares = fitness(people[0], sizes)
+        out = {"shard": own["shard"], "rank": {"bins": bins, "squares": squares, "island": own["island"]}, "packing": {"rows": own["rows"], "sizes": own["sizes"], "best": people[0].astype(np.int32).tobytes()}}
+        kinds = pa.schema([("shard", pa.int64()), ("rank", pa.struct([("bins", pa.int64()), ("squares", pa.int64()), ("island", pa.int32())])), ("packing", pa.struct([("rows", pa.binary()), ("sizes", pa.binary()), ("best", pa.binary())]))])
+        return pa.Table.from_pylist([out], kinds)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,9 +267,10 @@ def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, islands: i
 
     shard = F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard")
     states = rest.select(shard, "row", "length").groupBy("shard").applyInArrow(found, STATE)
-    for k in range(epochs):
-        states = states.mapInArrow(emigrate, STATE).groupBy("shard", "island").applyInArrow(epoch(k), STATE)
-    best = states.mapInArrow(score, "shard long, rank struct<bins: long, squares: long, island: int>, packing struct<rows: binary, sizes: binary, best: binary>").groupBy("shard").agg(F.min_by("packing", "rank").alias("packing"))
+    for k in range(epochs - 1):
+        states = states.groupBy("shard", "island").applyInArrow(epoch(k), STATE)
+    scored = states.groupBy("shard", "island").applyInArrow(last, "shard long, rank struct<bins: long, squares: long, island: int>, packing struct<rows: binary, sizes: binary, best: binary>")
+    best = scored.groupBy("shard").agg(F.min_by("packing", "rank").alias("packing"))
     return best.mapInArrow(place, "row long, shard long, bin long, offset long")
 
 
