@@ -136,3 +136,24 @@ def numbered(spark: SparkSession, n: int, pattern: str = "%08d", name: str = "id
 def numbered_by(spark: SparkSession, prefix: str, last: int) -> DataFrame:
     """`{prefix}-B000000` to `last`, both included."""
     return numbered(spark, last + 1, f"{prefix}-B%06d")
+
+
+def work_state(files: DataFrame, audio: tuple[str, ...] = (".mp3", ".wav")) -> DataFrame:
+    """(shard_id, cache_exists, cache_files, audio_files, extracted, archived) of listed work folders: path is `.../shard/file`."""
+    name, shard = F.substring_index("path", "/", -1), F.substring_index(F.substring_index("path", "/", -2), "/", 1)
+    is_audio = F.lit(False)
+    for a in audio:
+        is_audio = is_audio | name.endswith(a)
+    cached = name.endswith(".cache.json")
+    return files.groupBy(shard.alias("shard_id")).agg(
+        (F.count_if(cached) > 0).alias("cache_exists"),
+        F.count_if(cached).alias("cache_files"),
+        F.count_if(is_audio).alias("audio_files"),
+        (F.count_if(name == ".extraction_complete") > 0).alias("extracted"),
+        (F.count_if(name.endswith(".tar") | name.endswith(".tar.gz")) > 0).alias("archived"),
+    )
+
+
+def available(spark: SparkSession, wanted: DataFrame, listed: DataFrame, path: str = "path") -> DataFrame:
+    """Wanted paths with a flag: is the file listed? In place of asking for each one."""
+    return wanted.join(listed.select(path).distinct().withColumn("exists", F.lit(True)), path, "left").withColumn("exists", F.coalesce("exists", F.lit(False)))

@@ -174,3 +174,25 @@ def test_plugins(spark):
     assert [r.n for r in words.collect()] == [3, 0]
     half = df.select(F.size(plugins.resampler_udf(12_000)(F.col("x"), F.lit(24_000)))).collect()
     assert [r[0] for r in half] == [960, 5]
+
+
+def test_streamed_sessions_match_the_batch(spark, tmp_path):
+    data = [(k % 2, float(b), float(b) + 1.0) for k, b in enumerate([0, 0, 1, 9, 2, 10, 30, 11, 31, 40])]
+    schema = "k long, b double, e double"
+    (tmp_path / "in").mkdir()
+    batch = spark.createDataFrame(sorted(data, key=lambda r: r[1]), schema)
+    for n, part in enumerate((data[:6], data[6:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = ingest.sessions(spark, stream, "k", "b", "e").writeStream.format("memory").queryName("streamed").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    want = sequences.gap_sessions(batch, ["k"], "b", "e", "e").select("k", "b", "e", "segment_index")
+    assert rows(spark.table("streamed").select("k", "b", "e", "segment_index")) == rows(want)
+
+
+def test_work_state(spark):
+    files = spark.createDataFrame([(f"/w/{p}",) for p in ("s1/a.mp3", "s1/b.wav", "s1/x.cache.json", "s1/.extraction_complete", "s2/s2.tar.gz")], "path string")
+    got = rows(readers.work_state(files))
+    assert got == [("s1", True, 1, 2, True, False), ("s2", False, 0, 0, False, True)]
+    want = spark.createDataFrame([("/w/s2/s2.tar.gz",), ("/w/none",)], "path string")
+    assert rows(readers.available(spark, want, files)) == [("/w/none", False), ("/w/s2/s2.tar.gz", True)]
