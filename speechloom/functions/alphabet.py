@@ -7,6 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once: a lambda's body computes what it takes from outside again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 LOW_SURROGATE, HIGH_SURROGATE = 0xD800, 0xDFFF
 
 
@@ -33,10 +38,12 @@ class Alphabet:
 
     def interleaved(self, codes: Column) -> Column:
         """Code points of int[codebook][frame], frame by frame."""
-        codes = self.truncated(codes)
-        frames = F.size(F.get(codes, F.lit(0)))
-        one = lambda t: F.transform(codes, lambda row, k: F.get(row, t) + F.lit(self.offset) + k * F.lit(self.size))
-        return F.when(frames > 0, F.flatten(F.transform(F.sequence(F.lit(0), frames - 1), one))).otherwise(F.array().cast("array<int>"))
+        def body(m: Column) -> Column:
+            frames = F.size(F.get(m, F.lit(0)))
+            one = lambda t: F.transform(m, lambda row, k: F.get(row, t) + F.lit(self.offset) + k * F.lit(self.size))
+            return F.when(frames > 0, F.flatten(F.transform(F.sequence(F.lit(0), frames - 1), one))).otherwise(F.array().cast("array<int>"))
+
+        return let(self.truncated(codes), body)
 
     def encode(self, codes: Column) -> Column:
         """The string of a code matrix. The whole string is decoded at once: its first character is of codebook 0,
@@ -50,13 +57,17 @@ class Alphabet:
 
     def decode(self, text: Column) -> Column:
         """int[codebook][frame] of a string of whole frames; anything else stops the job."""
-        points = self.points(text)
         frames = (F.length(text) / self.codebooks).cast("int")
         ragged = F.length(text) % self.codebooks != 0
-        one = lambda k: F.transform(F.sequence(F.lit(0), frames - 1), lambda t: F.get(points, t * self.codebooks + k) - self.offset - k * self.size)
-        rows = F.transform(F.sequence(F.lit(0), F.lit(self.codebooks - 1)), one)
+
+        def body(points: Column) -> Column:
+            n = (F.size(points) / self.codebooks).cast("int")
+            one = lambda k: F.transform(F.sequence(F.lit(0), n - 1), lambda t: F.get(points, t * self.codebooks + k) - self.offset - k * self.size)
+            return F.transform(F.sequence(F.lit(0), F.lit(self.codebooks - 1)), one)
+
         empty = F.array(*[F.array().cast("array<int>")] * self.codebooks)
-        return F.when(ragged, F.raise_error(F.lit("length is not a multiple of the codebooks")).cast("array<array<int>>")).when(frames == 0, empty).otherwise(rows)
+        stop = F.raise_error(F.lit("length is not a multiple of the codebooks")).cast("array<array<int>>")
+        return F.when(ragged, stop).when(frames == 0, empty).otherwise(let(self.points(text), body))
 
     def codebook(self, point: Column) -> Column:
         """The highest codebook that begins at or below a code point; -1 below all. There is no upper bound."""
@@ -70,7 +81,10 @@ class Alphabet:
         return F.struct(begin.alias("begin"), body.alias("body"), F.substr(rest, F.length(body) + 1, F.length(rest)).alias("end"))
 
     def consistent(self, text: Column) -> Column:
-        """The characters kept by the automaton that waits for codebook after codebook, from that of the first."""
+        """The characters kept by the automaton that waits for codebook after codebook, from that of the first.
+
+        The fold copies its list at each kept character; for strings of many thousands use `plugins.consistent_udf`.
+        """
         points = self.points(text)
         first = F.greatest(F.lit(0), self.codebook(F.get(points, F.lit(0))))
         start = F.struct(first.alias("wait"), F.array().cast("array<int>").alias("kept"), F.lit(0).alias("at"))
@@ -84,7 +98,8 @@ class Alphabet:
             )
 
         kept = F.aggregate(points, start, step, lambda a: a["kept"])
-        return F.when(F.length(text) == 0, F.lit("")).otherwise(F.array_join(F.transform(kept, lambda i: F.substr(text, i + 1, F.lit(1))), ""))
+        chosen = let(F.split(text, ""), lambda letters: F.array_join(F.transform(kept, lambda i: F.get(letters, i)), ""))
+        return F.when(F.length(text) == 0, F.lit("")).otherwise(chosen)
 
     def robust(self, text: Column) -> Column:
         """The code matrix of any string: inconsistent characters dropped, then hanging ones."""

@@ -91,3 +91,24 @@ def token_length_udf(make: Callable[[], Callable[[str], list]]) -> Callable[[Col
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition, which goes before ids.folded(). Not for codec strings."""
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
+def consistent_udf(offset: int, codebooks: int, size: int) -> Callable[[Column], Column]:
+    """Alphabet.consistent() in time proportional to the string."""
+
+    @F.pandas_udf(StringType())
+    def consistent(s: pd.Series) -> pd.Series:
+        def one(text):
+            if not text:
+                return text
+            book = [max(-1, min(codebooks - 1, (ord(c) - offset) // size)) for c in text]
+            wait, out = max(0, book[0]), []
+            for c, k in zip(text, book, strict=True):
+                if k == wait:
+                    out.append(c)
+                    wait = (wait + 1) % codebooks
+            return "".join(out)
+
+        return s.map(one)
+
+    return consistent

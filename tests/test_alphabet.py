@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from speechloom import plugins
 from speechloom.functions.alphabet import Alphabet
 
 A = Alphabet()
@@ -35,6 +36,8 @@ def test_offsets():
 def test_robust_decode(spark):
     df = spark.createDataFrame([(chars(100, 104, 105, 101, 102, 106),), (chars(105, 100, 104, 104, 101),), ("",)], "s string")
     assert [r[0] for r in df.select(SMALL.consistent(F.col("s"))).collect()] == [chars(100, 104, 101, 106), chars(105, 100, 104, 101), ""]
+    fast = plugins.consistent_udf(SMALL.offset, SMALL.codebooks, SMALL.size)
+    assert [r[0] for r in df.select(fast(F.col("s"))).collect()] == [chars(100, 104, 101, 106), chars(105, 100, 104, 101), ""]
     t = spark.createDataFrame([(chars(105, 100, 104, 101),)], "s string").select(SMALL.trimmed(F.col("s")).alias("t")).first()["t"]
     assert (t.begin, t.body, t.end) == (chars(105), chars(100, 104), chars(101))
     k = spark.createDataFrame([(99,), (100,), (104,), (108,), (500,)], "c int").select(SMALL.codebook(F.col("c"))).collect()
