@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechloom.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
-from speechloom.llm._common import checkpoint, table
+from speechloom.llm._common import checkpoint, small_or_plain, table
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The texts stay where they are if the ids to drop are few enough to be sent around."""
+    dropped = checkpoint(dropped.distinct())
+    return docs.join(small_or_plain(dropped, dropped.count(), 16), "doc_id", "left_anti").select(*docs.columns)
 
 
 STAGES = [
