@@ -52,6 +52,13 @@ def small_or_plain(df: DataFrame, rows: int, bytes_per_row: int, limit: int = BR
     return F.broadcast(df) if rows * bytes_per_row <= limit else df
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in parts of at most `rows` rows, so that what is made from them stays small too."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 class Bounded(dict):
     """A memo that starts afresh when it holds `cap` entries; `fill(key)` computes what is missing."""
 

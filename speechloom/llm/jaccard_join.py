@@ -7,20 +7,21 @@
    shingles that share a counter costs candidates, never links.
 3. The second pass emits of each set its prefix: floor(|x| - 0.8|x|) + 1 rarest shingles with their place. Sets that share
    no prefix shingle can't reach 0.8. Equal sets met in one task send one of them.
-4. Postings that stand alone are dropped in the sorted stream. Equal sets are reduced to the smallest id before pairs are
+4. Postings without a possible partner in their list are dropped in the sorted stream, by bounds from the best sizes and
+   places of the others. Equal sets are reduced to the smallest id before pairs are
    formed; copies are never expanded into pairs.
-5. Links are looked for in rounds. Each representative is first verified against one partner, the predecessor it shares
-   most prefix shingles with; what linked forms components. A pair within a component needs no further look: its result
-   wouldn't change any component. Then all remaining pairs across components that pass the length and positional filters
-   are formed, in a plain equi-join on the shingle that the engine may split where it is skewed; in each posting list the
-   largest component's members are not paired with each other. So a group of thousands of near copies costs pairs in
-   proportion to its size, and no link between different components is lost.
+5. Links are looked for in rounds. Each representative is first verified against one partner, the leader it meets in most
+   of its lists; what linked forms components. A pair within a component needs no further look: its result wouldn't change
+   any component. Then all remaining pairs across components that pass the length and positional filters are formed, in a
+   plain equi-join on the shingle that the engine may split where it is skewed; in each posting list the largest
+   component's members are not paired with each other. So a group of thousands of near copies costs pairs in proportion to
+   its size, and no link between different components is lost.
 6. A pair is verified once, from both full sets: the suffix filter bounds the overlap by counts of both sets on either
    side of pivots, then the intersection is counted.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and are linked with nothing; texts of fewer
-than five words have one shingle, the whole sequence; a null id is left out of components of others only if it stands
-alone (ids are needed: rows with a null id get a null component); repeated ids count as one document for links, each row
+than five words have one shingle, the whole sequence; a row with a null id gets the component of an equal set, else null;
+repeated ids count as one document for links, each row
 is returned; other columns are neither read nor returned.
 """
 
@@ -35,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Bounded, checkpoint, ship, small_or_plain, table
+from ._common import Bounded, checkpoint, ship, slices, small_or_plain, table
 from .components import components
 
 WIDTH = 5
 #: A pair is linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SLICE = 1 << 15
-_word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 600_000)
+_word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 300_000)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,7 +78,7 @@ def summaries(docs: DataFrame, bits: int, width: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen, salt = np.zeros(1 << bits, np.uint32), set(), 0
         names = ["id", "n", "sig", "slice", "salt", "counts"]
-        for b in batches:
+        for b in slices(batches):
             n, sig, fresh = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, width)
@@ -101,7 +102,7 @@ def summaries(docs: DataFrame, bits: int, width: int) -> DataFrame:
 
 
 def rarity(slices: DataFrame, bits: int, fan_in: int = 32) -> np.ndarray:
-    """log2 of the summed counters, a byte each: 2**bits bytes whatever the input."""
+    """Logarithms of the summed counters, a byte each: 2**bits bytes whatever the input."""
 
     def add(t: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.uint64)
@@ -119,7 +120,7 @@ def rarity(slices: DataFrame, bits: int, fan_in: int = 32) -> np.ndarray:
     out = np.zeros(1 << bits, np.uint8)
     for r in at.select("slice", "counts").collect():  # of a fixed size
         c = np.frombuffer(zlib.decompress(r[1]), np.uint32)
-        out[r[0] * SLICE : (r[0] + 1) * SLICE] = np.log2(c.astype(np.float64) + 1).astype(np.uint8)
+        out[r[0] * SLICE : (r[0] + 1) * SLICE] = np.round(6 * np.log2(c.astype(np.float64) + 1)).astype(np.uint8)
     return out
 
 
@@ -130,7 +131,7 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare, seen = sent.value, set()
-        for b in batches:
+        for b in slices(batches):
             tokens, ids, sizes, places = [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingle_set(text, width)
@@ -141,7 +142,7 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
                     continue
                 seen.add(d)
                 p = prefix_size(len(s), percent)
-                first = np.lexsort((s, rare[(s & mask).astype(np.int64)]))[:p]
+                first = np.argsort(rare[(s & mask).astype(np.int64)], kind="stable")[:p]  # values are in order already
                 tokens.append(s[first].view(np.int64))
                 ids.append(np.full(p, i, np.int64))
                 sizes.append(np.full(p, len(s), np.int32))
@@ -152,35 +153,81 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
     return docs.mapInArrow(run, "token long, id long, n int, place int")
 
 
-def shared_only(rows: DataFrame) -> DataFrame:
-    """Postings whose token occurs more than once. The stream is sorted by token; one row is held back between batches."""
+def other_best(value: np.ndarray, group: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each row the largest value among the other rows of its group; groups have two rows or more, `first` begins them."""
+    order = np.lexsort((value, group))
+    last = np.append(first[1:], len(value)) - 1  # of the groups, in sorted order
+    best, second = order[last], order[last - 1]
+    out = value[best][group]
+    out[best] = value[second]
+    return out
+
+
+def viable(token: np.ndarray, n: np.ndarray, place: np.ndarray, before: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Rows that may have a partner in their posting list by the length and positional filters: a bound from the best
+    values among the other rows, so no pair is lost. Lists are complete and in order of token. `before` bounds what a row's
+    set can share before the token: its place, or better the number of its earlier tokens that are left in any list."""
+    same = token[1:] == token[:-1]
+    keep = np.zeros(len(token), bool)
+    keep[1:] |= same
+    keep[:-1] |= same
+    at = np.flatnonzero(keep)
+    if not len(at):
+        return keep
+    t, n, place, before = token[at], n[at].astype(np.int64), place[at].astype(np.int64), before[at].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+    group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(t))))
+    rest = n - place - 1
+    most, least = other_best(n, group, first), -other_best(-n, group, first)
+    near = (100 * most >= percent * n) & (percent * least <= 100 * n)
+    shared = np.minimum(before, other_best(before, group, first)) + 1 + np.minimum(rest, other_best(rest, group, first))
+    smallest = np.maximum(least, -(-percent * n // 100))
+    keep[at] = near & ((100 + percent) * shared >= percent * (n + smallest))
+    return keep
+
+
+def shared_only(rows: DataFrame, percent: int, most: int = 200_000) -> DataFrame:
+    """Postings that may have a partner. The stream is sorted by token; the last list of a batch is held back until it is
+    whole. A list of more than `most` rows passes in parts and unpruned, so that what is held is bounded."""
+    schema = rows.schema
+    use = ("n", "place", "before" if "before" in rows.columns else "place")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before = None, None  # the last row, and the token before it
+        held: pa.Table | None = None
+        passing = None  # the token of a list that passes unpruned
         for b in batches:
-            if not b.num_rows:
+            t = pa.Table.from_batches([b])
+            if held is not None:
+                t = pa.concat_tables([held, t]).combine_chunks()
+            if not t.num_rows:
                 continue
-            t = pa.Table.from_batches([b] if held is None else [held, b]).combine_chunks()
             token = t["token"].to_numpy()
-            same = token[1:] == token[:-1]
-            keep = np.zeros(len(token), bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            if before is not None and token[0] == before:
-                keep[0] = True
-            if len(token) > 1:
-                before = token[-2]
-            yield from t.slice(0, len(token) - 1).filter(pa.array(keep[:-1])).to_batches()
-            held = t.slice(len(token) - 1).to_batches()[0]
-        if held is not None and before is not None and held["token"][0].as_py() == before:
-            yield held
-
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, rows.schema)
+            if passing is not None:
+                k = int(np.searchsorted(token != passing, True)) if token[0] == passing else 0
+                if k:
+                    yield from t.slice(0, k).to_batches()
+                    t, token = t.slice(k), token[k:]
+                if not len(token):
+                    held = None
+                    continue
+                passing = None
+            cut = int(np.flatnonzero(token == token[-1])[0])
+            done = t.slice(0, cut)
+            if cut:
+                yield from done.filter(pa.array(viable(token[:cut], *(done[c].to_numpy() for c in use), percent))).to_batches()
+            held = t.slice(cut)
+            if held.num_rows > most:
+                yield from held.to_batches()
+                passing, held = token[-1], None
+        if held is not None and held.num_rows:
+            yield from held.filter(pa.array(viable(held["token"].to_numpy(), *(held[c].to_numpy() for c in use), percent))).to_batches()
+
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, schema)
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(t, width).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
@@ -226,11 +273,11 @@ def may_link(a: str, b: str, percent: int):
     """Length and positional filters for two postings of one token, as an expression.
 
     need = ceil(p (n + m) / (100 + p)); what is shared from this token on is at most 1 and the shorter rest, and before it
-    no more than the smaller place.
+    no more than the smaller `before`.
     """
     n, m, i, j = f"{a}.n", f"{b}.n", f"{a}.place", f"{b}.place"
     return F.expr(f"""100 * least({n}, {m}) >= {percent} * greatest({n}, {m})
-        and {100 + percent} * (least({i}, {j}) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {percent} * ({n} + {m})""")
+        and {100 + percent} * (least({a}.before, {b}.before) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {percent} * ({n} + {m})""")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, sketch_bits: int = 22) -> DataFrame:
@@ -248,31 +295,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = checkpoint(info.join(leaders, "sig", "left").select("id", "n", "rep"))
     reps = known.filter("rep is not null").select("id", "rep").distinct()
 
-    shared = checkpoint(shared_only(postings(source, order, sketch_bits, width, percent)))
+    shared = checkpoint(shared_only(postings(source, order, sketch_bits, width, percent), percent))
     lists = shared.join(reps, "id").select("token", F.col("rep").alias("id"), "n", "place").distinct()
-    twice = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    lists = checkpoint(lists.join(twice, "token", "left_semi"))
-
-    wanted = lists.select("id").distinct()
-    chosen = source.join(small_or_plain(wanted, wanted.count(), 16), "id", "left_semi").dropDuplicates(["id"])
-    sets = checkpoint(sets_of(chosen, width))
-
-    # one partner each: the predecessor in most of the lists; two rounds, the second across what the first has joined
-    links = None
-    roots = wanted.select(F.col("id").alias("node"), F.col("id").alias("root"))
-    tried = None
+    # what two linked sets share before a common prefix token is in both prefixes, so in lists: earlier tokens that are in
+    # none, the rarest above all, can't be shared, and rows drop out that places alone would let pass
+    for _ in range(2):
+        ranked = lists.select("token", "id", "n", "place", (F.row_number().over(Window.partitionBy("id").orderBy("place", "token")) - 1).alias("before"))
+        lists = checkpoint(shared_only(ranked, percent))
+    members = lists.select("id").distinct()
+    once = known.count() == known.select("id").distinct().count()
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Links among the pairs; only the texts of their members are taken up again."""
+        wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        chosen = source.join(small_or_plain(wanted, wanted.count(), 16), "id", "left_semi")
+        sets = checkpoint(sets_of(chosen if once else chosen.dropDuplicates(["id"]), width))
+        return checkpoint(verify(pairs, sets, percent))
+
+    # one partner each, twice: the second time across what the first has joined
+    links = tried = None
+    roots = members.select(F.col("id").alias("node"), F.col("id").alias("root"))
     for _ in range(2):
         pairs = partners(lists, roots, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = checkpoint(pairs)
-        found = checkpoint(verify(pairs, sets, percent))
+        found = verified(pairs)
         links = found if links is None else links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        roots = checkpoint(rooted(wanted, links))
+        roots = checkpoint(rooted(members, links))
     pairs = checkpoint(across(lists, roots, percent).join(tried, ["a", "b"], "left_anti"))
-    links = links.unionByName(verify(pairs, sets, percent))
-    roots = rooted(wanted, links).select(F.col("node").alias("rep"), "root")
+    roots = rooted(members, links.unionByName(verified(pairs))).select(F.col("node").alias("rep"), "root")
     return known.join(roots, "rep", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"))
 
 
@@ -282,19 +335,24 @@ def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select(F.col("id").alias("node")).join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+ROW = ["id", "n", "place", "before", "root"]
+
+
 def partners(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """For each representative the one of another component that precedes it in most posting lists, by size and id.
+    """For each representative the list leader of another component that it meets in most of its lists.
 
-    One row of each component and list is compared with the next component's in the order of sizes, so a list of m
-    postings gives fewer than m pairs.
+    A list's leader has the token at the smallest place: least in it is rare, so it is next to what copies have been made
+    from. Members of the leader's component get the leader of the rest. So a list of m postings gives at most m pairs.
     """
     rows = lists.join(roots.select(F.col("node").alias("id"), "root"), "id")
-    w = Window.partitionBy("token").orderBy("n", "id")
-    near = rows.select("*", F.lag(F.struct("id", "n", "place", "root")).over(w).alias("p")).filter("p is not null and p.root <> root")
-    near = near.select(F.struct("id", "n", "place").alias("q"), "p").filter(may_link("p", "q", percent))
-    votes = near.select(F.col("q.id").alias("a"), F.col("p.id").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best"))
-    return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+    lead = F.min(F.struct("place", "id", "n", "before", "root"))
+    first = rows.groupBy("token").agg(lead.alias("p"))
+    rows = rows.join(first, "token")
+    others = rows.filter("root <> p.root").groupBy("token").agg(lead.alias("q"))
+    met = rows.join(others, "token").select(F.struct(*ROW).alias("r"), F.when(F.col("root") != F.col("p.root"), F.col("p")).otherwise(F.col("q")).alias("s"))
+    votes = met.filter(may_link("r", "s", percent)).groupBy(F.col("r.id").alias("id"), F.col("s.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", "b")).alias("best"))
+    return best.select(F.least("id", "best.b").alias("a"), F.greatest("id", "best.b").alias("b")).distinct()
 
 
 def across(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -303,8 +361,8 @@ def across(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     parts = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = parts.groupBy("token").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("token", F.col("top.root").alias("top"))
     rows = rows.join(largest, "token")
-    minor = rows.filter("root <> top").select(F.col("token"), F.struct("id", "n", "place", "root").alias("p"))
-    every = rows.select("token", F.struct("id", "n", "place", "root").alias("q"), "top")
+    minor = rows.filter("root <> top").select("token", F.struct(*ROW).alias("p"))
+    every = rows.select("token", F.struct(*ROW).alias("q"), "top")
     # a pair of two minor rows is met twice, and counted from the smaller id
     return (
         minor.join(every, "token")

@@ -85,7 +85,7 @@ def test_filters_lose_nothing():
             for t in np.intersect1d(x, y):
                 n = np.array([len(base), len(other)])
                 place = np.array([np.flatnonzero(base == t)[0], np.flatnonzero(other == t)[0]])
-                ok |= bool(jaccard_join.viable(np.array([t, t]), n, place).all())
+                ok |= bool(jaccard_join.viable(np.array([t, t]), n, place, place).all())
             assert ok
 
 
@@ -107,6 +107,20 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 140)] + [(5, 5)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 0 for k in range(61)) and all(got[k] == 100 for k in range(100, 140))
+    r = random.Random(5)
+    edges = [(r.randrange(150), r.randrange(150)) for _ in range(95)]
+    parent = list(range(150))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = {g.node: g.root for g in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: find(k) for e in edges for k in e if e[0] != e[1]}
 
 
 def leak_words(text):
