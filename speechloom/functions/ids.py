@@ -89,5 +89,5 @@ def listed_folder(line: Column) -> Column:
     return F.struct(part(1).alias("speaker_id"), part(2).alias("book_id"))
 
 
-def job_name(shard: Column, prefix: str = "mls") -> Column:
+def job_name(shard: Column, prefix: str = "job") -> Column:
     return F.concat(F.lit(prefix), F.regexp_extract(shard, r"train-(\d+)", 1))

@@ -630,7 +630,7 @@ def token_completion(spark, d):
     return Tables(spark, d).documents.agg(F.countDistinct("lang").alias("done")).select("done", F.round(F.col("done") * 100.0 / 145, 6).alias("pct"))
 
 
-@query("SELECT lpad(CAST(i AS VARCHAR), 8, '0') AS subshard, 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') AS listed, 'mls' || lpad(CAST(i AS VARCHAR), 4, '0') AS job FROM range(1000) r(i)")
+@query("SELECT lpad(CAST(i AS VARCHAR), 8, '0') AS subshard, 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') AS listed, 'job' || lpad(CAST(i AS VARCHAR), 4, '0') AS job FROM range(1000) r(i)")
 def generated_ids(spark, d):
     i = F.col("id")
     shard = F.format_string("train-%04d-of-1416", i)
