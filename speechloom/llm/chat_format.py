@@ -92,7 +92,8 @@ def spans(formatted: Column, role: str = "assistant") -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     clash = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", clash), (-1, 1, "assistant", clash)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(0, 2, 1, 1).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(clash).alias("text"))
     chats = chat_format(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
     # all that follows is read from the formatted string and its mask
     turns = F.array_join(F.transform(recovered(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
