@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -59,12 +60,28 @@ def slices(batches, rows: int = 512):
             yield b.slice(at, rows)
 
 
+_memos: list[weakref.ref] = []
+_at_work = ""
+
+
+def alone(owner: str) -> None:
+    """A Python worker serves one operator after another: when another one begins, the memos of the others are emptied."""
+    global _at_work
+    if owner != _at_work:
+        _at_work = owner
+        for r in _memos:
+            memo = r()
+            if memo is not None and memo.owner != owner:
+                memo.clear()
+
+
 class Bounded(dict):
     """A memo that starts afresh when it holds `cap` entries; `fill(key)` computes what is missing."""
 
-    def __init__(self, fill, cap: int = 400_000):
+    def __init__(self, fill, cap: int = 300_000, owner: str = ""):
         super().__init__()
-        self.fill, self.cap = fill, cap
+        self.fill, self.cap, self.owner = fill, cap, owner
+        _memos.append(weakref.ref(self))
 
     def __missing__(self, key):
         if len(self) >= self.cap:

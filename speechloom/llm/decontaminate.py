@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, checkpoint, ship, table
+from ._common import Bounded, alone, checkpoint, ship, slices, table
 
 #: A-Z to a-z; every other ASCII character but digits and a-z separates words.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
-_hash = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 600_000)
+_hash = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), owner="decontaminate")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -109,9 +109,10 @@ def rarity(docs: DataFrame, wanted: np.ndarray, k: int) -> dict[int, int]:
     sent = spark.sparkContext.broadcast(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("decontaminate")
         keys = sent.value
         total = np.zeros(len(keys), np.int64)
-        for b in batches:
+        for b in slices(batches):
             parts = []
             for text in b.column(0).to_pylist():
                 h = hashes(words_of(text))
@@ -165,8 +166,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            alone("decontaminate")
             index = sent.value
-            for b in batches:
+            for b in slices(batches):
                 n_words, names, spans = [], [], []
                 for text in b.column(kept + 1).to_pylist():
                     words = words_of(text)

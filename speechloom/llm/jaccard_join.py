@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Bounded, checkpoint, ship, slices, small_or_plain, table
+from ._common import Bounded, alone, checkpoint, ship, slices, small_or_plain, table
 from .components import components
 
 WIDTH = 5
 #: A pair is linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SLICE = 1 << 15
-_word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 300_000)
+_word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), owner="jaccard_join")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +76,7 @@ def summaries(docs: DataFrame, bits: int, width: int) -> DataFrame:
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("jaccard_join")
         counts, seen, salt = np.zeros(1 << bits, np.uint32), set(), 0
         names = ["id", "n", "sig", "slice", "salt", "counts"]
         for b in slices(batches):
@@ -130,6 +131,7 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("jaccard_join")
         rare, seen = sent.value, set()
         for b in slices(batches):
             tokens, ids, sizes, places = [], [], [], []

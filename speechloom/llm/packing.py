@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Bounded, checkpoint, ship, table
+from ._common import Bounded, alone, checkpoint, ship, slices, table
 from .token_counts import VOCABULARY, byte_letters, chunks, vocabulary_path
 
 END = b"\0\0\0\0"
@@ -42,8 +42,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = {b: c for c, b in byte_letters().items()}
         self.blank = self.letters[32]
-        self.first = Bounded(self._encode, memo // 20)
-        self.later = Bounded(self._later, memo)
+        self.first = Bounded(self._encode, memo // 20, "packing")
+        self.later = Bounded(self._later, memo, "packing")
 
     def _encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -86,8 +86,9 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capa
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("packing")
         e = encoder(vocabulary_path(vocabulary))
-        for b in batches:
+        for b in slices(batches):
             at, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(b.column(1).to_pylist()):
                 ids = memoryview(e.ids(text or "") + END)

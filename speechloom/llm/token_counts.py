@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Bounded, ship, table
+from ._common import Bounded, alone, ship, slices, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -97,10 +97,10 @@ class PrefixCounter:
         self.split_special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.blank, self.blanks = regex.compile(r"\s"), regex.compile(r"\s+")
-        self.neighbours = Bounded(self._stay, 500_000)
-        self.word_memo = Bounded(self._word, memo // 4)
-        self.first_memo = Bounded(self._chunk, memo // 20)
-        self.later_memo = Bounded(self._later, memo)
+        self.neighbours = Bounded(self._stay, 500_000, "token_counts")
+        self.word_memo = Bounded(self._word, memo // 4, "token_counts")
+        self.first_memo = Bounded(self._chunk, memo // 20, "token_counts")
+        self.later_memo = Bounded(self._later, memo, "token_counts")
 
     def _merge(self, data: bytes) -> list[bytes]:
         """The definition: merge the pair of lowest rank until none is left. For short strings only."""
@@ -266,8 +266,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_chars long" + ", prefix_counts array<int>" * prefixes
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("token_counts")
         c = counter(vocabulary_path(vocabulary))
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             got = [c.summary(t, budget) for t in texts]
             size = [len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, ship, small_or_plain, table
+from ._common import Bounded, alone, ship, slices, small_or_plain, table
 from .decontaminate import words_of
 
 BITS, DIM, WIDTHS, FILTERS = 16, 8, (1, 2, 3), 8
@@ -40,7 +40,7 @@ def _rows(word: bytes) -> int:
     return (1 + h % _MASK) | (1 + (h >> 32) % _MASK) << 32  # row 0 is the reserved word's
 
 
-_memo = Bounded(_rows, 600_000)
+_memo = Bounded(_rows, owner="toxicity")
 
 
 def hashed(text: str | None) -> np.ndarray:
@@ -213,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        alone("toxicity")
+        for b in slices(batches):
             words = [hashed(t).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(words, pa.binary())], ["id", "lang", "y", "words"])
 
@@ -245,8 +246,9 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"), *[F.col(c).alias(f"kept_{c}") for c in keep])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("toxicity")
         net = sent.value
-        for b in batches:
+        for b in slices(batches):
             scores, held, size = [], [], 0
             for t in b.column(1).to_pylist():
                 held.append(hashed(t))
