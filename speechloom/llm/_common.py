@@ -73,12 +73,28 @@ def alone(owner: str) -> None:
             memo = r()
             if memo is not None and memo.owner != owner:
                 memo.clear()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and the allocator keep it otherwise."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 class Bounded(dict):
     """A memo that starts afresh when it holds `cap` entries; `fill(key)` computes what is missing."""
 
-    def __init__(self, fill, cap: int = 300_000, owner: str = ""):
+    def __init__(self, fill, cap: int = 100_000, owner: str = ""):
         super().__init__()
         self.fill, self.cap, self.owner = fill, cap, owner
         _memos.append(weakref.ref(self))
