@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,11 @@ def chunks(text: str) -> list[str]:
     return CUT.split(text)
 
 
+def packed(counts: Sequence[int]) -> bytes | np.ndarray:
+    """A table in bytes if all its counts fit; a code point can be several tokens, and a longer prefix can have fewer."""
+    return bytes(counts) if max(counts, default=0) < 256 else np.array(counts, dtype=np.uint32)
+
+
 class PrefixCounter:
     """Counts tokens of every prefix under a byte-level BPE file with merges."""
 
@@ -187,10 +192,12 @@ class PrefixCounter:
     def _later(self, piece: str) -> bytes | np.ndarray:
         """The table of a chunk that follows a blank."""
         if piece.isalpha() and len(piece) < 100:  # one pre-token
-            return bytes(self._word(" " + piece))
+            return packed(self._word(" " + piece))
         if piece[-1:] in (".", ",") and piece[:-1].isalpha() and len(piece) < 100:  # two
             head = self.later_memo[piece[:-1]]
-            return head + bytes([head[-1] + 1])
+            if isinstance(head, bytes) and head[-1] < 255:
+                return head + bytes([head[-1] + 1])
+            return packed([*map(int, head), int(head[-1]) + 1])
         return self._chunk(" " + piece)
 
     def _chunk(self, text: str) -> bytes | np.ndarray:
@@ -209,9 +216,7 @@ class PrefixCounter:
                     out.append(base)
                 elif part:
                     out.extend(base + c for c in self._plain(part))
-        if len(out) < 200:
-            return bytes(out)
-        return np.array(out, dtype=np.uint32)
+        return packed(out)
 
     def tables(self, text: str) -> list:
         """The chunks' tables in order."""

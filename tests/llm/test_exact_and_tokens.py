@@ -71,6 +71,17 @@ def test_long_runs(library):
         assert counter.count(s) == len(reference.encode(s, add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("unit", ["漢字仮名", "한국어", "😀🏽", "a漢"])
+def test_runs_of_several_tokens_a_code_point(library, unit):
+    reference, counter = library
+    for n in (90, 99, 100, 120, 199, 200, 250):
+        run = (unit * n)[:n]
+        for s in (run, "see " + run, f"see {run}, {run}. end", f"{run}<|endoftext|>{run}"):
+            ids = [len(reference.encode(s[:i], add_special_tokens=False).ids) for i in (len(s), n // 2)]
+            got = counter.vector(s)
+            assert [counter.count(s), got[n // 2]] == ids and got[-1] == ids[0], (n, s[:20])
+
+
 def test_compatible_pairs_match_the_definition(library):
     counter = library[1]
     r = random.Random(2)
