@@ -1,26 +1,31 @@
 """Quality by the perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model's units are characters (code points folded to 16 bits), its order is 4: it needs no word lists, and shouting,
-tables, symbol runs and wrong spelling all show. Trusted are documents labelled with quality 1; four fifths of them, by
-a hash of the id, are counted, the rest sets the thresholds, so these are not flattered by texts the model has seen.
+The query's units are words, hashed to 32 bits, at order 3: what is counted grows with the corpus, and shuffled words or
+word salad get poor scores. A word is a run of letters, digits and underscores; other signs but blanks, and each Han or
+kana character, are units of their own. With `words` false the units are characters (code points folded to 16 bits) at
+order 4. Trusted are documents labelled with quality 1; four fifths of them, by a hash of the id, are counted, the rest
+sets the thresholds, so these are not flattered by texts the model has seen.
 
-Counts are tables spread by key. One pass counts the 4-grams of trusted texts and collects the distinct 4-grams of all
+Counts are tables spread by key. One pass counts the n-grams of trusted texts and collects the distinct n-grams of all
 texts, merged in each task before the shuffle. Continuation counts of the lower orders, the totals and kinds of each
 context and the discounts follow by aggregates over distinct n-grams, and the probabilities by joins, order by order:
-p_k = max(c - D(c), 0) / total + gamma * p_(k-1). A key meets at most 65 536 partners, the left neighbours of an n-gram.
-The result, a log-probability for each distinct 4-gram of the corpus, is broadcast to score texts if it was counted to
-hold at most `BROADCAST_BYTES`; beyond that each document's distinct 4-grams are joined with it and summed.
+p_k = max(c - D(c), 0) / total + gamma * p_(k-1). Contexts of one unit are broadcast if they were counted to be few; those
+of frequent words have many partners, and adaptive execution splits the wanted side of these joins.
+The result, a log-probability for each distinct n-gram of the corpus, is broadcast to score texts if it was counted to
+hold at most `BROADCAST_BYTES`; beyond that each document's distinct n-grams are joined with it and summed.
 
 A document is kept when its mean negative log-probability is at most the `quantile` of its language's trusted, held-back
 documents; a language with fewer than `least` of these uses that of all.
 
-Defined results: null and empty texts have only the end mark and are never kept; a null language uses the common threshold;
-without trusted text there is no threshold and everything but empty texts is kept; ids labelled more than once are trusted
+Defined results: texts without a unit (null, empty, only blanks for words) have only the end mark and are never kept; a null language uses the common threshold;
+without trusted text there is no threshold and everything but texts without a unit is kept; ids labelled more than once are trusted
 if any of their labels is 1; every row gives one row; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,89 +33,130 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_BYTES, checkpoint, ship, small_or_plain, table
+from ._common import BROADCAST_BYTES, Bounded, alone, checkpoint, ship, slices, small_or_plain, table
 
-ORDER = 4
 BEGIN, END = 2, 3
 CHUNK = 2_000_000
+WORD = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|[^\W\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+|[^\w\s]")
+_word_hash = Bounded(lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")), owner="quality")
 
 
-def grams(text: str | None) -> np.ndarray:
-    """The packed 4-grams of a text with three begin marks and an end mark: one for each character and the end."""
+def order_and_bits(words: bool) -> tuple[int, int]:
+    return (3, 32) if words else (4, 16)
+
+
+def units(text: str | None, words: bool) -> np.ndarray:
+    if words:
+        return np.array([_word_hash[w] for w in WORD.findall(text or "")], np.int64)
     cp = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    c = np.empty(len(cp) + ORDER, np.int64)
-    c[: ORDER - 1], c[-1] = BEGIN, END
-    c[ORDER - 1 : -1] = (cp ^ (cp >> 16)) & 0xFFFF
-    n = len(cp) + 1
-    out = c[:n].copy()
-    for k in range(1, ORDER):
-        out <<= 16
-        out |= c[k : k + n]
+    return ((cp ^ (cp >> 16)) & 0xFFFF).astype(np.int64)
+
+
+def grams(text: str | None, words: bool) -> np.ndarray:
+    """The n-grams of a text with begin marks and an end mark, one for each unit and the end: columns hi, gram.
+
+    gram packs as many of the last units as 64 bits hold, hi the one before them (0 for characters).
+    """
+    order, bits = order_and_bits(words)
+    u = units(text, words)
+    c = np.empty(len(u) + order, np.int64)
+    c[: order - 1], c[-1] = BEGIN, END
+    c[order - 1 : -1] = u
+    n, packed = len(u) + 1, 64 // bits
+    out = np.zeros((n, 2), np.int64)
+    for k in range(order):
+        if k < order - packed:
+            out[:, 0] = c[k : k + n]
+        else:
+            out[:, 1] = out[:, 1] << bits | c[k : k + n]
     return out
 
 
+def mixed(g: np.ndarray) -> np.ndarray:
+    """64 bits of an n-gram: one to one where hi is 0, a hash otherwise."""
+    x = g[:, 1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x += g[:, 0].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
 class Merged:
-    """Counts by key, merged whenever enough has come together."""
+    """Counts by n-gram, merged whenever enough has come together."""
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.waiting = [], [], 0
+        self.grams, self.counts, self.waiting = [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        u, n = np.unique(keys, return_counts=True)
-        self.keys.append(u)
+    def add(self, grams: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        _, at, n = np.unique(mixed(grams), return_index=True, return_counts=True)
+        self.grams.append(grams[at])
         self.counts.append(n)
-        self.waiting += len(u)
+        self.waiting += len(at)
         if self.waiting > 4 * CHUNK:
             self.settle()
+            if self.waiting > 2 * CHUNK:  # hardly anything repeats: the shuffle merges the rest
+                yield from self.take()
 
-    def settle(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.keys) > 1:
-            keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-            u, inv = np.unique(keys, return_inverse=True)
-            self.keys, self.counts = [u], [np.bincount(inv, counts).astype(np.int64)]
-            self.waiting = len(u) // 2
-        return (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    def settle(self) -> None:
+        if len(self.grams) > 1:
+            grams, counts = np.concatenate(self.grams), np.concatenate(self.counts)
+            _, at, inv = np.unique(mixed(grams), return_index=True, return_inverse=True)
+            self.grams, self.counts = [grams[at]], [np.bincount(inv, counts).astype(np.int64)]
+        self.waiting = sum(map(len, self.grams))
 
+    def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What was gathered, in parts; nothing is left here."""
+        self.settle()
+        grams, counts, self.grams, self.counts, self.waiting = self.grams, self.counts, [], [], 0
+        for g, c in zip(grams, counts, strict=True):
+            for at in range(0, len(g), 100_000):
+                yield g[at : at + 100_000], c[at : at + 100_000]
 
-def counted(docs: DataFrame) -> DataFrame:
-    """(gram, c): counts in texts marked `learn`, 0 for those that only other texts hold."""
+
+def counted(docs: DataFrame, words: bool) -> DataFrame:
+    """(hi, gram, c): counts in texts marked `learn`, 0 for those that only other texts hold."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("quality")
         sums = {True: Merged(), False: Merged()}
         wait: dict[bool, list] = {True: [], False: []}
         size = {True: 0, False: 0}
 
-        def flush(kind: bool) -> None:
+        def batch(kind: bool, g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(g[:, 0]), pa.array(g[:, 1]), pa.array(n if kind else np.zeros(len(n), np.int64))], ["hi", "gram", "c"])
+
+        def flush(kind: bool) -> Iterator[pa.RecordBatch]:
             if wait[kind]:
-                sums[kind].add(np.concatenate(wait[kind]))
+                together = np.concatenate(wait[kind])
                 wait[kind], size[kind] = [], 0
+                for g, n in sums[kind].add(together):
+                    yield batch(kind, g, n)
 
-        for b in batches:
+        for b in slices(batches):
             for text, learn in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                g = grams(text)
+                g = grams(text, words)
                 kind = bool(learn)
                 wait[kind].append(g)
                 size[kind] += len(g)
-                if size[kind] > CHUNK:
-                    flush(kind)
+                if size[kind] > CHUNK // 2:
+                    yield from flush(kind)
         for kind in (True, False):
-            flush(kind)
-            keys, counts = sums[kind].settle()
-            for at in range(0, len(keys), 100_000):
-                k, n = keys[at : at + 100_000], counts[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n if kind else np.zeros(len(k), np.int64))], ["gram", "c"])
+            yield from flush(kind)
+            for g, n in sums[kind].take():
+                yield batch(kind, g, n)
 
-    return docs.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(run, "hi long, gram long, c long").groupBy("hi", "gram").agg(F.sum("c").alias("c"))
 
 
-def low(c: str | Column, chars: int) -> Column:
-    """The last characters of a packed n-gram."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.bitwiseAND(F.lit((1 << 16 * chars) - 1))
+def low(chars: int, bits: int) -> Column:
+    """The last units of an n-gram."""
+    return F.col("gram") if bits * chars >= 64 else F.col("gram").bitwiseAND(F.lit((1 << bits * chars) - 1))
 
 
-def context(c: str) -> Column:
-    return F.shiftrightunsigned(F.col(c), 16)
+def context(top: bool, bits: int) -> Column:
+    """All units but the last; a unit in hi comes down."""
+    rest = F.shiftrightunsigned(F.col("gram"), bits)
+    return rest.bitwiseOR(F.shiftleft(F.col("hi"), 64 - bits)) if top else rest
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -123,105 +169,113 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), k) for x, k in zip(d, (0.95, 1.9, 2.85), strict=True))  # type: ignore[return-value]
 
 
-def smoothed(wanted: DataFrame, counts: DataFrame, lower: DataFrame, order: int, tiny: bool) -> DataFrame:
-    """(gram, p) of an order for the wanted n-grams, from the counts of this order and the order below."""
+def smoothed(wanted: DataFrame, counts: DataFrame, lower: DataFrame, order: int, bits: int, few: int | None, top: bool) -> DataFrame:
+    """(key, p) of an order for the wanted n-grams, from the counts of this order and the order below.
+
+    few: how many contexts there are at most, if known. At the top order, `wanted` has its counts already.
+    """
     d1, d2, d3 = discounts(counts)
     less = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-    of = counts.groupBy(context("gram").alias("before")).agg(F.sum("c").alias("total"), F.sum(less).alias("spare"))
-    hint = F.broadcast if tiny else (lambda x: x)
+    of = counts.groupBy(context(top, bits).alias("before")).agg(F.sum("c").alias("total"), F.sum(less).alias("spare"))
+    hint = (lambda x: small_or_plain(x, few, 24)) if few is not None else (lambda x: x)
+    rows = wanted.withColumn("c", F.expr("nullif(c, 0)")) if top else wanted.join(counts, "gram", "left")
     return (
-        wanted.join(counts, "gram", "left")
-        .withColumn("before", context("gram"))
+        rows.withColumn("before", context(top, bits))
         .join(hint(of), "before", "left")
-        .withColumn("after", low("gram", order - 1))
+        .withColumn("after", low(order - 1, bits))
         .join(hint(lower.select(F.col("gram").alias("after"), F.col("p").alias("q"))), "after", "left")
-        .select("gram", F.when(F.col("total").isNull(), F.col("q")).otherwise((F.coalesce(F.col("c") - less, F.lit(0.0)) + F.col("spare") * F.col("q")) / F.col("total")).alias("p"))
+        .select(*["hi"] * top, "gram", F.when(F.col("total").isNull(), F.col("q")).otherwise((F.coalesce(F.col("c") - less, F.lit(0.0)) + F.col("spare") * F.col("q")) / F.col("total")).alias("p"))
     )
 
 
-def probabilities(found: DataFrame) -> DataFrame:
-    """(gram, log): the natural logarithm of the probability of each 4-gram's last character after the others."""
-    counts = {ORDER: found.filter("c > 0")}
-    for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct left neighbours
-        counts[k] = checkpoint(counts[k + 1].groupBy(low("gram", k).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
-    wanted = {ORDER: found.select("gram")}
-    for k in range(ORDER - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(low("gram", k).alias("gram")).distinct()
-    # order 1: at most 65 536 rows, as are the contexts of order 2
+def probabilities(found: DataFrame, words: bool) -> DataFrame:
+    """(hi, gram, log): the natural logarithm of the probability of each n-gram's last unit after the others."""
+    order, bits = order_and_bits(words)
+    counts = {order: found.filter("c > 0")}
+    for k in range(order - 1, 0, -1):  # continuation counts: distinct left neighbours
+        counts[k] = checkpoint(counts[k + 1].groupBy(low(k, bits).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
+    wanted = {order: found}
+    for k in range(order - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(low(k, bits).alias("gram")).distinct()
+        wanted[k] = checkpoint(wanted[k]) if words else wanted[k]
     d1, d2, d3 = discounts(counts[1])
     less = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
     total, spare, kinds = counts[1].agg(F.sum("c"), F.sum(less), F.count(F.lit(1))).first()
     floor = (spare or 1.0) / ((kinds or 0) + 1) if total else 1 / 65536
     one = F.coalesce(F.col("c") - less, F.lit(0.0)) + F.lit(float(floor))
     p = checkpoint(wanted[1].join(counts[1], "gram", "left").select("gram", (one / F.lit(float(total or 1))).alias("p")))
-    for k in range(2, ORDER + 1):
-        p = smoothed(wanted[k], counts[k], p, k, k == 2)
-        p = checkpoint(p) if k < ORDER else p
-    return p.select("gram", F.ln("p").alias("log"))
+    few = p.count() + 1  # the contexts of order 2 are units too, or the begin mark
+    for k in range(2, order + 1):
+        p = smoothed(wanted[k], counts[k], p, k, bits, few if k == 2 else None, k == order)
+        p = checkpoint(p) if k < order else p
+    return p.select("hi", "gram", F.ln("p").alias("log"))
 
 
-def scored(source: DataFrame, logs: DataFrame) -> DataFrame:
-    """(row's columns but text, chars, loss): the mean negative log-probability of each text."""
+def scored(source: DataFrame, logs: DataFrame, words: bool) -> DataFrame:
+    """(row's columns but text, units, loss): the mean negative log-probability of each text."""
     spark = source.sparkSession
     n = logs.count()
     rest = [f for f in source.schema if f.name != "text"]
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    if n * 16 <= BROADCAST_BYTES:
+    if n * 24 <= BROADCAST_BYTES:
         got = logs.toPandas()  # n was counted
-        keys, values = got["gram"].to_numpy(), got["log"].to_numpy()
+        keys, values = mixed(got[["hi", "gram"]].to_numpy()), got["log"].to_numpy()
         order = np.argsort(keys)
         sent = spark.sparkContext.broadcast((keys[order], values[order]))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, values = sent.value
             for b in batches:
-                chars, loss = [], []
+                number, loss = [], []
                 for text in b["text"].to_pylist():
-                    g = grams(text)
-                    chars.append(len(g) - 1)
+                    g = mixed(grams(text, words))
+                    number.append(len(g) - 1)
                     loss.append(-float(values[np.searchsorted(keys, g)].mean()))
-                yield pa.RecordBatch.from_arrays([*(b[f.name] for f in rest), pa.array(chars, pa.int64()), pa.array(loss)], [*(f.name for f in rest), "chars", "loss"])
+                yield pa.RecordBatch.from_arrays([*(b[f.name] for f in rest), pa.array(number, pa.int64()), pa.array(loss, pa.float64())], [*(f.name for f in rest), "units", "loss"])
 
-        return source.mapInArrow(run, head + ", chars long, loss double")
+        return source.mapInArrow(run, head + ", units long, loss double")
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        alone("quality")
+        for b in slices(batches, 128):
             row, key, count = [], [], []
             for r, text in zip(b["row"].to_pylist(), b["text"].to_pylist(), strict=True):
-                u, c = np.unique(grams(text), return_counts=True)
-                row.append(np.full(len(u), r, np.int64))
-                key.append(u)
+                g = grams(text, words)
+                _, at, c = np.unique(mixed(g), return_index=True, return_counts=True)
+                row.append(np.full(len(at), r, np.int64))
+                key.append(g[at])
                 count.append(c)
             if row:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (row, key, count)], ["row", "gram", "k"])
+                keys = np.concatenate(key)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(row), keys[:, 0], keys[:, 1], np.concatenate(count))], ["row", "hi", "gram", "k"])
 
     rows = checkpoint(source.withColumn("row", F.monotonically_increasing_id()))
-    parts = rows.select("row", "text").mapInArrow(spread, "row long, gram long, k long").join(logs, "gram")
+    parts = rows.select("row", "text").mapInArrow(spread, "row long, hi long, gram long, k long").join(logs, ["hi", "gram"])
     sums = parts.groupBy("row").agg(F.sum("k").alias("n"), (-F.sum(F.col("k") * F.col("log"))).alias("sum"))
-    return rows.drop("text").join(sums, "row").select(*(f.name for f in rest), (F.col("n") - 1).alias("chars"), (F.col("sum") / F.col("n")).alias("loss"))
+    return rows.drop("text").join(sums, "row").select(*(f.name for f in rest), (F.col("n") - 1).alias("units"), (F.col("sum") / F.col("n")).alias("loss"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.99, least: int = 50) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.99, least: int = 50, words: bool = False) -> DataFrame:
     """(id_col, lang, n_chars, perplexity, threshold, kept), one row for each row of `docs`."""
     ship(docs.sparkSession)
     trust = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("good")).filter("good = 1 and id is not null").select("id", F.lit(True).alias("trusted"))
-    source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"), F.col(text_col).alias("text"))
     source = source.join(small_or_plain(trust, trust.count(), 16), "id", "left")
     back = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) == 0
     trusted = F.col("trusted").isNotNull()
-    found = checkpoint(counted(source.select("text", (trusted & ~back).alias("learn"))))
-    logs = checkpoint(probabilities(found))
-    out = checkpoint(scored(source, logs))
-    told = out.filter(trusted & back & (F.col("chars") > 0))
+    found = checkpoint(counted(source.select("text", (trusted & ~back).alias("learn")), words))
+    logs = checkpoint(probabilities(found, words))
+    out = checkpoint(scored(source, logs, words))
+    told = out.filter(trusted & back & (F.col("units") > 0))
     cut = F.percentile_approx("loss", F.lit(quantile), F.lit(10_000)).alias("cut")
     common = told.agg(cut).first()[0]
     by = {r[0]: r[2] for r in told.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), cut).filter(F.col("n") >= least).collect()}
     threshold = F.lit(common).cast("double")
     for lang, t in by.items():  # one for each language
         threshold = F.when(F.col("lang") == lang, F.lit(t)).otherwise(threshold)
-    keep = (F.col("chars") > 0) & F.coalesce(F.col("loss") <= threshold, F.lit(True))
+    keep = (F.col("units") > 0) & F.coalesce(F.col("loss") <= threshold, F.lit(True))
     return out.select(F.col("id").alias(id_col), "lang", F.col("chars").alias("n_chars"), F.exp("loss").alias("perplexity"), F.exp(threshold).alias("threshold"), keep.alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), words=True)

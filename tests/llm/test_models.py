@@ -199,6 +199,39 @@ def test_quality_against_the_formulas(spark, monkeypatch):
     assert not out[100] and not out[101] and not out[102]
 
 
+def test_quality_of_words(spark, monkeypatch):
+    """Shuffled words of trusted texts are poor text, blanks are none; both ways of scoring agree."""
+    r = random.Random(4)
+    follows = {f"w{k}": [f"w{(7 * k + j) % 90}" for j in range(3)] for k in range(90)}
+
+    def fluent(n):
+        out = [f"w{r.randrange(90)}"]
+        while len(out) < n:
+            out.append(r.choice(follows[out[-1]]))
+        return out
+
+    rows = [(k, " ".join(fluent(60)), "x") for k in range(300)]
+    salad = fluent(80)
+    r.shuffle(salad)
+    rows += [(900, " ".join(salad), "x"), (901, " ".join(fluent(80)), "x"), (902, "  \n", "x"), (903, "漢字仮名 !!", None), (904, None, "x")]
+    known = spark.createDataFrame([(k, 1) for k in range(300)], "doc_id long, quality int")
+    got = []
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(quality, "BROADCAST_BYTES", limit)
+        got.append({g.doc_id: g for g in quality.quality(docs(spark, rows), known, quantile=1.0, least=5, words=True).collect()})
+    assert len(got[0]) == len(rows)
+    assert all(math.isclose(got[0][k].perplexity, got[1][k].perplexity, rel_tol=1e-9) for k in got[0])
+    assert {k: got[0][k].kept for k in range(900, 905)} == {900: False, 901: True, 902: False, 903: False, 904: False}
+    assert got[0][903].n_chars == 7 and len(quality.grams("漢字仮名 !!", True)) == 7
+
+
+def test_quality_query_counts_words(spark, monkeypatch):
+    monkeypatch.setattr(quality, "table", lambda s, d, name: docs(s, [(1, "one two three", "x")]) if name == "documents" else s.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    seen = []
+    monkeypatch.setattr(quality, "counted", lambda d, words, f=quality.counted: seen.append(words) or f(d, words))
+    assert quality.query(spark, "").count() == 1 and seen == [True]
+
+
 def test_quality_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = {g.doc_id: g.kept for g in quality.quality(docs(spark, [(1, "abc", "x"), (2, "", "x")]), none).collect()}
