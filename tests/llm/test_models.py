@@ -125,6 +125,21 @@ def test_url_filter(spark):
     assert {g.verdict for g in one_kind} == {"allow"}
 
 
+def test_url_models_learn_from_every_ruled_url(spark, monkeypatch):
+    """More ruled URLs of a kind than 3000: differences are those of the models of all of them, broadcast and joined."""
+    urls = [f"http://a{k % 71}.org/p{k}/{k * 7919 % 1009}" for k in range(4000)] + [f"http://b{k % 53}.com/de/q{k}-{k * 31 % 997}" for k in range(3500)]
+    asked = [f"http://a{k}.net/p{k * 13}" for k in range(40)] + [f"http://b{k}.net/q{k}-{k}" for k in range(40)] + [""]
+    model = url_filter.Ratio(urls[:4000], urls[4000:])
+    pages = spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(url_filter, "BROADCAST_BYTES", limit)
+        got = {g.page_id: g for g in url_filter.url_filter(pages).collect()}
+        assert len(got) == len(urls) + len(asked)
+        for k, u in enumerate(asked, len(urls)):
+            assert math.isclose(got[k].difference, model.difference(u), rel_tol=1e-9, abs_tol=1e-9), u
+            assert got[k].verdict == model.verdict(u)[0]
+
+
 def test_markov_is_a_distribution():
     m = url_filter.Markov(["abab", "abba"], order=2, letters=4)
     for before in ("", "a", "ab", "zz"):
