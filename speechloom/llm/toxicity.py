@@ -4,7 +4,8 @@ Words are hashed into two tables of embeddings whose rows are added (a word that
 it in the other), filters of widths 1, 2 and 3 run over the sequence, each filter's maximum over the text is kept, and a
 logistic layer gives the score. Training uses at most `sample` labelled rows of each class, those of the smallest hash of
 the id: a fixed bound, so the model and what reaches the driver have one size for any input. A part of these rows is held
-back to scale the scores, so that 0.5 is the even chance, and to choose a threshold for each language.
+back to scale the scores, so that 0.5 is the even chance. All labelled rows but those trained on and those held out for
+tests set the thresholds, from histograms by language, each shrunk towards the common one by the number of its rarer class.
 
 Scoring reads whole texts in Arrow batches; the score depends on the text alone. The language only picks the threshold
 of the column `rejected`.
@@ -32,6 +33,8 @@ from .decontaminate import words_of
 BITS, DIM, WIDTHS, FILTERS = 16, 8, (1, 2, 3), 8
 PAD = 2
 FOLDS, HELD = 5, 0
+#: Of the scores, in the histograms that thresholds come from.
+BINS = 1000
 _MASK = (1 << BITS) - 1
 
 
@@ -59,6 +62,7 @@ class Net:
         self.base = np.float32(0)
         self.scale = (1.0, 0.0)
         self.thresholds: dict[str, float] = {}
+        self.common = 0.5
 
     def project(self) -> None:
         """The filters' products with every row of the tables, so that scoring is look-ups and sums."""
@@ -171,18 +175,39 @@ class Net:
         self.base = np.float32(-2)
 
 
-def best_cut(score: np.ndarray, y: np.ndarray) -> float:
-    """The threshold of the fewest errors; the middle of the gap around it."""
-    order = np.argsort(score)
-    s, t = score[order], y[order]
-    errors = np.concatenate([[0], np.cumsum(t)]) + np.concatenate([np.cumsum((1 - t)[::-1])[::-1], [0]])
-    k = int(errors.argmin())
-    low, high = (s[k - 1] if k else 0.0), (s[k] if k < len(s) else 1.0)
-    return float((low + high) / 2)
-
-
-def calibrate(net: Net, docs: list[np.ndarray], y: np.ndarray, langs: list[str | None], least: int = 40) -> None:
-    """Scale and shift of the logits by Newton steps on the log loss; thresholds by language where labels suffice."""
+def best_cut(toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The threshold of the fewest errors, from counts by bins of the score; the middle of the gap around it."""
+    errors = np.concatenate([[0], np.cumsum(toxic)]) + np.concatenate([np.cumsum(clean[::-1])[::-1], [0]])
+    first = last = int(errors.argmin())
+    while last < len(toxic) and not toxic[last] and not clean[last]:
+        last += 1
+    return (first + last) / 2 / len(toxic)
+
+
+def levels(told: DataFrame, weight: int = 40) -> tuple[float, dict[str, float]]:
+    """The common threshold and that of each language, from (lang, y, score) of all rows told.
+
+    A language's own threshold is shrunk towards the common one by `weight` rows of its rarer class.
+    """
+    spot = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1))
+    hist: dict[str | None, np.ndarray] = {}
+    for lang, y, k, n in told.groupBy("lang", "y", spot.alias("bin")).count().collect():
+        hist.setdefault(lang, np.zeros((2, BINS)))[y, k] += n
+    if not hist:
+        return 0.5, {}
+    within = lambda t: min(0.8, max(0.2, t))
+    clean, toxic = sum(hist.values())
+    common = within(best_cut(toxic, clean))
+    out = {}
+    for lang, (clean, toxic) in hist.items():
+        n = min(clean.sum(), toxic.sum())
+        if lang is not None and n:
+            out[lang] = float(common + n / (n + weight) * (within(best_cut(toxic, clean)) - common))
+    return common, out
+
+
+def calibrate(net: Net, docs: list[np.ndarray], y: np.ndarray) -> None:
+    """Scale and shift of the logits by Newton steps on the log loss."""
     x = np.concatenate([net.logits(docs[k : k + 256]) for k in range(0, len(docs), 256)]).astype(np.float64)
     a, b = 1.0, 0.0
     for _ in range(50):
@@ -194,15 +219,10 @@ def calibrate(net: Net, docs: list[np.ndarray], y: np.ndarray, langs: list[str |
         step *= min(1, 2 / np.abs(step).max()) if np.abs(step).max() else 1
         a, b = a - step[0], b - step[1]
     net.scale = (float(max(a, 1e-3)), float(b))
-    score = net.score(docs)
-    for lang in sorted({v for v in langs if v is not None}):
-        mine = np.array([v == lang for v in langs])
-        if min(y[mine].sum(), (1 - y[mine]).sum()) >= least:
-            net.thresholds[lang] = min(0.8, max(0.2, best_cut(score[mine], y[mine])))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None, sample: int = 2500) -> Net:
-    """Learn from at most `sample` labelled rows of each class with crc32(id) mod 5 other than 0."""
+    """Learn from at most `sample` labelled rows of each class with crc32(id) mod 5 other than 0; all others set thresholds."""
     ship(docs.sparkSession)
     known = labels.filter(F.col("toxic").isin(0, 1) & (F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) != HELD))
     known = known.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("y")).distinct()
@@ -231,7 +251,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     back = np.array([zlib.crc32(b"c%d" % r[0]) % 4 == 0 for r in got])
     pick = lambda m: [w for w, k in zip(words, m, strict=True) if k]
     net.train(pick(~back), y[~back])
-    calibrate(net, pick(back), y[back], [r[1] for r, k in zip(got, back, strict=True) if k])
+    calibrate(net, pick(back), y[back])
+    learned = picked.filter(F.pmod(F.crc32(F.concat(F.lit("c"), F.col("id").cast("string")).cast("binary")), F.lit(4)) != 0).select("id").distinct()
+    rest = known.join(F.broadcast(learned), "id", "left_anti")
+    told = score_with(net, rows.join(small_or_plain(rest, rest.count(), 16), "id"), "id", "text", "lang", ("lang", "y"))
+    net.common, net.thresholds = levels(told.select(F.col("kept_lang").alias("lang"), F.col("kept_y").alias("y"), "score"))
     return net
 
 
@@ -264,7 +288,7 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
 
     schema = T.StructType([*(f for f in source.schema if f.name != "text"), T.StructField("score", T.DoubleType())])
     scored = source.mapInArrow(run, schema)
-    threshold = F.lit(0.5)
+    threshold = F.lit(net.common)
     for lang, t in net.thresholds.items():
         threshold = F.when(F.col("lang") == lang, F.lit(t)).otherwise(threshold)
     return scored.select(

@@ -61,6 +61,16 @@ def test_toxicity_score_is_of_the_text_alone(spark):
     assert a == b and math.isclose(a, alone, rel_tol=1e-5)
 
 
+def test_toxicity_thresholds_of_rare_languages(spark):
+    """All told rows count, and a language with few toxic rows is shrunk, not switched off."""
+    rows = [("big", y, 0.31 + 0.3 * y) for y in (0, 1) for _ in range(4000)] + [("few", y, 0.55 + 0.2 * y) for y in (0, 1) for _ in range(20)] + [(None, 0, 0.1), ("one", 0, 0.5)]
+    common, by = toxicity.levels(spark.createDataFrame(rows, "lang string, y int, score double"))
+    assert 0.55 < common < 0.61 and set(by) == {"big", "few"}
+    assert math.isclose(by["big"], common + 4000 / 4040 * (0.4605 - common), abs_tol=0.01)
+    assert math.isclose(by["few"], common + 20 / 60 * (0.6505 - common), abs_tol=0.01)
+    assert toxicity.levels(spark.createDataFrame([], "lang string, y int, score double")) == (0.5, {})
+
+
 def test_toxicity_without_labels(spark):
     for labels in ([], [(0, 0), (1, 0)]):
         known = spark.createDataFrame(labels, "doc_id long, toxic int")
