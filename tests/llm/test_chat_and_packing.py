@@ -96,3 +96,17 @@ def test_sha_of_the_clashing_conversation(spark, tmp_path):
     assert got[-1].loss_chars == len(clash) and got[-1].loss_sha256 == hashlib.sha256(clash.encode()).hexdigest()
     assert got[-1].turns_sha256 == hashlib.sha256(f"user\n{clash}\nassistant\n{clash}\n".encode()).hexdigest()
     assert got[5].loss_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_encoder_is_the_library():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(vocabulary_path()), packing.Encoder(vocabulary_path())
+    assert own.core is not None
+    r = random.Random(4)
+    parts = ["a", "'", "r", "re", " ", "  ", "\n", "\t", "é", "12", "!", "日本", "😀", "<|endoftext|>", "<|endof", "\xa0", "\x1c", " the", "'re", "'S", "　", "‍", "\x85"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(2000)]
+    texts += [f"a{chr(c)}1{chr(c)} {chr(c)}!{chr(c)}\n" for c in range(1, 0x20000, 7) if not 0xD800 <= c <= 0xDFFF]
+    texts += [" " * 300_000 + "x", "ab" * 20_000, "日本" * 20_000, "", "\n " * 20_000]
+    for t in texts:
+        assert own.ids(t) == array("I", library.encode(t, add_special_tokens=False).ids).tobytes(), t[:40]
