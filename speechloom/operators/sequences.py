@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 
 def indexed(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
     """A gapless position from 0 in a total order, without moving all rows to one task.
 
     Rows are range-partitioned and sorted; a partition's rows are numbered within it, and the number of rows before it is
-    joined from a table of one row for each partition.
+    joined from a table of one row for each partition. The numbered rows are written once, to the checkpoint folder: planned
+    twice, the ranges would be sampled twice, and rows of one plan wouldn't meet the counts of the other.
     """
     from pyspark.sql.functions import monotonically_increasing_id as local
 
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", local())
+    placed = checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", local()))
     # the upper bits of the local number are the partition
     placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy(F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("_before"))
-    # one row for each shuffle partition: bounded by a setting
+    # one row for each shuffle partition, a number that a setting bounds, so one task can sum them and all can have them
+    before = sizes.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
@@ -122,7 +123,3 @@ def resume_from(df: DataFrame, order: str, value) -> DataFrame:
 
 def shuffled(df: DataFrame, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed))
-
-
-def longest_run(flags: list[bool]) -> int:
-    return reduce(lambda a, f: (a[0] + 1, max(a[1], a[0] + 1)) if f else (0, a[1]), flags, (0, 0))[1]

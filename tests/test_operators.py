@@ -40,6 +40,20 @@ def test_indexed_matches_row_number(spark):
     assert [r.position for r in got] == list(range(1000))
 
 
+def test_indexed_keeps_every_row_with_all_its_columns(spark, tmp_path):
+    wide = spark.range(100_000, numPartitions=7).select(F.col("id"), (F.col("id") * 7919 % 100_003).alias("x"), F.repeat(F.col("id").cast("string"), 12).alias("payload"), F.lit("s").alias("source"))
+    got = sequences.indexed(wide, ["x"])
+    assert got.count() == 100_000
+    assert tuple(got.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()) == (0, 99_999, 100_000)
+    assert got.filter("payload <> repeat(cast(id as string), 12)").isEmpty()
+    at = {r.position: r.x for r in got.filter("position % 9973 = 0").collect()}
+    assert at == dict(zip(range(0, 100_000, 9973), sorted(k * 7919 % 100_003 for k in range(100_000))[::9973], strict=True))
+    writers.fixed_chunks(wide, str(tmp_path / "f"), ["x"], 30_000)
+    back = spark.read.parquet(str(tmp_path / "f"))
+    assert rows(back.groupBy("chunk").count()) == [(0, 30_000), (1, 30_000), (2, 30_000), (3, 10_000)]
+    assert rows(back.groupBy("chunk").agg(F.min("x") < F.max("x")).select("chunk")) == [(0,), (1,), (2,), (3,)]
+
+
 def test_batches_quota_misses(spark):
     df = spark.createDataFrame([(f"s{k:02d}",) for k in range(25)], "s string")
     got = sequences.group_batches(df, "s", 10).groupBy("batch").count().orderBy("batch").collect()
