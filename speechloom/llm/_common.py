@@ -11,6 +11,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
+__all__ = ["BROADCAST_BYTES", "Bounded", "alone", "checkpoint", "ship", "slices", "small_or_plain", "table"]
+
 #: A side of a join is broadcast only when it was measured to hold no more bytes than this.
 BROADCAST_BYTES = 64 << 20
 
@@ -36,18 +40,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster shares.
-
-    spark.checkpoint.dir is read from the session; a temporary folder is set only where it is unset (local tests).
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="speechloom-ckpt-"))
-    return df.checkpoint(eager=True)
-
-
 def small_or_plain(df: DataFrame, rows: int, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast when the counted rows are known to fit, else leave the choice of the join to the optimizer."""
     return F.broadcast(df) if rows * bytes_per_row <= limit else df

@@ -14,15 +14,16 @@ def docs(spark, rows):
 
 
 def brute(rows):
+    """Of equal texts one row is kept; which of those that agree in length and id doesn't show in the result."""
     groups = {}
-    for i, t in rows:
+    for at, (i, t) in enumerate(rows):
         key = "".join(c for c in t or "" if c not in "\x20\x09\x0a\x0b\x0c\x0d")
-        groups.setdefault(key, []).append((-len(t or ""), i is None, i or 0, i))
+        groups.setdefault(key, []).append((-len(t or ""), i is None, i or 0, at))
     out = []
-    for i, t in rows:
+    for at, (i, t) in enumerate(rows):
         key = "".join(c for c in t or "" if c not in "\x20\x09\x0a\x0b\x0c\x0d")
         keep = min(groups[key])[3]
-        out.append((i, keep, len(groups[key]), i == keep, hashlib.sha256(key.encode()).hexdigest()))
+        out.append((i, rows[keep][0], len(groups[key]), at == keep, hashlib.sha256(key.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
@@ -40,6 +41,19 @@ def test_exact_dedup_hot_group_and_empty(spark):
     assert exact_dedup.exact_dedup(docs(spark, [])).count() == 0
 
 
+def test_exact_dedup_keeps_one_row_of_repeated_rows(spark):
+    rows = [(k % 7, "t" * (k % 3)) for k in range(200)] + [(None, "n")] * 5
+    got = sorted((tuple(r) for r in exact_dedup.exact_dedup(docs(spark, rows).repartition(11), bucket=2).collect()), key=repr)
+    assert got == brute(rows)
+    assert sum(r[3] for r in got) == len({r[4] for r in got})
+
+
+def test_exact_dedup_string_ids(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "x"), ("c", "")], "name string, body string")
+    got = {(r.name, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(df, "name", "body").collect()}
+    assert got == {("b", "a", 3, False), ("a", "a", 3, True), (None, "a", 3, False), ("c", "c", 1, True)}
+
+
 def test_exact_dedup_is_native(spark):
     plan = exact_dedup.exact_dedup(docs(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
