@@ -23,17 +23,22 @@ def session(app: str = "speechloom", master: str | None = None, **settings: str)
     return (b.master(master) if master else b).getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster shares: spark.checkpoint.dir of the session.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares: spark.checkpoint.dir of the session.
 
     Where it is unset, a local session gets a temporary folder; on a cluster such a folder would not be shared, so that
     is an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that the cluster shares")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="speechloom-checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the folder the cluster shares."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
