@@ -7,13 +7,15 @@ import tempfile
 import weakref
 import zipfile
 from pathlib import Path
+from sys import getsizeof
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, checkpoint_folder
 
-__all__ = ["BROADCAST_BYTES", "Bounded", "alone", "checkpoint", "ship", "slices", "small_or_plain", "table"]
+__all__ = ["BROADCAST_BYTES", "Bounded", "alone", "checkpoint", "checkpoint_folder", "keyed", "quoted", "ship", "slices", "small_or_plain", "table"]
 
 #: A side of a join is broadcast only when it was measured to hold no more bytes than this.
 BROADCAST_BYTES = 64 << 20
@@ -45,6 +47,41 @@ def small_or_plain(df: DataFrame, rows: int, bytes_per_row: int, limit: int = BR
     return F.broadcast(df) if rows * bytes_per_row <= limit else df
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+FILE, AT, ODD, NUMBER = "file of the row", "place of the row", "id of several rows", "number of the row"
+#: Keys of rows without an id of their own begin here, so any id goes before them.
+FIRST = 1 << 62
+
+
+def keyed(docs: DataFrame, id_col: str, key: str) -> tuple[DataFrame, int]:
+    """The rows with `key`, a long that no two rows share, and how many ids aren't one row's alone.
+
+    The key is the id if it is a whole number that no other row has, else a number from FIRST on. Rows without an id of
+    their own are numbered once, by where they are in their files, so every scan of the result has the same keys. A table
+    that isn't read from files is written to the checkpoint folder first, if there are such rows.
+    """
+    name = quoted(id_col)
+    whole = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    own = F.col(name).cast("long") if whole else F.lit(None).cast("long")
+    ids = docs.groupBy(F.col(name).alias(ODD)).agg(F.count(F.lit(1)).alias("n"))
+    odd = checkpoint((ids.filter(f"n > 1 or `{ODD}` is null") if whole else ids).select(ODD))
+    n = odd.count()
+    if not n:
+        return docs.withColumn(key, own), 0
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT))
+    except AnalysisException:  # no files
+        placed = checkpoint(docs).select("*", F.lit("").alias(FILE), F.monotonically_increasing_id().alias(AT))
+    found = placed.join(small_or_plain(odd, n, 64), F.col(name).eqNullSafe(F.col(ODD)), "left_semi")
+    numbers = checkpoint(found.select(FILE, AT).withColumn(NUMBER, F.monotonically_increasing_id() + F.lit(FIRST)))
+    rows = placed.join(small_or_plain(numbers, numbers.count(), 200), [FILE, AT], "left")
+    return rows.select(*[F.col(quoted(c)) for c in docs.columns], F.coalesce(F.col(NUMBER), own).alias(key)), n
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in parts of at most `rows` rows, so that what is made from them stays small too."""
     for b in batches:
@@ -84,15 +121,28 @@ def _give_back() -> None:
 
 
 class Bounded(dict):
-    """A memo that starts afresh when it holds `cap` entries; `fill(key)` computes what is missing."""
+    """A memo that starts afresh when it holds about `mb` megabytes; `fill(key)` computes what is missing.
+
+    Long keys, such as a text without blanks, are computed each time and not kept.
+    """
 
-    def __init__(self, fill, cap: int = 100_000, owner: str = ""):
+    #: Of an entry besides its key and value, and the longest key that is kept.
+    SLOT, LONG = 100, 1024
+
+    def __init__(self, fill, mb: int = 24, owner: str = ""):
         super().__init__()
-        self.fill, self.cap, self.owner = fill, cap, owner
+        self.fill, self.cap, self.owner, self.size = fill, mb << 20, owner, 0
         _memos.append(weakref.ref(self))
 
+    def clear(self) -> None:
+        super().clear()
+        self.size = 0
+
     def __missing__(self, key):
-        if len(self) >= self.cap:
-            self.clear()
-        value = self[key] = self.fill(key)
+        value = self.fill(key)
+        if isinstance(key, int) or len(key) <= self.LONG:
+            if self.size >= self.cap:
+                self.clear()
+            self[key] = value
+            self.size += getsizeof(key) + getsizeof(value) + self.SLOT
         return value

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ._common import checkpoint
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, root) for each node of the edges (a, b); root is the smallest node of its component.
 
     Each round hangs the larger neighbours of every node on its smallest one, then the smaller ones; both are a minimum

@@ -8,9 +8,11 @@ the token's place in the document less its place in the window, and to end withi
 each is verified word by word.
 
 Two passes over the texts: one counts how often each shingle of the benchmark occurs (partial counts in each task, then
-a sum by key), one joins. The benchmark is measured first and dealt with in blocks of items of at most `block_bytes`; a
-block's index is broadcast, and with several blocks a document's hits are united by its row's key. So neither grows with
-the documents, and a benchmark of any size is taken block by block.
+a sum by key), one joins. The benchmark's words are counted first, as an index has an entry of some hundred bytes for each,
+and it is dealt with in blocks of about `block_words` words, long items in parts that overlap by less than a window. A
+block's index is broadcast; with several blocks each block's hits are written down before the next index is made, and a
+document's hits are united by its row's key. So what the driver and the workers hold grows neither with the documents nor
+with the benchmark.
 
 Defined results: null and empty texts have no words, no hits, and the digest of no items; items without words have no
 windows; items with a null id are left out, and rows of one item id are one item; each row of the documents gives one
@@ -19,18 +21,18 @@ row, also if ids repeat; other columns are neither read nor returned, but for th
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, alone, checkpoint, ship, slices, table
+from ._common import Bounded, alone, checkpoint, quoted, ship, slices, table
 
 #: A-Z to a-z; every other ASCII character but digits and a-z separates words.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -130,28 +132,41 @@ def rarity(docs: DataFrame, wanted: np.ndarray, k: int) -> dict[int, int]:
     return {int(wanted[r[0]]): int(r[1]) for r in rows}
 
 
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
-    """The items in blocks of at most block_bytes; an item alone may be longer."""
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
-    measure = F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))
-    size = items.agg(measure).first()[0]
-    n = -(-size // block_bytes) or 1
-    if n > 1:
-        items = checkpoint(items.withColumn("block", F.pmod(F.xxhash64(F.col("item").cast("string"), "text"), F.lit(n))))
+def parts_of(words: list[bytes], width: int, most: int) -> list[list[bytes]]:
+    """Stretches of at most `most` words that have each window of the whole once."""
+    if len(words) <= most:
+        return [words] if words else []
+    return [words[i : i + most] for i in range(0, len(words) - width + 1, most - width + 1)]
+
+
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_words: int, width: int) -> Iterator[list[tuple]]:
+    """(item, words joined by blanks) in blocks of about block_words words; a stretch has an eighth of that at most."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("item is not null")
+    most = max(2 * width, block_words // 8)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 64):
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                parts = parts_of(words_of(text), width, most)
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(parts), pa.string()), pa.array([b" ".join(w).decode("utf-8", "surrogatepass") for w in parts], pa.string()), pa.array([len(w) for w in parts], pa.int64())], ["item", "text", "n"])
+
+    parts = checkpoint(items.mapInArrow(run, "item string, text string, n long"))
+    n = -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words) or 1
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     for k in range(n):
-        yield [(r[0], r[1]) for r in (items.filter(F.col("block") == k) if n > 1 else items).select("item", "text").collect()]
+        yield [(r[0], r[1]) for r in parts.filter(block == k).select("item", "text").collect()]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, k: int = 3, block_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, k: int = 3, block_words: int = 200_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id_col, n_words, n_hit, n_items, items_sha256, contaminated, items, spans, *keep), one row for each document.
 
     items: the item ids, sorted as strings. spans: [begin, end) of words inside windows. keep: columns passed through.
     """
     spark = docs.sparkSession
     ship(spark)
-    source = docs.select(*[F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)], F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(*[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep)], F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kept = len(keep)
-    blocks = blocks_of(benchmark, item_col, item_text, block_bytes)
+    blocks = blocks_of(benchmark, item_col, item_text, block_words, width)
     first = next(blocks)
     rest = next(blocks, None)
     many = rest is not None
@@ -189,18 +204,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if not many:
         out = passed(first)
     else:
-        parts = [passed(first), passed(rest), *(passed(x) for x in blocks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        # a row's parts: one for each block
-        united = F.udf(_united, "array<array<int>>")
-        out = out.groupBy("row").agg(
-            *[F.first(f"keep{i}").alias(f"keep{i}") for i in range(kept)],
-            F.first("id").alias("id"),
-            F.max("n_words").alias("n_words"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-            united(F.flatten(F.collect_list("spans"))).alias("spans"),
+        # the first block's pass has the rows; of the others only hits are written down, one block after another
+        out = checkpoint(passed(first))
+        hits = None
+        for block in chain([rest], blocks):
+            found = checkpoint(passed(block).filter(F.size("spans") > 0).select("row", "items", "spans"))
+            hits = found if hits is None else hits.unionByName(found)
+        more = hits.groupBy("row").agg(F.flatten(F.collect_list("items")).alias("more_items"), F.flatten(F.collect_list("spans")).alias("more_spans"))
+        none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+        out = out.join(more, "row", "left").select(
+            *[f.name for f in head],
+            "n_words",
+            F.array_sort(F.array_distinct(F.concat("items", none("more_items", "array<string>")))).alias("items"),
+            united(F.concat("spans", none("more_spans", "array<array<int>>"))).alias("spans"),
         )
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]).cast("long"))
     return out.select(
@@ -216,18 +232,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
-def _united(spans: list[list[int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for b, e in sorted(spans):
-        if out and b <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([b, e])
-    return out
-
-
-def empty_digest() -> str:
-    return hashlib.sha256(b"").hexdigest()
+def united(spans: Column) -> Column:
+    """Spans in order, those that touch or overlap as one."""
+    return F.aggregate(
+        F.array_sort(spans),
+        F.struct(F.lit(-1).alias("end"), F.array().cast("array<array<int>>").alias("done"), F.lit(-1).alias("begin")),
+        lambda a, s: F.when(s[0] <= a["end"], F.struct(F.greatest(a["end"], s[1]).alias("end"), a["done"].alias("done"), a["begin"].alias("begin"))).otherwise(
+            F.struct(s[1].alias("end"), F.when(a["begin"] < 0, a["done"]).otherwise(F.concat(a["done"], F.array(F.array(a["begin"], a["end"])))).alias("done"), s[0].alias("begin"))
+        ),
+        lambda a: F.when(a["begin"] < 0, a["done"]).otherwise(F.concat(a["done"], F.array(F.array(a["begin"], a["end"])))),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@
 3. The second pass emits of each set its prefix: floor(|x| - 0.8|x|) + 1 rarest shingles with their place. Sets that share
    no prefix shingle can't reach 0.8. Equal sets met in one task send one of them.
 4. Postings without a possible partner in their list are dropped in the sorted stream, by bounds from the best sizes and
-   places of the others. Equal sets are reduced to the smallest id before pairs are
-   formed; copies are never expanded into pairs.
+   places of the others. Equal sets are reduced to the smallest id before pairs are formed; copies are never expanded
+   into pairs.
 5. Links are looked for in rounds. Each representative is first verified against one partner, the leader it meets in most
    of its lists; what linked forms components. A pair within a component needs no further look: its result wouldn't change
    any component. Then all remaining pairs across components that pass the length and positional filters are formed, in a
@@ -20,9 +20,10 @@
    side of pivots, then the intersection is counted.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and are linked with nothing; texts of fewer
-than five words have one shingle, the whole sequence; a row with a null id gets the component of an equal set, else null;
-repeated ids count as one document for links, each row
-is returned; other columns are neither read nor returned.
+than five words have one shingle, the whole sequence; inside, each row has a key of its own, and rows are linked by their
+texts; rows of one id are one document, so their components are one; rows with a null id are linked like others, and a
+component of such rows alone has a null id; each row is returned; an empty table gives no rows; other columns are neither
+read nor returned. Ids may be of any type that has an order; those that aren't whole numbers cost a join to number rows.
 """
 
 from __future__ import annotations
@@ -36,13 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Bounded, alone, checkpoint, ship, slices, small_or_plain, table
+from ._common import Bounded, alone, checkpoint, keyed, quoted, ship, slices, small_or_plain, table
 from .components import components
 
 WIDTH = 5
 #: A pair is linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SLICE = 1 << 15
+KEY = "row key of the join"
 _word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), owner="jaccard_join")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -286,14 +288,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, n_shingles, component_id), one row for each row of `docs`."""
     spark = docs.sparkSession
     ship(spark)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows, odd = keyed(docs, id_col, KEY)
+    source = rows.select(F.col(KEY).alias("id"), F.col(text_col).alias("text"))
     first = checkpoint(summaries(source, sketch_bits, width))
     is_doc = F.col("slice").isNull()
     info = first.filter(is_doc).select("id", "n", "sig")
     order = rarity(first.filter(~is_doc), sketch_bits)
 
     # equal sets: the smallest id stands for them
-    leaders = info.filter("sig is not null and id is not null").groupBy("sig").agg(F.min("id").alias("rep"))
+    leaders = info.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"))
     known = checkpoint(info.join(leaders, "sig", "left").select("id", "n", "rep"))
     reps = known.filter("rep is not null").select("id", "rep").distinct()
 
@@ -305,14 +308,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ranked = lists.select("token", "id", "n", "place", (F.row_number().over(Window.partitionBy("id").orderBy("place", "token")) - 1).alias("before"))
         lists = checkpoint(shared_only(ranked, percent))
     members = lists.select("id").distinct()
-    once = known.count() == known.select("id").distinct().count()
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among the pairs; only the texts of their members are taken up again."""
         wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         chosen = source.join(small_or_plain(wanted, wanted.count(), 16), "id", "left_semi")
-        sets = checkpoint(sets_of(chosen if once else chosen.dropDuplicates(["id"]), width))
-        return checkpoint(verify(pairs, sets, percent))
+        return checkpoint(verify(pairs, checkpoint(sets_of(chosen, width)), percent))
 
     # one partner each, twice: the second time across what the first has joined
     links = tried = None
@@ -328,7 +329,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = checkpoint(rooted(members, links))
     pairs = checkpoint(across(lists, roots, percent).join(tried, ["a", "b"], "left_anti"))
     roots = rooted(members, links.unionByName(verified(pairs))).select(F.col("node").alias("rep"), "root")
-    return known.join(roots, "rep", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component_id"))
+    found = known.join(roots, "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("root"))
+    if not odd:
+        kind = docs.schema[id_col].dataType
+        return found.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.col("root").cast(kind).alias("component_id"))
+    found = checkpoint(found.join(rows.select(F.col(KEY).alias("id"), F.col(quoted(id_col)).alias("name")), "id"))
+    least = found.filter("name is not null").groupBy("name").agg(F.min("root").alias("a"))
+    edges = found.join(least, "name").select("a", F.col("root").alias("b")).filter("a <> b").distinct()
+    joined = components(edges).select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    found = checkpoint(found.join(joined, "root", "left").select("name", "n_shingles", F.coalesce("whole", "root").alias("root")))
+    return found.join(found.groupBy("root").agg(F.min("name").alias("component_id")), "root").select(F.col("name").alias(id_col), "n_shingles", "component_id")
 
 
 def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -5,11 +5,14 @@ the kernel of two texts is the number of places in both over the geometric mean
 texts; K(text, landmarks) times the inverse root of K(landmarks, landmarks) approximates the kernel's feature space, and
 one ridge regression per language against the rest is solved there. Scoring is one matrix product for a batch of texts.
 
-Learning takes at most `sample` rows of each language, those of the smallest hash of the id, chosen by rates from counts
-over all rows; so the model's size depends on the number of languages alone.
+Learning takes at most `sample` different rows of each language, those of the smallest hash of the id, then of the text,
+chosen by rates from counts over all rows before texts are taken up; so the model's size and what reaches the driver depend
+on the number of languages alone, however often ids or rows repeat.
 
 Defined results: a null text, or one without a letter, is `und` with score 1; null languages are not learned from; without
-any labelled row every text is `und` with score 0; every row is predicted, repeated ids too; other columns are not read.
+any labelled row every text is `und` with score 0; every row is predicted, repeated and null ids too (the latter are held
+out for nothing and not learned from); repeated rows are learned from once; other columns are not read. Ids may be of any
+type.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import ship, table
+from ._common import checkpoint, ship, small_or_plain, table
 
 BITS = 14
 ORDERS = (1, 2, 3)
@@ -82,7 +85,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & (F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(FOLDS)) != HELD)
     )
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / (1 << 40)
+    rows = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("share", F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / (1 << 40))
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     rate = F.lit(0.0)
     for lang, n in counts.items():  # a little more than asked for, then cut to it
@@ -90,21 +93,19 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(2).to_pylist()
-            keep = [has_letter(t) for t in texts]
-            bits = [np.packbits(presence(t)).tobytes() if k else None for t, k in zip(texts, keep, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["lang", "share", "bits"]).filter(pa.array(keep, pa.bool_()))
-
-    got = rows.withColumn("share", share).filter(F.col("share") < rate).select("lang", "share", "text").mapInArrow(run, "lang string, share double, bits binary").collect()
-    got = sorted(got, key=lambda r: (r[1], r[0], r[2]))
-    left = dict.fromkeys(counts, sample)
-    chosen = []
-    for r in got:
-        if left[r[0]]:
-            left[r[0]] -= 1
-            chosen.append(r)
-    if not chosen:
+            bits = [np.packbits(presence(t)).tobytes() for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["lang", "share", "bits"])
+
+    few = rows.filter(F.col("share") < rate).withColumn("hash", F.xxhash64("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "hash", "id"))
+    picked = checkpoint(few.select("lang", "share", "hash", "id").distinct().withColumn("place", place).filter(F.col("place") <= sample).drop("place"))
+    if picked.isEmpty():
         return None
+    # a row for each chosen one: repeated rows meet in partial aggregates
+    keys = ["lang", "share", "hash", "id"]
+    texts = few.join(small_or_plain(picked, sample * len(counts), 64), keys).groupBy(*keys).agg(F.first("text").alias("text"))
+    got = texts.select("lang", "share", "text").mapInArrow(run, "lang string, share double, bits binary").collect()
+    chosen = sorted(got, key=lambda r: (r[1], r[0], r[2]))
     x = np.stack([np.unpackbits(np.frombuffer(r[2], np.uint8)) for r in chosen])
     return Kernel(x, [r[0] for r in chosen])
 
@@ -131,7 +132,7 @@ def language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     sent = model
     out = source.mapInArrow(run, f"id {kind}, lang_pred string, score double")
-    held = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD
+    held = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
     return out.select(F.col("id").alias(id_col), held.alias("held_out"), "lang_pred", "score")
 
 

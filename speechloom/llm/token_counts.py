@@ -68,7 +68,8 @@ def packed(counts: Sequence[int]) -> bytes | np.ndarray:
 class PrefixCounter:
     """Counts tokens of every prefix under a byte-level BPE file with merges."""
 
-    def __init__(self, path: str, memo: int = 800_000):
+    def __init__(self, path: str, memo: int = 180):
+        """memo: megabytes of the table of chunks, of which the other tables get their shares."""
         import ahocorasick
         import regex
 
@@ -102,9 +103,9 @@ class PrefixCounter:
         self.split_special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.blank, self.blanks = regex.compile(r"\s"), regex.compile(r"\s+")
-        self.neighbours = Bounded(self._stay, 500_000, "token_counts")
+        self.neighbours = Bounded(self._stay, 64, "token_counts")
         self.word_memo = Bounded(self._word, memo // 4, "token_counts")
-        self.first_memo = Bounded(self._chunk, memo // 20, "token_counts")
+        self.first_memo = Bounded(self._chunk, memo // 10, "token_counts")
         self.later_memo = Bounded(self._later, memo, "token_counts")
 
     def _merge(self, data: bytes) -> list[bytes]:

@@ -2,8 +2,9 @@
 
 Words are hashed into two tables of embeddings whose rows are added (a word that shares a row in one table rarely shares
 it in the other), filters of widths 1, 2 and 3 run over the sequence, each filter's maximum over the text is kept, and a
-logistic layer gives the score. Training uses at most `sample` labelled rows of each class, those of the smallest hash of
-the id: a fixed bound, so the model and what reaches the driver have one size for any input. A part of these rows is held
+logistic layer gives the score. Training uses at most `sample` different labelled rows of each class, those of the smallest
+hash of the id, then of the text, while their texts have at most `sample_bytes` together: fixed bounds, so the model and
+what reaches the driver have one size for any input, however often ids or rows repeat. A part of these rows is held
 back to scale the scores, so that 0.5 is the even chance. All labelled rows but those trained on and those held out for
 tests set the thresholds, from histograms by language, each shrunk towards the common one by the number of its rarer class.
 
@@ -11,8 +12,9 @@ Scoring reads whole texts in Arrow batches; the score depends on the text alone.
 of the column `rejected`.
 
 Defined results: null and empty texts are one reserved word and get its score; ids that occur in several rows are scored
-row by row; null labels are not learned from; without positive or negative labels every score is the share of positives
-(0 without labels); other columns are neither read nor returned, but for those in `keep`.
+row by row, rows that repeat are learned from once; rows with a null id are scored, held out for nothing and not learned
+from; null labels are not learned from; without positive or negative labels every score is the share of positives (0
+without labels); other columns are neither read nor returned, but for those in `keep`. Ids may be of any type.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, alone, ship, slices, small_or_plain, table
+from ._common import Bounded, alone, checkpoint, quoted, ship, slices, small_or_plain, table
 from .decontaminate import words_of
 
 BITS, DIM, WIDTHS, FILTERS = 16, 8, (1, 2, 3), 8
@@ -221,53 +223,65 @@ def calibrate(net: Net, docs: list[np.ndarray], y: np.ndarray) -> None:
     net.scale = (float(max(a, 1e-3)), float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None, sample: int = 2500) -> Net:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str | None, sample: int = 2500, sample_bytes: int = 64 << 20) -> Net:
     """Learn from at most `sample` labelled rows of each class with crc32(id) mod 5 other than 0; all others set thresholds."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     known = labels.filter(F.col("toxic").isin(0, 1) & (F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) != HELD))
-    known = known.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("y")).distinct()
-    picked = None
-    for y in (0, 1):  # the smallest hashes: a top-k, nothing is sorted whole
-        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
-        picked = part if picked is None else picked.unionByName(part)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
+    known = checkpoint(known.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y")).distinct())
+    n_known = known.count()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
+    # rows of one id and text are one; their hashes and lengths are chosen from, by a top-k, before texts are taken up
+    told = rows.join(small_or_plain(known, n_known, 24), "id").select("id", "y", F.xxhash64("text").alias("hash"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    told = checkpoint(told.groupBy("id", "y", "hash").agg(F.max("size").alias("size")))
+    chosen = []
+    for y in (0, 1):
+        room = sample_bytes // 2
+        for r in told.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "hash", "id").limit(sample).collect():
+            room -= r["size"]
+            if room < 0:
+                break
+            chosen.append(r)
+    picked = spark.createDataFrame(chosen, told.schema).drop("size")  # at most twice `sample`
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("toxicity")
         for b in slices(batches):
             words = [hashed(t).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(words, pa.binary())], ["id", "lang", "y", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(words, pa.binary())], ["name", "y", "words"])
 
-    joined = rows.join(small_or_plain(picked, 2 * sample, 16), "id").select("id", "text", "lang", "y").mapInArrow(run, "id long, lang string, y int, words binary")
-    got = sorted(joined.collect(), key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[3]))
+    # a row for each chosen one: repeated rows meet in partial aggregates
+    joined = rows.withColumn("hash", F.xxhash64("text")).join(F.broadcast(picked), ["id", "hash"]).groupBy("id", "y", "hash").agg(F.first("text").alias("text"))
+    got = joined.select(F.col("id").cast("string").alias("name"), "text", "y").mapInArrow(run, "name string, y int, words binary").collect()
+    got = sorted(got, key=lambda r: (zlib.crc32(r[0].encode()), r[0], r[1], r[2]))
     net = Net()
-    y = np.array([r[2] for r in got], np.float64)
+    y = np.array([r[1] for r in got], np.float64)
     if not len(y) or y.min() == y.max():
         net.out[:] = 0
         net.base = np.float32(20 if len(y) and y.min() else -20)
         net.project()
         return net
-    words = [np.frombuffer(r[3], np.int64) for r in got]
-    back = np.array([zlib.crc32(b"c%d" % r[0]) % 4 == 0 for r in got])
+    words = [np.frombuffer(r[2], np.int64) for r in got]
+    back = np.array([zlib.crc32(f"c{r[0]}".encode()) % 4 == 0 for r in got])
     pick = lambda m: [w for w, k in zip(words, m, strict=True) if k]
     net.train(pick(~back), y[~back])
     calibrate(net, pick(back), y[back])
     learned = picked.filter(F.pmod(F.crc32(F.concat(F.lit("c"), F.col("id").cast("string")).cast("binary")), F.lit(4)) != 0).select("id").distinct()
     rest = known.join(F.broadcast(learned), "id", "left_anti")
-    told = score_with(net, rows.join(small_or_plain(rest, rest.count(), 16), "id"), "id", "text", "lang", ("lang", "y"))
+    told = score_with(net, rows.join(small_or_plain(rest, n_known, 24), "id"), "id", "text", "lang", ("lang", "y"))
     net.common, net.thresholds = levels(told.select(F.col("kept_lang").alias("lang"), F.col("kept_y").alias("y"), "score"))
     return net
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", keep: tuple[str, ...] = (), sample: int = 2500) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", keep: tuple[str, ...] = (), sample: int = 2500, sample_bytes: int = 64 << 20) -> DataFrame:
     """(id_col, held_out, score, predicted, threshold, rejected, kept_*), one row for each row of `docs`."""
-    net = fit(docs, labels, id_col, text_col, lang_col, sample)
+    net = fit(docs, labels, id_col, text_col, lang_col, sample, sample_bytes)
     return score_with(net, docs, id_col, text_col, lang_col, keep)
 
 
 def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col: str | None, keep: tuple[str, ...] = ()) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"), *[F.col(c).alias(f"kept_{c}") for c in keep])
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"), *[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("toxicity")
@@ -293,12 +307,12 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
         threshold = F.when(F.col("lang") == lang, F.lit(t)).otherwise(threshold)
     return scored.select(
         F.col("id").alias(id_col),
-        (F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD).alias("held_out"),
+        F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         threshold.alias("threshold"),
         (F.col("score") >= threshold).alias("rejected"),
-        *[f"kept_{c}" for c in keep],
+        *[F.col(f"keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)],
     )
 
 

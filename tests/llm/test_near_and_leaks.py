@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from speechloom.llm import components, decontaminate, jaccard_join
 
@@ -65,6 +66,20 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_near_duplicates_of_repeated_null_and_string_ids(spark):
+    r = random.Random(6)
+    base = [[f"w{r.randrange(90)}" for _ in range(40)] for _ in range(6)]
+    text = lambda k, extra="": " ".join(base[k]) + extra
+    rows = [(1, text(0)), (2, text(0, " x")), (3, text(1)), (3, text(2)), (4, text(2, " y")), (5, text(1, " z")), (6, ""), (6, text(3)), (7, text(3, " q")), (8, None), (9, text(4)), (9, text(4))]
+    assert sorted(tuple(x) for x in jaccard_join.near_duplicates(docs(spark, rows), sketch_bits=15).collect()) == brute(rows)
+    names = [(f"n{i}", t) for i, t in rows]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(names, "name string, text string"), "name", sketch_bits=15).collect()
+    assert sorted(tuple(x) for x in got) == brute(names)
+    nameless = [(None, text(0)), (None, text(0)), (None, text(5)), (None, None), (1, text(5, " x")), (2, text(1))]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(nameless, "doc_id long, text string"), sketch_bits=15).collect()
+    assert sorted((x.doc_id or 0, x.component_id or 0) for x in got) == [(0, 0), (0, 0), (0, 0), (0, 1), (1, 1), (2, 2)]
+
+
 def test_near_duplicates_empty(spark):
     assert jaccard_join.near_duplicates(docs(spark, []), sketch_bits=15).count() == 0
 
@@ -155,10 +170,31 @@ def test_decontaminate_against_brute_force(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     want = leaks(rows, [x for x in items if x[0] is not None])
-    for block in (16 << 20, 900):  # in one block, and in several
-        got = decontaminate.decontaminate(docs(spark, rows), bench, block_bytes=block, keep=("sig", "token"))
+    for block in (200_000, 60):  # in one block, and in several, with items in parts
+        got = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block, keep=("sig", "token"))
         assert sorted(tuple(x) for x in got.select(*columns).collect()) == want
         assert {x.kept_sig for x in got.collect()} == {"s"}
     assert decontaminate.decontaminate(docs(spark, []), bench).count() == 0
     clean = decontaminate.decontaminate(docs(spark, rows), bench.limit(0)).filter("contaminated").count()
     assert clean == 0
+
+
+def test_parts_have_each_window_once():
+    r = random.Random(8)
+    for n in (0, 1, 9, 10, 11, 47, 200):
+        words = [str(r.random()).encode() for _ in range(n)]
+        whole = [tuple(w) for w in decontaminate.windows(words, 10)]
+        for most in (20, 33, 500):
+            parts = decontaminate.parts_of(words, 10, most)
+            assert all(len(p) <= most for p in parts)
+            assert [tuple(w) for p in parts for w in decontaminate.windows(p, 10)] == whole
+
+
+def test_spans_are_united(spark):
+    r = random.Random(9)
+    rows = [([[b, b + r.randint(1, 9)] for b in (r.randrange(60) for _ in range(r.randint(0, 9)))],) for _ in range(80)]
+    got = spark.createDataFrame(rows, "s array<array<int>>").select("s", decontaminate.united(F.col("s")).alias("u")).collect()
+    for g in got:
+        inside = {k for b, e in g.s for k in range(b, e)}
+        assert {k for b, e in g.u for k in range(b, e)} == inside
+        assert all(x[1] < y[0] for x, y in zip(g.u, g.u[1:], strict=False))

@@ -72,3 +72,39 @@ def test_pipeline_stages(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{d}/{t}.parquet").write.parquet(f"{d}/empty/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{d}/empty").count() == 0
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    """Repeated ids, repeated rows, null ids and columns with odd names."""
+    r = random.Random(3)
+    fresh = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(30))
+    one, two, three, four = fresh(), fresh(), fresh(), fresh()
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, three), (None, three), (None, four), (4, None), (4, ""), (None, fresh()), (5, two + " "), (6, four + " more"), (7, four), (8, four + " less")]
+    d = str(tmp_path)
+    spark.createDataFrame([(i, t, "xx", "s", 0, k, 7) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, id int").repartition(3).write.parquet(f"{d}/documents.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    same = lambda t: "".join((t or "").split())
+    out = corpus_pipeline.copies_out(spark, docs, d)
+    assert out.columns == docs.columns
+    kept = sorted(x["a.b"] for x in out.collect())
+    groups = {}
+    for k, (_, t) in enumerate(rows):
+        groups.setdefault(same(t), []).append(k)
+    assert sorted(next(iter({same(rows[k][1])})) for k in kept) == sorted(groups)
+    assert {0, 10, 12} <= set(kept)  # the smallest id of its own; the longest
+    out.write.parquet(f"{d}/two")
+    near = corpus_pipeline.near_out(spark, spark.read.parquet(f"{d}/two"), d)
+    left = [x["a.b"] for x in near.collect()]
+    assert near.columns == docs.columns and set(kept) - set(left) == {13} | ({12} if 11 in left else {11})
+    assert 11 in left  # id 6 goes before 7 and 8
+    # a table that is no file
+    again = corpus_pipeline.copies_out(spark, spark.createDataFrame([(1, "x"), (1, "x"), (None, "x"), (2, "y"), (2, "z")], "doc_id long, text string"), d)
+    assert sorted(x.text for x in again.collect()) == ["x", "y", "z"]
+    items = spark.createDataFrame([(1, " ".join(two.split()[:12]))], "item_id long, text string")
+    items.write.parquet(f"{d}/benchmark.parquet")
+    clean = corpus_pipeline.leaks_out(spark, docs, d)
+    assert clean.columns == docs.columns and sorted(x["a.b"] for x in clean.collect()) == [k for k in range(len(rows)) if k not in (2, 10)]
+    spark.createDataFrame([(k, k % 2) for k in range(9)], "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    judged = corpus_pipeline.toxic_out(spark, docs, d)
+    assert judged.columns == docs.columns and judged.count() <= len(rows)
+    assert corpus_pipeline.run(spark, d).count() <= len(rows)
