@@ -7,7 +7,11 @@ the other, bins of the other that hold one of the injected pieces are dissolved,
 put back by best fit, longest first. Between epochs each island sends its best packing to the next one; that exchange
 is a shuffle by (shard, island), and each evolution is a task of its own that can be run again from its input: the random
 numbers are seeded by shard, island and epoch. The best packing of each shard counts (fewest bins, then the largest sum
-of squared fillings). Shards pay at most one poorly filled bin each.
+of squared fillings); evolution goes on after the fewest bins are reached, as fuller bins leave more room in the worst.
+
+No shard alone can use the room in its worst bins, so these (at most a sixteenth of a shard's) are dissolved at the end and
+dealt, whole bins together, into a sixteenth as many shards at least, which evolve in the same way from the old bins as one
+of their founders, so that no round needs more bins than the one before; and so on until one shard is left.
 
 Defined results: a null text is empty; an empty document is the end mark alone (one token); documents longer than
 `capacity` are cut, the first piece takes what is left over; every row gives its pieces, repeated ids too; an empty table
@@ -206,13 +210,19 @@ def founders(sizes: np.ndarray, n: int, capacity: int, rng: random.Random) -> li
     return out
 
 
+def perfect(sizes: np.ndarray, capacity: int) -> tuple[int, int]:
+    """The fitness that none can be better than: all bins full but one."""
+    full, rest = divmod(int(sizes.sum()), capacity)
+    return full + (rest > 0), -(full * capacity * capacity + rest * rest)
+
+
 def evolve(people: list[np.ndarray], sizes: np.ndarray, size: int, generations: int, capacity: int, rng: random.Random) -> list[np.ndarray]:
-    """The fittest first. A population as good as the lower bound is left alone."""
-    bound = -(-int(sizes.sum()) // capacity)
+    """The fittest first. A perfect packing is left alone."""
+    best = perfect(sizes, capacity)
     ranked = sorted(((fitness(p, sizes), k, p) for k, p in enumerate(people)), key=lambda x: x[:2])[:size]
     tried = len(people)
     for _ in range(generations):
-        if ranked[0][0][0] <= bound or len(ranked) < 2:
+        if ranked[0][0] <= best or len(ranked) < 2:
             break
         a, b = rng.sample(range(len(ranked)), 2)
         children = [crossover(ranked[min(a, b)][2], ranked[max(a, b)][2], sizes, capacity, rng), crossover(ranked[max(a, b)][2], ranked[min(a, b)][2], sizes, capacity, rng)]
@@ -222,13 +232,32 @@ def evolve(people: list[np.ndarray], sizes: np.ndarray, size: int, generations:
     return [x[2] for x in ranked]
 
 
+#: Bins of a shard, at most.
+MOST = 1 << 31
 STATE = "shard long, island int, rows binary, sizes binary, people binary"
 
 
-def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, islands: int = 2, epochs: int = 2, population: int = 4, generations: int = 3) -> DataFrame:
-    """(row, shard, bin, offset) for rows (row, length) of less than `capacity`."""
+def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, **how) -> DataFrame:
+    """(row, sequence_id, offset) for rows (row, length) of less than `capacity`; ids are from 0 on."""
+    rest, done, first = rest.withColumn("old", F.lit(None).cast("long")), [], 0
     n = rest.count()
-    shards = max(1, -(-n // shard_size))
+    while True:
+        shards = max(1, -(-n // shard_size))
+        placed = checkpoint(pack_shards(rest, capacity, shards, **how).withColumn("sequence_id", F.col("shard") * MOST + F.col("bin") + first))
+        first += shards * MOST
+        done.append(placed.filter("not loose") if shards > 1 else placed)
+        if shards == 1:
+            break
+        rest = placed.filter("loose").select("row", "length", F.col("sequence_id").alias("old"))
+        n = min(rest.count(), shards // 16 * shard_size)  # a sixteenth as many shards at least, whatever is left
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.select("row", "sequence_id", "offset")
+
+
+def pack_shards(rest: DataFrame, capacity: int, shards: int, islands: int = 2, epochs: int = 2, population: int = 6, generations: int = 12) -> DataFrame:
+    """(row, length, shard, bin, offset, loose) for rows (row, length, old); rows of one old bin stay in one shard."""
 
     def state(shard: int, island: int, rows: bytes, sizes: np.ndarray, people: list[np.ndarray]) -> dict:
         return {"shard": shard, "island": island, "rows": rows, "sizes": sizes.astype(np.int32).tobytes(), "people": b"".join(p.astype(np.int32).tobytes() for p in people)}
@@ -244,7 +273,8 @@ def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, islands: i
     def found(t: pa.Table) -> pa.Table:
         order = np.argsort(t["row"].to_numpy(), kind="stable")
         rows, sizes, shard = t["row"].to_numpy()[order].astype(np.int64), t["length"].to_numpy()[order].astype(np.int64), int(t["shard"][0].as_py())
-        out = [state(shard, k, rows.tobytes(), sizes, founders(sizes, population, capacity, random.Random(f"{shard}/{k}"))) for k in range(islands)]
+        before = [] if t["old"].null_count else [tight(t["old"].to_numpy()[order])]
+        out = [state(shard, k, rows.tobytes(), sizes, before + founders(sizes, population - len(before), capacity, random.Random(f"{shard}/{k}"))) for k in range(islands)]
         return table_of(out + [leaving(r) for r in out])
 
     def lived(t: pa.Table, k: int) -> tuple[dict, np.ndarray, list[np.ndarray]]:
@@ -279,15 +309,19 @@ def pack_rows(rest: DataFrame, capacity: int, shard_size: int = 4096, islands: i
                 total = np.cumsum(sizes[order], dtype=np.int64) - sizes[order]
                 first = np.concatenate([[True], np.diff(bins[order]) != 0])
                 offset = total - np.maximum.accumulate(np.where(first, total, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[order]), pa.array(np.full(len(rows), r["shard"], np.int64)), pa.array(bins[order].astype(np.int64)), pa.array(offset)], ["row", "shard", "bin", "offset"])
-
-    shard = F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard")
-    states = rest.select(shard, "row", "length").groupBy("shard").applyInArrow(found, STATE)
+                fill = np.bincount(bins, sizes)
+                worst = np.argsort(fill, kind="stable")[: max(1, len(fill) // 16)]
+                loose = np.isin(bins, worst[fill[worst] < capacity])
+                cols = [rows[order], sizes[order].astype(np.int64), np.full(len(rows), r["shard"], np.int64), bins[order].astype(np.int64), offset, loose[order]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["row", "length", "shard", "bin", "offset", "loose"])
+
+    shard = F.pmod(F.xxhash64(F.coalesce("old", "row")), F.lit(shards)).alias("shard")
+    states = rest.select(shard, "row", "length", "old").groupBy("shard").applyInArrow(found, STATE)
     for k in range(epochs - 1):
         states = states.groupBy("shard", "island").applyInArrow(epoch(k), STATE)
     scored = states.groupBy("shard", "island").applyInArrow(last, "shard long, rank struct<bins: long, squares: long, island: int>, packing struct<rows: binary, sizes: binary, best: binary>")
     best = scored.groupBy("shard").agg(F.min_by("packing", "rank").alias("packing"))
-    return best.mapInArrow(place, "row long, shard long, bin long, offset long")
+    return best.mapInArrow(place, "row long, length long, shard long, bin long, offset long, loose boolean")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = 2048, **how) -> DataFrame:
@@ -296,7 +330,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     full = F.col("length") == capacity
     placed = pack_rows(pieces.filter(~full).select("row", "length"), capacity, **how)
     alone = pieces.filter(full).select("*", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    shared = pieces.filter(~full).join(placed, "row").select(*pieces.columns, (F.col("shard") * (1 << 31) + F.col("bin")).alias("sequence_id"), "offset")
+    shared = pieces.filter(~full).join(placed, "row").select(*pieces.columns, "sequence_id", "offset")
     return alone.unionByName(shared).select(F.col("id").alias(id_col), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 

@@ -110,3 +110,40 @@ def test_encoder_is_the_library():
     texts += [" " * 300_000 + "x", "ab" * 20_000, "日本" * 20_000, "", "\n " * 20_000]
     for t in texts:
         assert own.ids(t) == array("I", library.encode(t, add_special_tokens=False).ids).tobytes(), t[:40]
+
+
+def test_evolution_and_rounds_across_shards_save_bins(spark):
+    """Where best fit isn't the best: pieces of a quarter to a half of a sequence."""
+    r = random.Random(5)
+    sizes = [(k, r.randint(500, 1100)) for k in range(1500)]
+    plain = np.zeros(len(sizes), np.int32)
+    lengths = [n for _, n in sizes]
+    by_best_fit = packing.best_fit(sorted(range(len(sizes)), key=lambda k: -lengths[k]), lengths, plain, {}, 0, 2048)
+    people = packing.founders(np.array(lengths), 6, 2048, random.Random("0"))
+    evolved = packing.evolve(people, np.array(lengths), 6, 12, 2048, random.Random("1"))
+    assert packing.fitness(evolved[0], np.array(lengths))[0] < by_best_fit
+    rows = spark.createDataFrame(sizes, "row long, length long")
+    got = {}
+    for shard_size in (4096, 60):  # one shard; 25 shards, whose worst bins meet again
+        out = packing.pack_rows(rows, 2048, shard_size=shard_size).collect()
+        assert sorted(x.row for x in out) == list(range(1500))
+        bins = defaultdict(list)
+        for x in out:
+            bins[x.sequence_id].append((x.offset, dict(sizes)[x.row]))
+        for places in bins.values():
+            at = 0
+            for offset, length in sorted(places):
+                assert offset == at
+                at += length
+            assert at <= 2048
+        got[shard_size] = len(bins)
+    assert got[4096] < by_best_fit
+    alone = packing.pack_shards(rows.selectExpr("row", "length", "cast(null as long) old"), 2048, 25).select("shard", "bin").distinct().count()
+    assert got[60] <= alone
+
+
+def test_founders_have_the_bins_of_the_round_before():
+    sizes = np.array([7, 3, 6, 4, 5, 5])
+    assert packing.perfect(sizes, 10) == (3, -300)
+    best = np.array([0, 0, 1, 1, 2, 2], np.int32)
+    assert (packing.evolve([best, np.arange(6, dtype=np.int32)], sizes, 2, 5, 10, random.Random(0))[0] == best).all()
