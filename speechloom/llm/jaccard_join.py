@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Bounded, alone, checkpoint, keyed, quoted, ship, slices, small_or_plain, table
+from ._common import alone, checkpoint, keyed, quoted, ship, slices, small_or_plain, table
 from .components import components
 
 WIDTH = 5
@@ -45,7 +45,6 @@ WIDTH = 5
 PERCENT = 80
 SLICE = 1 << 15
 KEY = "row key of the join"
-_word = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), owner="jaccard_join")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,7 +53,7 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = min(width, len(words))
     out = h[: len(h) - n + 1] + np.uint64(n)
     for j in range(1, n):
@@ -62,7 +61,10 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     out ^= out >> np.uint64(32)
     out *= np.uint64(0xD6E8FEB86659FD93)
     out ^= out >> np.uint64(29)
-    return np.unique(out)
+    out.sort()
+    fresh = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out if fresh.all() else out[fresh]
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -90,10 +92,13 @@ def summaries(docs: DataFrame, bits: int, width: int) -> DataFrame:
                 sig.append(d)
                 if d is not None and d not in seen:
                     seen.add(d)
-                    fresh.append((s & mask).astype(np.int64))
+                    fresh.append(s & mask)
                     salt = zlib.crc32(d, salt)
             if fresh:
-                np.add.at(counts, np.concatenate(fresh), 1)
+                at = np.concatenate(fresh)
+                at.sort()
+                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                counts[at[first]] += np.diff(np.append(first, len(at))).astype(np.uint32)
             rows = len(n)
             empty = pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), *empty], names)
