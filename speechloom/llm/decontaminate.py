@@ -32,20 +32,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, alone, checkpoint, quoted, ship, slices, table
+from ._common import alone, checkpoint, quoted, ship, slices, table
 
 #: A-Z to a-z; every other ASCII character but digits and a-z separates words.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
-_hash = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), owner="decontaminate")
-
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LETTERS).split() if text else []
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingles(h: np.ndarray, k: int) -> np.ndarray:
@@ -105,8 +103,8 @@ class Index:
         return mask, items
 
 
-def rarity(docs: DataFrame, wanted: np.ndarray, k: int) -> dict[int, int]:
-    """How often each wanted shingle of k words, or of fewer where an item is shorter, occurs in all documents."""
+def rarity(docs: DataFrame, wanted: np.ndarray, sizes: list[int]) -> dict[int, int]:
+    """How often each wanted shingle, of so many words, occurs in all documents."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(wanted)
 
@@ -118,7 +116,7 @@ def rarity(docs: DataFrame, wanted: np.ndarray, k: int) -> dict[int, int]:
             parts = []
             for text in b.column(0).to_pylist():
                 h = hashes(words_of(text))
-                parts.extend(shingles(h, j) for j in range(1, k + 1) if len(h) >= j)
+                parts.extend(shingles(h, j) for j in sizes if len(h) >= j)
             s = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
             at = np.searchsorted(keys, s)
             at[at == len(keys)] = 0
@@ -176,8 +174,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = T.StructType([*head, *T.StructType.fromDDL("n_words long, items array<string>, spans array<array<int>>")])
 
     def passed(items: list[tuple]) -> DataFrame:
-        wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(hashes(w), min(k, len(w))) for _, text in items for w in windows(words_of(text), width))]))
-        index = Index(items, width, k, rarity(source.select("text"), wanted, k))
+        every = [w for _, text in items for w in windows(words_of(text), width)]
+        wanted = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(hashes(w), min(k, len(w))) for w in every)]))
+        sizes = sorted({min(k, len(w)) for w in every})
+        index = Index(items, width, k, rarity(source.select("text"), wanted, sizes))
         sent = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
