@@ -29,29 +29,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import Bounded, alone, checkpoint, quoted, ship, slices, small_or_plain, table
-from .decontaminate import words_of
+from ._common import alone, checkpoint, quoted, ship, slices, small_or_plain, table
+from .decontaminate import hashes, words_of
 
 BITS, DIM, WIDTHS, FILTERS = 16, 8, (1, 2, 3), 8
 PAD = 2
 FOLDS, HELD = 5, 0
 #: Of the scores, in the histograms that thresholds come from.
 BINS = 1000
-_MASK = (1 << BITS) - 1
-
-
-def _rows(word: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(word)
-    return (1 + h % _MASK) | (1 + (h >> 32) % _MASK) << 32  # row 0 is the reserved word's
-
-
-_memo = Bounded(_rows, owner="toxicity")
+_MASK = np.uint64((1 << BITS) - 1)
 
 
 def hashed(text: str | None) -> np.ndarray:
     """Two table rows for each word, packed; the reserved word for a text without words."""
-    words = words_of(text)
-    return np.fromiter(map(_memo.__getitem__, words), np.int64, len(words)) if words else np.zeros(1, np.int64)
+    h = hashes(words_of(text))
+    one = np.uint64(1)  # row 0 is the reserved word's
+    return (one + h % _MASK | one + (h >> np.uint64(32)) % _MASK << np.uint64(32)).view(np.int64) if len(h) else np.zeros(1, np.int64)
 
 
 class Net:
