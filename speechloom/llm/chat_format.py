@@ -6,7 +6,8 @@ string. Rendering starts with the texts as they are; if the turns read back diff
 inside roles and texts gets a backslash after its bracket (`[INST]` to `[\INST]`, and `[\INST]` to `[\\INST]`, so that one
 backslash less is always the source), and the result is parsed and compared again; a difference then stops the job.
 
-The loss mask is a list of [begin, end) in code points: each assistant text, in order.
+The loss mask is a list of [begin, end) in code points, each assistant text in order, with the turn and the place in it, so
+that reading all of them takes one pass. All steps are about linear in the number of turns.
 
 Defined results: null roles and texts are empty; turns are ordered by turn, then role and text, null turns first; rows
 with a null conversation id are one conversation; repeated rows are turns each; an empty table gives no rows; other
@@ -15,6 +16,8 @@ columns are neither read nor returned. All rows of a conversation meet in one ro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,17 +80,39 @@ def chat_format(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     return out.select("conv_id", "formatted", "turns", spans(F.col("formatted")).alias("loss_spans"), "escaped")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def before(lengths: Column) -> Column:
+    """What stands before each entry of an array of lengths. A fold copies its list at each step, so it is done in blocks of
+    the root of the number, and again over the blocks' sums."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("at"))
+    fold = lambda xs: F.aggregate(xs, start, lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["at"], F.array(a["sum"])).alias("at")))
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(lengths))).cast("int"))
+    blocks = F.transform(F.filter(F.sequence(F.lit(0), F.size(lengths), width), lambda k: k < F.size(lengths)), lambda k: fold(F.slice(lengths, k + 1, width)))
+    return let(blocks, lambda bs: F.flatten(F.zip_with(bs, fold(F.transform(bs, lambda b: b["sum"]))["at"], lambda b, first: F.transform(b["at"], lambda x: x + first))))
+
+
 def spans(formatted: Column, role: str = "assistant") -> Column:
-    """[begin, end) of the assistant's texts, from the formatted string."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin: int, end: int>>").alias("found"))
+    """The assistant's texts in the formatted string: [begin, end) in code points, and the same begin within its turn."""
+
+    def masked(turns: Column, at: Column) -> Column:
+        def one(t: Column, k: Column) -> Column:
+            local = F.length(t["role"]) + F.lit(len(OPEN + MID))
+            begin = F.get(at, k) + local
+            return F.when(unescape(t["role"]) == role, F.struct(begin.alias("begin"), (begin + F.length(t["text"])).alias("end"), k.alias("turn"), local.alias("local")))
+
+        return F.filter(F.transform(turns, one), lambda x: x.isNotNull())
+
+    size = lambda t: F.length(t["role"]) + F.length(t["text"]) + F.lit(FRAME)
+    return let(pieces(formatted), lambda turns: let(F.transform(turns, size), lambda sizes: let(before(sizes), lambda at: masked(turns, at))))
 
-    def step(acc: Column, t: Column) -> Column:
-        begin = acc["at"] + F.length(t["role"]) + F.lit(len(OPEN + MID))
-        end = begin + F.length(t["text"])
-        more = F.when(unescape(t["role"]) == role, F.array(F.struct(begin.alias("begin"), end.alias("end")))).otherwise(F.array().cast("array<struct<begin: int, end: int>>"))
-        return F.struct((end + len(CLOSE)).alias("at"), F.concat(acc["found"], more).alias("found"))
 
-    return F.aggregate(pieces(formatted), start, step, lambda a: a["found"])
+def under_mask(formatted: Column, mask: Column) -> Column:
+    """The texts that the mask covers, unescaped, one after another; each is looked up within its turn, not from the start."""
+    return let(F.split(formatted, CLOSE, -1), lambda turns: F.array_join(F.transform(mask, lambda s: unescape(F.substr(F.get(turns, s["turn"]), s["local"] + 1, s["end"] - s["begin"]))), ""))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +122,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat_format(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
     # all that follows is read from the formatted string and its mask
     turns = F.array_join(F.transform(recovered(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substr(F.col("formatted"), s["begin"] + 1, s["end"] - s["begin"]))), "")
+    loss = under_mask(F.col("formatted"), F.col("loss_spans"))
     read = chats.select("conv_id", F.size("turns").cast("long").alias("n_turns"), turns.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     return read.select(
         "conv_id",

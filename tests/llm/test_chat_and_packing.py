@@ -6,6 +6,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from speechloom.llm import chat_format, packing
 from speechloom.llm.token_counts import vocabulary_path
@@ -39,6 +40,32 @@ def test_chat_round_trip(spark):
     assert chat_format.chat_format(df.limit(0)).count() == 0
 
 
+def test_long_conversations(spark):
+    """The mask of a long conversation, and its time: about in proportion to the turns."""
+    import time
+
+    def seconds(n):
+        rows = spark.range(n).selectExpr("1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "repeat(concat('é', id, ' <s> '), 12) text")
+        out = chat_format.chat_format(rows).select("formatted", "loss_spans", chat_format.under_mask(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+        began = time.perf_counter()
+        got = out.first()
+        return time.perf_counter() - began, got
+
+    seconds(10)
+    _, got = seconds(501)
+    undo = lambda s: re.sub(r"<\\(\\*/?s>)", r"<\1", s)
+    want = [f"é{k} <s> " * 12 for k in range(1, 501, 2)]
+    assert [undo(got.formatted[s.begin : s.end]) for s in got.loss_spans] == want and got.loss == "".join(want)
+    few, many = min(seconds(2000)[0] for _ in range(2)), min(seconds(8000)[0] for _ in range(2))
+    assert many < 8 * few + 1
+
+
+def test_prefix_sums(spark):
+    rows = [([r * 7 % 5 for r in range(n)],) for n in range(40)]
+    got = spark.createDataFrame(rows, "x array<int>").select("x", chat_format.before(F.col("x")).alias("b")).collect()
+    assert len(got) == 40 and all(g.b == [sum(g.x[:k]) for k in range(len(g.x))] for g in got)
+
+
 def check_packing(texts, rows, tokenizer, capacity):
     ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts}
     pieces, sequences = defaultdict(list), defaultdict(list)
