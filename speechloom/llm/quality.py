@@ -11,8 +11,8 @@ texts, merged in each task before the shuffle. Continuation counts of the lower
 context and the discounts follow by aggregates over distinct n-grams, and the probabilities by joins, order by order:
 p_k = max(c - D(c), 0) / total + gamma * p_(k-1). Contexts of one unit are broadcast if they were counted to be few; those
 of frequent words have many partners, and adaptive execution splits the wanted side of these joins.
-The result, a log-probability for each distinct n-gram of the corpus, is broadcast to score texts if it was counted to
-hold at most `BROADCAST_BYTES`; beyond that each document's distinct n-grams are joined with it and summed.
+The result is a log-probability for each distinct n-gram of the corpus; each document's distinct n-grams are joined with it
+and summed, at every size in the same way.
 
 A document is kept when its mean negative log-probability is at most the `quantile` of its language's trusted, held-back
 documents; a language with fewer than `least` of these uses that of all.
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_BYTES, Bounded, alone, checkpoint, ship, slices, small_or_plain, table
+from ._common import Bounded, alone, checkpoint, ship, slices, small_or_plain, table
 
 BEGIN, END = 2, 3
 CHUNK = 2_000_000
@@ -213,28 +213,7 @@ def probabilities(found: DataFrame, words: bool) -> DataFrame:
 
 def scored(source: DataFrame, logs: DataFrame, words: bool) -> DataFrame:
     """(row's columns but text, units, loss): the mean negative log-probability of each text."""
-    spark = source.sparkSession
-    n = logs.count()
     rest = [f for f in source.schema if f.name != "text"]
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    if n * 24 <= BROADCAST_BYTES:
-        got = logs.toPandas()  # n was counted
-        keys, values = mixed(got[["hi", "gram"]].to_numpy()), got["log"].to_numpy()
-        order = np.argsort(keys)
-        sent = spark.sparkContext.broadcast((keys[order], values[order]))
-
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, values = sent.value
-            for b in batches:
-                number, loss = [], []
-                for text in b["text"].to_pylist():
-                    g = mixed(grams(text, words))
-                    number.append(len(g) - 1)
-                    loss.append(-float(values[np.searchsorted(keys, g)].mean()))
-                yield pa.RecordBatch.from_arrays([*(b[f.name] for f in rest), pa.array(number, pa.int64()), pa.array(loss, pa.float64())], [*(f.name for f in rest), "units", "loss"])
-
-        return source.mapInArrow(run, head + ", units long, loss double")
-
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("quality")
         for b in slices(batches, 128):
