@@ -86,7 +86,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & (F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(FOLDS)) != HELD)
     )
     rows = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("share", F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / (1 << 40))
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    counts = {r[0]: max(1, r[1]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("id")).collect()}
     rate = F.lit(0.0)
     for lang, n in counts.items():  # a little more than asked for, then cut to it
         rate = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.5 * sample / n + 20 / n))).otherwise(rate)

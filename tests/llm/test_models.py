@@ -104,6 +104,88 @@ def test_presence_is_a_set():
     assert langid.presence("").sum() == 0 and langid.presence("A").tolist() == langid.presence("a").tolist()
 
 
+def test_forward_pass_word_by_word():
+    """The scores of look-ups and sums against the definition: rows added, filters slid over the words, the largest kept."""
+    r = np.random.default_rng(2)
+    net = toxicity.Net(seed=4)
+    net.tables = [r.normal(0, 1, t.shape).astype(np.float32) for t in net.tables]
+    net.bias = [r.normal(0, 0.5, b.shape).astype(np.float32) for b in net.bias]
+    net.base = np.float32(0.3)
+    net.project()
+    texts = ["one", "one two", "a b c d e f g", "", None, "the cat " * 40]
+    batch = [toxicity.hashed(t) for t in texts]
+    got = net.logits(batch)
+    for rows, value in zip(batch, got, strict=True):
+        x = [net.tables[0][w & 0xFFFFFFFF].astype(float) + net.tables[1][w >> 32] for w in rows.tolist()]
+        total = float(net.base)
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = -np.inf
+                for at in range(len(x)):  # words beyond the end count nothing
+                    best = max(best, sum(float(x[at + j] @ net.conv[k][j][:, f]) for j in range(width) if at + j < len(x)))
+                total += max(0.0, best + float(net.bias[k][f])) * float(net.out[k * toxicity.FILTERS + f])
+        assert math.isclose(total, float(value), rel_tol=1e-3, abs_tol=1e-3)
+
+
+def test_samples_are_bounded_by_rows_and_bytes(spark):
+    """One labelled id in very many rows, and long texts."""
+    rows = [(k, f"fine words {k}" if k % 2 else f"vile words {k}", "x") for k in range(60)] + [(61, "same text", "x")] * 3000 + [(63, "vile " * 50_000, "x")]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(62)] + [(63, 1)], "doc_id long, toxic int")
+    sizes = []
+    train = toxicity.Net.train
+    toxicity.Net.train = lambda self, words, y, **how: sizes.append((len(words), sum(map(len, words)))) or train(self, words, y, **how)
+    try:
+        toxicity.fit(docs(spark, rows), labels, "doc_id", "text", "lang", sample=10)
+        toxicity.fit(docs(spark, rows), labels, "doc_id", "text", "lang", sample=1000, sample_bytes=2000)
+    finally:
+        toxicity.Net.train = train
+    assert 0 < sizes[0][0] <= 20
+    assert sizes[1][1] <= 2000
+    picked = langid.fit(docs(spark, rows), "doc_id", "text", "lang", sample=7)
+    assert picked is not None and picked.langs == ["x"]
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"n{k}", f"vile stuff {k}" if k % 3 == 0 else f"kind things {k}", "x") for k in range(90)] + [(None, "vile stuff", "x"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    labels = spark.createDataFrame([(f"n{k}", int(k % 3 == 0)) for k in range(90)] + [(None, 1)], "doc_id string, toxic int")
+    got = toxicity.toxicity(df, labels).collect()
+    assert len(got) == len(rows) and sum(g.doc_id is None for g in got) == 2
+    assert all(g.held_out == (g.doc_id is not None and zlib.crc32(g.doc_id.encode()) % 5 == 0) for g in got)
+    said = langid.language(df).collect()
+    assert len(said) == len(rows) and {g.lang_pred for g in said} == {"x", "und"}
+
+
+def test_kernel_by_sets():
+    """The kernel of two texts from sets of hashed n-grams, and the scores from the explicit kernel matrix."""
+    texts = ["der hund und die katze", "le chien et le chat", "the dog and the cat", "ein haus am see", "une maison", "a house by the lake", "noch ein hund", "encore un chien", "another dog"]
+    langs = ["de", "fr", "en"] * 3
+
+    def places(t):
+        out = set()
+        for n in langid.ORDERS:
+            for i in range(len(t) - n + 1):
+                h = 0
+                for k, c in enumerate(t.lower()[i : i + n], 1):
+                    h = (h * 0x01000193 + ord(c) + k) & 0xFFFFFFFF
+                out.add(((h * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - langid.BITS))
+        return out
+
+    sets = [places(t) for t in texts]
+    x = np.stack([langid.presence(t) for t in texts])
+    assert [set(np.flatnonzero(row).tolist()) for row in x] == sets
+    kernel = np.array([[len(a & b) / math.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    assert np.allclose(langid.unit(x) @ langid.unit(x).T, kernel, atol=1e-5)
+    model = langid.Kernel(x, langs, per_lang=2)
+    marks = sorted(i for v in ("de", "en", "fr") for i in [k for k, y in enumerate(langs) if y == v][:2])
+    value, vector = np.linalg.eigh(kernel[np.ix_(marks, marks)])
+    phi = np.hstack([kernel[:, marks] @ (vector / np.sqrt(np.maximum(value, 1e-3))), np.ones((len(texts), 1))])
+    target = np.array([[1.0 if y == v else -1.0 for v in sorted(set(langs))] for y in langs])
+    w = np.linalg.solve(phi.T @ phi + 0.3 * np.eye(phi.shape[1]), phi.T @ target)  # as many texts of each language
+    assert np.allclose(langid.unit(x) @ model.map + model.shift, phi @ w, atol=1e-3)
+    assert [model.langs[k] for k in model.predict(x)[0]] == langs
+
+
 # urls
 
 
@@ -206,7 +288,7 @@ def kneser_ney(trusted, texts):
     return [math.exp(-sum(math.log(p(g)) for g in grams(t)) / (len(t) + 1)) for t in texts]
 
 
-def test_quality_against_the_formulas(spark, monkeypatch):
+def test_quality_against_the_formulas(spark):
     r = random.Random(9)
     rows = [(k, sentences(r, "abcé", r.randint(1, 12)), r.choice(["x", "y", None])) for k in range(60)]
     rows += [(100, None, "x"), (101, "", "x"), (102, "!!!! ZZZZ", "x"), (103, "a" * 20_000, "y"), (0, rows[0][1], "x")]
@@ -215,17 +297,26 @@ def test_quality_against_the_formulas(spark, monkeypatch):
     good = {k for k, q in labels if q == 1}
     trusted = [t for k, t, _ in rows if k in good and zlib.crc32(str(k).encode()) % 5]
     want = kneser_ney(trusted, [t or "" for _, t, _ in rows])
-    for limit in (64 << 20, 0):  # broadcast, and joined
-        monkeypatch.setattr(quality, "BROADCAST_BYTES", limit)
-        got = sorted((g.doc_id, g.perplexity) for g in quality.quality(docs(spark, rows), known, least=5).collect())
-        for (i, x), (j, y) in zip(got, sorted((k, w) for (k, _, _), w in zip(rows, want, strict=True)), strict=True):
-            assert i == j and math.isclose(x, y, rel_tol=1e-6)
-    out = {g.doc_id: g.kept for g in quality.quality(docs(spark, rows), known, least=5).collect()}
-    assert not out[100] and not out[101] and not out[102]
-
-
-def test_quality_of_words(spark, monkeypatch):
-    """Shuffled words of trusted texts are poor text, blanks are none; both ways of scoring agree."""
+    out = quality.quality(docs(spark, rows), known, least=5).collect()
+    got = sorted((g.doc_id, g.perplexity) for g in out)
+    for (i, x), (j, y) in zip(got, sorted((k, w) for (k, _, _), w in zip(rows, want, strict=True)), strict=True):
+        assert i == j and math.isclose(x, y, rel_tol=1e-6)
+    kept = {g.doc_id: g.kept for g in out}
+    assert not kept[100] and not kept[101] and not kept[102]
+    # the thresholds: of trusted, held-back texts with characters, by language where there are five, else of all
+    told = [(lang, p) for (k, t, lang), p in zip(rows, want, strict=True) if k in good and t and zlib.crc32(str(k).encode()) % 5 == 0]
+    cut = lambda ps: sorted(ps)[math.ceil(0.99 * len(ps)) - 1]
+    common = cut([p for _, p in told])
+    own = {v: cut([p for lang, p in told if lang == v]) for v in ("x", "y") if sum(lang == v for lang, _ in told) >= 5}
+    for g in out:
+        limit = own.get(g.lang, common)
+        assert math.isclose(g.threshold, limit, rel_tol=1e-6)
+        if not math.isclose(g.perplexity, limit, rel_tol=1e-6):
+            assert g.kept == (g.n_chars > 0 and g.perplexity < limit)
+
+
+def test_quality_of_words(spark):
+    """Shuffled words of trusted texts are poor text, blanks are none."""
     r = random.Random(4)
     follows = {f"w{k}": [f"w{(7 * k + j) % 90}" for j in range(3)] for k in range(90)}
 
@@ -240,14 +331,10 @@ def test_quality_of_words(spark, monkeypatch):
     r.shuffle(salad)
     rows += [(900, " ".join(salad), "x"), (901, " ".join(fluent(80)), "x"), (902, "  \n", "x"), (903, "漢字仮名 !!", None), (904, None, "x")]
     known = spark.createDataFrame([(k, 1) for k in range(300)], "doc_id long, quality int")
-    got = []
-    for limit in (64 << 20, 0):
-        monkeypatch.setattr(quality, "BROADCAST_BYTES", limit)
-        got.append({g.doc_id: g for g in quality.quality(docs(spark, rows), known, quantile=1.0, least=5, words=True).collect()})
-    assert len(got[0]) == len(rows)
-    assert all(math.isclose(got[0][k].perplexity, got[1][k].perplexity, rel_tol=1e-9) for k in got[0])
-    assert {k: got[0][k].kept for k in range(900, 905)} == {900: False, 901: True, 902: False, 903: False, 904: False}
-    assert got[0][903].n_chars == 7 and len(quality.grams("漢字仮名 !!", True)) == 7
+    got = {g.doc_id: g for g in quality.quality(docs(spark, rows), known, quantile=1.0, least=5, words=True).collect()}
+    assert len(got) == len(rows)
+    assert {k: got[k].kept for k in range(900, 905)} == {900: False, 901: True, 902: False, 903: False, 904: False}
+    assert got[903].n_chars == 7 and len(quality.grams("漢字仮名 !!", True)) == 7
 
 
 def test_quality_query_counts_words(spark, monkeypatch):
