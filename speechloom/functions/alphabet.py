@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def let(value: Column, body) -> Column:
     """body(value), with the value computed once: a lambda's body computes what it takes from outside again for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -83,21 +84,32 @@ class Alphabet:
     def consistent(self, text: Column) -> Column:
         """The characters kept by the automaton that waits for codebook after codebook, from that of the first.
 
-        The fold copies its list at each kept character; for strings of many thousands use `plugins.consistent_udf`.
+        A fold copies its list at each kept character, so the string is folded in stretches of the root of its length:
+        one fold over a stretch, and one over the stretches that carries the codebook waited for and gathers their lists.
         """
-        points = self.points(text)
-        first = F.greatest(F.lit(0), self.codebook(F.get(points, F.lit(0))))
-        start = F.struct(first.alias("wait"), F.array().cast("array<int>").alias("kept"), F.lit(0).alias("at"))
-
-        def step(a: Column, c: Column) -> Column:
-            hit = self.codebook(c) == a["wait"]
-            return F.struct(
-                F.when(hit, (a["wait"] + 1) % self.codebooks).otherwise(a["wait"]).alias("wait"),
-                F.when(hit, F.concat(a["kept"], F.array(a["at"]))).otherwise(a["kept"]).alias("kept"),
-                (a["at"] + 1).alias("at"),
-            )
-
-        kept = F.aggregate(points, start, step, lambda a: a["kept"])
+
+        def body(points: Column) -> Column:
+            n = F.size(points)
+            width = F.greatest(F.lit(1), F.ceil(F.sqrt(n)).cast("int"))
+            begins = F.filter(F.sequence(F.lit(0), n, width), lambda k: k < n)
+            first = F.greatest(F.lit(0), self.codebook(F.get(points, F.lit(0))))
+
+            def step(a: Column, c: Column) -> Column:
+                hit = self.codebook(c) == a["wait"]
+                return F.struct(
+                    F.when(hit, (a["wait"] + 1) % self.codebooks).otherwise(a["wait"]).alias("wait"),
+                    F.when(hit, F.concat(a["kept"], F.array(a["at"]))).otherwise(a["kept"]).alias("kept"),
+                    (a["at"] + 1).alias("at"),
+                )
+
+            def stretch(a: Column, begin: Column) -> Column:
+                start = F.struct(a["wait"].alias("wait"), F.array().cast("array<int>").alias("kept"), begin.alias("at"))
+                done = F.aggregate(F.slice(points, begin + 1, width), start, step)
+                return let(done, lambda d: F.struct(d["wait"].alias("wait"), F.concat(a["kept"], F.array(d["kept"])).alias("kept")))
+
+            return F.flatten(F.aggregate(begins, F.struct(first.alias("wait"), F.array().cast("array<array<int>>").alias("kept")), stretch, lambda a: a["kept"]))
+
+        kept = let(self.points(text), body)
         chosen = let(F.split(text, ""), lambda letters: F.array_join(F.transform(kept, lambda i: F.get(letters, i)), ""))
         return F.when(F.length(text) == 0, F.lit("")).otherwise(chosen)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .markup import SPACES, strip
+from .markup import BLANKS, strip
 
 #: Languages that a file list may name — fixed values
 LISTED = ("EN", "DE", "FR", "JA", "KO", "ZH")
@@ -18,7 +18,8 @@ def centiseconds(seconds: Column) -> Column:
 
 def folded(text: Column) -> Column:
     """Stripped, lower case, runs of blanks as one. Compatibility forms are left to `plugins.nfkc`, which goes before."""
-    return F.regexp_replace(F.lower(strip(text)), f"[{SPACES}]+", " ")
+    plain = F.translate(F.lower(strip(text)), BLANKS, " " * len(BLANKS))
+    return F.regexp_replace(plain, "  +", " ")  # few places, and a pattern that is found fast
 
 
 def digest(canonical: Column, bits: int = 128) -> Column:
@@ -89,5 +90,24 @@ def listed_folder(line: Column) -> Column:
     return F.struct(part(1).alias("speaker_id"), part(2).alias("book_id"))
 
 
+def in_shard(path: Column, shard: Column | str, suffix: str = ".parquet") -> Column:
+    """A file of this shard's folder."""
+    return path.startswith(F.concat(shard if isinstance(shard, Column) else F.lit(shard), F.lit("/"))) & path.endswith(suffix)
+
+
+def in_split(path: Column, split: str = "train") -> Column:
+    return path.contains(split)
+
+
+def speaker(name: Column) -> Column:
+    """The name, if it has the form that the diarisation gives; any other stops the job."""
+    return F.when(name.contains("SPEAKER_"), name).otherwise(F.raise_error(F.concat(F.lit("no such speaker: "), F.coalesce(name, F.lit("null")))).cast("string"))
+
+
+def in_order(languages: Column) -> Column:
+    """Languages once each, in the order of their first mention."""
+    return F.array_distinct(languages)
+
+
 def job_name(shard: Column, prefix: str = "job") -> Column:
     return F.concat(F.lit(prefix), F.regexp_extract(shard, r"train-(\d+)", 1))

@@ -16,13 +16,17 @@ AS, AE = "<|audio_start|>", "<|audio_end|>"
 SPACES = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 
+#: The same, one by one.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def _lit(s: str) -> str:
     return s.replace("|", "\\|")
 
 
 def strip(c: Column) -> Column:
     """Without blanks of any script at both ends. Never for strings of the codec alphabet after interleaving."""
-    return F.regexp_replace(c, f"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def unquoted(c: Column) -> Column:

@@ -97,6 +97,40 @@ def first_by_id(df: DataFrame, key: str, order: list[str], existing: DataFrame |
     return out if existing is None else out.join(existing.select(key), key, "left_anti")
 
 
+def with_counts(units: DataFrame, counts: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """Units with their counts, and the units that have none, to warn of."""
+    return units.join(counts, on), units.join(counts, on, "left_anti")
+
+
+def success(rows: DataFrame, state: Column, done: str, total: Column | None = None) -> DataFrame:
+    """(processed, succeeded, rate): the share of processed rows in this state; rows that `total` is false for don't count."""
+    some = F.lit(True) if total is None else total
+    agg = rows.agg(F.count_if(some).alias("processed"), F.count_if(some & (state == done)).alias("succeeded"))
+    return agg.withColumn("rate", percent(F.col("succeeded"), F.col("processed")))
+
+
+def after_row(rows: DataFrame, progress: DataFrame, on: str, position: str = "position") -> DataFrame:
+    """Rows behind the last one that a unit's progress has; all rows of a unit without progress."""
+    last = progress.groupBy(on).agg(F.max("last_processed_index").alias("_last"))
+    return rows.join(last, on, "left").filter(F.col(position) > F.coalesce("_last", F.lit(-1))).drop("_last")
+
+
+#: How statistics may be ordered — fixed values
+ORDERS = ("name", "completion", "remaining")
+
+
+def ordered_stats(stats: DataFrame, key: str, by: str = "name") -> DataFrame:
+    """By name, or by completion or remaining units from the largest, then by name."""
+    if by not in ORDERS:
+        raise ValueError(f"unknown order {by}")
+    return stats.orderBy(key) if by == "name" else stats.orderBy(F.desc("pct" if by == "completion" else "remaining"), key)
+
+
+def last_rows(df: DataFrame, order: list[str], k: int) -> DataFrame:
+    """The last k rows, in order: a top-k from the end."""
+    return df.orderBy(*[F.desc(c) for c in order]).limit(k).orderBy(*order)
+
+
 def all_encoded(entries: DataFrame, key: str, codes: str) -> DataFrame:
     """(key, complete): every entry has codes, which may be empty."""
     return entries.groupBy(key).agg((F.count_if(F.col(codes).isNull()) == 0).alias("complete"))

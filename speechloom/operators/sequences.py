@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint
 
@@ -71,8 +75,17 @@ def group_batches(df: DataFrame, key: str, per_batch: int) -> DataFrame:
     return df.join(tiles, key)
 
 
-def first_per_group(df: DataFrame, key: str, order: list[str], quota: Column) -> DataFrame:
-    """The first rows of each group, up to the quota in the row."""
+def first_per_group(df: DataFrame, key: str, order: list[str], quota: Column, most: int | None = None) -> DataFrame:
+    """The first rows of each group, up to the quota in the row.
+
+    most: no quota is larger, if that is known. Then the first `most` rows of each group within each of the input's
+    partitions are found first, a limit that Spark applies while it sorts, so a large group never meets whole in one task.
+    """
+    if most is not None:
+        apart = Window.partitionBy(key, "_part").orderBy(*order)
+        df = df.withColumn("_part", F.spark_partition_id()).withColumn("_rn", F.row_number().over(apart)).filter(F.col("_rn") <= most).drop("_part", "_rn")
+        df = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_rn") <= most)
+        return df.filter(F.col("_rn") <= quota).drop("_rn")
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_rn") <= quota).drop("_rn")
 
 
@@ -94,25 +107,34 @@ def until_misses(df: DataFrame, key: str, order: str, ok: Column, limit: int = 5
 def threshold_batches(df: DataFrame, key: str, order: str, size: str, threshold: int) -> DataFrame:
     """(key, order, size, batch): units in order; a batch is closed when it has reached the threshold, units stay whole.
 
-    A running total with resets is no window function: it is folded over a group's ordered units.
+    A running total with resets is no window function, and a fold over a list copies what it has gathered at each step: rows
+    sorted by key and order pass through a task in Arrow batches, with one number carried over. No group is held whole.
     """
-    units = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("units"))
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("batch"), F.array().cast("array<int>").alias("out"))
-
-    def step(a: Column, u: Column) -> Column:
-        full = a["sum"] + u["s"] >= threshold
-        return F.struct(F.when(full, F.lit(0)).otherwise(a["sum"] + u["s"]).cast("long").alias("sum"), (a["batch"] + full.cast("int")).alias("batch"), F.concat(a["out"], F.array(a["batch"])).alias("out"))
-
-    folded = units.withColumn("batches", F.aggregate("units", start, step, lambda a: a["out"]))
-    return folded.select(key, F.inline(F.arrays_zip(F.col("units"), F.col("batches")))).select(key, F.col("units.o").alias(order), F.col("units.s").alias(size), F.col("batches").alias("batch"))
+    rows = df.select(key, order, F.col(size).cast("long").alias(size))
+    kinds = rows.schema
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total, batch = object(), 0, 0
+        for b in batches:
+            out = []
+            for k, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if k != last:
+                    last, total, batch = k, 0, 0
+                out.append(batch)
+                total += s or 0
+                if total >= threshold:
+                    total, batch = 0, batch + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], [*b.schema.names, "batch"])
+
+    placed = rows.repartition(key).sortWithinPartitions(key, order, size)
+    return placed.mapInArrow(fold, T.StructType([*kinds, T.StructField("batch", T.IntegerType())]))
 
 
 def sample_per_group(df: DataFrame, key: str, identity: list[str], k: int, seed: int = 42) -> DataFrame:
     """k rows of each group without replacement, fixed by the seed: those of the smallest hash."""
     parts = [F.col(key).cast("string"), *(F.col(c).cast("string") for c in identity), F.lit(str(seed))]
     draw = F.md5(F.concat_ws("|", *parts).cast("binary"))
-    w = Window.partitionBy(key).orderBy(draw, *identity)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    return first_per_group(df.withColumn("_draw", draw), key, ["_draw", *identity], F.lit(k), k).drop("_draw")
 
 
 def resume_from(df: DataFrame, order: str, value) -> DataFrame:

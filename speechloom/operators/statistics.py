@@ -55,6 +55,15 @@ def mean_vector(df: DataFrame, vector: str, first: int = 0, last: int | None = N
     return df.select(F.posexplode(vector).alias("dimension", "x")).groupBy("dimension").agg(F.avg(F.col("x").cast("double")).alias("mean"))
 
 
+def new_rows(means: DataFrame, n: int, scale: float = 0.02, seed: int = 42) -> DataFrame:
+    """(row, dimension, x): n new vectors, the mean with normal noise of this scale. Means are a row for each dimension."""
+    rows = means.sparkSession.range(n).withColumnRenamed("id", "row").join(F.broadcast(means))
+    return rows.select("row", "dimension", (F.col("mean") + F.randn(seed) * scale).alias("x"))
+
+
+#: Columns of the report's numbers, as they stand in a line.
+NUMBERS = ("rows", "shards", "subshards")
+
 #: Head of the language report: the four lines a reader skips.
 HEAD = "# Rows by language\n\n| Language | Rows | Shards | Sub-shards |\n|---|---|---|---|"
 
@@ -62,13 +71,17 @@ HEAD = "# Rows by language\n\n| Language | Rows | Shards | Sub-shards |\n|---|--
 def report_lines(stats: DataFrame) -> DataFrame:
     """(ord, lang, line): the rows of a Markdown table with a total, from rows_by_language()."""
     name = F.when(F.col("lang").isNull(), "**TOTAL**").otherwise(F.col("lang"))
-    line = F.concat_ws(" | ", F.concat(F.lit("| "), name), commas(F.col("rows")), F.col("shards").cast("string"), F.concat(F.col("subshards").cast("string"), F.lit(" |")))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", name, *[commas(F.col(n)) for n in NUMBERS]), F.lit(" |"))
     return stats.select(F.col("lang").isNull().cast("int").alias("ord"), "lang", line.alias("line"))
 
 
 def parsed_report(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(lang, rows, shards, subshards) of a Markdown table; numbers may hold commas, separators and totals are skipped."""
-    pattern = r"^\|\s*(\w+)\s*\|\s*([\d,]+)\s*\|\s*([\d,]+)\s*\|\s*([\d,]+)\s*\|"
-    part = lambda k: F.regexp_extract(value, pattern, k)
-    number = lambda k: F.replace(part(k), F.lit(",")).try_cast("long")
-    return lines.filter(part(1) != "").select(part(1).alias("lang"), number(2).alias("rows"), number(3).alias("shards"), number(4).alias("subshards"))
+    """(lang, rows, shards, subshards) of the lines of report_lines(): a line is cut at its bars into the name and NUMBERS.
+
+    The head, the rule below it and the total have no name of letters or no numbers, and are left out.
+    """
+    cells = F.transform(F.split(F.btrim(value, F.lit("| ")), "\\|"), lambda c: F.trim(c))
+    number = lambda k: F.translate(F.get(cells, F.lit(k)), ",", "").try_cast("long")
+    named = (F.size(cells) == 1 + len(NUMBERS)) & F.get(cells, F.lit(0)).rlike("^[A-Za-z0-9_]+$")
+    out = lines.filter(named).select(F.get(cells, F.lit(0)).alias("lang"), *[number(k).alias(n) for k, n in enumerate(NUMBERS, 1)])
+    return out.dropna(subset=list(NUMBERS))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import plugins
 from ..functions import display, ids, markup
 from ..functions.alphabet import Alphabet
 from ..operators import audits, documents, sequences, statistics
+from ..session import checkpoint_folder
+from ..sources import publish, readers, writers
 from . import recipes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +31,11 @@ def query(sql: str | None = None):
     return add
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, which all executors see."""
+    return f"{checkpoint_folder(spark)}/scratch-{uuid.uuid4()}"
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -45,8 +54,8 @@ class Tables:
 
     def utterances(self) -> DataFrame:
         """Conversation turns, each with the codec string of one vector."""
-        n = self.embeddings.count()
-        keyed = self.conversations.withColumn("vec_id", (F.col("conv_id") * 8 + F.col("turn")) % n)
+        n = F.broadcast(self.embeddings.agg(F.count(F.lit(1)).alias("n")))  # one row
+        keyed = self.conversations.join(n).withColumn("vec_id", (F.col("conv_id") * 8 + F.col("turn")) % F.col("n")).drop("n")
         return keyed.join(self.audio(), "vec_id")
 
     def chats(self) -> DataFrame:
@@ -74,6 +83,9 @@ PRETRAIN = UTTERANCES + """, one AS (
 SPANS = "s AS (SELECT event_id, user_id, event_type, value, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS b, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 + value * 60.0 AS e FROM events)"
 WORDS = "len(regexp_extract_all(text, '[^ \\t\\n\\r]+'))"
 
+#: The code of codebook k at frame t.
+LEVELS = "CAST(least(2047, greatest(0, floor((CAST(embedding[k * 8 + t + 1] AS DOUBLE) + 1) * 1024))) AS INT)"
+
 # codec
 
 
@@ -82,11 +94,10 @@ def codec_encode(spark, d):
     return Tables(spark, d).audio()
 
 
-@query(f"WITH {AUDIO} SELECT vec_id, 8 AS frames, CAST(sum(unicode(audio_str[i]) - 57344 - ((i - 1) % 8) * 2048) AS BIGINT) AS total, true AS same FROM audio, range(1, 65) r(i) GROUP BY vec_id")
+@query(f"SELECT vec_id, CAST(k AS INT) AS codebook, array_to_string([{LEVELS} FOR t IN range(8)], ',') AS codes FROM embeddings, range(8) r(k)")
 def codec_roundtrip(spark, d):
-    rows = Tables(spark, d).codes().withColumn("back", A.decode(A.encode(F.col("codes"))))
-    total = F.aggregate(F.flatten("back"), F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.select("vec_id", F.size(F.col("back")[0]).alias("frames"), total.alias("total"), (F.col("back") == F.col("codes")).alias("same"))
+    back = Tables(spark, d).codes().select("vec_id", F.posexplode(A.decode(A.encode(F.col("codes")))).alias("codebook", "row"))
+    return back.select("vec_id", "codebook", F.array_join("row", ",").alias("codes"))
 
 
 @query(f"WITH {AUDIO} SELECT CAST(least(7, (unicode(audio_str[i]) - 57344) // 2048) AS INT) AS codebook, count(*) AS n FROM audio, range(1, 65) r(i) GROUP BY 1")
@@ -127,13 +138,18 @@ def codec_alphabet(spark, d):
     return spark.range(A.offset, A.offset + A.codebooks * A.size).select(F.col("id").alias("point"), A.codebook(F.col("id")).alias("codebook"))
 
 
-@query(
-    "SELECT vec_id, CAST(0 AS INT) AS codebook, CAST(least(2047, greatest(0, floor((CAST(embedding[1] AS DOUBLE) + 1) * 1024))) AS INT) AS first FROM embeddings "
-    "UNION ALL SELECT vec_id, 1, CAST(least(2047, greatest(0, floor((CAST(embedding[9] AS DOUBLE) + 1) * 1024))) AS INT) FROM embeddings"
-)
+@query(f"SELECT vec_id, CAST(k AS INT) AS codebook, array_to_string([{LEVELS} FOR t IN range(8)], ',') AS codes FROM embeddings, range(2) r(k)")
 def codec_truncate(spark, d):
     two = Alphabet(codebooks=2)
-    return Tables(spark, d).codes().select("vec_id", F.posexplode(two.truncated(F.col("codes"))).alias("codebook", "row")).select("vec_id", "codebook", F.col("row")[0].alias("first"))
+    rows = Tables(spark, d).codes().select("vec_id", F.posexplode(two.truncated(F.col("codes"))).alias("codebook", "row"))
+    return rows.select("vec_id", "codebook", F.array_join("row", ",").alias("codes"))
+
+
+@query(f"WITH r AS (SELECT vec_id, k, [{LEVELS} FOR t IN range(1, 8)] AS codes FROM embeddings, range(8) r(k)) SELECT vec_id, CAST(k AS INT) AS codebook, array_to_string(codes, ',') AS codes FROM r")
+def codec_robust(spark, d):
+    """Strings that begin within a frame: what hangs over goes, the whole frames are left."""
+    back = Tables(spark, d).audio().select("vec_id", F.posexplode(A.robust(F.substring("audio_str", 4, 61))).alias("codebook", "row"))
+    return back.select("vec_id", "codebook", F.array_join("row", ",").alias("codes"))
 
 
 # documents and views
@@ -239,9 +255,9 @@ def bare_asr_tts(spark, d):
     return recipes.bare_rows(rows, recipes.Recipe(id="uid", clean="lower"))
 
 
-@query(f"WITH {PRETRAIN} SELECT split, count(*) AS original, count(*) FILTER (id LIKE '%\\_type2' ESCAPE '\\') AS filtered, 100.0 * count(*) FILTER (id LIKE '%\\_type2' ESCAPE '\\') / count(*) AS pct FROM p GROUP BY split")
+@query("SELECT lang, count(*) AS original, count(*) FILTER (n_chars >= 1500) AS filtered, 100.0 * count(*) FILTER (n_chars >= 1500) / count(*) AS pct FROM documents GROUP BY lang")
 def view_ratio(spark, d):
-    return statistics.filter_ratio(Tables(spark, d).pretrain(), markup.has_type(F.col("id"), 2), ["split"])
+    return statistics.filter_ratio(Tables(spark, d).documents.select("lang", "n_chars"), F.col("n_chars") >= 1500, ["lang"])
 
 
 @query(
@@ -282,10 +298,18 @@ def speaker_batches(spark, d):
     return rows.groupBy("batch").agg(F.countDistinct("o_custkey").alias("speakers"), F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH r AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS c FROM documents) SELECT CAST(c AS INT) AS chunk, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last FROM r GROUP BY c")
+@query("WITH r AS (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS c FROM documents) SELECT CAST(c AS INT) AS chunk, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, CAST(sum(length(text)) AS BIGINT) AS chars, min(md5(text)) AS least, count(DISTINCT source || lang) AS kinds FROM r GROUP BY c")
 def fixed_chunks(spark, d):
-    rows = sequences.indexed(Tables(spark, d).documents.select("doc_id"), ["doc_id"])
-    return rows.groupBy(F.floor(F.col("position") / 100).cast("int").alias("chunk")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    path = scratch(spark)
+    writers.fixed_chunks(Tables(spark, d).documents, path, ["doc_id"], 100)
+    rows = spark.read.parquet(path).groupBy("chunk")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(F.length("text")).alias("chars"), F.min(F.md5(F.col("text").cast("binary"))).alias("least"), F.countDistinct(F.concat("source", "lang")).alias("kinds"))
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, source, lang, n_chars, md5(text) AS digest FROM documents")
+def indexed_rows(spark, d):
+    rows = sequences.indexed(Tables(spark, d).documents, ["doc_id"])
+    return rows.select("doc_id", "position", "source", "lang", "n_chars", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query(
@@ -358,7 +382,9 @@ def stratified_sample(spark, d):
     counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("all"))
     quotas = counts.join(F.broadcast(total)).select("lang", sequences.proportional_quota(F.col("n"), F.col("all"), 200).alias("quota"))
-    rows = sequences.first_per_group(docs.select("lang", "doc_id", "text").join(F.broadcast(quotas), "lang"), "lang", ["doc_id"], F.col("quota"))  # a row for each language
+    # ids are ranked, and only the few chosen ones meet their texts; quotas have a row for each language
+    chosen = sequences.first_per_group(docs.select("lang", "doc_id").join(F.broadcast(quotas), "lang"), "lang", ["doc_id"], F.col("quota"), most=200)
+    rows = docs.select("lang", "doc_id", "text").join(chosen, ["lang", "doc_id"])
     return rows.groupBy("lang", "quota").agg(F.count(F.lit(1)).alias("taken"), F.sum(markup.words(F.col("text"))).alias("tokens")).orderBy(F.desc("tokens"), "lang").limit(10)
 
 
@@ -409,9 +435,9 @@ def next_file_number(spark, d):
     return statistics.next_number(Tables(spark, d).pages.select(stem.alias("stem")), "stem")
 
 
-@query("SELECT CAST(i - 1 AS INT) AS dimension, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean FROM embeddings, range(1, 65) r(i) WHERE vec_id BETWEEN 0 AND 99 GROUP BY i")
+@query("SELECT CAST(i - 1 AS INT) AS dimension, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean FROM embeddings, range(1, 65) r(i) GROUP BY i")
 def embedding_mean(spark, d):
-    return statistics.mean_vector(Tables(spark, d).embeddings, "embedding", 0, 99, "vec_id").select("dimension", F.round("mean", 6).alias("mean"))
+    return statistics.mean_vector(Tables(spark, d).embeddings, "embedding").select("dimension", F.round("mean", 6).alias("mean"))
 
 
 # audits
@@ -500,9 +526,9 @@ def three_states(spark, d):
     return audits.three_states(g, "done", "total")
 
 
-@query("SELECT conv_id, count(*) FILTER (text = '') = 0 AS complete FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, count(*) FILTER (length(text) % 7 = 0) = 0 AS complete FROM conversations GROUP BY conv_id")
 def encoded_check(spark, d):
-    rows = Tables(spark, d).conversations.withColumn("codes", F.when(F.col("text") != "", F.array(F.lit(1))))
+    rows = Tables(spark, d).conversations.withColumn("codes", F.when(F.length("text") % 7 != 0, F.array(F.lit(1))))
     return audits.all_encoded(rows, "conv_id", "codes")
 
 
@@ -605,16 +631,20 @@ def not_finished(spark, d):
     return audits.pending(t.orders.select("o_orderkey"), done, "o_orderkey")
 
 
-@query("SELECT lang, split, count(*) AS n FROM (SELECT 'de' AS lang, lang AS split FROM documents WHERE lang = 'de' UNION ALL SELECT 'fr', lang FROM documents WHERE lang = 'fr' UNION ALL SELECT 'es', lang FROM documents WHERE lang = 'es') GROUP BY ALL")
+@query("SELECT lang, lang AS split, count(*) AS n FROM documents WHERE lang IN ('de', 'fr', 'es') GROUP BY lang")
 def union_languages(spark, d):
-    docs = Tables(spark, d).documents
-    parts = [docs.filter(F.col("lang") == lang).select(F.lit(lang).alias("lang"), ids.language_of_split(F.concat("lang", F.lit("000/1"))).alias("split")) for lang in ("de", "fr", "es")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n"))
+    """A folder for each of the listed languages, read back as one table."""
+    docs, path, listed = Tables(spark, d).documents.select("lang", "doc_id"), scratch(spark), ["de", "fr", "es"]
+    for lang in listed:
+        writers.batched_parquet(docs.filter(F.col("lang") == lang).select("doc_id"), f"{path}/{lang}", 500)
+    rows = readers.by_language(spark, path, listed)
+    return rows.withColumn("split", ids.language_of_split(F.concat("lang", F.lit("000/1")))).groupBy("lang", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {PRETRAIN} SELECT DISTINCT split FROM p")
+@query("SELECT DISTINCT lang || '/' || source AS split, lang FROM documents")
 def distinct_splits(spark, d):
-    return Tables(spark, d).pretrain().select("split").distinct()
+    split = F.concat_ws("/", "lang", "source")
+    return Tables(spark, d).documents.select(split.alias("split")).distinct().select("split", ids.language_of_split(F.col("split")).alias("lang"))
 
 
 @query(f"WITH r AS (SELECT doc_id, {WORDS} AS t FROM documents ORDER BY doc_id LIMIT 100) SELECT count(*) AS sample, CAST(sum(t) AS BIGINT) AS tokens, CAST(trunc(sum(t) * ((SELECT count(*) FROM documents) / CAST(count(*) AS DOUBLE))) AS BIGINT) AS estimate, avg(t) * 1000000 AS projected FROM r")
@@ -630,21 +660,130 @@ def token_completion(spark, d):
     return Tables(spark, d).documents.agg(F.countDistinct("lang").alias("done")).select("done", F.round(F.col("done") * 100.0 / 145, 6).alias("pct"))
 
 
-@query("SELECT lpad(CAST(i AS VARCHAR), 8, '0') AS subshard, 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') AS listed, 'job' || lpad(CAST(i AS VARCHAR), 4, '0') AS job FROM range(1000) r(i)")
+@query("SELECT 'subshard' AS kind, lpad(CAST(i AS VARCHAR), 8, '0') AS id FROM range(1000) r(i) UNION ALL SELECT 'listed', 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') FROM range(1000) r(i) UNION ALL SELECT 'job', 'job' || lpad(CAST(i AS VARCHAR), 4, '0') FROM range(1000) r(i)")
 def generated_ids(spark, d):
-    i = F.col("id")
-    shard = F.format_string("train-%04d-of-1416", i)
-    return spark.range(1000).select(F.format_string("%08d", i).alias("subshard"), F.format_string("EN-B%06d", i).alias("listed"), ids.job_name(shard).alias("job"))
+    named = lambda kind, rows: rows.select(F.lit(kind).alias("kind"), "id")
+    jobs = readers.numbered(spark, 1000, "train-%04d-of-1416").select(ids.job_name(F.col("id")).alias("id"))
+    return named("subshard", readers.numbered(spark, 1000)).unionByName(named("listed", readers.numbered_by(spark, "EN", 999))).unionByName(named("job", jobs))
 
 
-@query("SELECT c_custkey, c_mktsegment || '_' || c_name AS file_id, c_mktsegment AS doc_key, 'BU' AS split_lang FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query("SELECT c_custkey, c_mktsegment || '_' || c_name AS file_id, CASE WHEN contains(c_name, '_') THEN c_mktsegment || '_' || regexp_replace(c_name, '_[^_]*$', '') ELSE c_mktsegment END AS doc_key, substr(c_mktsegment, 1, 2) AS split_lang FROM customer")
 def document_keys(spark, d):
-    name = F.concat_ws("_", "c_mktsegment", "c_name")
-    rows = Tables(spark, d).customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey", name.alias("file_id"))
+    rows = Tables(spark, d).customer.select("c_custkey", F.concat_ws("_", "c_mktsegment", "c_name").alias("file_id"))
     return rows.select("c_custkey", "file_id", ids.document_key(F.col("file_id")).alias("doc_key"), ids.language_of_shard(F.col("file_id")).alias("split_lang"))
 
 
-@query("SELECT source, n, CASE WHEN n >= 1000 THEN format('{:,}', n) || ' (' || printf('%.2fK', n / 1000.0) || ')' ELSE CAST(n AS VARCHAR) END AS shown FROM (SELECT source, CAST(sum(n_chars) AS BIGINT) % 999000 AS n FROM documents GROUP BY source)")
+@query(
+    """WITH s AS (SELECT source, CAST(sum(n_chars) AS BIGINT) AS n FROM documents GROUP BY source), t AS (SELECT source, n FROM s UNION ALL SELECT source, n * 1000 FROM s UNION ALL SELECT source, n // 1000000 FROM s)
+ SELECT source, n, CASE WHEN n >= 1000000000 THEN format('{:,}', n) || ' (' || printf('%.2fB', n / 1e9) || ')' WHEN n >= 1000000 THEN format('{:,}', n) || ' (' || printf('%.2fM', n / 1e6) || ')'
+ WHEN n >= 1000 THEN format('{:,}', n) || ' (' || printf('%.2fK', n / 1000.0) || ')' ELSE CAST(n AS VARCHAR) END AS shown FROM t"""
+)
 def human_numbers(spark, d):
-    sums = Tables(spark, d).documents.groupBy("source").agg((F.sum("n_chars") % 999000).alias("n"))
-    return sums.select("source", "n", display.human(F.col("n")).alias("shown"))
+    sums = Tables(spark, d).documents.groupBy("source").agg(F.sum("n_chars").alias("s"))
+    rows = sums.select("source", F.explode(F.array("s", F.col("s") * 1000, F.expr("s div 1000000"))).alias("n"))
+    return rows.select("source", "n", display.human(F.col("n")).alias("shown"))
+
+
+# round trips through writers and readers
+
+
+@query("SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang")
+def sharded_roundtrip(spark, d):
+    """A folder for each language; one that is written again replaces itself and leaves the others."""
+    docs, path = Tables(spark, d).documents.select("doc_id", "lang", "n_chars"), scratch(spark)
+    writers.sharded_parquet(docs, path, "lang")
+    writers.sharded_parquet(docs.filter("lang = 'en'"), path, "lang")
+    return spark.read.parquet(path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("SELECT n_name AS shard_id, CAST(n_regionkey AS VARCHAR) AS subshard_id FROM nation")
+def tsv_roundtrip(spark, d):
+    path = scratch(spark)
+    rows = Tables(spark, d).nation.select("n_name", "n_regionkey")
+    writers.tsv(rows.filter("n_regionkey < 2"), path)
+    writers.tsv(rows.filter("n_regionkey >= 2"), path, append=True)
+    return readers.pairs_tsv(spark, path)
+
+
+@query("SELECT n_name AS id FROM nation WHERE n_regionkey <> 0 UNION ALL SELECT '# ' || n_name FROM nation WHERE n_regionkey = 1")
+def list_roundtrip(spark, d):
+    """Lines of a list: comments go, but for those that stand behind a blank, if that is how the list is read."""
+    path = scratch(spark)
+    n = F.col("n_regionkey")
+    line = F.when(n == 0, F.concat(F.lit("#"), "n_name")).when(n == 1, F.concat(F.lit(" # "), "n_name")).otherwise(F.concat("n_name", F.lit(" ")))
+    both = Tables(spark, d).nation.select(F.explode(F.array(line, F.when(n == 1, F.col("n_name")).otherwise(F.lit("")))).alias("line"))
+    writers.lines(both, "line", path)
+    return readers.id_list(spark, path, indented=False)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def json_array_roundtrip(spark, d):
+    """A file of one array for each order status and priority."""
+    path = scratch(spark)
+    rows = Tables(spark, d).orders.groupBy("o_orderstatus", F.pmod("o_orderkey", F.lit(8)).alias("file")).agg(F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("line"))
+    writers.batched_parquet(rows, path + "/rows")
+    for r in spark.read.parquet(path + "/rows").select("o_orderstatus", "file").collect():  # a row for each file
+        one = spark.read.parquet(path + "/rows").filter((F.col("o_orderstatus") == r[0]) & (F.col("file") == r[1]))
+        writers.lines(one.coalesce(1), "line", f"{path}/json/{r[0]}{r[1]}")
+    return readers.json_array(spark, f"{path}/json/*", "o_orderkey long, o_orderstatus string")
+
+
+@query(
+    f"""WITH {UTTERANCES} SELECT conv_id, count(*) AS chunks, string_agg(text, '|' ORDER BY turn) AS said, string_agg(audio_str, '' ORDER BY turn) AS audio
+ FROM u WHERE turn % 3 <> 1 GROUP BY conv_id"""
+)
+def raw_chunks(spark, d):
+    """Raw documents with maps of texts and of codes, of which some chunks have none."""
+    t = Tables(spark, d)
+    n = F.broadcast(t.embeddings.agg(F.count(F.lit(1)).alias("n")))  # one row
+    rows = t.conversations.join(n).withColumn("vec_id", (F.col("conv_id") * 8 + F.col("turn")) % F.col("n")).join(t.codes(), "vec_id")
+    listed = F.array_sort(F.collect_list(F.struct("turn", "text", "codes")))
+    texts = F.map_from_entries(F.transform("rows", lambda r: F.struct(r["turn"].cast("string"), r["text"])))
+    codes = F.map_from_entries(F.transform(F.filter("rows", lambda r: r["turn"] % 3 != 1), lambda r: F.struct(r["turn"].cast("string"), r["codes"])))
+    raw = rows.groupBy("conv_id").agg(listed.alias("rows")).select(F.col("conv_id").alias("audio_id"), texts.alias("text"), codes.alias("codes"))
+    found = documents.chunks_of(raw, A)
+    return found.select(F.col("audio_id").alias("conv_id"), F.size("chunks").cast("long").alias("chunks"), F.array_join(F.transform("chunks", lambda c: c["text"]), "|").alias("said"), F.array_join(F.transform("chunks", lambda c: c["audio"]), "").alias("audio"))
+
+
+@query("SELECT doc_id, source AS speaker_id, lang || '-' || doc_id AS book_id FROM documents")
+def listed_folders(spark, d):
+    line = F.concat_ws("-", "source", "lang", "doc_id")
+    return Tables(spark, d).documents.select("doc_id", ids.listed_folder(line).alias("f")).select("doc_id", "f.*")
+
+
+@query(f"SELECT doc_id, {DIGEST} AS digest FROM documents")
+def compatible_digests(spark, d):
+    """Latin letters widened to their compatibility forms, which the normal form takes back."""
+    plain = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    return Tables(spark, d).documents.select("doc_id", ids.digest(ids.folded(plugins.nfkc(F.translate("text", plain, wide)))).alias("digest"))
+
+
+@query("SELECT o_custkey, o_orderkey FROM orders o JOIN (SELECT c_custkey, c_nationkey * 1000000 AS last FROM customer WHERE c_nationkey < 3) ON o_custkey = c_custkey WHERE o_orderkey > last UNION ALL SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 3)")
+def resume_after_row(spark, d):
+    t = Tables(spark, d)
+    done = t.customer.filter("c_nationkey < 3").select(F.col("c_custkey").alias("o_custkey"), (F.col("c_nationkey") * 1_000_000).alias("last_processed_index"))
+    return audits.after_row(t.orders.select("o_custkey", "o_orderkey"), done, "o_custkey", "o_orderkey")
+
+
+@query("SELECT count(*) FILTER (o_orderstatus <> 'P') AS processed, count(*) FILTER (o_orderstatus = 'F') AS succeeded, 100.0 * count(*) FILTER (o_orderstatus = 'F') / count(*) FILTER (o_orderstatus <> 'P') AS rate FROM orders")
+def success_rate(spark, d):
+    state = F.col("o_orderstatus")
+    return audits.success(Tables(spark, d).orders, state, "F", state != "P")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'complete' ELSE 'queue' END AS action FROM documents")
+def reconciled_units(spark, d):
+    t = Tables(spark, d)
+    return publish.reconciled(t.documents, t.labels, "doc_id")
+
+
+@query("SELECT doc_id, n_chars FROM (SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id DESC LIMIT 20)")
+def last_rows(spark, d):
+    return audits.last_rows(Tables(spark, d).documents.select("doc_id", "n_chars"), ["n_chars", "doc_id"], 20)
+
+
+@query("SELECT source, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, count(*) AS n FROM documents GROUP BY source")
+def ordered_languages(spark, d):
+    rows = documents.imploded(Tables(spark, d).documents.select("source", "lang", "doc_id"), ["source"], ["lang", "doc_id"], lang=F.col("lang"))
+    return rows.select("source", F.array_join(ids.in_order(F.transform("chunks", lambda c: c["lang"])), ",").alias("langs"), F.size("chunks").cast("long").alias("n"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import math
 import unicodedata
+import wave
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, StructField, StructType
 
 
 class Encoder(Protocol):
@@ -38,13 +41,37 @@ class Energy:
         out = []
         for samples in batch:
             frames = [samples[i : i + self.step] for i in range(0, len(samples), self.step)]
-            level = [int((sum(f) / len(f) + 1) / 2 * (self.size - 1)) if len(f) else 0 for f in frames]
+            level = [int((sum(f) / self.step + 1) / 2 * (self.size - 1)) for f in frames]
             out.append([[(v + k) % self.size for v in level] for k in range(self.codebooks)])
         return out
 
+    def decode(self, batch):
+        """Each frame at the level of its first codebook."""
+        return [[(v / (self.size - 1)) * 2 - 1 for v in codes[0] for _ in range(self.step)] if len(codes) else [] for codes in batch]
 
-def encoder_udf(make: Callable[[], Encoder], batch: int = 16) -> Callable[[Column], Column]:
-    """The model is made once for each worker; samples pass in Arrow batches."""
+
+#: Codec frames in a second — fixed value
+PER_SECOND = 12.5
+
+
+def frames_of(samples: int, rate: int, per_second: float = PER_SECOND) -> int:
+    """Frames that so many samples give; the last one may be filled up."""
+    return math.ceil(samples / (rate / per_second))
+
+
+def encode_padded(model: Encoder, batch: list[list[float]], per_second: float = PER_SECOND) -> list[list[list[int]]]:
+    """A batch filled up with silence to its longest member; of the codes only the frames of the samples are kept.
+
+    Samples that are missing or empty give no codes.
+    """
+    some = [x for x in batch if x is not None and len(x)]
+    longest = max(map(len, some), default=0)
+    codes = iter(model.encode([[*x, *[0.0] * (longest - len(x))] for x in some]) if some else [])
+    return [[row[: frames_of(len(x), model.rate, per_second)] for row in next(codes)] if x is not None and len(x) else [] for x in batch]
+
+
+def encoder_udf(make: Callable[[], Encoder], batch: int = 16, per_second: float = PER_SECOND) -> Callable[[Column], Column]:
+    """The model is made once for each worker; samples pass in Arrow batches and are encoded in padded ones."""
 
     @F.pandas_udf("array<array<int>>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -52,12 +79,52 @@ def encoder_udf(make: Callable[[], Encoder], batch: int = 16) -> Callable[[Colum
         for s in batches:
             out: list = []
             for at in range(0, len(s), batch):
-                out += model.encode([list(x) for x in s[at : at + batch]])
+                out += encode_padded(model, list(s[at : at + batch]), per_second)
             yield pd.Series(out)
 
     return encode
 
 
+def decoder_udf(make: Callable[[], Decoder], batch: int = 16) -> Callable[[Column], Column]:
+    """Samples of code matrices, by a model made once for each worker."""
+
+    @F.pandas_udf("array<float>")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = make()
+        for s in batches:
+            out: list = []
+            for at in range(0, len(s), batch):
+                out += model.decode([[] if x is None else [list(row) for row in x] for x in s[at : at + batch]])
+            yield pd.Series(out)
+
+    return decode
+
+
+def wave_samples(content: bytes) -> tuple[list[float], int]:
+    """(mono samples in -1 to 1, rate) of a WAV file of 8, 16 or 32 bits; channels are averaged."""
+    import numpy as np
+
+    with wave.open(io.BytesIO(content)) as w:
+        raw, width, channels, rate = w.readframes(w.getnframes()), w.getsampwidth(), w.getnchannels(), w.getframerate()
+    kind = {1: np.uint8, 2: "<i2", 4: "<i4"}[width]
+    x = np.frombuffer(raw, kind).astype(np.float32)
+    x = (x - 128) / 128 if width == 1 else x / float(1 << 8 * width - 1)
+    return x.reshape(-1, channels).mean(1).tolist() if channels > 1 else x.tolist(), rate
+
+
+@F.pandas_udf(StructType([StructField("samples", ArrayType(FloatType())), StructField("rate", IntegerType())]))
+def wave_decode(content: pd.Series) -> pd.DataFrame:
+    """Audio files as samples; null for one that can't be read, to be filtered and counted. Other formats need a library."""
+
+    def one(c):
+        try:
+            return wave_samples(bytes(c))
+        except (wave.Error, EOFError, KeyError, TypeError):
+            return None, None
+
+    return pd.DataFrame([one(c) for c in content], columns=["samples", "rate"])
+
+
 def resampler_udf(rate: int) -> Callable[[Column, Column], Column]:
     """Linear resampling to `rate`; a real filter may take its place."""
 

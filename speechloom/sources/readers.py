@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import pickle
 import tarfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,17 +52,48 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def _tree(spark: SparkSession, base: str) -> DataFrame:
+    reader = spark.read.schema(UTTERANCE + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE")
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base).withColumn("path", F.col("_metadata.file_path"))
+
+
+def unreadable_utterances(spark: SparkSession, base: str) -> DataFrame:
+    """(path) of the files that utterance_tree() passes over, to be counted."""
+    named = F.concat("path", F.coalesce(F.substring("entry_id", 1, 0), F.lit("")))  # Spark wants a column of the file besides
+    return _tree(spark, base).filter(F.col("_corrupt_record").isNotNull()).select(named.alias("path"))
+
+
+def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """(path, error) of files whose footer can't be read: what a scan that skips corrupt files leaves out."""
+
+    def broken(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import parquet
+
+        for b in batches:
+            bad = []
+            for name, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
+                try:
+                    parquet.read_metadata(io.BytesIO(content))
+                except (pa.ArrowException, OSError) as e:
+                    bad.append((name, str(e)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in bad], pa.string()) for k in (0, 1)], ["path", "error"])
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "content").mapInArrow(broken, "path string, error string")
+
+
 def utterance_tree(spark: SparkSession, base: str) -> DataFrame:
-    """One object for each file below speaker and book; unreadable files are passed over. Times become doubles, 0 where missing."""
-    df = spark.read.schema(UTTERANCE).option("multiLine", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base)
+    """One object for each file below speaker and book; unreadable files are passed over, `unreadable_utterances` lists them.
+    Times become doubles, 0 where missing."""
+    df = _tree(spark, base).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "path")
     times = {c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in ("begin_time", "end_time", "audio_duration")}
     return df.withColumns(times)
 
 
-def id_list(spark: SparkSession, path: str, comments: bool = True) -> DataFrame:
-    """(id): one for each line that isn't blank; lines that begin with # are left out if comments are known."""
-    lines = spark.read.text(path).select(F.trim("value").alias("id")).filter("id <> ''")
-    return lines.filter(~F.col("id").startswith("#")) if comments else lines
+def id_list(spark: SparkSession, path: str, comments: bool = True, indented: bool = True) -> DataFrame:
+    """(id): one for each line that isn't blank; lines that begin with # are left out if comments are known, those with
+    blanks before it only if `indented`."""
+    lines = spark.read.text(path).select(F.trim("value").alias("id"), "value").filter("id <> ''")
+    return (lines.filter(~F.col("id" if indented else "value").startswith("#")) if comments else lines).select("id")
 
 
 def counts(spark: SparkSession, path: str) -> DataFrame:
@@ -68,7 +101,27 @@ def counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,int>")).alias("shard_id", "n"))
 
 
-def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def first_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(shard_id, n) of the first of these files that exists; without any, no rows, so that defaults hold."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            return counts(spark, path)
+    return spark.createDataFrame([], "shard_id string, n int")
+
+
+def total_rows(spark: SparkSession, data: str, known: list[str]) -> int:
+    """The row count that the first metadata file has as `num_rows`, a JSON object each; else that of the data's footers."""
+    for path in known:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            n = spark.read.text(path, wholetext=True).select(F.get_json_object("value", "$.num_rows").try_cast("long")).first()[0]
+            if n is not None:
+                return n
+    return row_count(spark, data)
+
+
+def listing(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """(path, size, modified) of files below a folder; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
@@ -92,19 +145,64 @@ def pairs_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.size(parts) == 2).select(parts[0].alias("shard_id"), parts[1].alias("subshard_id"))
 
 
-def archive_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(archive, name, content) of tar and tar.gz files; a lost task reads its archive again."""
+def archive_members(spark: SparkSession, path: str | list[str], suffix: str = "") -> DataFrame:
+    """(archive, name, content) of tar and tar.gz files, read as streams: a task holds one member at a time, and an archive
+    may have any size. A lost task reads its archive again."""
 
     def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for b in batches:
-            for archive, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as t:
+            for archive in b["path"].to_pylist():
+                store, place = fs.FileSystem.from_uri(archive)
+                with store.open_input_stream(place, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|*") as t:
                     for m in t:
                         if m.isfile() and m.name.endswith(suffix):
                             cols = [pa.array([archive]), pa.array([m.name]), pa.array([t.extractfile(m).read()], pa.binary())]
                             yield pa.RecordBatch.from_arrays(cols, ["archive", "name", "content"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "archive string, name string, content binary")
+    return listing(spark, path).select("path").mapInArrow(members, "archive string, name string, content binary")
+
+
+def extract(spark: SparkSession, path: str, target: str, suffix: str = "") -> DataFrame:
+    """The members of all archives as a table in `target`, a folder for each archive; archives that have one are passed over.
+
+    A folder appears when its job commits, so it is the mark of completion: what an interrupted job leaves is done again.
+    """
+    try:
+        done = spark.read.parquet(target).select("archive").distinct()
+    except AnalysisException:  # nothing yet
+        done = spark.createDataFrame([], "archive string")
+    fresh = listing(spark, path).select(F.col("path").alias("archive")).join(done, "archive", "left_anti")
+    names = [r[0] for r in fresh.select("archive").collect()]  # a row for each archive
+    if names:
+        rows = archive_members(spark, names, suffix)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive").parquet(target)
+    return spark.read.parquet(target)
+
+
+class _Arrays(pickle.Unpickler):
+    """Unpickles arrays of numbers and nothing else: a file can't have code run."""
+
+    ALLOWED = {("numpy", "ndarray"), ("numpy", "dtype"), *((f"numpy.{core}.{part}", name) for core in ("core", "_core") for part, name in (("multiarray", "_reconstruct"), ("multiarray", "scalar"), ("numeric", "_frombuffer"))), ("_codecs", "encode")}
+
+    def find_class(self, module: str, name: str):
+        if (module, name) not in self.ALLOWED:
+            raise pickle.UnpicklingError(f"{module}.{name} is no array")
+        return super().find_class(module, name)
+
+
+def load_array(content: bytes):
+    """An .npy file's array; arrays of objects may hold arrays of numbers only."""
+    import numpy as np
+
+    stream = io.BytesIO(content)
+    version = np.lib.format.read_magic(stream)
+    shape, fortran, kind = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(stream)
+    if not kind.hasobject:
+        return np.load(io.BytesIO(content), allow_pickle=False)
+    out = _Arrays(stream).load()
+    return out.reshape(shape, order="F" if fortran else "C")
 
 
 def code_arrays(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +213,7 @@ def code_arrays(spark: SparkSession, path: str) -> DataFrame:
 
         for b in batches:
             for name, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
-                a = np.load(io.BytesIO(content), allow_pickle=True)
+                a = load_array(content)
                 if a.dtype == object:
                     items = [a.item()] if a.ndim == 0 else list(a)
                 else:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.audits import first_by_id
 from ..operators.sequences import indexed
 
 
@@ -18,13 +22,49 @@ def sharded_parquet(df: DataFrame, path: str, shard: str = "shard_id") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(path)
 
 
-def utterance_tree(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("speaker_id", "book_id").json(path)
-
-
-def fixed_chunks(df: DataFrame, path: str, order: list[str], size: int = 10_000) -> None:
-    """Folders chunk=0, 1, ...: `size` rows each, in order."""
-    indexed(df, order).withColumn("chunk", F.floor(F.col("position") / size).cast("int")).drop("position").write.mode("overwrite").partitionBy("chunk").parquet(path)
+def utterance_tree(df: DataFrame, path: str, skip_existing: bool = True) -> None:
+    """A file for each entry below its speaker and book; of entries with one id the first in order of their bounds is
+    written, and none that is there already."""
+    there = None
+    if skip_existing:
+        try:
+            there = df.sparkSession.read.schema("entry_id string").option("recursiveFileLookup", True).json(path)
+        except AnalysisException:  # nothing yet
+            pass
+    rows = first_by_id(df, "entry_id", ["begin_time", "end_time"] if "begin_time" in df.columns else ["entry_id"], there)
+    rows.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("speaker_id", "book_id").json(path)
+
+
+def fixed_chunks(df: DataFrame, path: str, order: list[str], size: int = 10_000, resume: bool = False) -> None:
+    """Folders chunk=0, 1, ...: `size` rows each, in order. With `resume`, whole chunks that are there stay, and writing goes on
+    with the row after them."""
+    done = 0
+    if resume:
+        try:
+            sizes = df.sparkSession.read.parquet(path).groupBy("chunk").count().filter(F.col("count") == size)
+            done = sizes.count()
+        except AnalysisException:  # nothing yet
+            pass
+    rows = indexed(df, order).filter(F.col("position") >= done * size)
+    rows = rows.withColumn("chunk", F.floor(F.col("position") / size).cast("int")).drop("position")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if done else "static").partitionBy("chunk").parquet(path)
+
+
+def code_arrays(df: DataFrame, path: str, codes: str = "codes", name: str = "id") -> None:
+    """Code matrices of any length as nested arrays, in place of files of pickled objects."""
+    df.select(F.col(name).alias("id"), F.col(codes).cast("array<array<int>>").alias("codes")).write.mode("overwrite").parquet(path)
+
+
+def cached(df: DataFrame, path: str, key: str, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """compute(rows) for all rows, from a table at `path` where it has the key; what is new is added to it first."""
+    spark = df.sparkSession
+    try:
+        known = spark.read.parquet(path).select(key)
+        fresh = df.join(known, key, "left_anti")
+    except AnalysisException:  # nothing yet
+        fresh = df
+    compute(fresh).write.mode("append").parquet(path)
+    return spark.read.parquet(path).join(df.select(key).distinct(), key, "left_semi")
 
 
 def tsv(df: DataFrame, path: str, append: bool = False) -> None:
@@ -35,8 +75,11 @@ def lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-def json_stats(df: DataFrame, path: str, by: str = "language") -> None:
-    df.write.mode("overwrite").partitionBy(by).json(path)
+def json_stats(df: DataFrame, path: str, by: str = "language", mode: str = "full_analysis") -> None:
+    """A folder for each language; `mode` says how the numbers were found."""
+    if mode not in ("full_analysis", "sampling"):
+        raise ValueError(f"unknown mode {mode}")
+    df.withColumn("mode", F.lit(mode)).write.mode("overwrite").partitionBy(by).json(path)
 
 
 def report(head: str, rows: DataFrame, path: str) -> None:

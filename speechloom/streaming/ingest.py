@@ -32,15 +32,20 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files
     return files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
-def sessions(spark: SparkSession, stream: DataFrame, key: str, begin: str, end: str, tolerance: float = 0.2) -> DataFrame:
+def sessions(spark: SparkSession, stream: DataFrame, key: str, begin: str, end: str, tolerance: float = 0.2, forget: str | None = None) -> DataFrame:
     """Gap sessions of a stream whose rows come in order of `begin` within a key: (key, begin, end, segment_index).
 
-    The state of a key is the last end and its segment; batch and stream give the same segments.
+    The state of a key is the last end and its segment; batch and stream give the same segments. A row that comes after
+    a later one of its key is compared with that one's end. forget: a key without rows for so long, in processing time, is
+    closed and its state dropped; without it, the state has an entry for every key for ever.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def step(k, frames, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last, segment = state.get if state.exists else (None, 0)
         rows = pd.concat(list(frames)).sort_values([begin, end], kind="stable")
         out = []
@@ -50,7 +55,9 @@ def sessions(spark: SparkSession, stream: DataFrame, key: str, begin: str, end:
             last = e
             out.append(segment)
         state.update((float(last), int(segment)))
+        if forget:
+            state.setTimeoutDuration(forget)
         yield pd.DataFrame({key: [k[0]] * len(out), begin: rows[begin].to_numpy(), end: rows[end].to_numpy(), "segment_index": out})
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {begin} double, {end} double, segment_index int", "last double, segment int", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {begin} double, {end} double, segment_index int", "last double, segment int", "append", GroupStateTimeout.ProcessingTimeTimeout if forget else GroupStateTimeout.NoTimeout)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from speechloom import plugins
 from speechloom.functions.alphabet import Alphabet
+from speechloom.functions import ids
 from speechloom.functions.markup import AE, AS, BOS, EOS, TE, TS
 from speechloom.operators import audits, documents, merges, sequences, statistics
 from speechloom.plans import recipes
-from speechloom.sources import readers, writers
+from speechloom.sources import publish, readers, writers
 from speechloom.streaming import ingest
 
 
@@ -210,3 +211,237 @@ def test_work_state(spark):
     assert got == [("s1", True, 1, 2, True, False), ("s2", False, 0, 0, False, True)]
     want = spark.createDataFrame([("/w/s2/s2.tar.gz",), ("/w/none",)], "path string")
     assert rows(readers.available(spark, want, files)) == [("/w/none", False), ("/w/s2/s2.tar.gz", True)]
+
+
+def test_publishing(spark, tmp_path):
+    source, target = tmp_path / "local", tmp_path / "hub" / "data"
+    (source / "sub").mkdir(parents=True)
+    target.parent.mkdir()
+    for k in range(5):
+        (source / ("sub" if k % 2 else ".") / f"f{k}.txt").write_text("x" * (k + 1))
+    waits = []
+    publish.publish_folder(spark, str(source), str(target), sleep=waits.append)
+    assert sorted(p.name for p in target.rglob("*.txt")) == [f"f{k}.txt" for k in range(5)] and not list(tmp_path.rglob("_draft*")) and not waits
+    with pytest.raises(publish.Conflict):  # it is there already
+        publish.publish_folder(spark, str(source), str(target), attempts=3, sleep=waits.append)
+    assert len(waits) == 2 and 5 <= waits[0] <= 10 and 10 <= waits[1] <= 15 and publish.conflict_delay(9) == 120
+    (target / "f2.txt").unlink()
+    (target / "f4.txt").write_text("short")
+    (target / "f4.txt").write_text("other size")
+    assert rows(publish.compared(spark, str(source), str(target)).select("name", "state")) == [("f0.txt", "published"), ("f2.txt", "missing"), ("f4.txt", "different"), ("sub/f1.txt", "published"), ("sub/f3.txt", "published")]
+    assert publish.delete_published(spark, str(source), str(target)) == 3
+    assert sorted(p.name for p in source.rglob("*.txt")) == ["f2.txt", "f4.txt"]
+    publish.publish_table(spark.range(3), str(tmp_path / "t"))
+    with pytest.raises(Exception, match="(?i)already exists"):
+        publish.publish_table(spark.range(3), str(tmp_path / "t"))
+
+
+def test_retries_and_limits():
+    calls, waits = [], []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("away")
+        return "here"
+
+    assert publish.retried(flaky, sleep=waits.append) == "here" and waits == [1.0, 2.0]
+    assert publish.retried(lambda: open("/nowhere/x"), otherwise=lambda: "direct", sleep=waits.append) == "direct"
+    with pytest.raises(OSError):
+        publish.retried(lambda: open("/nowhere/x"), sleep=waits.append)
+    import threading
+    import time
+
+    now, most, lock = [0], [0], threading.Lock()
+
+    def job(k):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.02)
+        with lock:
+            now[0] -= 1
+        return k
+
+    assert publish.run_limited([lambda k=k: job(k) for k in range(12)], 3) == list(range(12)) and most[0] <= 3
+    assert publish.run_limited([], 2) == []
+
+
+def test_monitor_reports_again(spark):
+    seen, waits = [], []
+    for got in publish.watched(lambda: spark.range(len(seen)), 30, rounds=3, sleep=waits.append):
+        seen.append(len(got))
+    assert seen == [0, 1, 2] and waits == [30, 30]
+
+
+def test_archives_are_extracted_once(spark, tmp_path):
+    for name, size in (("a", 3), ("b", 2)):
+        with tarfile.open(tmp_path / f"{name}.tar", "w") as t:
+            for k in range(size):
+                (tmp_path / "m.txt").write_text(f"{name}{k}")
+                t.add(tmp_path / "m.txt", f"{name}/{k}.txt")
+    target = str(tmp_path / "out")
+    got = readers.extract(spark, str(tmp_path / "*.tar"), target, ".txt")
+    assert sorted(bytes(r.content).decode() for r in got.collect()) == ["a0", "a1", "a2", "b0", "b1"]
+    (tmp_path / "a.tar").write_bytes(b"no archive any more")  # it isn't opened again
+    assert readers.extract(spark, str(tmp_path / "*.tar"), target, ".txt").count() == 5
+
+
+def test_skipped_files_are_counted(spark, tmp_path):
+    d = tmp_path / "s" / "b"
+    d.mkdir(parents=True)
+    (d / "1.json").write_text(json.dumps({"entry_id": "e"}))
+    (d / "2.json").write_text("{broken")
+    assert [r.entry_id for r in readers.utterance_tree(spark, str(tmp_path)).collect()] == ["e"]
+    assert [r.path.rsplit("/", 1)[1] for r in readers.unreadable_utterances(spark, str(tmp_path)).collect()] == ["2.json"]
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "p"))
+    (tmp_path / "p" / "bad.parquet").write_bytes(b"PAR1 and nothing")
+    assert [r.path.rsplit("/", 1)[1] for r in readers.unreadable_parquet(spark, str(tmp_path / "p")).collect()] == ["bad.parquet"]
+
+
+def test_arrays_run_no_code(spark, tmp_path):
+    import os
+    import pickle
+
+    class Evil:
+        def __reduce__(self):
+            return os.mkdir, (str(tmp_path / "owned"),)
+
+    bad = np.empty(1, dtype=object)
+    bad[0] = Evil()
+    np.save(tmp_path / "bad.npy", bad, allow_pickle=True)
+    with pytest.raises(pickle.UnpicklingError):
+        readers.load_array((tmp_path / "bad.npy").read_bytes())
+    assert not (tmp_path / "owned").exists()
+    one = np.empty((), dtype=object)
+    one[()] = np.arange(6, dtype="uint16").reshape(2, 3)
+    np.save(tmp_path / "one.npy", one, allow_pickle=True)
+    assert readers.load_array((tmp_path / "one.npy").read_bytes()).item().tolist() == [[0, 1, 2], [3, 4, 5]]
+
+
+def test_counts_and_rows_from_the_first_file_there_is(spark, tmp_path):
+    assert readers.first_counts(spark, [str(tmp_path / "no.json")]).count() == 0
+    (tmp_path / "c.json").write_text('{"en000": 3}')
+    assert rows(readers.first_counts(spark, [str(tmp_path / "no.json"), str(tmp_path / "c.json")])) == [("en000", 3)]
+    spark.range(7).write.parquet(str(tmp_path / "n"))
+    (tmp_path / "info.json").write_text('{"num_rows": 12}')
+    (tmp_path / "card.json").write_text("{}")
+    assert readers.total_rows(spark, str(tmp_path / "n"), [str(tmp_path / "no"), str(tmp_path / "card.json")]) == 7
+    assert readers.total_rows(spark, str(tmp_path / "n"), [str(tmp_path / "card.json"), str(tmp_path / "info.json")]) == 12
+
+
+def test_utterance_files_and_resumed_chunks(spark, tmp_path):
+    base = [("e1", "s", "b", 2.0, 3.0), ("e1", "s", "b", 1.0, 2.0), ("e2", "s", "c", 0.0, 1.0)]
+    df = spark.createDataFrame(base, "entry_id string, speaker_id string, book_id string, begin_time double, end_time double")
+    out = str(tmp_path / "tree")
+    for _ in range(2):  # nothing new the second time
+        writers.utterance_tree(df, out)
+        files = list((tmp_path / "tree").rglob("*.json"))
+        assert len(files) == 2 and sorted(json.loads(f.read_text())["begin_time"] for f in files) == [0.0, 1.0]
+    chunks = str(tmp_path / "chunks")
+    writers.fixed_chunks(spark.range(25), chunks, ["id"], 10, resume=True)
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "chunks" / "chunk=0").glob("*.parquet")}
+    writers.fixed_chunks(spark.range(40), chunks, ["id"], 10, resume=True)
+    assert rows(spark.read.parquet(chunks).groupBy("chunk").count()) == [(k, 10) for k in range(4)]
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "chunks" / "chunk=0").glob("*.parquet")} == before
+
+
+def test_cache_computes_what_is_new(spark, tmp_path):
+    asked = []
+
+    def compute(df):
+        asked.append(sorted(r.id for r in df.collect()))
+        return df.select("id", (F.col("id") * 2).alias("twice"))
+
+    path = str(tmp_path / "cache")
+    assert rows(writers.cached(spark.range(3), path, "id", compute)) == [(0, 0), (1, 2), (2, 4)]
+    assert rows(writers.cached(spark.range(1, 5), path, "id", compute)) == [(1, 2), (2, 4), (3, 6), (4, 8)]
+    assert asked == [[0, 1, 2], [3, 4]]
+
+
+def test_predicates_and_orders(spark):
+    df = spark.createDataFrame([("en/a.parquet",), ("en/a.txt",), ("end/a.parquet",), ("x/train-1",)], "p string")
+    assert [r.p for r in df.filter(ids.in_shard(F.col("p"), "en")).collect()] == ["en/a.parquet"]
+    assert [r.p for r in df.filter(ids.in_split(F.col("p"))).collect()] == ["x/train-1"]
+    assert spark.createDataFrame([("SPEAKER_01",)], "s string").select(ids.speaker(F.col("s"))).first()[0] == "SPEAKER_01"
+    for bad in ("01", None):
+        with pytest.raises(Exception, match="no such speaker"):
+            spark.createDataFrame([(bad,)], "s string").select(ids.speaker(F.col("s"))).collect()
+    stats = spark.createDataFrame([("b", 50.0, 3), ("a", 50.0, 9), ("c", 90.0, 1)], "shard string, pct double, remaining long")
+    order = lambda by: [r.shard for r in audits.ordered_stats(stats, "shard", by).collect()]
+    assert (order("name"), order("completion"), order("remaining")) == (list("abc"), list("cab"), list("abc"))
+    with pytest.raises(ValueError):
+        audits.ordered_stats(stats, "shard", "size")
+    with_, without = audits.with_counts(stats, stats.filter("shard = 'a'").select("shard", F.lit(4).alias("n")), "shard")
+    assert with_.count() == 1 and sorted(r.shard for r in without.collect()) == ["b", "c"]
+    means = spark.createDataFrame([(0, 5.0), (1, -5.0)], "dimension int, mean double")
+    fresh = statistics.new_rows(means, 500).groupBy("dimension").agg(F.avg("x").alias("m"), F.stddev("x").alias("s")).orderBy("dimension").collect()
+    assert all(abs(r.m - m) < 0.01 and 0.015 < r.s < 0.025 for r, m in zip(fresh, (5.0, -5.0), strict=True))
+
+
+def test_padded_batches_and_decoding(spark, tmp_path):
+    import wave
+
+    model = plugins.Energy(codebooks=2, size=16)
+    waves = [[0.5] * 4000, [], None, [0.1] * 1920, [-0.9] * 1921, [0.2] * 10]
+    alone = [plugins.encode_padded(model, [w])[0] for w in waves]
+    assert plugins.encode_padded(model, waves) == alone
+    assert [len(c[0]) if c else 0 for c in alone] == [3, 0, 0, 1, 2, 1]
+    df = spark.createDataFrame([(k, w) for k, w in enumerate(waves)], "k int, samples array<float>").repartition(2)
+    encode, decode = plugins.encoder_udf(lambda: plugins.Energy(codebooks=2, size=16), batch=4), plugins.decoder_udf(lambda: plugins.Energy(codebooks=2, size=16), batch=2)
+    got = {r.k: r for r in df.select("k", encode("samples").alias("codes")).withColumn("back", decode("codes")).collect()}
+    assert [[list(row) for row in got[k].codes] for k in range(6)] == alone
+    assert [len(got[k].back) for k in range(6)] == [3 * 1920, 0, 0, 1920, 2 * 1920, 1920]
+    for name, channels in (("one", 1), ("two", 2)):
+        with wave.open(str(tmp_path / f"{name}.wav"), "wb") as w:
+            w.setnchannels(channels)
+            w.setsampwidth(2)
+            w.setframerate(8000)
+            w.writeframes(np.array([0, 16384, -32768, 0], "<i2").tobytes())
+    (tmp_path / "bad.wav").write_bytes(b"RIFFnot")
+    files = spark.read.format("binaryFile").load(str(tmp_path / "*.wav")).select(F.substring_index("path", "/", -1).alias("name"), plugins.wave_decode("content").alias("a"))
+    got = {r.name: r.a for r in files.collect()}
+    assert got["one.wav"].samples == [0.0, 0.5, -1.0, 0.0] and got["two.wav"].samples == [0.25, -0.5] and got["one.wav"].rate == 8000
+    assert got["bad.wav"].samples is None
+
+
+def test_threshold_batches_fold(spark):
+    import random
+
+    r = random.Random(1)
+    base = [(f"k{r.randrange(4)}", n, r.randint(0, 9)) for n in range(400)]
+    df = spark.createDataFrame(base, "k string, o int, s int").repartition(5)
+    want = []
+    for key in {x[0] for x in base}:
+        total = batch = 0
+        for _, o, s in sorted(x for x in base if x[0] == key):
+            want.append((key, o, s, batch))
+            total += s
+            if total >= 20:
+                total, batch = 0, batch + 1
+    assert rows(sequences.threshold_batches(df, "k", "o", "s", 20)) == sorted(want, key=repr)
+
+
+def test_consistent_in_stretches(spark):
+    import random
+
+    a, r = Alphabet(codebooks=3, size=4, offset=0x4E00), random.Random(2)
+    texts = ["".join(chr(0x4E00 - 1 + r.randrange(14)) for _ in range(n)) for n in [0, 1, 2, 3, 5, 17, 100, 999] for _ in range(4)]
+
+    def kept(text):
+        book = [max(-1, min(2, (ord(c) - 0x4E00) // 4)) for c in text]
+        wait, out = max(0, book[0]) if book else 0, []
+        for c, k in zip(text, book, strict=True):
+            if k == wait:
+                out.append(c)
+                wait = (wait + 1) % 3
+        return "".join(out)
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", a.consistent(F.col("t")).alias("c")).collect()
+    assert len(got) == len(texts) and all(g.c == kept(g.t) for g in got)
+
+
+def test_positions_of_limited_groups(spark):
+    df = spark.createDataFrame([(k % 3, k) for k in range(300)], "g int, o int").repartition(7)
+    got = sequences.first_per_group(df, "g", ["o"], F.col("g") + 1, most=3)
+    assert rows(got) == [(0, 0), (1, 1), (1, 4), (2, 2), (2, 5), (2, 8)]
