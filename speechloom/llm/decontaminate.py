@@ -162,15 +162,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     ship(spark)
-    source = docs.select(*[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep)], F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kept = len(keep)
+    # a text that is kept passes once, not beside itself
+    source = docs.select(*[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep) if c != text_col], F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     blocks = blocks_of(benchmark, item_col, item_text, block_words, width)
     first = next(blocks)
     rest = next(blocks, None)
     many = rest is not None
     if many:  # hits of a row are united by a key of its own, in the order of the scan that a checkpoint fixes
         source = checkpoint(source.withColumn("row", F.monotonically_increasing_id()))
-    head = [f for f in source.schema if f.name != "text"]
+    head = [f for f in source.schema if f.name != "text" or text_col in keep]
     schema = T.StructType([*head, *T.StructType.fromDDL("n_words long, items array<string>, spans array<array<int>>")])
 
     def passed(items: list[tuple]) -> DataFrame:
@@ -185,7 +185,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             index = sent.value
             for b in slices(batches):
                 n_words, names, spans = [], [], []
-                for text in b.column(kept + 1).to_pylist():
+                for text in b.column(b.schema.get_field_index("text")).to_pylist():
                     words = words_of(text)
                     mask, items = index.hits(words, hashes(words)) if words else (None, set())
                     n_words.append(len(words))
@@ -195,7 +195,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     else:
                         turn = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
                         spans.append(turn.reshape(-1, 2).tolist())
-                cols = [b.column(i) for i in range(kept + 1)] + ([b.column(kept + 2)] if many else [])
+                cols = [b.column(b.schema.get_field_index(f.name)) for f in head]
                 cols += [pa.array(n_words, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int32())))]
                 yield pa.RecordBatch.from_arrays(cols, [f.name for f in schema])
 
@@ -228,7 +228,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         (F.size("spans") > 0).alias("contaminated"),
         "items",
         "spans",
-        *[F.col(f"keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)],
+        *[F.col("text" if c == text_col else f"keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)],
     )
 
 

@@ -300,9 +300,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     info = first.filter(is_doc).select("id", "n", "sig")
     order = rarity(first.filter(~is_doc), sketch_bits)
 
-    # equal sets: the smallest id stands for them
-    leaders = info.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"))
-    known = checkpoint(info.join(leaders, "sig", "left").select("id", "n", "rep"))
+    # equal sets: the smallest id stands for them. Sets that occur once need no look-up; the others are written down, so
+    # that the join has an exchange of its own, which the engine may split where one set has very many rows
+    leaders = checkpoint(info.filter("sig is not null").groupBy("sig").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
+    own = F.when(F.col("sig").isNotNull(), F.coalesce("rep", "id")).alias("rep")
+    known = checkpoint(info.join(small_or_plain(leaders, leaders.count(), 48), "sig", "left").select("id", "n", own))
     reps = known.filter("rep is not null").select("id", "rep").distinct()
 
     shared = checkpoint(shared_only(postings(source, order, sketch_bits, width, percent), percent))
@@ -392,3 +394,17 @@ def across(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+links AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT links.b, r.root FROM r JOIN links ON r.doc_id = links.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""

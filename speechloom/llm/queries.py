@@ -16,4 +16,4 @@ QUERIES = {
     "op9_language": langid.query,
     "op10_pack": packing.query,
 }
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE}

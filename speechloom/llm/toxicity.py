@@ -274,7 +274,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col: str | None, keep: tuple[str, ...] = ()) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"), *[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep)])
+    # a text that is kept passes once, not beside itself
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"), *[F.col(quoted(c)).alias(f"keep{i}") for i, c in enumerate(keep) if c != text_col])
+    back = [f for f in source.schema if f.name != "text" or text_col in keep]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("toxicity")
@@ -289,11 +291,10 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
                     held, size = [], 0
             if held:
                 scores.append(net.score(held))
-            names = [f.name for f in b.schema]
-            cols = [b.column(i) for i in range(len(names)) if names[i] != "text"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(scores) if scores else np.zeros(0))], [n for n in names if n != "text"] + ["score"])
+            cols = [b.column(b.schema.get_field_index(f.name)) for f in back]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(scores) if scores else np.zeros(0))], [f.name for f in schema])
 
-    schema = T.StructType([*(f for f in source.schema if f.name != "text"), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*back, T.StructField("score", T.DoubleType())])
     scored = source.mapInArrow(run, schema)
     threshold = F.lit(net.common)
     for lang, t in net.thresholds.items():
@@ -305,7 +306,7 @@ def score_with(net: Net, docs: DataFrame, id_col: str, text_col: str, lang_col:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         threshold.alias("threshold"),
         (F.col("score") >= threshold).alias("rejected"),
-        *[F.col(f"keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)],
+        *[F.col("text" if c == text_col else f"keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)],
     )
 
 

@@ -2,12 +2,13 @@
 
 import os
 import random
+import zlib
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from speechloom.llm import queries
+from speechloom.llm import queries, url_filter
 
 from .test_near_and_leaks import brute, leaks
 
@@ -28,6 +29,38 @@ def test_against_sql(spark, name):
     assert sorted(repr([r[c] for c in sorted(df.columns)]) for r in df.collect()) == want
 
 
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in queries.ORACLES])
+def test_without_sql(spark, name):
+    """Queries that SQL can't express run over their whole tables: a row for each row, with the columns of the contract."""
+    con = duckdb.connect()
+    one = lambda sql: con.execute(sql).fetchall()
+    documents = f"'{DIR}/documents.parquet'"
+    got = queries.QUERIES[name](spark, DIR)
+    rows = got.collect()
+    if name == "op4_url_filter":
+        # host, path, rule and the ruled verdicts by SQL
+        rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+        want = one(f"""WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM '{DIR}/pages.parquet'),
+          h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+          m AS (SELECT page_id, arg_max(h2 || p2, length(h2 || p2)) AS rule, arg_max(v, length(h2 || p2)) AS verdict FROM h JOIN (VALUES {rules}) t(v, h2, p2) ON (host = h2 OR ends_with(host, '.' || h2)) AND starts_with(path, p2) GROUP BY page_id)
+          SELECT page_id, host, path, rule, verdict FROM h LEFT JOIN m USING (page_id)""")
+        assert sorted((r.page_id, r.host, r.path, r.rule or "", r.verdict if r.rule else "") for r in rows) == sorted((*w[:3], w[3] or "", w[4] or "") for w in want)
+        assert {r.verdict for r in rows} <= {"allow", "block"}
+        return
+    ids = sorted(r[0] for r in one(f"SELECT doc_id FROM {documents}"))
+    if name == "op10_pack":
+        assert sorted({r.doc_id for r in rows}) == sorted(set(ids)) and all(0 <= r.offset and r.offset + r.length <= 2048 for r in rows)
+        return
+    assert sorted(r.doc_id for r in rows) == ids
+    fold = {"op8_toxicity": (5, 0), "op9_language": (4, 2)}.get(name)
+    if fold:
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % fold[0] == fold[1]) and 0 <= r.score <= 1 for r in rows)
+    if name == "op2_token_counts":
+        sizes = dict(one(f"SELECT doc_id, octet_length(encode(coalesce(text, ''))) FROM {documents}"))
+        assert all(r.n_bytes == sizes[r.doc_id] and r.over_limit == (r.n_tokens > 1024) for r in rows)
+
+
 def test_pipeline_stages(spark, tmp_path):
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 6)))
