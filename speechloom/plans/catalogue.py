@@ -721,11 +721,8 @@ def json_array_roundtrip(spark, d):
     """A file of one array for each order status and priority."""
     path = scratch(spark)
     rows = Tables(spark, d).orders.groupBy("o_orderstatus", F.pmod("o_orderkey", F.lit(8)).alias("file")).agg(F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("line"))
-    writers.batched_parquet(rows, path + "/rows")
-    for r in spark.read.parquet(path + "/rows").select("o_orderstatus", "file").collect():  # a row for each file
-        one = spark.read.parquet(path + "/rows").filter((F.col("o_orderstatus") == r[0]) & (F.col("file") == r[1]))
-        writers.lines(one.coalesce(1), "line", f"{path}/json/{r[0]}{r[1]}")
-    return readers.json_array(spark, f"{path}/json/*", "o_orderkey long, o_orderstatus string")
+    rows.select(F.concat("o_orderstatus", "file").alias("part"), "line").write.partitionBy("part").text(path)
+    return readers.json_array(spark, path, "o_orderkey long, o_orderstatus string").select("o_orderkey", "o_orderstatus")
 
 
 @query(
