@@ -39,6 +39,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster shares."""
+    """Cut the lineage in the folder the cluster shares.
+
+    Spark deletes shuffle files and checkpoints of steps that are over when the driver collects its garbage, and a driver
+    with little to hold hardly ever does (every half hour by default); so it is asked to here.
+    """
     checkpoint_folder(df.sparkSession)
+    df.sparkSession._jvm.System.gc()
     return df.checkpoint(eager=True)
