@@ -27,8 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch at most. Spark's default of ten thousand whole documents is held several times over, outside the heap
+#: on the way to a Python worker and back, and in the worker.
+BATCH = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable by the Python workers of every executor, once per application."""
+    """Make this package importable by the Python workers of every executor, once per application, and bound their batches."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
