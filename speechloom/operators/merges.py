@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alphabet import Alphabet
+from ..session import checkpoint
 
 
 @dataclass(frozen=True)
@@ -51,10 +53,11 @@ def initial_alphabet(alphabet: Alphabet = Alphabet()) -> list[str]:
     return [chr(alphabet.offset + k) for k in range(alphabet.codebooks * alphabet.size)]
 
 
-def merged(tokens: list[str], pair: tuple[str, str]) -> list[str]:
+def joined(tokens: list[str], pairs: set[tuple[str, str]]) -> list[str]:
+    """One pass from left to right that joins these pairs, no two of which share a token."""
     out, i = [], 0
     while i < len(tokens):
-        if i + 1 < len(tokens) and (tokens[i], tokens[i + 1]) == pair:
+        if i + 1 < len(tokens) and (tokens[i], tokens[i + 1]) in pairs:
             out.append(tokens[i] + tokens[i + 1])
             i += 2
         else:
@@ -63,39 +66,83 @@ def merged(tokens: list[str], pair: tuple[str, str]) -> list[str]:
     return out
 
 
-def train(strings: DataFrame, column: str, plan: MergePlan, rounds: int | None = None) -> list[tuple[str, str]]:
-    """The merges in order. Each round counts neighbouring tokens in all strings, with partial sums in each task, and
-    takes the most frequent pair (the first in order of text among equals); only that pair reaches the driver."""
+def independent(ranked: list[tuple[str, str, int]], made: set[str], whole: bool) -> list[tuple[str, str]]:
+    """Of the pairs in order, most frequent first, the leading ones that one round can merge with the result of one round each.
+
+    They share no token, so merging one changes the count of no other. A pair with a new token occurs at most as often as
+    the old pair it comes from, which shares a token with a merged one; so only pairs that occur more often than the first
+    that shares a token are taken, or than the last of the list if there are more (`whole` is false). A pair of equal
+    tokens, or one that makes a token there is already, is merged alone, as the pairs it brings have no such bound.
+    """
+    taken, used, bound, made = [], set(), 0 if whole else ranked[-1][2], set(made)
+    for a, b, n in ranked:
+        loose = a == b or a + b in made
+        if loose and not taken:
+            return [(a, b)]
+        if loose or a in used or b in used:
+            bound = max(bound, n)
+            break
+        taken.append((a, b, n))
+        used |= {a, b}
+        made.add(a + b)
+    return [(a, b) for k, (a, b, n) in enumerate(taken) if not k or n > bound]
+
+
+def train(strings: DataFrame, column: str, plan: MergePlan, rounds: int | None = None, at_once: int = 1000) -> list[tuple[str, str]]:
+    """The merges in order: always the most frequent pair of neighbouring tokens, the first in order of text among equals.
+
+    Each round counts the pairs of all strings, with partial sums in each task, and merges all that are independent();
+    only the `at_once` most frequent reach the driver. The strings are kept as tokens, one row for equal ones, in the
+    checkpoint folder, so a round applies its own merges only. `rounds` bounds the merges. Null strings are left out.
+    """
     limit, learned = plan.max_token_length, []
     if limit == 1:
         return learned
-    weighted = strings.groupBy(column).agg(F.count(F.lit(1)).alias("w")).select(F.col(column).alias("s"), "w").persist()
-    try:
-        for _ in range(plan.merges if rounds is None else min(rounds, plan.merges)):
-            done = list(learned)
-
-            def pairs(batches: Iterable[pa.RecordBatch], done=done) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    sums: dict[tuple[str, str], int] = {}
-                    for s, w in zip(b["s"].to_pylist(), b["w"].to_pylist(), strict=True):
-                        tokens = apply(s, done)
-                        for p in zip(tokens, tokens[1:], strict=False):
-                            if limit is None or len(p[0]) + len(p[1]) <= limit:
-                                sums[p] = sums.get(p, 0) + int(w)
-                    cols = [pa.array([p[0] for p in sums], pa.string()), pa.array([p[1] for p in sums], pa.string()), pa.array(list(sums.values()), pa.int64())]
-                    yield pa.RecordBatch.from_arrays(cols, ["a", "b", "n"])
-
-            best = weighted.mapInArrow(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= plan.min_frequency).orderBy(F.desc("n"), "a", "b").first()
-            if best is None:
-                break
-            learned.append((best["a"], best["b"]))
-    finally:
-        weighted.unpersist()
+    most = plan.merges if rounds is None else min(rounds, plan.merges)
+
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums: dict[tuple[str, str], int] = {}
+            for tokens, w in zip(batch["tokens"].to_pylist(), batch["w"].to_pylist(), strict=True):
+                for p in zip(tokens, tokens[1:], strict=False):
+                    if limit is None or len(p[0]) + len(p[1]) <= limit:
+                        sums[p] = sums.get(p, 0) + w
+            cols = [pa.array([p[0] for p in sums], pa.string()), pa.array([p[1] for p in sums], pa.string()), pa.array(list(sums.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "n"])
+
+    def applied(found: set[tuple[str, str]]):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tokens = [joined(t, found) for t in batch["tokens"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.string())), batch["w"]], ["tokens", "w"])
+
+        return run
+
+    weighted = strings.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("s")).agg(F.count(F.lit(1)).alias("w"))
+    state = checkpoint(weighted.select(F.split("s", "").alias("tokens"), "w"))
+    made: set[str] = set()
+    while len(learned) < most:
+        counts = state.mapInArrow(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        ranked = [tuple(r) for r in counts.filter(F.col("n") >= plan.min_frequency).orderBy(F.desc("n"), "a", "b").limit(at_once).collect()]
+        if not ranked:
+            break
+        found = independent(ranked, made, len(ranked) < at_once)[: most - len(learned)]
+        learned += found
+        made |= {a + b for a, b in found}
+        if len(learned) < most:
+            state = checkpoint(state.mapInArrow(applied(set(found)), "tokens array<string>, w long"))
     return learned
 
 
 def apply(text: str, merges: list[tuple[str, str]]) -> list[str]:
-    tokens = list(text)
-    for pair in merges:
-        tokens = merged(tokens, pair)
-    return tokens
+    """The tokens of a text: merges in their order, each once from left to right; those without an effect are passed over."""
+    places: dict[tuple[str, str], list[int]] = {}
+    for k, p in enumerate(merges):
+        places.setdefault(p, []).append(k)
+    tokens, first = list(text), 0
+    while True:
+        waiting = [at[k] for p in set(zip(tokens, tokens[1:], strict=False)) if (at := places.get(p)) and (k := bisect_left(at, first)) < len(at)]
+        if not waiting:
+            return tokens
+        first = min(waiting) + 1
+        tokens = joined(tokens, {merges[first - 1]})

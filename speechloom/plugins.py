@@ -125,19 +125,36 @@ def wave_decode(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(c) for c in content], columns=["samples", "rate"])
 
 
+def resampled(x, source: int, rate: int, zeros: int = 16):
+    """Samples at `rate` by a Hann-windowed sinc of so many zero crossings on each side; of the lower rate's band only.
+
+    Weights are made to sum to 1 at each place, so a constant stays one up to the edges. int(n * rate / source) samples.
+    """
+    import numpy as np
+
+    x = np.asarray(x, np.float32)
+    if source == rate or not len(x):
+        return x
+    n, cut = len(x) * rate // source, min(1.0, rate / source)
+    reach = math.ceil(zeros / cut)
+    taps = np.arange(-reach, reach + 1)
+    out = np.empty(n, np.float32)
+    for first in range(0, n, 1 << 14):  # so that a long file needs no table of all its weights
+        t = np.arange(first, min(n, first + (1 << 14))) * (source / rate)
+        at = np.floor(t).astype(np.int64)[:, None] + taps
+        far = (t[:, None] - at) * cut
+        weight = np.where(np.abs(far) < zeros, np.sinc(far) * (0.5 + 0.5 * np.cos(np.pi * far / zeros)), 0.0)
+        weight[(at < 0) | (at >= len(x))] = 0
+        out[first : first + len(t)] = (weight * x[np.clip(at, 0, len(x) - 1)]).sum(1) / weight.sum(1)
+    return out
+
+
 def resampler_udf(rate: int) -> Callable[[Column, Column], Column]:
-    """Linear resampling to `rate`; a real filter may take its place."""
+    """resampled() as a function of the samples and their rate; null without either."""
 
     @F.pandas_udf("array<float>")
     def resample(samples: pd.Series, source: pd.Series) -> pd.Series:
-        import numpy as np
-
-        def one(x, r):
-            x = np.asarray(x, dtype="float32")
-            n = int(len(x) * rate / r)
-            return np.interp(np.arange(n) * r / rate, np.arange(len(x)), x).astype("float32") if len(x) else x
-
-        return pd.Series([one(x, r) for x, r in zip(samples, source, strict=True)])
+        return pd.Series([None if x is None or pd.isna(r) else resampled(x, int(r), rate) for x, r in zip(samples, source, strict=True)])
 
     return resample
 

@@ -1,5 +1,7 @@
 import json
+import random
 import tarfile
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ from speechloom import plugins
 from speechloom.functions.alphabet import Alphabet
 from speechloom.functions import ids
 from speechloom.functions.markup import AE, AS, BOS, EOS, TE, TS
-from speechloom.operators import audits, documents, merges, sequences, statistics
+from speechloom.operators import audits, documents, merges, sequences, statistics, vocabulary
 from speechloom.plans import recipes
 from speechloom.sources import publish, readers, writers
 from speechloom.streaming import ingest
@@ -181,6 +183,86 @@ def test_merges(spark):
     assert merges.train(df, "s", merges.MergePlan(Alphabet(codebooks=1, size=4, offset=97), vocab_size=10, max_ngrams=0)) == []
 
 
+def pair_counts(rows, limit):
+    n = Counter(p for t in rows for p in zip(t, t[1:]) if len(p[0]) + len(p[1]) <= limit)
+    return sorted(((a, b, c) for (a, b), c in n.items() if c > 1), key=lambda r: (-r[2], r[0], r[1]))
+
+
+def one_at_a_time(texts, limit, most):
+    rows, learned = [list(t) for t in texts], []
+    while len(learned) < most and (ranked := pair_counts(rows, limit)):
+        learned.append(ranked[0][:2])
+        rows = [merges.joined(t, {learned[-1]}) for t in rows]
+    return learned, rows
+
+
+def random_texts(seed):
+    r = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"[: r.randint(1, 26)]
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(r.randint(1, 30))]
+    return texts + texts[:5] + ["abcabcabc" * 4, "aaaaaaa"]
+
+
+def test_merges_of_rounds_are_those_of_one_at_a_time():
+    fewer = 0
+    for seed in range(150):
+        texts, limit, at_once = random_texts(seed), 2 + seed % 8, (2, 7, 1000)[seed % 3]
+        want, rows = one_at_a_time(texts, limit, 60)
+        state, learned, rounds = [list(t) for t in texts], [], 0
+        while len(learned) < 60 and (ranked := pair_counts(state, limit)):
+            found = merges.independent(ranked[:at_once], {a + b for a, b in learned}, len(ranked) <= at_once)[: 60 - len(learned)]
+            state = [merges.joined(t, set(found)) for t in state]
+            learned += found
+            rounds += 1
+        assert learned == want and state == rows and [merges.apply(t, want) for t in texts] == rows
+        fewer += len(want) - rounds
+    assert fewer > 0
+
+
+def test_merges_of_a_table(spark):
+    texts = random_texts(5)
+    plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=200, max_ngrams=6)
+    got = merges.train(spark.createDataFrame([(t,) for t in [*texts, None]], "s string"), "s", plan, rounds=12)
+    assert got == one_at_a_time(texts, 6, 12)[0]
+
+
+def test_independent_pairs():
+    ranked = [("a", "b", 9), ("c", "d", 8), ("e", "f", 5), ("b", "c", 5), ("g", "h", 4)]
+    assert merges.independent(ranked, set(), True) == [("a", "b"), ("c", "d")]
+    assert merges.independent(ranked[:3], set(), True) == [("a", "b"), ("c", "d"), ("e", "f")]
+    assert merges.independent(ranked[:3], set(), False) == [("a", "b"), ("c", "d")]
+    assert merges.independent(ranked[:3], {"ab"}, True) == [("a", "b")]
+    assert merges.independent([("a", "a", 9), ("c", "d", 8)], set(), True) == [("a", "a")]
+
+
+def test_resampling_filter():
+    t = np.arange(24_000) / 24_000
+    low, high = np.sin(2 * np.pi * 440 * t), np.sin(2 * np.pi * 11_000 * t)
+    got = plugins.resampled(low + high, 24_000, 16_000)  # 11 kHz is above the new band
+    assert len(got) == 16_000
+    assert np.abs(got - np.sin(2 * np.pi * 440 * np.arange(16_000) / 16_000))[200:-200].max() < 5e-3
+    up = plugins.resampled(low, 24_000, 48_000)
+    assert np.abs(up - np.sin(2 * np.pi * 440 * np.arange(48_000) / 48_000))[200:-200].max() < 5e-3
+    assert np.allclose(plugins.resampled([0.25] * 50_000, 44_100, 24_000), 0.25) and len(plugins.resampled([], 8_000, 24_000)) == 0
+    assert plugins.resampled([1.0, 2.0], 8_000, 8_000).tolist() == [1.0, 2.0]
+
+
+def test_added_tokens(spark):
+    base = spark.range(151_669).select(F.format_string("t%d", "id").alias("token"), "id")
+    tags = ["<|text_start|>", "<|text_end|>", "<|audio_start|>", "<|audio_end|>"]
+    vocab = vocabulary.extended(base, [*merges.initial_alphabet(), *tags, "t5", tags[0], "<bos>", "<eos>"])
+    n, last, ids = vocab.agg(F.count("id"), F.max("id"), F.countDistinct("id")).first()
+    assert (n, last, ids) == (168_059, 168_058, 168_059)
+    assert vocabulary.ids_of(vocab, {"begin": "<bos>", "end": "<eos>", "none": "?"}) == {"begin": 168_057, "end": 168_058, "none": None}
+    assert [tuple(r) for r in vocabulary.extended(base.limit(0), ["x", "x", "y"]).collect()] == [("x", 0), ("y", 1)]
+    table = spark.createDataFrame([(k, [float(k), -1.0]) for k in range(10)], "id long, vector array<float>")
+    big = {r.id: list(r.vector) for r in vocabulary.resized(table, 400, trained=8).collect()}
+    assert sorted(big) == list(range(400)) and [big[k] for k in range(8)] == [[float(k), -1.0] for k in range(8)]
+    new = np.array([big[k] for k in range(8, 400)])
+    assert np.allclose(new.mean(0), [3.5, -1.0], atol=0.01) and np.allclose(new.std(0), 0.02, atol=0.005)
+    assert sorted(r.id for r in vocabulary.resized(table, 4).collect()) == [0, 1, 2, 3]
+
+
 def test_plugins(spark):
     df = spark.createDataFrame([([0.0] * 1921,), ([0.5] * 10,)], "x array<float>")
     codes = df.select(plugins.encoder_udf(plugins.Energy)(F.col("x")).alias("c")).collect()
