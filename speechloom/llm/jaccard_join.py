@@ -8,8 +8,9 @@
 3. The second pass emits of each set its prefix: floor(|x| - 0.8|x|) + 1 rarest shingles with their place. Sets that share
    no prefix shingle can't reach 0.8. Equal sets met in one task send one of them.
 4. Postings without a possible partner in their list are dropped in the sorted stream, by bounds from the best sizes and
-   places of the others. Equal sets are reduced to the smallest id before pairs are formed; copies are never expanded
-   into pairs.
+   places of the others. Lists that the counters say are long (`hot` or more, and 16 times the mean counter) are dealt over
+   `SPREAD` tasks instead of one, and their postings are judged by the bound of their own row alone. Equal sets are reduced
+   to the smallest id before pairs are formed; copies are never expanded into pairs.
 5. Links are looked for in rounds. Each representative is first verified against one partner, the leader it meets in most
    of its lists; what linked forms components. A pair within a component needs no further look: its result wouldn't change
    any component. Then all remaining pairs across components that pass the length and positional filters are formed, in a
@@ -44,6 +45,7 @@ WIDTH = 5
 #: A pair is linked when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SLICE = 1 << 15
+SPREAD = 256
 KEY = "row key of the join"
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,8 +111,13 @@ def summaries(docs: DataFrame, bits: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, sig binary, slice int, salt int, counts binary")
 
 
-def rarity(slices: DataFrame, bits: int, fan_in: int = 32) -> np.ndarray:
-    """Logarithms of the summed counters, a byte each: 2**bits bytes whatever the input."""
+def level(count: np.ndarray | float) -> np.ndarray:
+    """A counter as a byte: six steps for each doubling."""
+    return np.minimum(np.round(6 * np.log2(np.asarray(count, np.float64) + 1)), 255).astype(np.uint8)
+
+
+def rarity(slices: DataFrame, bits: int, hot: int, fan_in: int = 32) -> tuple[np.ndarray, int]:
+    """Levels of the summed counters, 2**bits bytes whatever the input, and the level from which a list is spread."""
 
     def add(t: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.uint64)
@@ -125,15 +132,17 @@ def rarity(slices: DataFrame, bits: int, fan_in: int = 32) -> np.ndarray:
         n = -(-n // fan_in)
         at = at.withColumn("part", F.pmod(F.hash("salt"), F.lit(n))).groupBy("slice", "part").applyInArrow(add, "slice int, salt int, counts binary")
         n = n if n > 1 else 0
-    out = np.zeros(1 << bits, np.uint8)
+    out, total = np.zeros(1 << bits, np.uint8), 0
     for r in at.select("slice", "counts").collect():  # of a fixed size
         c = np.frombuffer(zlib.decompress(r[1]), np.uint32)
-        out[r[0] * SLICE : (r[0] + 1) * SLICE] = np.round(6 * np.log2(c.astype(np.float64) + 1)).astype(np.uint8)
-    return out
+        out[r[0] * SLICE : (r[0] + 1) * SLICE] = level(c)
+        total += int(c.sum(dtype=np.uint64))
+    return out, int(level(max(hot, 16 * total / len(out))))
 
 
-def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent: int) -> DataFrame:
-    """(token, id, n, place) for the prefix of each set; of equal sets in a task, one."""
+def postings(docs: DataFrame, order: np.ndarray, long: int, bits: int, width: int, percent: int) -> DataFrame:
+    """(token, id, n, place, salt) for the prefix of each set; of equal sets in a task, one. The salt is 0 but in lists of
+    at least level `long`, whose rows it spreads by id."""
     sent = docs.sparkSession.sparkContext.broadcast(order)
     mask = np.uint64((1 << bits) - 1)
 
@@ -141,7 +150,7 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
         alone("jaccard_join")
         rare, seen = sent.value, set()
         for b in slices(batches):
-            tokens, ids, sizes, places = [], [], [], []
+            tokens, ids, sizes, places, salts = [], [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingle_set(text, width)
                 if not len(s) or i is None:
@@ -151,15 +160,17 @@ def postings(docs: DataFrame, order: np.ndarray, bits: int, width: int, percent:
                     continue
                 seen.add(d)
                 p = prefix_size(len(s), percent)
-                first = np.argsort(rare[(s & mask).astype(np.int64)], kind="stable")[:p]  # values are in order already
+                levels = rare[(s & mask).astype(np.int64)]
+                first = np.argsort(levels, kind="stable")[:p]  # values are in order already
                 tokens.append(s[first].view(np.int64))
                 ids.append(np.full(p, i, np.int64))
                 sizes.append(np.full(p, len(s), np.int32))
                 places.append(np.arange(p, dtype=np.int32))
+                salts.append(np.where(levels[first] >= long, 1 + zlib.crc32(i.to_bytes(8, "little", signed=True)) % SPREAD, 0).astype(np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, ids, sizes, places)], ["token", "id", "n", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, ids, sizes, places, salts)], ["token", "id", "n", "place", "salt"])
 
-    return docs.mapInArrow(run, "token long, id long, n int, place int")
+    return docs.mapInArrow(run, "token long, id long, n int, place int, salt int")
 
 
 def other_best(value: np.ndarray, group: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -195,9 +206,16 @@ def viable(token: np.ndarray, n: np.ndarray, place: np.ndarray, before: np.ndarr
     return keep
 
 
+def hopeful(n: np.ndarray, place: np.ndarray, before: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Rows that a partner of the smallest size allowed could be linked with, whoever is in their list."""
+    n, place, before = n.astype(np.int64), place.astype(np.int64), before.astype(np.int64)
+    return (100 + percent) * (before + n - place) >= percent * (n + -(-percent * n // 100))
+
+
 def shared_only(rows: DataFrame, percent: int, most: int = 200_000) -> DataFrame:
     """Postings that may have a partner. The stream is sorted by token; the last list of a batch is held back until it is
-    whole. A list of more than `most` rows passes in parts and unpruned, so that what is held is bounded."""
+    whole. Rows with a salt belong to lists dealt over many tasks and are judged one by one; any other list of more than
+    `most` rows passes in parts and unpruned, so that what is held is bounded."""
     schema = rows.schema
     use = ("n", "place", "before" if "before" in rows.columns else "place")
 
@@ -206,6 +224,11 @@ def shared_only(rows: DataFrame, percent: int, most: int = 200_000) -> DataFrame
         passing = None  # the token of a list that passes unpruned
         for b in batches:
             t = pa.Table.from_batches([b])
+            salted = t["salt"].to_numpy() > 0
+            if salted.any():
+                spread = t.filter(pa.array(salted))
+                yield from spread.filter(pa.array(hopeful(*(spread[c].to_numpy() for c in use), percent))).to_batches()
+                t = t.filter(pa.array(~salted))
             if held is not None:
                 t = pa.concat_tables([held, t]).combine_chunks()
             if not t.num_rows:
@@ -231,7 +254,7 @@ def shared_only(rows: DataFrame, percent: int, most: int = 200_000) -> DataFrame
         if held is not None and held.num_rows:
             yield from held.filter(pa.array(viable(held["token"].to_numpy(), *(held[c].to_numpy() for c in use), percent))).to_batches()
 
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, schema)
+    return rows.repartition("token", "salt").sortWithinPartitions("token").mapInArrow(run, schema)
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
@@ -289,7 +312,7 @@ def may_link(a: str, b: str, percent: int):
         and {100 + percent} * (least({a}.before, {b}.before) + 1 + least({n} - {i} - 1, {m} - {j} - 1)) >= {percent} * ({n} + {m})""")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, sketch_bits: int = 22) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, sketch_bits: int = 22, hot: int = 1000) -> DataFrame:
     """(id_col, n_shingles, component_id), one row for each row of `docs`."""
     spark = docs.sparkSession
     ship(spark)
@@ -298,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = checkpoint(summaries(source, sketch_bits, width))
     is_doc = F.col("slice").isNull()
     info = first.filter(is_doc).select("id", "n", "sig")
-    order = rarity(first.filter(~is_doc), sketch_bits)
+    order, long = rarity(first.filter(~is_doc), sketch_bits, hot)
 
     # equal sets: the smallest id stands for them. Sets that occur once need no look-up; the others are written down, so
     # that the join has an exchange of its own, which the engine may split where one set has very many rows
@@ -307,12 +330,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = checkpoint(info.join(small_or_plain(leaders, leaders.count(), 48), "sig", "left").select("id", "n", own))
     reps = known.filter("rep is not null").select("id", "rep").distinct()
 
-    shared = checkpoint(shared_only(postings(source, order, sketch_bits, width, percent), percent))
-    lists = shared.join(reps, "id").select("token", F.col("rep").alias("id"), "n", "place").distinct()
+    shared = checkpoint(shared_only(postings(source, order, long, sketch_bits, width, percent), percent))
+    # the salt is drawn anew: equal sets met in several tasks have several
+    anew = F.when(F.col("salt") > 0, 1 + F.pmod(F.hash("rep"), F.lit(SPREAD))).otherwise(0).alias("salt")
+    lists = shared.join(reps, "id").select("token", F.col("rep").alias("id"), "n", "place", anew).distinct()
     # what two linked sets share before a common prefix token is in both prefixes, so in lists: earlier tokens that are in
     # none, the rarest above all, can't be shared, and rows drop out that places alone would let pass
     for _ in range(2):
-        ranked = lists.select("token", "id", "n", "place", (F.row_number().over(Window.partitionBy("id").orderBy("place", "token")) - 1).alias("before"))
+        ranked = lists.select("token", "id", "n", "place", "salt", (F.row_number().over(Window.partitionBy("id").orderBy("place", "token")) - 1).alias("before"))
         lists = checkpoint(shared_only(ranked, percent))
     members = lists.select("id").distinct()
 

@@ -62,8 +62,10 @@ def test_near_duplicates_against_brute_force(spark):
     rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, " \n"), (len(rows) + 3, "one two"), (len(rows) + 4, "One\x0bTWO"), (len(rows) + 5, "one\xa0two"), (len(rows) + 6, "É a"), (len(rows) + 7, "é a")]
     rows += [(len(rows) + k, rows[3][1]) for k in range(20)]
     rows.append((len(rows) + 50, " ".join(r.choice(vocabulary) for _ in range(20_000))))
-    got = sorted(tuple(x) for x in jaccard_join.near_duplicates(docs(spark, rows).repartition(5), sketch_bits=16).collect())
-    assert got == brute(rows)
+    want = brute(rows)
+    for bits, hot in ((16, 1000), (20, 2)):  # with 2, nearly every shared list is dealt over tasks
+        got = sorted(tuple(x) for x in jaccard_join.near_duplicates(docs(spark, rows).repartition(5), sketch_bits=bits, hot=hot).collect())
+        assert got == want
 
 
 def test_near_duplicates_of_repeated_null_and_string_ids(spark):
@@ -96,18 +98,21 @@ def test_filters_lose_nothing():
         assert jaccard_join.linked(base, other) == (100 * both >= 80 * union)
         if 100 * both >= 80 * union:  # some shared prefix token leaves both rows in their list
             x, y = base[: jaccard_join.prefix_size(len(base))], other[: jaccard_join.prefix_size(len(other))]
-            ok = False
+            ok = alone = False
             for t in np.intersect1d(x, y):
                 n = np.array([len(base), len(other)])
                 place = np.array([np.flatnonzero(base == t)[0], np.flatnonzero(other == t)[0]])
                 ok |= bool(jaccard_join.viable(np.array([t, t]), n, place, place).all())
-            assert ok
+                alone |= bool(jaccard_join.hopeful(n, place, place).all())
+            assert ok and alone
 
 
 def test_held_lists_across_batches(spark):
-    rows = [(t, i, 10, 1) for t in range(40) for i in range(t % 4 + 1)]
-    df = spark.createDataFrame(rows, "token long, id long, n int, place int")
+    salted = [(t, i, 10, 1, 1 + i % 3) for t in range(1, 40, 6) for i in range(50)]
+    rows = [(t, i, 10, 1, 0) for t in range(40) for i in range(t % 4 + 1) if t % 6 != 1] + salted
+    df = spark.createDataFrame(rows, "token long, id long, n int, place int, salt int")
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert jaccard_join.hopeful(*(np.array([k]) for k in (10, 9, 0))).tolist() == [False]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         want = sorted(x for x in rows if x[0] % 4)
