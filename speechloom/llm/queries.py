@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, langid, packing, quality, token_counts, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, langid, packing, quality, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_language": langid.query,
     "op10_pack": packing.query,
+    "op11_html_extract": html_extract.query,
 }
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op11_html_extract": html_extract.ORACLE}
