@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, langid, merkle, packing, quality, token_counts, toxicity, url_filter
+from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, langid, merkle, packing, prefix_trie, quality, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_language": langid.query,
     "op10_pack": packing.query,
     "op11_html_extract": html_extract.query,
+    "op12_prefix_trie": prefix_trie.query,
     "op13_merkle": merkle.query,
 }
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op11_html_extract": html_extract.ORACLE, "op13_merkle": merkle.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_jaccard_join": jaccard_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op11_html_extract": html_extract.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE, "op13_merkle": merkle.ORACLE}
