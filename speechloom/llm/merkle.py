@@ -54,30 +54,38 @@ def tampered(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def placed(rows: DataFrame, key: str, order: list[str], parts_hint: int = 64) -> tuple[DataFrame, DataFrame]:
-    """The rows with tree, pos and n: the number of their key in order, their place among its rows, and its size; and (key,
-    tree, n), a row for each key.
+#: Tables of counts are broadcast up to this many bytes: what is broadcast passes through the driver.
+SENT = 2 << 20
 
-    One range sort by key and order, written once so that numbers hold if a task is run again; then places come from the
+
+def placed(rows: DataFrame, key: str, order: list[str], numbers: bool = False) -> DataFrame:
+    """The rows with pos, their place among the rows of their key, and n, how many those are; with `numbers` also tree, the
+    number of their key in the order of keys.
+
+    One range sort by key and order, written once so that places hold if a task is run again; then places come from the
     counts of (partition, key), as many rows as there are keys and partitions together.
     """
-    local = F.monotonically_increasing_id()
-    rows = checkpoint(rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("_at", local))
+    rows = checkpoint(rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("_at", F.monotonically_increasing_id()))
     rows = rows.withColumn("_part", F.shiftright("_at", 33))
-    counts = checkpoint(rows.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_here"), F.min("_at").alias("_first")))
-    groups = counts.groupBy(key).agg(F.sum("_here").alias("n"))
-    numbered = checkpoint(groups.repartitionByRange(key).sortWithinPartitions(key).withColumn("_at", local))
-    sizes = numbered.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("k"))
+    counts = rows.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_here"), F.min("_at").alias("_first"))
+    same, before = Window.partitionBy(key), Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_part").alias("_p"), F.col(key).alias("_key"), (F.coalesce(F.sum("_here").over(before), F.lit(0)) - F.col("_first")).alias("_base"), F.sum("_here").over(same).alias("n"))
+    starts = checkpoint(starts)
+    if numbers:
+        trees = in_order(starts.select("_key").distinct(), "_key", "tree").withColumnRenamed("_key", "_name")
+        starts = checkpoint(starts.join(trees, F.col("_key").eqNullSafe(F.col("_name"))).drop("_name"))
+    found = rows.join(small_or_plain(starts, starts.count(), 64, SENT), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
+    return found.withColumn("pos", F.col("_base") + F.col("_at")).drop("_part", "_at", "_p", "_key", "_base")
+
+
+def in_order(keys: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct keys with their number in order."""
+    rows = checkpoint(keys.repartitionByRange(key).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("k"))
     # a row for each shuffle partition
     before = sizes.select("_part", F.coalesce(F.sum("k").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    trees = numbered.join(F.broadcast(before), F.shiftright("_at", 33) == F.col("_part")).select(key, "n", (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("tree"))
-    trees = checkpoint(trees)
-    so_far = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_base", F.coalesce(F.sum("_here").over(so_far), F.lit(0)) - F.col("_first"))
-    starts = starts.select("_part", F.col(key).alias("_key"), "_base").join(small_or_plain(trees.withColumnRenamed(key, "_name"), trees.count(), parts_hint), F.col("_key").eqNullSafe(F.col("_name"))).select(F.col("_part").alias("_p"), "_key", "_base", "tree", "n")
-    starts = checkpoint(starts)
-    found = rows.join(small_or_plain(starts, starts.count(), parts_hint), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
-    return found.withColumn("pos", F.col("_base") + F.col("_at")).drop("_part", "_at", "_p", "_key", "_base"), trees
+    return rows.join(F.broadcast(before), part == F.col("_part")).select(key, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
 
 
 def height(n: int, fanout: int) -> int:
@@ -265,8 +273,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     ship(docs.sparkSession)
     lower = [F.translate(text_col, UPPER, LOWER) if c == text_col else F.col(c) for c in fields]
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), leaf([F.col(c) for c in fields]).alias("digest"), F.when(tampered(F.col(id_col)), leaf(lower)).alias("other"))
-    leaves, _ = placed(rows, "source", ["id", "digest"])
-    leaves = leaves.drop("source")
+    leaves = placed(rows, "source", ["id", "digest"], numbers=True).drop("source")
     rounds = climbed(leaves, fanout, block)
     tops = rounds[-1].select("tree", "digest")
     over = climbed(tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(tops.count()).cast("long").alias("n"), "digest"), fanout, block)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import checkpoint, ship, small_or_plain, table
-from .merkle import placed
+from .merkle import SENT, placed
 
 EMPTY = sha256(b"").hexdigest()
 
@@ -57,7 +57,7 @@ def turns(rows: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col
         F.unhex(F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text).cast("binary"), 256)).alias("digest"),
         F.octet_length(text).cast("long").alias("bytes"),
     )
-    return placed(told, "conv", ["turn", "digest"])[0].select("conv", "pos", "n", "digest", "bytes")
+    return placed(told, "conv", ["turn", "digest"]).select("conv", "pos", "n", "digest", "bytes")
 
 
 def borrowed(conv: Column, most: int = 9) -> Column:
@@ -76,17 +76,17 @@ def rebuilt(named: DataFrame, family: int = 5) -> tuple[DataFrame, DataFrame]:
     convs = sizes.join(bases, "base", "left").withColumn("taken", F.least("h", F.coalesce("base_n", F.lit(0))))
     convs = checkpoint(convs.select("conv", "base", "h", "taken", (F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("len")))
     small = convs.count()
-    own = named.join(small_or_plain(convs.select("conv", "h", "taken"), small, 48), "conv").filter("pos >= h").select("conv", (F.col("taken") + F.col("pos") - F.col("h")).alias("at"), "name", "bytes")
+    own = named.join(small_or_plain(convs.select("conv", "h", "taken"), small, 48, SENT), "conv").filter("pos >= h").select("conv", (F.col("taken") + F.col("pos") - F.col("h")).alias("at"), "name", "bytes")
     # a base's first turns, at most 8 of them
     heads = named.filter(f"conv % {family} = 0 and pos < 8").select(F.col("conv").alias("base"), "pos", "name", "bytes")
-    given = heads.join(small_or_plain(convs.select("conv", "base", "h"), small, 48), "base").filter("pos < h").select("conv", F.col("pos").alias("at"), "name", "bytes")
+    given = heads.join(small_or_plain(convs.select("conv", "base", "h"), small, 48, SENT), "base").filter("pos < h").select("conv", F.col("pos").alias("at"), "name", "bytes")
     return own.unionByName(given), convs.select("conv", "len")
 
 
 def named_pairs(pairs: DataFrame, first: int, keep: list[str]) -> tuple[DataFrame, int]:
     """Rows with (left, right) get a number for each distinct pair, from `first` on; (keep, name) and the first free number."""
     names, n = numbered(pairs.select("left", "right").distinct(), "name", first)
-    return checkpoint(pairs.join(small_or_plain(names, n, 32), ["left", "right"]).select(*keep, "name")), first + n
+    return checkpoint(pairs.join(small_or_plain(names, n, 32, SENT), ["left", "right"]).select(*keep, "name")), first + n
 
 
 def prefixes(units: DataFrame, convs: DataFrame, longest: int) -> DataFrame:
@@ -147,7 +147,7 @@ def prefix_trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     ship(rows.sparkSession)
     told = checkpoint(turns(rows, conv_col, turn_col, role_col, text_col))
     names, n = numbered(told.groupBy("digest").agg(F.count(F.lit(1)).alias("many")).select("digest"), "name")
-    named = checkpoint(told.join(small_or_plain(names, n, 96), "digest").select("conv", "pos", "n", "name", "bytes"))
+    named = checkpoint(told.join(small_or_plain(names, n, 96, SENT), "digest").select("conv", "pos", "n", "name", "bytes"))
     units, convs = rebuilt(named)
     units = checkpoint(units)
     longest = convs.agg(F.max("len")).first()[0] or 0
