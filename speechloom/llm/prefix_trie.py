@@ -2,12 +2,11 @@ r"""Prefix trie of conversations, by prefix doubling.
 
 Turns get dense names: equal (role, text) have one number, whole texts meet only as digests. Two neighbouring blocks of
 2^k turns make a block of 2^(k+1), named by a join with the distinct pairs of names, so that after log2(longest) rounds
-every aligned block has a name. A prefix is made of the blocks of its length's binary digits, longest first: from the
-highest digit down, a prefix of (2m+1) 2^k turns is the pair of the prefix of 2m 2^k turns and the block of 2^k that follows
-it, named in a round for each digit. Equal prefixes so have equal numbers, and nodes are groups of equal numbers.
+every aligned block has a name. A prefix is made of the blocks of its length's binary digits, longest first, so its name is
+the list of their names, at most one for each digit; nodes are groups of equal lists, and are numbered in turn.
 
 Sums over subtrees take a round for each power of two as well: what a node gathered from less than 2^k levels below goes to
-the ancestor 2^k levels above, which is looked up as the prefix of the node's first member, a unique key.
+the ancestor 2^k levels above. Ancestors are looked up once, as prefixes of the node's first member, a unique key.
 
 Names are written once (a task that ran again might number them differently) and hold by count: a partition's local
 number after the number of names in the partitions before. Every join is by keys that are unique on one side; sides that
@@ -89,20 +88,36 @@ def named_pairs(pairs: DataFrame, first: int, keep: list[str]) -> tuple[DataFram
     return checkpoint(pairs.join(small_or_plain(names, n, 32, SENT), ["left", "right"]).select(*keep, "name")), first + n
 
 
-def prefixes(units: DataFrame, convs: DataFrame, longest: int) -> DataFrame:
-    """(conv, depth, node): a number for each prefix of each conversation, equal where prefixes are."""
-    free, blocks = 0, [units]
-    while 1 << len(blocks) <= longest:
-        pairs = blocks[-1].groupBy("conv", F.shiftright("at", 1).alias("at")).agg(F.max(F.when(F.col("at") % 2 == 0, F.col("name"))).alias("left"), F.max(F.when(F.col("at") % 2 == 1, F.col("name"))).alias("right"))
+def blocks_of(units: DataFrame, longest: int) -> list[DataFrame]:
+    """(conv, at, name) of the aligned blocks of 1, 2, 4 ... turns, `at` counted in blocks of that size."""
+    free, out = 0, [units]
+    while 1 << len(out) <= longest:
+        half = lambda side: F.max(F.when(F.col("at") % 2 == side, F.col("name")))
+        pairs = out[-1].groupBy("conv", F.shiftright("at", 1).alias("at")).agg(half(0).alias("left"), half(1).alias("right"))
         made, free = named_pairs(pairs.filter("right is not null"), free, ["conv", "at"])
-        blocks.append(made)
-    # number 0 is the empty prefix
-    now, free = convs.select("conv", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("name")), 1
-    for block in blocks[::-1]:
-        follows = block.filter("at % 2 = 0").select("conv", F.shiftright("at", 1).alias("at"), F.col("name").alias("right"))
-        longer, free = named_pairs(now.withColumnRenamed("name", "left").join(follows, ["conv", "at"]), free, ["conv", "at"])
-        now = now.select("conv", (F.col("at") * 2).alias("at"), "name").unionByName(longer.select("conv", (F.col("at") * 2 + 1).alias("at"), "name"))
-    return checkpoint(now.select("conv", F.col("at").alias("depth"), F.col("name").alias("node")))
+        out.append(made)
+    return out
+
+
+def prefixes(units: DataFrame, convs: DataFrame, longest: int) -> DataFrame:
+    """(conv, depth, key, bytes, ends): each prefix of each conversation, with the names of the blocks it is made of, longest
+    first, the bytes of its last turn, and whether it is the whole conversation.
+
+    A block of 2^k turns at an even place is part of the prefixes that end within the 2^k turns from its end on, so a prefix
+    gets one name for each binary digit of its length.
+    """
+    none = F.lit(None).cast("long")
+    rows = convs.select("conv", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("depth"), (F.col("len") == 0).alias("ends")), F.struct(F.col("len").alias("depth"), F.lit(True).alias("ends")))).alias("e")).select("conv", "e.depth", "e.ends", none.alias("part"), none.alias("bytes"))
+    rows = rows.unionByName(units.select("conv", (F.col("at") + 1).alias("depth"), F.lit(False).alias("ends"), none.alias("part"), "bytes"))
+    parts = units.select("conv").filter("false").select("conv", none.alias("depth"), none.alias("name"), F.lit(0).alias("k"))
+    for k, block in enumerate(blocks_of(units.select("conv", "at", "name"), longest)):
+        end = (F.col("at") + 1) * (1 << k)
+        parts = parts.unionByName(block.filter("at % 2 = 0").select("conv", F.explode(F.sequence(end, end + (1 << k) - 1)).alias("depth"), "name", F.lit(k).alias("k")))
+    # prefixes beyond the conversation's end are none: only those with a last turn, or of no turn, stay
+    part = F.struct((-F.col("k")).alias("k"), F.col("name"))
+    rows = rows.select("conv", "depth", "ends", "bytes", F.lit(None).cast("struct<k:int,name:bigint>").alias("part")).unionByName(parts.select("conv", "depth", F.lit(False).alias("ends"), none.alias("bytes"), part.alias("part")))
+    found = rows.groupBy("conv", "depth").agg(F.transform(F.sort_array(F.collect_list("part")), lambda x: x["name"]).alias("key"), F.max("bytes").alias("bytes"), F.max("ends").alias("ends"))
+    return checkpoint(found.filter("bytes is not null or depth = 0"))
 
 
 def own_members(ends: DataFrame) -> DataFrame:
@@ -129,17 +144,32 @@ def own_members(ends: DataFrame) -> DataFrame:
     return ends.select("node", "conv").repartition("node").sortWithinPartitions("node", "conv").mapInArrow(run, "node long, ends_sha256 string")
 
 
-def subtree_sums(nodes: DataFrame, found: DataFrame, deepest: int) -> DataFrame:
-    """(node, n_leaves, saved): sums over subtrees of (leaf, saved) of (node, conv_id, depth, leaf, saved)."""
-    now, step = nodes.select("node", "conv_id", "depth", F.col("leaf").alias("n_leaves"), "saved"), 1
-    at = found.select(F.col("conv").alias("conv_id"), F.col("depth").alias("up_depth"), F.col("node").alias("up"))
-    while step <= deepest:
-        given = now.filter(F.col("depth") >= step).withColumn("up_depth", F.col("depth") - step).join(at, ["conv_id", "up_depth"])
-        given = given.groupBy("up").agg(F.sum("n_leaves").alias("more_leaves"), F.sum("saved").alias("more_saved")).withColumnRenamed("up", "node")
-        added = lambda c: (F.col(c[0]) + F.coalesce(F.col(c[1]), F.lit(0))).alias(c[0])
-        now = checkpoint(now.join(given, "node", "left").select("node", "conv_id", "depth", added(("n_leaves", "more_leaves")), added(("saved", "more_saved"))))
-        step *= 2
-    return now.select("node", "n_leaves", F.col("saved").alias("saved_tokens"))
+def jumps(nodes: DataFrame, found: DataFrame, deepest: int) -> DataFrame:
+    """(node, ups): the ancestors 1, 2, 4 ... levels above a node, nearest first, as (node, first member)."""
+    steps = [1 << k for k in range(deepest.bit_length())] or [1]
+    wanted = nodes.select("node", F.col("conv_id").alias("conv"), F.explode(F.transform(F.filter(F.lit(steps), lambda s: s <= F.col("depth")), lambda s: F.struct(s.alias("step"), (F.col("depth") - s).alias("depth")))).alias("w")).select("node", "conv", "w.step", "w.depth")
+    up = found.select("conv", "depth", F.col("node").alias("up"), F.col("first").alias("first"))
+    return wanted.join(up, ["conv", "depth"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("step", "up", "first"))).alias("ups"))
+
+
+def summed(nodes: DataFrame, deepest: int) -> DataFrame:
+    """(node, n_children, n_leaves, saved_tokens, and the node's own columns): sums over subtrees.
+
+    In each round a node's row goes to itself and to an ancestor; Spark adds up within each task first, so that an ancestor of
+    many nodes gets a row from each task.
+    """
+    own = F.struct("conv_id", "depth", "n_convs", "ups")
+    zero, nobody = F.lit(0).cast("long"), F.lit(None).cast(nodes.select(own.alias("own")).schema["own"].dataType)
+    parent = F.get("ups", F.lit(0))["up"]
+    rows = nodes.select(F.explode(F.array(F.struct(F.col("node"), own.alias("own"), "saved", zero.alias("kids")), F.struct(parent.alias("node"), nobody.alias("own"), zero.alias("saved"), F.lit(1).cast("long").alias("kids")))).alias("r")).select("r.*")
+    now = rows.filter("node is not null").groupBy("node").agg(F.max("own").alias("own"), F.sum("saved").alias("saved"), F.sum("kids").alias("kids"))
+    now = now.withColumn("leaves", (F.col("kids") == 0).cast("long"))
+    for k in range(deepest.bit_length()):
+        up = F.get(F.col("own.ups"), F.lit(k))["up"]
+        there = F.struct(up.alias("node"), nobody.alias("own"), "saved", zero.alias("kids"), "leaves")
+        rows = now.select(F.explode(F.array(F.struct("node", "own", "saved", "kids", "leaves"), there)).alias("r")).select("r.*").filter("node is not null")
+        now = rows.groupBy("node").agg(F.max("own").alias("own"), F.sum("saved").alias("saved"), F.sum("kids").alias("kids"), F.sum("leaves").alias("leaves"))
+    return now.select("node", "own.*", F.col("kids").alias("n_children"), F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
 
 
 def prefix_trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -151,20 +181,17 @@ def prefix_trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     units, convs = rebuilt(named)
     units = checkpoint(units)
     longest = convs.agg(F.max("len")).first()[0] or 0
-    found = prefixes(units.select("conv", "at", "name"), convs, longest)
-    last = units.select("conv", (F.col("at") + 1).alias("depth"), "bytes")
-    # a node's first member tells its last turn and its parent
-    nodes = checkpoint(found.groupBy("node", "depth").agg(F.min("conv").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")))
-    up = found.select(F.col("conv").alias("conv_id"), (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent"))
-    nodes = nodes.join(last.withColumnRenamed("conv", "conv_id"), ["conv_id", "depth"], "left").join(up, ["conv_id", "depth"], "left")
-    nodes = checkpoint(nodes.select("node", "depth", "conv_id", "n_convs", "parent", ((F.col("n_convs") - 1) * F.coalesce("bytes", F.lit(0))).alias("saved")))
-    children = nodes.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = checkpoint(nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
-    sums = subtree_sums(nodes.withColumn("leaf", (F.col("n_children") == 0).cast("long")), found, longest)
-    ends = own_members(found.join(convs.withColumnRenamed("len", "depth"), ["conv", "depth"]))
-    parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    out = nodes.join(sums, "node").join(ends, "node", "left").join(parents, "parent", "left")
-    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"))
+    found = prefixes(units, convs, longest)
+    # a node's first member tells its ancestors
+    groups = found.groupBy("depth", "key").agg(F.min("conv").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), F.max("bytes").alias("bytes"))
+    nodes, n = numbered(groups, "node")
+    held = nodes.select("depth", "key", "node", F.col("conv_id").alias("first"))
+    found = checkpoint(found.join(small_or_plain(held, n, 160, SENT), ["depth", "key"]).select("conv", "depth", "node", "first", "ends"))
+    nodes = nodes.select("node", "depth", "conv_id", "n_convs", ((F.col("n_convs") - 1) * F.coalesce("bytes", F.lit(0))).alias("saved"))
+    nodes = checkpoint(nodes.join(jumps(nodes, found, longest), "node", "left"))
+    out = summed(nodes, longest).join(own_members(found.filter("ends")), "node", "left")
+    parent = F.get("ups", F.lit(0))["first"]
+    return out.select("conv_id", "depth", parent.alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
