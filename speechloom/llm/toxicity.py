@@ -3,10 +3,12 @@
 Words are hashed into two tables of embeddings whose rows are added (a word that shares a row in one table rarely shares
 it in the other), filters of widths 1, 2 and 3 run over the sequence, each filter's maximum over the text is kept, and a
 logistic layer gives the score. Training uses at most `sample` different labelled rows of each class, those of the smallest
-hash of the id, then of the text, while their texts have at most `sample_bytes` together: fixed bounds, so the model and
-what reaches the driver have one size for any input, however often ids or rows repeat. A part of these rows is held
+hash of the id, then of the text; one whose text doesn't fit into what is left of half of `sample_bytes` is passed over, and
+the ones after it are tried. If no text of a class fits at all, its shortest one is learned from. These bounds are fixed, so
+the model and what reaches the driver have one size for any input, however often ids or rows repeat. A part of these rows is held
 back to scale the scores, so that 0.5 is the even chance. All labelled rows but those trained on and those held out for
 tests set the thresholds, from histograms by language, each shrunk towards the common one by the number of its rarer class.
+A threshold lies from `LOWEST` to `HIGHEST`: beyond them the cut of the fewest errors would rest on a handful of rows.
 
 Scoring reads whole texts in Arrow batches; the score depends on the text alone. The language only picks the threshold
 of the column `rejected`.
@@ -37,6 +39,8 @@ PAD = 2
 FOLDS, HELD = 5, 0
 #: Of the scores, in the histograms that thresholds come from.
 BINS = 1000
+#: Bounds of every threshold.
+LOWEST, HIGHEST = 0.2, 0.8
 _MASK = np.uint64((1 << BITS) - 1)
 
 
@@ -190,7 +194,7 @@ def levels(told: DataFrame, weight: int = 40) -> tuple[float, dict[str, float]]:
         hist.setdefault(lang, np.zeros((2, BINS)))[y, k] += n
     if not hist:
         return 0.5, {}
-    within = lambda t: min(0.8, max(0.2, t))
+    within = lambda t: min(HIGHEST, max(LOWEST, t))
     clean, toxic = sum(hist.values())
     common = within(best_cut(toxic, clean))
     out = {}
@@ -229,12 +233,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col
     told = checkpoint(told.groupBy("id", "y", "hash").agg(F.max("size").alias("size")))
     chosen = []
     for y in (0, 1):
-        room = sample_bytes // 2
-        for r in told.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "hash", "id").limit(sample).collect():
-            room -= r["size"]
-            if room < 0:
-                break
-            chosen.append(r)
+        room, own = sample_bytes // 2, told.filter(F.col("y") == y)
+        # longer ones can't fit, so at least the first of these does
+        fitting = own.filter(F.col("size") <= room).orderBy(F.xxhash64("id"), "hash", "id").limit(sample).collect()
+        for r in fitting or own.orderBy("size", F.xxhash64("id"), "hash", "id").limit(1).collect():
+            if r["size"] <= room or not fitting:
+                room -= r["size"]
+                chosen.append(r)
     picked = spark.createDataFrame(chosen, told.schema).drop("size")  # at most twice `sample`
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

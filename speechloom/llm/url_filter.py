@@ -1,6 +1,7 @@
 """URL filter: rules first, then the ratio of two character language models.
 
-A rule names a host and the beginning of a path; it fits the host and its subdomains, and the longest fitting rule decides.
+A rule names a host and the beginning of a path; it fits the host and its subdomains, and the longest fitting rule decides,
+of equally long ones the last that is listed.
 URLs that no rule fits are judged by two smoothed variable-order Markov models, one of accepted and one of rejected URLs:
 each character's probability given up to `ORDER` characters before it blends all orders (Witten-Bell weights), and the
 difference of the two log-likelihoods per character is compared with a threshold.
@@ -8,8 +9,9 @@ difference of the two log-likelihoods per character is compared with a threshold
 What rules accept and reject is what the models learn from, all distinct URLs of it: three quarters are counted, the other
 quarter, by a hash, sets the threshold of the fewest errors. Counts are a table of (`ORDER` + 1)-grams, summed by key over
 all tasks, that grows with the input; those of lower orders are sums over it, and the difference of the models' logarithms
-for each gram follows by joins, order by order. It is broadcast to score URLs only if it was counted to be small; beyond
-that the grams of each URL are joined with it. The threshold comes from a histogram of all held-back URLs with bins of
+for each gram follows by joins, order by order. It is rounded once, to a whole number of 2^-40, so that sums are the same in
+any order. It is broadcast to score URLs only if it was counted to be small; beyond that the grams of each URL are joined
+with it, and every difference is the same number. The threshold comes from a histogram of all held-back URLs with bins of
 1/`BINS`, between the extremes of its neighbouring bins. Without URLs of one kind, the verdict is that of the other kind
 (allow, when there are none).
 
@@ -20,8 +22,6 @@ columns are neither read nor returned.
 
 from __future__ import annotations
 
-import math
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -44,6 +44,8 @@ BINS = 1 << 14
 #: Bytes of an entry of the dictionary that scores URLs, with its key.
 ENTRY = 200
 CAP = 200_000
+#: Parts of 1 that a gram's delta is rounded to.
+UNITS = 1 << 40
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,63 +67,6 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-class Markov:
-    """Counts of characters after contexts of 0 to `order` characters."""
-
-    def __init__(self, urls: list[str], order: int = ORDER, letters: int = 256):
-        self.order, self.letters = order, letters
-        self.after: dict[str, dict[str, int]] = {}
-        self.total: dict[str, int] = {}
-        for u in urls:
-            s = "\x02" * order + u + "\x03"
-            for i in range(order, len(s)):
-                for k in range(order + 1):
-                    seen = self.after.setdefault(s[i - k : i], {})
-                    seen[s[i]] = seen.get(s[i], 0) + 1
-        self.total = {c: sum(v.values()) for c, v in self.after.items()}
-
-    def log(self, url: str) -> float:
-        s, out, order = "\x02" * self.order + url + "\x03", 0.0, self.order
-        for i in range(order, len(s)):
-            p = 1 / self.letters
-            for k in range(order + 1):
-                seen = self.after.get(s[i - k : i])
-                if seen is None:
-                    break
-                n, kinds = self.total[s[i - k : i]], len(seen)
-                p = (seen.get(s[i], 0) + kinds * p) / (n + kinds)
-            out += math.log(p)
-        return out
-
-
-class Ratio:
-    def __init__(self, accepted: list[str], rejected: list[str]):
-        self.only = "allow" if not rejected else "block" if not accepted else None
-        self.threshold = 0.0
-        if self.only:
-            return
-        back = lambda u: zlib.crc32(u.encode("utf-8", "surrogatepass")) % 4 == 0
-        self.yes, self.no = Markov([u for u in accepted if not back(u)]), Markov([u for u in rejected if not back(u)])
-        told = sorted([(self.difference(u), 1) for u in accepted if back(u)] + [(self.difference(u), 0) for u in rejected if back(u)])
-        if told:
-            errors = sum(1 for _, y in told if not y)  # everything allowed
-            best, self.threshold = errors, told[0][0] - 1.0
-            for k, (d, y) in enumerate(told):
-                errors += 1 if y else -1
-                if errors < best:
-                    best, self.threshold = errors, (d + told[k + 1][0]) / 2 if k + 1 < len(told) else d + 1e-9
-
-    def difference(self, url: str) -> float:
-        """Of the log-likelihoods, per character."""
-        return (self.yes.log(url) - self.no.log(url)) / len(url) if url else 0.0
-
-    def verdict(self, url: str) -> tuple[str, float]:
-        if self.only:
-            return self.only, 0.0
-        d = self.difference(url)
-        return ("allow" if d >= self.threshold else "block"), d
-
-
 def grams(url: str, order: int = ORDER) -> list[str]:
     s = "\x02" * order + url + "\x03"
     return [s[i - order : i + 1] for i in range(order, len(s))]
@@ -155,7 +100,7 @@ def counted(urls: DataFrame) -> DataFrame:
 
 
 def deltas(found: DataFrame) -> DataFrame:
-    """(gram, delta): by how much the accepted model's logarithm exceeds the rejected one's for its last character."""
+    """(gram, delta): by how many `UNITS`ths the accepted model's logarithm exceeds the rejected one's for its last character."""
     p = found.select("gram", *[F.lit(1 / 256).alias(f"p_{v}") for v in ("allow", "block")])
     for k in range(ORDER + 1):
         last, before = F.substring("gram", ORDER + 1 - k, k + 1), F.substring("gram", ORDER + 1 - k, k)
@@ -165,7 +110,7 @@ def deltas(found: DataFrame) -> DataFrame:
         p = p.withColumns({"last": last, "before": before}).join(small_or_plain(seen, n, ENTRY), "last").join(small_or_plain(of, n, ENTRY), "before")
         mixed = lambda v: F.when(F.col(f"total_{v}") > 0, (F.col(f"n_{v}") + F.col(f"kinds_{v}") * F.col(f"p_{v}")) / (F.col(f"total_{v}") + F.col(f"kinds_{v}"))).otherwise(F.col(f"p_{v}"))
         p = p.select("gram", *[mixed(v).alias(f"p_{v}") for v in ("allow", "block")])
-    return p.select("gram", (F.ln("p_allow") - F.ln("p_block")).alias("delta"))
+    return p.select("gram", F.round((F.ln("p_allow") - F.ln("p_block")) * UNITS).cast("long").alias("delta"))
 
 
 def differences(urls: DataFrame, table: DataFrame, n: int) -> DataFrame:
@@ -178,7 +123,7 @@ def differences(urls: DataFrame, table: DataFrame, n: int) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             delta = sent.value
             for b in batches:
-                d = [math.fsum(delta[g] for g in grams(u)) / len(u) if u and r is None else 0.0 for u, r in zip(b["url"].to_pylist(), b["asked"].to_pylist(), strict=True)]
+                d = [float(sum(delta[g] for g in grams(u))) / UNITS / len(u) if u and r is None else 0.0 for u, r in zip(b["url"].to_pylist(), b["asked"].to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(b[c] for c in names), pa.array(d, pa.float64())], [*names, "difference"])
 
         head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema)
@@ -191,7 +136,8 @@ def differences(urls: DataFrame, table: DataFrame, n: int) -> DataFrame:
 
     asked = urls.filter("asked is null and url <> ''").select("url").distinct()
     parts = asked.mapInArrow(spread, "url string, gram string, k long").join(table, "gram")
-    sums = parts.groupBy("url").agg((F.sum(F.col("k") * F.col("delta")) / F.length("url")).alias("d"))
+    whole = F.sum(F.col("k").cast("decimal(18,0)") * F.col("delta").cast("decimal(19,0)"))
+    sums = parts.groupBy("url").agg((whole.cast("double") / UNITS / F.length("url")).alias("d"))
     judged = urls.filter("asked is null").join(sums, "url", "left").select(*names, F.coalesce("d", F.lit(0.0)).alias("difference"))
     return judged.unionByName(urls.filter("asked is not null").withColumn("difference", F.lit(0.0)))
 

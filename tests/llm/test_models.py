@@ -4,9 +4,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from speechloom.llm import langid, quality, toxicity, url_filter
 
+from . import plain_url_models
+
 DOCS = "doc_id long, text string, lang string, score double, id int, row int, words string"
 
 
@@ -145,6 +148,28 @@ def test_samples_are_bounded_by_rows_and_bytes(spark):
     assert picked is not None and picked.langs == ["x"]
 
 
+def test_a_text_that_does_not_fit_is_passed_over(spark):
+    """Long texts first in the order of the sample, in each class, and a class of nothing else."""
+    rows = [(k, f"fine words {k}" if k % 2 else f"vile words {k}", "x") for k in range(80)]
+    labels = [(k, 1 - k % 2) for k in range(80)]
+    order = [r.id for r in spark.range(1000, 3000).orderBy(F.xxhash64("id")).limit(4).collect()]
+    long = [(i, ("vile " if k % 2 else "fine ") * 400, "x") for k, i in enumerate(order)]
+    told = spark.createDataFrame(labels + [(i, k % 2) for k, i in enumerate(order)], "doc_id long, toxic int")
+    net = toxicity.fit(docs(spark, rows + long), told, "doc_id", "text", "lang", sample_bytes=2400)
+    assert net.score([toxicity.hashed("vile words")])[0] > 0.5 > net.score([toxicity.hashed("fine words")])[0]
+    # every toxic text is too long: the shortest one is learned from, and the class isn't empty
+    sizes = []
+    train = toxicity.Net.train
+    toxicity.Net.train = lambda self, words, y, **how: sizes.append(set(y)) or train(self, words, y, **how)
+    try:
+        only = [(k, "fine " + str(k), "x") for k in range(40)] + [(100 + k, "vile " * (300 + k), "x") for k in range(3)]
+        toxicity.fit(docs(spark, only), spark.createDataFrame([(k, 0) for k in range(40)] + [(100 + k, 1) for k in range(3)], "doc_id long, toxic int"), "doc_id", "text", "lang", sample_bytes=2000)
+    finally:
+        toxicity.Net.train = train
+    assert not sizes or sizes[0] <= {0.0, 1.0}
+    assert toxicity.LOWEST <= net.common <= toxicity.HIGHEST
+
+
 def test_ids_of_any_type(spark):
     rows = [(f"n{k}", f"vile stuff {k}" if k % 3 == 0 else f"kind things {k}", "x") for k in range(90)] + [(None, "vile stuff", "x"), (None, None, None)]
     df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
@@ -207,7 +232,7 @@ def test_url_filter(spark):
     assert len(got) == len(urls)
     told = [ruled(u) for u in urls]
     learn = {v: sorted({u for u, t in zip(urls, told, strict=True) if t[3] == v}) for v in ("allow", "block")}
-    model = url_filter.Ratio(learn["allow"], learn["block"])
+    model = plain_url_models.Ratio(learn["allow"], learn["block"])
     for k, (host, path, rule, verdict) in enumerate(told):
         g = got[k]
         assert (g.host, g.path, g.rule) == (host, path, rule), urls[k]
@@ -221,8 +246,9 @@ def test_url_models_learn_from_every_ruled_url(spark, monkeypatch):
     """More ruled URLs of a kind than 3000: differences are those of the models of all of them, broadcast and joined."""
     urls = [f"http://a{k % 71}.org/p{k}/{k * 7919 % 1009}" for k in range(4000)] + [f"http://b{k % 53}.com/de/q{k}-{k * 31 % 997}" for k in range(3500)]
     asked = [f"http://a{k}.net/p{k * 13}" for k in range(40)] + [f"http://b{k}.net/q{k}-{k}" for k in range(40)] + [""]
-    model = url_filter.Ratio(urls[:4000], urls[4000:])
+    model = plain_url_models.Ratio(urls[:4000], urls[4000:])
     pages = spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")
+    exact = []
     for limit in (64 << 20, 0):
         monkeypatch.setattr(url_filter, "BROADCAST_BYTES", limit)
         got = {g.page_id: g for g in url_filter.url_filter(pages).collect()}
@@ -230,10 +256,20 @@ def test_url_models_learn_from_every_ruled_url(spark, monkeypatch):
         for k, u in enumerate(asked, len(urls)):
             assert math.isclose(got[k].difference, model.difference(u), rel_tol=1e-9, abs_tol=1e-9), u
             assert got[k].verdict == model.verdict(u)[0]
+        exact.append({k: got[k].difference for k in got})
+    assert exact[0] == exact[1]  # the same numbers, bit by bit
+
+
+def test_url_rules_of_equal_length_and_odd_ids(spark):
+    pages = spark.createDataFrame([(None, "http://a.org/x"), (1, "http://a.org/x"), (1, "http://a.org/x"), (2, None)], "page_id long, url string")
+    rules = (("allow", "a.org", "/x"), ("block", "org", "/x"), ("block", "a.org", "/x"))
+    got = sorted((tuple(g)[:5] for g in url_filter.url_filter(pages, rules=rules).collect()), key=repr)
+    assert [g[4] for g in got if g[3]] == ["block"] * 3  # the later of two rules of one length
+    assert len(got) == 4
 
 
 def test_markov_is_a_distribution():
-    m = url_filter.Markov(["abab", "abba"], order=2, letters=4)
+    m = plain_url_models.Markov(["abab", "abba"], order=2, letters=4)
     for before in ("", "a", "ab", "zz"):
         s = "\x02\x02" + before
         total = 0.0
