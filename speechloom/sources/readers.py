@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import io
+import lzma
 import pickle
 import tarfile
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import checkpoint
 
 #: Raw utterance documents. Never inferred: each chunk id would become a column.
 RAW = "audio_id string, text map<string,string>, codes map<string,array<array<int>>>"
@@ -35,16 +40,18 @@ def by_language(spark: SparkSession, base: str, langs: list[str]) -> DataFrame:
     return out
 
 
-def last_wins(map_column: str):
-    """A JSON map with repeated keys, rebuilt so that the last value counts; needs the LAST_WIN policy set."""
-    return F.map_from_entries(F.map_entries(map_column))
+def last_wins(map_column: str | Column) -> Column:
+    """A JSON map with repeated keys, rebuilt so that the last value counts, in the place of the key's first."""
+    entries = F.map_entries(map_column)
+    keys = F.transform(entries, lambda e: e["key"])
+    last = lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"))
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)  # rare
+    return F.map_from_entries(F.when(repeated, F.transform(F.array_distinct(keys), last)).otherwise(entries))
 
 
 def raw_documents(spark: SparkSession, path: str) -> DataFrame:
     """Documents of JSON array files; a file that can't be parsed gives rows with `_corrupt_record`."""
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     df = spark.read.schema(RAW + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    # read from the entries, not the JSON, so that the policy decides
     return df.withColumn("text", last_wins("text")).withColumn("codes", last_wins("codes"))
 
 
@@ -63,22 +70,29 @@ def unreadable_utterances(spark: SparkSession, base: str) -> DataFrame:
     return _tree(spark, base).filter(F.col("_corrupt_record").isNotNull()).select(named.alias("path"))
 
 
-def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """(path, error) of files whose footer can't be read: what a scan that skips corrupt files leaves out."""
+def footers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, rows, error) of parquet files, from their footers alone: rows is null where a footer can't be read."""
 
-    def broken(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import parquet
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
 
         for b in batches:
-            bad = []
-            for name, content in zip(b["path"].to_pylist(), b["content"].to_pylist(), strict=True):
+            found = []
+            for name in b["path"].to_pylist():
                 try:
-                    parquet.read_metadata(io.BytesIO(content))
+                    store, place = fs.FileSystem.from_uri(name)
+                    with store.open_input_file(place) as file:
+                        found.append((name, parquet.read_metadata(file).num_rows, None))
                 except (pa.ArrowException, OSError) as e:
-                    bad.append((name, str(e)))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in bad], pa.string()) for k in (0, 1)], ["path", "error"])
+                    found.append((name, None, str(e)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["path", "rows", "error"])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "content").mapInArrow(broken, "path string, error string")
+    return listing(spark, path, "*.parquet").select("path").mapInArrow(run, "path string, rows long, error string")
+
+
+def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """(path, error) of files whose footer can't be read: what a scan that skips corrupt files leaves out."""
+    return footers(spark, path).filter("error is not null").select("path", "error")
 
 
 def utterance_tree(spark: SparkSession, base: str) -> DataFrame:
@@ -128,15 +142,11 @@ def listing(spark: SparkSession, path: str | list[str], glob: str = "*") -> Data
 
 
 def row_count(spark: SparkSession, path: str) -> int:
-    """From the parquet footers: the count is pushed into the scan."""
-    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
-    try:
-        spark.conf.set("spark.sql.sources.useV1SourceList", "")
-        spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    """From the parquet footers: the count is pushed into the scan, in a session of its own with the settings it needs."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
 
 
 def pairs_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -145,40 +155,65 @@ def pairs_tsv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.size(parts) == 2).select(parts[0].alias("shard_id"), parts[1].alias("subshard_id"))
 
 
-def archive_members(spark: SparkSession, path: str | list[str], suffix: str = "") -> DataFrame:
-    """(archive, name, content) of tar and tar.gz files, read as streams: a task holds one member at a time, and an archive
-    may have any size. A lost task reads its archive again."""
+def _read_archives(archives: DataFrame, suffix: str) -> DataFrame:
+    """The columns of `archives` (path first) with name, content and error: a row for each member, then one without a name, whose
+    error says why the archive couldn't be read further, null if it is whole."""
 
     def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         for b in batches:
-            for archive in b["path"].to_pylist():
-                store, place = fs.FileSystem.from_uri(archive)
-                with store.open_input_stream(place, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|*") as t:
-                    for m in t:
-                        if m.isfile() and m.name.endswith(suffix):
-                            cols = [pa.array([archive]), pa.array([m.name]), pa.array([t.extractfile(m).read()], pa.binary())]
-                            yield pa.RecordBatch.from_arrays(cols, ["archive", "name", "content"])
+            for k, archive in enumerate(b.column(0).to_pylist()):
+                own, error = [c.slice(k, 1) for c in b.columns], None
+                row = lambda *last: pa.RecordBatch.from_arrays([*own, *(pa.array([x], t) for x, t in zip(last, kinds, strict=True))], [*b.schema.names, "name", "content", "error"])  # noqa: B023, E731
+                try:
+                    store, place = fs.FileSystem.from_uri(archive)
+                    with store.open_input_stream(place, compression=None) as stream, tarfile.open(fileobj=stream, mode="r|*") as t:
+                        for m in t:
+                            if m.isfile() and m.name.endswith(suffix):
+                                yield row(m.name, t.extractfile(m).read(), None)
+                except (tarfile.TarError, EOFError, OSError, zlib.error, lzma.LZMAError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                yield row(None, None, error)
+
+    kinds = (pa.string(), pa.binary(), pa.string())
+    return archives.mapInArrow(members, T.StructType([*archives.schema, *(T.StructField(n, t) for n, t in (("name", T.StringType()), ("content", T.BinaryType()), ("error", T.StringType())))]))
+
+
+def archive_members(spark: SparkSession, path: str | list[str], suffix: str = "") -> DataFrame:
+    """(archive, name, content) of tar and tar.gz files, read as streams: a task holds one member at a time, and an archive
+    may have any size. A lost task reads its archive again; of a broken archive come the members before the break."""
+    archives = listing(spark, path).select(F.col("path").alias("archive"))
+    return _read_archives(archives, suffix).filter("name is not null").drop("error")
+
 
-    return listing(spark, path).select("path").mapInArrow(members, "archive string, name string, content binary")
+def extracted(spark: SparkSession, target: str) -> DataFrame:
+    """(archive, size, modified, members, error) of the archives that `extract` has read, as they were then."""
+    of = spark.read.parquet(target).groupBy("archive", "size", "modified")
+    return of.agg(F.count("name").alias("members"), F.max("error").alias("error"))
 
 
 def extract(spark: SparkSession, path: str, target: str, suffix: str = "") -> DataFrame:
-    """The members of all archives as a table in `target`, a folder for each archive; archives that have one are passed over.
+    """The members of all whole archives, from a table in `target` with a folder for each archive.
 
-    A folder appears when its job commits, so it is the mark of completion: what an interrupted job leaves is done again.
+    A folder appears when its job commits, with the archive's size and time of change and a last row that says whether it
+    was read to its end: that is the mark of completion, of empty archives too. What an interrupted job leaves is done again; a
+    broken archive stops no other, is told by `extracted`, and is read again when it has changed.
     """
+    fresh = listing(spark, path).select(F.col("path").alias("archive"), "size", "modified")
     try:
-        done = spark.read.parquet(target).select("archive").distinct()
+        state = extracted(spark, target)
+        done = state.filter("error is null").select("archive")
+        as_before = state.filter("error is not null").select("archive", "size", "modified")
+        fresh = fresh.join(done, "archive", "left_anti").join(as_before, ["archive", "size", "modified"], "left_anti")
     except AnalysisException:  # nothing yet
-        done = spark.createDataFrame([], "archive string")
-    fresh = listing(spark, path).select(F.col("path").alias("archive")).join(done, "archive", "left_anti")
-    names = [r[0] for r in fresh.select("archive").collect()]  # a row for each archive
-    if names:
-        rows = archive_members(spark, names, suffix)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive").parquet(target)
-    return spark.read.parquet(target)
+        pass
+    fresh = checkpoint(fresh)  # what is written must not be read by the same plan
+    if not fresh.isEmpty():
+        _read_archives(fresh, suffix).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive").parquet(target)
+    rows = spark.read.parquet(target)
+    broken = rows.filter("error is not null").select("archive")
+    return rows.filter("name is not null").join(broken, "archive", "left_anti").select("archive", "name", "content")
 
 
 class _Arrays(pickle.Unpickler):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.audits import first_by_id
 from ..operators.sequences import indexed
+from ..session import checkpoint
+from .readers import footers
 
 
 def batched_parquet(df: DataFrame, path: str, records: int = 20_000, mode: str = "append") -> None:
@@ -36,18 +38,28 @@ def utterance_tree(df: DataFrame, path: str, skip_existing: bool = True) -> None
 
 
 def fixed_chunks(df: DataFrame, path: str, order: list[str], size: int = 10_000, resume: bool = False) -> None:
-    """Folders chunk=0, 1, ...: `size` rows each, in order. With `resume`, whole chunks that are there stay, and writing goes on
-    with the row after them."""
-    done = 0
-    if resume:
-        try:
-            sizes = df.sparkSession.read.parquet(path).groupBy("chunk").count().filter(F.col("count") == size)
-            done = sizes.count()
-        except AnalysisException:  # nothing yet
-            pass
-    rows = indexed(df, order).filter(F.col("position") >= done * size)
-    rows = rows.withColumn("chunk", F.floor(F.col("position") / size).cast("int")).drop("position")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if done else "static").partitionBy("chunk").parquet(path)
+    """Folders chunk=0, 1, ...: `size` rows each, in order; the last has what is left.
+
+    With `resume` the chunks that are whole stay as they are and all others are written, whichever those are: missing ones, those
+    of another number of rows, and those with a file that can't be read. Whole is told from the files' footers.
+    """
+    rows = indexed(df, order).withColumn("chunk", F.floor(F.col("position") / size).cast("int"))
+    if not resume:
+        rows.drop("position").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("chunk").parquet(path)
+        return
+    whole = whole_chunks(df.sparkSession, path, size, rows.agg(F.count(F.lit(1))).first()[0])
+    missing = (rows if whole is None else rows.join(whole, "chunk", "left_anti")).drop("position")
+    missing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk").parquet(path)
+
+
+def whole_chunks(spark: SparkSession, path: str, size: int, total: int) -> DataFrame | None:
+    """(chunk) of the folders whose readable files have the rows that the chunk should have; None without any folder."""
+    try:
+        files = footers(spark, path).withColumn("chunk", F.regexp_extract("path", r"/chunk=(\d+)/[^/]*$", 1).try_cast("int"))
+        found = files.groupBy("chunk").agg(F.sum("rows").alias("rows"), F.count_if(F.col("error").isNotNull()).alias("broken"))
+        return checkpoint(found.filter(F.col("rows") == F.least(F.lit(size), F.lit(total) - F.col("chunk") * size)).filter("broken = 0").select("chunk"))
+    except AnalysisException:  # nothing yet
+        return None
 
 
 def code_arrays(df: DataFrame, path: str, codes: str = "codes", name: str = "id") -> None:
