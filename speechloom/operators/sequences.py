@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint
+from .stretches import MOST, before_misses, following, gaps, reset_batches, split
 
 
 def indexed(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
@@ -30,14 +31,20 @@ def indexed(df: DataFrame, order: list[str | Column], name: str = "position") ->
     return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
-def gap_sessions(df: DataFrame, keys: list[str], begin: str, end: str, tie: str, tolerance: float = 0.2) -> DataFrame:
+def gap_sessions(df: DataFrame, keys: list[str], begin: str, end: str, tie: str, tolerance: float = 0.2, most: int = MOST) -> DataFrame:
     """Adds segment_index from 0: a new segment begins where |begin - previous end| exceeds the tolerance, overlaps too.
 
-    The comparison is in doubles. Ties on `begin` are ordered by `tie`.
+    The comparison is in doubles. Ties on `begin` are ordered by `tie`. Keys of more than `most` rows are scanned in stretches.
     """
+
+    def apart(b: Column, e: Column) -> Column:
+        return F.coalesce((F.abs(b - e) > tolerance).cast("int"), F.lit(0))
+
+    few, large = split(df, keys, [begin, tie], most)
     w = Window.partitionBy(*keys).orderBy(begin, tie)
-    new = F.coalesce((F.abs(F.col(begin) - F.lag(end).over(w)) > tolerance).cast("int"), F.lit(0))
-    return df.withColumn("_new", new).withColumn("segment_index", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_new")
+    out = few.withColumn("_new", apart(F.col(begin), F.lag(end).over(w)))
+    out = out.withColumn("segment_index", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_new")
+    return out if large is None else out.unionByName(gaps(large, keys, begin, end, tie, apart))
 
 
 def segment_documents(df: DataFrame, keys: list[str], begin: str, tie: str, chunk: Column) -> DataFrame:
@@ -55,12 +62,14 @@ def segment_id(entry: Column, index: Column, n_segments: Column, kind: int) -> C
     return F.concat(entry, F.when(n_segments > 1, F.concat(F.lit("_seg"), index.cast("string"))).otherwise(""), F.lit(f"_type{kind}"))
 
 
-def consecutive_pairs(df: DataFrame, keys: list[str], order: list[str], columns: list[str], prefix: str = "next_") -> DataFrame:
-    """Each row with the next one of its group; the last of a group has none."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    nxt = F.lead(F.struct(*columns)).over(w)
-    out = df.withColumn("_next", nxt).filter("_next is not null")
-    return out.select(*df.columns, *[F.col(f"_next.{c}").alias(prefix + c) for c in columns])
+def consecutive_pairs(df: DataFrame, keys: list[str], order: list[str], columns: list[str], prefix: str = "next_", most: int = MOST) -> DataFrame:
+    """Each row with the next one of its group; the last of a group has none. Groups of more than `most` rows are scanned in
+    stretches."""
+    few, large = split(df, keys, order, most)
+    out = few.withColumn("_next", F.lead(F.struct(*columns)).over(Window.partitionBy(*keys).orderBy(*order)))
+    if large is not None:
+        out = out.unionByName(following(large, keys, order, columns, "_next"))
+    return out.filter("_next is not null").select(*df.columns, *[F.col(f"_next.{c}").alias(prefix + c) for c in columns])
 
 
 def first_appearance(values: Column) -> Column:
@@ -94,23 +103,27 @@ def proportional_quota(count: Column, total: Column | float, sample: int) -> Col
     return F.greatest(F.lit(1), (F.lit(sample) * (count / total)).cast("int"))
 
 
-def until_misses(df: DataFrame, key: str, order: str, ok: Column, limit: int = 5) -> DataFrame:
-    """Of each group the successful rows before the first run of `limit` failures."""
+def until_misses(df: DataFrame, key: str, order: str, ok: Column, limit: int = 5, most: int = MOST) -> DataFrame:
+    """Of each group the successful rows before the first run of `limit` failures. Groups of more than `most` rows are scanned
+    in stretches."""
+    few, large = split(df, [key], [order], most)
     w = Window.partitionBy(key).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.withColumn("_ok", ok.cast("int")).withColumn("_island", F.sum("_ok").over(run))
+    rows = few.withColumn("_ok", ok.cast("int")).withColumn("_island", F.sum("_ok").over(run))
     rows = rows.withColumn("_fails", F.sum(1 - F.col("_ok")).over(Window.partitionBy(key, "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("_stopped", F.max((F.col("_fails") >= limit).cast("int")).over(run))
-    return rows.filter("_ok = 1 and _stopped = 0").drop("_ok", "_island", "_fails", "_stopped")
+    out = rows.filter("_ok = 1 and _stopped = 0").drop("_ok", "_island", "_fails", "_stopped")
+    return out if large is None else out.unionByName(before_misses(large, key, order, ok, limit))
 
 
-def threshold_batches(df: DataFrame, key: str, order: str, size: str, threshold: int) -> DataFrame:
+def threshold_batches(df: DataFrame, key: str, order: str, size: str, threshold: int, most: int = MOST) -> DataFrame:
     """(key, order, size, batch): units in order; a batch is closed when it has reached the threshold, units stay whole.
 
     A running total with resets is no window function, and a fold over a list copies what it has gathered at each step: rows
-    sorted by key and order pass through a task in Arrow batches, with one number carried over. No group is held whole.
+    sorted by key and order pass through a task in Arrow batches, with one number carried over. No group is held whole. Groups
+    of more than `most` rows are scanned in stretches, each of which tells what it makes of any total that it is handed.
     """
-    rows = df.select(key, order, F.col(size).cast("long").alias(size))
+    rows, large = split(df.select(key, order, F.col(size).cast("long").alias(size)), [key], [order, size], most)
     kinds = rows.schema
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +140,8 @@ def threshold_batches(df: DataFrame, key: str, order: str, size: str, threshold:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], [*b.schema.names, "batch"])
 
     placed = rows.repartition(key).sortWithinPartitions(key, order, size)
-    return placed.mapInArrow(fold, T.StructType([*kinds, T.StructField("batch", T.IntegerType())]))
+    out = placed.mapInArrow(fold, T.StructType([*kinds, T.StructField("batch", T.IntegerType())]))
+    return out if large is None else out.unionByName(reset_batches(large, key, order, size, threshold))
 
 
 def sample_per_group(df: DataFrame, key: str, identity: list[str], k: int, seed: int = 42) -> DataFrame:
