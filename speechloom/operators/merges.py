@@ -5,10 +5,12 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.alphabet import Alphabet
 from ..session import checkpoint
@@ -146,3 +148,72 @@ def apply(text: str, merges: list[tuple[str, str]]) -> list[str]:
             return tokens
         first = min(waiting) + 1
         tokens = joined(tokens, {merges[first - 1]})
+
+
+class Encoder:
+    """`apply` for many texts, as ids: a linked list of tokens and a heap of (merge, place), so a text of n characters takes
+    about n log n steps, however many merges there are."""
+
+    def __init__(self, merges: list[tuple[str, str]], ids: dict[str, int]):
+        self.ids = ids
+        self.places: dict[tuple[str, str], list[int]] = {}
+        for k, p in enumerate(merges):
+            self.places.setdefault(p, []).append(k)
+
+    def tokens(self, text: str) -> list[str]:
+        token, n = list(text), len(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[int, int, str, str]] = []
+
+        def wait(k: int, first: int) -> None:
+            """The pair that begins at place k, by the first of its merges from `first` on."""
+            if k >= 0 and after[k] < n:
+                at = self.places.get((token[k], token[after[k]]))
+                if at and (m := bisect_left(at, first)) < len(at):
+                    heappush(heap, (at[m], k, token[k], token[after[k]]))
+
+        for k in range(n - 1):
+            wait(k, 0)
+        while heap:
+            merge, k, a, b = heappop(heap)
+            if token[k] != a or after[k] >= n or token[after[k]] != b:
+                continue  # one of them has been merged since
+            gone = after[k]
+            token[k], token[gone], after[k] = a + b, "", after[gone]
+            if after[k] < n:
+                before[after[k]] = k
+            wait(before[k], merge + 1)
+            wait(k, merge + 1)
+        return [t for t in token if t]
+
+    def encode(self, text: str) -> list[int]:
+        return [self.ids.get(t, -1) for t in self.tokens(text)]
+
+
+def vocabulary(plan: MergePlan, merges: list[tuple[str, str]]) -> dict[str, int]:
+    """Ids: the special tokens, the alphabet, then what merges make, in their order; a token that is made twice has one id."""
+    tokens = dict.fromkeys([*plan.special, *initial_alphabet(plan.alphabet), *(a + b for a, b in merges)])
+    return {t: k for k, t in enumerate(tokens)}
+
+
+#: Merges that a broadcast may hold; each takes about this many bytes in a worker.
+MOST_MERGES, BYTES_EACH = 1_000_000, 400
+
+
+def encoded(df: DataFrame, column: str, merges: list[tuple[str, str]], plan: MergePlan, name: str = "ids") -> DataFrame:
+    """The rows with `name`, the ids of the text's tokens by the trained merges, -1 for a character outside the alphabet.
+
+    Null texts have null ids. The merges go to every task once; how many there may be bounds their size.
+    """
+    if len(merges) > MOST_MERGES:
+        raise ValueError(f"{len(merges)} merges would take {len(merges) * BYTES_EACH >> 20} MB in each worker")
+    sent = df.sparkSession.sparkContext.broadcast((merges, vocabulary(plan, merges)))
+    place = df.columns.index(column)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Encoder(*sent.value)
+        for b in batches:
+            found = [None if t is None else own.encode(t) for t in b.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], [*b.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(name, T.ArrayType(T.IntegerType()))]))

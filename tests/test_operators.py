@@ -219,6 +219,42 @@ def test_merges_of_rounds_are_those_of_one_at_a_time():
     assert fewer > 0
 
 
+def test_encoder_gives_what_merges_give_one_after_another():
+    for seed in range(200):
+        texts = random_texts(seed)
+        learned, rows = one_at_a_time(texts, 2 + seed % 8, 60)
+        own = merges.Encoder(learned, {})
+        assert [own.tokens(t) for t in texts] == rows
+    # merges in any order, some of them more than once
+    r = random.Random(1)
+    for _ in range(300):
+        made, learned = list("abc"), []
+        for _ in range(r.randint(1, 25)):
+            learned.append((r.choice(made), r.choice(made)))
+            if len(made[-1]) < 12:
+                made.append("".join(learned[-1]))
+        text = "".join(r.choice("abcd") for _ in range(r.randint(0, 80)))
+        assert merges.Encoder(learned, {}).tokens(text) == merges.apply(text, learned)
+
+
+def test_long_texts_are_encoded_in_time():
+    learned = [("a", "b"), ("ab", "ab"), ("abab", "abab")]
+    assert len(merges.Encoder(learned, {}).tokens("ab" * 100_000)) == 25_000
+
+
+def test_encoded_column(spark):
+    texts = random_texts(7)
+    plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=200, max_ngrams=6)
+    df = spark.createDataFrame([(k, t, 1) for k, t in enumerate([*texts, None, "A", ""])], "ids2 int, s string, tokens int").repartition(3)
+    learned = merges.train(df, "s", plan, rounds=30)
+    ids = merges.vocabulary(plan, learned)
+    assert list(ids)[:3] == ["<pad>", "<eos>", "a"] and len(ids) == 28 + len({a + b for a, b in learned})
+    got = merges.encoded(df, "s", learned, plan)
+    assert got.columns == ["ids2", "s", "tokens", "ids"]
+    for r in got.collect():
+        assert r.ids == (None if r.s is None else [ids.get(t, -1) for t in merges.apply(r.s, learned)])
+
+
 def test_merges_of_a_table(spark):
     texts = random_texts(5)
     plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=200, max_ngrams=6)
