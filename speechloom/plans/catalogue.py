@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from .. import plugins
 from ..functions import display, ids, markup
 from ..functions.alphabet import Alphabet
-from ..operators import audits, documents, sequences, statistics
+from ..operators import audits, documents, merges, sequences, statistics
 from ..session import checkpoint_folder
 from ..sources import publish, readers, writers
+from ..streaming import ingest
 from . import recipes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,9 +134,22 @@ def bpe_chunks(spark, d):
     return parts.select("vec_id", "chunk", A.encode(F.col("m")).alias("chunk_str"))
 
 
-@query("SELECT CAST(57344 + i AS BIGINT) AS point, CAST(i // 2048 AS INT) AS codebook FROM range(16384) r(i)")
+@query(f"WITH {AUDIO}, p AS (SELECT unicode(audio_str[i]) AS point FROM audio, range(1, 65) r(i)) SELECT CAST(point AS BIGINT) AS point, CAST(least(7, (point - 57344) // 2048) AS INT) AS codebook, CAST((point - 57344) % 2048 AS INT) AS code, count(*) AS n FROM p GROUP BY ALL")
 def codec_alphabet(spark, d):
-    return spark.range(A.offset, A.offset + A.codebooks * A.size).select(F.col("id").alias("point"), A.codebook(F.col("id")).alias("codebook"))
+    """The part of the initial alphabet that the codec strings use."""
+    letters = spark.createDataFrame([(c,) for c in merges.initial_alphabet(A)], "letter string")
+    used = Tables(spark, d).audio().select(F.explode(F.split("audio_str", "")).alias("letter")).groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
+    point = F.ascii("letter")
+    return used.join(F.broadcast(letters), "letter").select(point.cast("long").alias("point"), A.codebook(point).alias("codebook"), ((point - A.offset) % A.size).cast("int").alias("code"), "n")
+
+
+@query()
+def merged_tokens(spark, d):
+    """Token counts and ids of every codec string by merges trained on all of them; brute force in the tests."""
+    rows, plan = Tables(spark, d).audio(), merges.MergePlan(A, vocab_size=17_000, max_ngrams=2)
+    learned = merges.train(rows, "audio_str", plan, rounds=24)
+    out = merges.encoded(rows, "audio_str", learned, plan)
+    return out.select("vec_id", F.size("ids").cast("long").alias("n_tokens"), F.array_join("ids", ",").alias("ids"))
 
 
 @query(f"SELECT vec_id, CAST(k AS INT) AS codebook, array_to_string([{LEVELS} FOR t IN range(8)], ',') AS codes FROM embeddings, range(2) r(k)")
@@ -306,6 +320,33 @@ def fixed_chunks(spark, d):
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(F.length("text")).alias("chars"), F.min(F.md5(F.col("text").cast("binary"))).alias("least"), F.countDistinct(F.concat("source", "lang")).alias("kinds"))
 
 
+@query("WITH r AS (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS c FROM documents) SELECT CAST(c AS INT) AS chunk, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, CAST(sum(length(text)) AS BIGINT) AS chars FROM r GROUP BY c")
+def resumed_chunks(spark, d):
+    """Chunks of which an interrupted job has left some, and some only in part."""
+    path, docs = scratch(spark), Tables(spark, d).documents
+    left = sequences.indexed(docs, ["doc_id"]).withColumn("chunk", F.floor(F.col("position") / 100).cast("int"))
+    left = left.filter((F.col("chunk") % 3 != 1) & ((F.col("chunk") % 5 != 2) | (F.col("position") % 100 < 50))).drop("position")
+    left.write.partitionBy("chunk").parquet(path)
+    writers.fixed_chunks(docs, path, ["doc_id"], 100, resume=True)
+    return spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("WITH g AS (SELECT coalesce(source, 'none') || '-' || doc_id % 8 AS part, doc_id % 8 = 3 AS failed, count(*) AS n FROM documents GROUP BY 1, 2) SELECT part, failed, CASE WHEN failed THEN 0 ELSE n END AS documents, CASE WHEN failed THEN 0 ELSE 2 * n END AS n_rows FROM g")
+def ingest_ledger(spark, d):
+    """Documents as JSON array files, some of them cut short, taken by the stream: what the ledger tells, and the rows there are."""
+    base, docs = scratch(spark), Tables(spark, d).documents
+    part = F.concat(F.coalesce("source", F.lit("none")), F.lit("-"), (F.col("doc_id") % 8).cast("string"))
+    code = F.array_repeat(F.array((F.col("doc_id") % A.size).cast("int")), A.codebooks)
+    one = F.struct(F.col("doc_id").cast("string").alias("audio_id"), F.create_map(F.lit("0"), F.coalesce("text", F.lit(""))).alias("text"), F.create_map(F.lit("0"), code).alias("codes"))
+    files = docs.groupBy(part.alias("part"), (F.col("doc_id") % 8 == 3).alias("cut")).agg(F.to_json(F.collect_list(one)).alias("line"))
+    files.select("part", F.when(F.col("cut"), F.expr("substring(line, 1, length(line) - 9)")).otherwise(F.col("line")).alias("line")).write.partitionBy("part").text(f"{base}/in")
+    ingest.prepare(spark, f"{base}/in", f"{base}/out", f"{base}/log", 1000, A)
+    told = ingest.ledger(spark, f"{base}/out").select(F.regexp_extract("path", "/part=([^/]*)/", 1).alias("part"), "failed", "documents")
+    made = ingest.prepared(spark, f"{base}/out").select(F.regexp_extract("id", "^(.*)_type[12]$", 1).cast("long").alias("doc_id"))
+    made = made.join(docs.select("doc_id", part.alias("part")), "doc_id").groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+    return told.join(made, "part", "left").select("part", "failed", "documents", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, source, lang, n_chars, md5(text) AS digest FROM documents")
 def indexed_rows(spark, d):
     rows = sequences.indexed(Tables(spark, d).documents, ["doc_id"])
@@ -660,11 +701,13 @@ def token_completion(spark, d):
     return Tables(spark, d).documents.agg(F.countDistinct("lang").alias("done")).select("done", F.round(F.col("done") * 100.0 / 145, 6).alias("pct"))
 
 
-@query("SELECT 'subshard' AS kind, lpad(CAST(i AS VARCHAR), 8, '0') AS id FROM range(1000) r(i) UNION ALL SELECT 'listed', 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') FROM range(1000) r(i) UNION ALL SELECT 'job', 'job' || lpad(CAST(i AS VARCHAR), 4, '0') FROM range(1000) r(i)")
+@query("SELECT 'subshard' AS kind, lpad(CAST(i AS VARCHAR), 8, '0') AS id FROM (SELECT unnest(range((SELECT count(*) FROM documents))) AS i) UNION ALL SELECT 'listed', 'EN-B' || lpad(CAST(i AS VARCHAR), 6, '0') FROM (SELECT unnest(range((SELECT max(s_suppkey) + 1 FROM supplier))) AS i) UNION ALL SELECT 'job', 'job' || lpad(CAST(i AS VARCHAR), 4, '0') FROM (SELECT unnest(range((SELECT count(*) FROM nation))) AS i)")
 def generated_ids(spark, d):
+    """As many ids as a table has rows by its footers, or as its last number says."""
     named = lambda kind, rows: rows.select(F.lit(kind).alias("kind"), "id")
-    jobs = readers.numbered(spark, 1000, "train-%04d-of-1416").select(ids.job_name(F.col("id")).alias("id"))
-    return named("subshard", readers.numbered(spark, 1000)).unionByName(named("listed", readers.numbered_by(spark, "EN", 999))).unionByName(named("job", jobs))
+    last = Tables(spark, d).supplier.agg(F.max("s_suppkey")).first()[0]
+    jobs = readers.numbered(spark, readers.row_count(spark, f"{d}/nation.parquet"), "train-%04d-of-1416").select(ids.job_name(F.col("id")).alias("id"))
+    return named("subshard", readers.numbered(spark, readers.row_count(spark, f"{d}/documents.parquet"))).unionByName(named("listed", readers.numbered_by(spark, "EN", last))).unionByName(named("job", jobs))
 
 
 @query("SELECT c_custkey, c_mktsegment || '_' || c_name AS file_id, CASE WHEN contains(c_name, '_') THEN c_mktsegment || '_' || regexp_replace(c_name, '_[^_]*$', '') ELSE c_mktsegment END AS doc_key, substr(c_mktsegment, 1, 2) AS split_lang FROM customer")

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import tarfile
 from collections import Counter
@@ -12,7 +13,7 @@ from speechloom.functions.alphabet import Alphabet
 from speechloom.functions import ids
 from speechloom.functions.markup import AE, AS, BOS, EOS, TE, TS
 from speechloom.operators import audits, documents, merges, sequences, statistics, vocabulary
-from speechloom.plans import recipes
+from speechloom.plans import catalogue, recipes
 from speechloom.sources import publish, readers, writers
 from speechloom.streaming import ingest
 
@@ -237,6 +238,22 @@ def test_encoder_gives_what_merges_give_one_after_another():
         assert merges.Encoder(learned, {}).tokens(text) == merges.apply(text, learned)
 
 
+def test_merged_tokens_of_every_codec_string(spark):
+    """The catalogue's query against merges applied one after another."""
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    texts = {r.vec_id: r.audio_str for r in catalogue.QUERIES["codec_encode"](spark, d).collect()}
+    plan = merges.MergePlan(Alphabet(), vocab_size=17_000, max_ngrams=2)
+    learned = one_at_a_time([texts[k] for k in sorted(texts)], 16, 24)[0]
+    ids = merges.vocabulary(plan, learned)
+    got = catalogue.QUERIES["merged_tokens"](spark, d).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = [ids[t] for t in merges.apply(texts[r.vec_id], learned)]
+        assert (r.n_tokens, r.ids) == (len(want), ",".join(map(str, want)))
+
+
 def test_long_texts_are_encoded_in_time():
     learned = [("a", "b"), ("ab", "ab"), ("abab", "abab")]
     assert len(merges.Encoder(learned, {}).tokens("ab" * 100_000)) == 25_000
