@@ -288,13 +288,26 @@ def test_markov_is_a_distribution():
 # quality
 
 
-def kneser_ney(trusted, texts):
+def parts_of(text):
+    """Words, one by one: letters, digits and underscores together, Han characters and other signs alone."""
+    out, last = [], ""
+    for c in text or "":
+        plain = (c.isalnum() or c == "_") and not "\u4e00" <= c <= "\u9fff"
+        if plain and last:
+            out[-1] += c
+        elif not c.isspace():
+            out.append(c)
+        last = c if plain else ""
+    return out
+
+
+def kneser_ney(trusted, texts, order=4, units=list):
     """Perplexities by the textbook formulas, on dictionaries."""
-    grams = lambda t: [tuple(("\x02" * 3 + t + "\x03")[i : i + 4]) for i in range(len(t) + 1)]
-    counts = {4: Counter(g for t in trusted for g in grams(t))}
-    for k in (3, 2, 1):
+    grams = lambda t: [tuple((["\x02"] * (order - 1) + units(t) + ["\x03"])[i : i + order]) for i in range(len(units(t)) + 1)]
+    counts = {order: Counter(g for t in trusted for g in grams(t))}
+    for k in range(order - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
-    wanted = {g[3:] for t in texts for g in grams(t)}
+    wanted = {g[-1:] for t in texts for g in grams(t)}
     d = {}
     for k, c in counts.items():
         n = Counter(c.values())
@@ -321,7 +334,7 @@ def kneser_ney(trusted, texts):
         return ((c - cut(c) if c else 0) + sum(map(cut, seen)) * p(g[1:])) / sum(seen)
 
     assert wanted
-    return [math.exp(-sum(math.log(p(g)) for g in grams(t)) / (len(t) + 1)) for t in texts]
+    return [math.exp(-sum(math.log(p(g)) for g in grams(t)) / (len(units(t)) + 1)) for t in texts]
 
 
 def test_quality_against_the_formulas(spark):
@@ -351,6 +364,30 @@ def test_quality_against_the_formulas(spark):
             assert g.kept == (g.n_chars > 0 and g.perplexity < limit)
 
 
+def test_quality_of_words_against_the_formulas(spark):
+    """The mode of the query: words, order 3, the first of three units beside the packed two."""
+    r = random.Random(19)
+    vocabulary = ["one", "two", "Two", "thr_ee", "4", "é", "漢", "字漢", "x-y", "it's", "end."]
+    line = lambda n: r.choice([" ", "  ", "\n"]).join(r.choice(vocabulary) for _ in range(n))
+    rows = [(k, line(r.randint(1, 14)), r.choice(["x", "y", None])) for k in range(70)]
+    rows += [(100, None, "x"), (101, " \n ", "x"), (102, "unseen words only", "x"), (103, "one " * 5000, "y"), (0, rows[0][1], "x")]
+    labels = [(k, int(k < 50)) for k in range(70)]
+    good = {k for k, q in labels if q == 1}
+    trusted = [t for k, t, _ in rows if k in good and zlib.crc32(str(k).encode()) % 5]
+    want = kneser_ney(trusted, [t for _, t, _ in rows], 3, parts_of)
+    assert any(len(parts_of(t)) > 3 for t in trusted)
+    out = quality.quality(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"), least=5, words=True).collect()
+    got = sorted((g.doc_id, g.perplexity) for g in out)
+    assert len(got) == len(rows)
+    for (i, x), (j, y) in zip(got, sorted((k, w) for (k, _, _), w in zip(rows, want, strict=True)), strict=True):
+        assert i == j and math.isclose(x, y, rel_tol=1e-6), (i, x, y)
+    told = [(lang, p) for (k, t, lang), p in zip(rows, want, strict=True) if k in good and parts_of(t) and zlib.crc32(str(k).encode()) % 5 == 0]
+    cut = lambda ps: sorted(ps)[math.ceil(0.99 * len(ps)) - 1]
+    own = {v: cut([p for lang, p in told if lang == v]) for v in ("x", "y") if sum(lang == v for lang, _ in told) >= 5}
+    for g in out:
+        assert math.isclose(g.threshold, own.get(g.lang, cut([p for _, p in told])), rel_tol=1e-6)
+
+
 def test_quality_of_words(spark):
     """Shuffled words of trusted texts are poor text, blanks are none."""
     r = random.Random(4)

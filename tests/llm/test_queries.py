@@ -10,6 +10,7 @@ import pytest
 import corpus_pipeline
 from speechloom.llm import queries, url_filter
 
+from .test_chat_and_packing import check_packing
 from .test_near_and_leaks import brute, leaks
 
 DIR = "/root/testdata/sf0.001"
@@ -50,7 +51,12 @@ def test_without_sql(spark, name):
         return
     ids = sorted(r[0] for r in one(f"SELECT doc_id FROM {documents}"))
     if name == "op10_pack":
-        assert sorted({r.doc_id for r in rows}) == sorted(set(ids)) and all(0 <= r.offset and r.offset + r.length <= 2048 for r in rows)
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        texts = one(f"SELECT doc_id, text FROM {documents}")
+        used, tokens = check_packing(texts, rows, Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json"))), 2048)
+        assert used <= 1.02 * tokens / 2048 + 1
         return
     assert sorted(r.doc_id for r in rows) == ids
     fold = {"op8_toxicity": (5, 0), "op9_language": (4, 2)}.get(name)
