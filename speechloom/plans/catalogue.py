@@ -331,6 +331,18 @@ def resumed_chunks(spark, d):
     return spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(F.length("text")).alias("chars"))
 
 
+@query("SELECT o_orderkey::VARCHAR AS entry_id, o_custkey::VARCHAR AS speaker_id, o_orderstatus AS book_id, CAST(o_totalprice AS DOUBLE) AS begin_time FROM orders WHERE o_orderkey IN (SELECT min(o_orderkey) FROM orders GROUP BY o_custkey)")
+def utterance_files(spark, d):
+    """The first order of each customer as a file of its own; half of them were written by a job before."""
+    path = scratch(spark)
+    first = Tables(spark, d).orders.groupBy("o_custkey").agg(F.min_by(F.struct("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey").alias("o"))
+    text = lambda c: F.col(c).cast("string")
+    rows = first.select(text("o.o_orderkey").alias("entry_id"), text("o_custkey").alias("speaker_id"), F.col("o.o_orderstatus").alias("book_id"), F.col("o.o_totalprice").cast("double").alias("begin_time"), F.lit(0.0).alias("end_time"))
+    writers.utterance_tree(rows.filter(F.crc32(F.col("entry_id").cast("binary")) % 2 == 0), path)
+    writers.utterance_tree(rows, path)
+    return readers.utterance_tree(spark, path).select("entry_id", "speaker_id", "book_id", "begin_time")
+
+
 @query("WITH g AS (SELECT coalesce(source, 'none') || '-' || doc_id % 8 AS part, doc_id % 8 = 3 AS failed, count(*) AS n FROM documents GROUP BY 1, 2) SELECT part, failed, CASE WHEN failed THEN 0 ELSE n END AS documents, CASE WHEN failed THEN 0 ELSE 2 * n END AS n_rows FROM g")
 def ingest_ledger(spark, d):
     """Documents as JSON array files, some of them cut short, taken by the stream: what the ledger tells, and the rows there are."""

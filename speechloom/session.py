@@ -15,6 +15,8 @@ SETTINGS = {
     # documents of 100-150 KB: small Arrow batches
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints of frames that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,8 +43,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder the cluster shares.
 
-    Spark deletes shuffle files and checkpoints of steps that are over when the driver collects its garbage, and a driver
-    with little to hold hardly ever does (every half hour by default); so it is asked to here.
+    Spark deletes shuffle files of steps that are over when the driver collects its garbage, and checkpoints too if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set, as `session` does. A driver with little to hold hardly ever
+    collects (every half hour by default); so it is asked to here.
     """
     checkpoint_folder(df.sparkSession)
     df.sparkSession._jvm.System.gc()

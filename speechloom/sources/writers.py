@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audits import first_by_id
 from ..operators.sequences import indexed
 from ..session import checkpoint
-from .readers import footers
+from .readers import footers, listing
 
 
 def batched_parquet(df: DataFrame, path: str, records: int = 20_000, mode: str = "append") -> None:
@@ -24,17 +26,49 @@ def sharded_parquet(df: DataFrame, path: str, shard: str = "shard_id") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(path)
 
 
-def utterance_tree(df: DataFrame, path: str, skip_existing: bool = True) -> None:
-    """A file for each entry below its speaker and book; of entries with one id the first in order of their bounds is
-    written, and none that is there already."""
-    there = None
+def entry_names(spark: SparkSession, path: str) -> DataFrame:
+    """(name) of the files that utterance_tree() has written, from a listing; nothing is read."""
+    try:
+        return listing(spark, path, "*.json").select(F.regexp_extract("path", r"([^/]*)\.json$", 1).alias("name"))
+    except AnalysisException:  # nothing yet
+        return spark.createDataFrame([], "name string")
+
+
+def utterance_tree(df: DataFrame, path: str, skip_existing: bool = True) -> int:
+    """A file `speaker/book/entry.json` with all columns for each entry; how many were written.
+
+    Of entries with one id the first in order of their bounds is written, and none whose name is there already: only names are
+    looked at. A file is written under another name, which readers pass over, and then renamed, so each one is whole or absent: a
+    task that runs again writes the same files, and a job that was stopped goes on where it was. Names are URL-encoded with `~` in
+    place of `%`, as are an underscore or a dot at the beginning, which would hide the file; null and empty ids are `~`.
+    """
+    spark = df.sparkSession
+    plain = lambda c: F.replace(F.url_encode(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("%"), F.lit("~"))
+    shown = lambda x: F.regexp_replace(F.regexp_replace(x, "^_", "~5F"), r"^\.", "~2E")
+    name = lambda c: F.coalesce(F.nullif(shown(plain(c)), F.lit("")), F.lit("~"))
+    rows = first_by_id(df, "entry_id", ["begin_time", "end_time"] if "begin_time" in df.columns else ["entry_id"])
+    files = rows.select(name("speaker_id").alias("speaker"), name("book_id").alias("book"), name("entry_id").alias("name"), F.to_json(F.struct(*rows.columns)).alias("line"))
     if skip_existing:
-        try:
-            there = df.sparkSession.read.schema("entry_id string").option("recursiveFileLookup", True).json(path)
-        except AnalysisException:  # nothing yet
-            pass
-    rows = first_by_id(df, "entry_id", ["begin_time", "end_time"] if "begin_time" in df.columns else ["entry_id"], there)
-    rows.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("speaker_id", "book_id").json(path)
+        files = files.join(entry_names(spark, path), "name", "left_anti").select("speaker", "book", "name", "line")
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(path)
+        made: set[str] = set()
+        for b in batches:
+            for speaker, book, entry, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                folder = f"{base}/{speaker}/{book}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                draft = f"{folder}/.{entry}.{uuid.uuid4()}"
+                with store.open_output_stream(draft, compression=None) as out:
+                    out.write(line.encode())
+                store.move(draft, f"{folder}/{entry}.json")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    return files.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def fixed_chunks(df: DataFrame, path: str, order: list[str], size: int = 10_000, resume: bool = False) -> None:

@@ -469,10 +469,18 @@ def test_utterance_files_and_resumed_chunks(spark, tmp_path):
     base = [("e1", "s", "b", 2.0, 3.0), ("e1", "s", "b", 1.0, 2.0), ("e2", "s", "c", 0.0, 1.0)]
     df = spark.createDataFrame(base, "entry_id string, speaker_id string, book_id string, begin_time double, end_time double")
     out = str(tmp_path / "tree")
-    for _ in range(2):  # nothing new the second time
-        writers.utterance_tree(df, out)
+    for n in (2, 0):  # nothing new the second time
+        assert writers.utterance_tree(df, out) == n
         files = list((tmp_path / "tree").rglob("*.json"))
-        assert len(files) == 2 and sorted(json.loads(f.read_text())["begin_time"] for f in files) == [0.0, 1.0]
+        assert sorted(str(f.relative_to(out)) for f in files) == ["s/b/e1.json", "s/c/e2.json"]
+        assert sorted(json.loads(f.read_text())["begin_time"] for f in files) == [0.0, 1.0]
+    # what is there isn't read, only named; ids with any signs; a lost file is written again
+    (tmp_path / "tree" / "s" / "b" / "e1.json").write_text("{not json")
+    (tmp_path / "tree" / "s" / "c" / "e2.json").unlink()
+    more = df.unionByName(spark.createDataFrame([("x/y z%é", None, "b", 0.0, 1.0), (None, "s", "", 0.0, 1.0), ("_h~", ".s", "_b", 0.0, 1.0)], df.schema))
+    assert writers.utterance_tree(more, out) == 4 and writers.utterance_tree(more, out) == 0
+    assert (tmp_path / "tree" / "s" / "b" / "e1.json").read_text() == "{not json"
+    assert sorted(r.entry_id or "" for r in readers.utterance_tree(spark, out).collect()) == ["", "_h~", "e2", "x/y z%é"]
     chunks = str(tmp_path / "chunks")
     writers.fixed_chunks(spark.range(25), chunks, ["id"], 10, resume=True)
     before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "chunks" / "chunk=0").glob("*.parquet")}
