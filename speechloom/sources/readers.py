@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,10 +95,18 @@ def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
     return footers(spark, path).filter("error is not null").select("path", "error")
 
 
-def utterance_tree(spark: SparkSession, base: str) -> DataFrame:
+def utterance_tree(spark: SparkSession, base: str, seen: Observation | None = None) -> DataFrame:
     """One object for each file below speaker and book; unreadable files are passed over, `unreadable_utterances` lists them.
-    Times become doubles, 0 where missing."""
-    df = _tree(spark, base).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "path")
+    Times become doubles, 0 where missing.
+
+    seen: after an action on the result, `seen.get` has how many objects were `read` and how many files `skipped`, counted in
+    the same scan.
+    """
+    df = _tree(spark, base)
+    bad = F.col("_corrupt_record").isNotNull()
+    if seen is not None:
+        df = df.observe(seen, F.count_if(~bad).alias("read"), F.count_if(bad).alias("skipped"))
+    df = df.filter(~bad).drop("_corrupt_record", "path")
     times = {c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in ("begin_time", "end_time", "audio_duration")}
     return df.withColumns(times)
 

@@ -9,6 +9,7 @@ import tarfile
 import time
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from speechloom.sources import readers, writers
@@ -221,3 +222,15 @@ def test_a_broken_archive_stops_no_other(spark, tmp_path):
     again = readers.extract(spark, str(source), target, ".txt")
     assert again.filter("archive like '%b.tar.gz'").count() == 6 and again.count() == 8
     assert [r.archive.rsplit("/", 1)[-1] for r in readers.extracted(spark, target).filter("error is not null").collect()] == ["c.tar"]
+
+
+def test_skipped_files_are_counted_in_the_same_scan(spark, tmp_path):
+    folder = tmp_path / "s" / "b"
+    folder.mkdir(parents=True)
+    for k in range(9):
+        (folder / f"{k}.json").write_text("{cut" if k % 4 == 1 else json.dumps({"entry_id": f"e{k}", "speaker_id": "s", "book_id": "b"}))
+    seen = Observation()
+    got = readers.utterance_tree(spark, str(tmp_path), seen)
+    assert sorted(r.entry_id for r in got.collect()) == [f"e{k}" for k in range(9) if k % 4 != 1]
+    assert seen.get == {"read": 7, "skipped": 2} and len(readers.unreadable_utterances(spark, str(tmp_path)).collect()) == 2
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
