@@ -14,7 +14,7 @@ dealt, whole bins together, into a sixteenth as many shards at least, which evol
 of their founders, so that no round needs more bins than the one before; and so on until one shard is left.
 
 Defined results: a null text is empty; an empty document is the end mark alone (one token); documents longer than
-`capacity` are cut, the first piece takes what is left over; every row gives its pieces, repeated ids too; an empty table
+`capacity` are cut, the first piece takes what is left over; every row gives its pieces, repeated and null ids too; an empty table
 gives no rows; other columns are neither read nor returned.
 """
 

@@ -19,7 +19,7 @@ documents; a language with fewer than `least` of these uses that of all.
 
 Defined results: texts without a unit (null, empty, only blanks for words) have only the end mark and are never kept; a null language uses the common threshold;
 without trusted text there is no threshold and everything but texts without a unit is kept; ids labelled more than once are trusted
-if any of their labels is 1; every row gives one row; other columns are neither read nor returned.
+if any of their labels is 1; rows with a null id are scored and never trusted; every row gives one row; other columns are neither read nor returned.
 """
 
 from __future__ import annotations

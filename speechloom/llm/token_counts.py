@@ -12,7 +12,7 @@ across such a place, so a chunk's table doesn't depend on its surroundings; tabl
 bounded memo, and a text's table is the chunks' tables, each raised by what stands before it.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; strings of special tokens inside a text are one token
-each, as by the library's default; repeated rows are counted each; other columns are neither read nor returned.
+each, as by the library's default; repeated rows and rows with null ids are counted each; other columns are neither read nor returned.
 """
 
 from __future__ import annotations

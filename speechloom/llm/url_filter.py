@@ -16,7 +16,7 @@ with it, and every difference is the same number. The threshold comes from a his
 (allow, when there are none).
 
 Defined results: a null url, or one without `://`, has an empty host and path and fits no rule; the models judge its
-string as it is, null as empty; an empty string has a difference of 0. Every row gives one row, repeated ids too; other
+string as it is, null as empty; an empty string has a difference of 0. Every row gives one row, repeated and null ids too; other
 columns are neither read nor returned.
 """
 

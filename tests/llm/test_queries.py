@@ -20,7 +20,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages"):
         con.execute(f"create view {t} as select * from '{DIR}/{t}.parquet'")
     out = con.execute(queries.ORACLES[name])
     names = [c[0] for c in out.description]
