@@ -36,6 +36,8 @@ def same(keys: list[str], names: list[str]) -> Column:
 
 def split(df: DataFrame, keys: list[str], order: list[str], most: int = MOST) -> tuple[DataFrame, DataFrame | None]:
     """The rows of keys with at most `most` rows, and those of all others with `_stretch`; None if there are no others."""
+    if df.count() <= most:  # no key can have more; this count needs no exchange
+        return df, None
     names = [f"_large{k}" for k in range(len(keys))]
     large = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
     large = checkpoint(large)  # a row for `most` rows at least
