@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.alphabet import Alphabet
-from ..session import checkpoint
+from ..session import remove, scratch_folder
 
 
 @dataclass(frozen=True)
@@ -90,49 +92,162 @@ def independent(ranked: list[tuple[str, str, int]], made: set[str], whole: bool)
     return [(a, b) for k, (a, b, n) in enumerate(taken) if not k or n > bound]
 
 
-def train(strings: DataFrame, column: str, plan: MergePlan, rounds: int | None = None, at_once: int = 1000) -> list[tuple[str, str]]:
+def pairs(tokens: list[str], limit: int | None) -> Iterator[tuple[str, str]]:
+    return (p for p in zip(tokens, tokens[1:], strict=False) if limit is None or len(p[0]) + len(p[1]) <= limit)
+
+
+def rewriter(found: set[tuple[str, str]] | None, limit: int | None):
+    """Strings with these pairs joined, and how often each pair now occurs more or less; without pairs, how often each occurs."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, ends, a, b, n = [], [0], [], [], []
+            for old, w in zip(batch["tokens"].to_pylist(), batch["w"].to_pylist(), strict=True):
+                new = joined(old, found) if found else old
+                rows.append(new)
+                if found is None or len(new) < len(old):
+                    change = Counter(pairs(new, limit))
+                    if found is not None:
+                        change.subtract(pairs(old, limit))
+                    for (first, second), k in change.items():
+                        if k:
+                            a.append(first)
+                            b.append(second)
+                            n.append(k * w)
+                ends.append(len(n))
+            flat = pa.StructArray.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())], ["a", "b", "n"])
+            changes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([batch["part"], pa.array(rows, pa.list_(pa.string())), batch["w"], changes], ["part", "tokens", "w", "changes"])
+
+    return run
+
+
+STRINGS = "part int, tokens array<string>, w long, changes array<struct<a:string,b:string,n:long>>"
+
+
+class Work(NamedTuple):
+    """What a round of training did: its merges, and the buckets and strings it read to apply them."""
+
+    merges: int
+    buckets: int
+    strings: int
+
+
+class Buckets:
+    """The strings of a training in tables of one folder, rewritten bucket by bucket, with what tells which to rewrite.
+
+    strings/round/part: the tokens of a bucket since the last round that changed it, and the changes of its pairs' counts.
+    index/round: (a, b, part), the buckets in which a round made a pair. A pair first comes where one of its two tokens is
+    made, so it is found in the index of the rounds that made either. It may have gone from a bucket since; that costs a
+    read. counts/round: how often each pair occurs, the last round's with the changes.
+    The driver holds a bucket's last round and number of strings, two numbers for each file of strings.
+    """
+
+    def __init__(self, strings: DataFrame, column: str, limit: int | None, size: int):
+        self.spark, self.limit, self.round = strings.sparkSession, limit, 0
+        self.folder = scratch_folder(self.spark, "merges")
+        self.made: dict[str, list[int]] = {}
+        weighted = strings.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("s")).agg(F.count(F.lit(1)).alias("w"))
+        weighted.write.parquet(f"{self.folder}/weighted")
+        weighted = self.spark.read.parquet(f"{self.folder}/weighted")
+        self.parts = max(1, -(-weighted.count() // size))
+        dealt = weighted.withColumn("part", F.pmod(F.xxhash64("s"), F.lit(self.parts)).cast("int")).repartition("part")
+        self.write(dealt.select("part", F.split("s", "").alias("tokens"), "w"), None)
+        remove(self.spark, f"{self.folder}/weighted")
+        self.strings = {r["part"]: r["count"] for r in self.written().groupBy("part").count().collect()}
+        self.at = dict.fromkeys(self.strings, 0)
+
+    def written(self) -> DataFrame:
+        return self.spark.read.schema(STRINGS).parquet(f"{self.folder}/strings/round={self.round}")
+
+    def write(self, rows: DataFrame, found: set[tuple[str, str]] | None) -> None:
+        """The tables of this round: strings first, then what their changes add to the index and the counts."""
+        rows.mapInArrow(rewriter(found, self.limit), STRINGS).write.partitionBy("part").parquet(f"{self.folder}/strings/round={self.round}")
+        change = self.written().select("part", F.inline("changes"))
+        if self.parts > 1:  # one bucket needs no index
+            new = change.filter("n > 0").select("a", "b", "part").distinct()
+            new.sortWithinPartitions("a", "b").write.parquet(f"{self.folder}/index/round={self.round}")
+        if self.round:
+            change = change.select("a", "b", "n").unionByName(self.counts(self.round - 1))
+        change.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 0").write.parquet(f"{self.folder}/counts/round={self.round}")
+        if self.round:
+            remove(self.spark, f"{self.folder}/counts/round={self.round - 1}")
+
+    def counts(self, number: int) -> DataFrame:
+        return self.spark.read.schema("a string, b string, n long").parquet(f"{self.folder}/counts/round={number}")
+
+    def ranked(self, least: int, most: int) -> list[tuple[str, str, int]]:
+        rows = self.counts(self.round).filter(F.col("n") >= least).orderBy(F.desc("n"), "a", "b").limit(most)
+        return [(r["a"], r["b"], r["n"]) for r in rows.collect()]
+
+    def holding(self, found: list[tuple[str, str]]) -> list[int]:
+        """The buckets in which one of the pairs has come up."""
+        if self.parts == 1:
+            return list(self.at)
+        rounds = {k for p in found for t in p for k in self.made.get(t, [0])}
+        index = self.spark.read.schema("a string, b string, part int").parquet(*[f"{self.folder}/index/round={k}" for k in sorted(rounds)])
+        wanted = self.spark.createDataFrame(found, "a string, b string")
+        return [r["part"] for r in index.join(F.broadcast(wanted), ["a", "b"], "left_semi").select("part").distinct().collect()]
+
+    def merge(self, found: list[tuple[str, str]]) -> Work:
+        """Join these pairs in the buckets that hold them; tables that are replaced are deleted."""
+        parts = self.holding(found)
+        self.round += 1
+        for a, b in found:
+            self.made.setdefault(a + b, []).append(self.round)
+        base = f"{self.folder}/strings"
+        old = {p: f"{base}/round={self.at[p]}/part={p}" for p in parts}
+        rows = self.spark.read.schema("round int, " + STRINGS).option("basePath", base).parquet(*old.values())
+        self.write(rows.select("part", "tokens", "w"), set(found))
+        left = {k for p, k in self.at.items() if p not in old}
+        for k in {self.at[p] for p in parts} - left:
+            remove(self.spark, f"{base}/round={k}")
+        for p, path in old.items():
+            if self.at[p] in left:
+                remove(self.spark, path)
+            self.at[p] = self.round
+        return Work(len(found), len(parts), sum(self.strings[p] for p in parts))
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)
+
+
+def train(
+    strings: DataFrame,
+    column: str,
+    plan: MergePlan,
+    rounds: int | None = None,
+    at_once: int = 1000,
+    bucket: int = 10_000,
+    report: Callable[[Work], None] | None = None,
+) -> list[tuple[str, str]]:
     """The merges in order: always the most frequent pair of neighbouring tokens, the first in order of text among equals.
 
-    Each round counts the pairs of all strings, with partial sums in each task, and merges all that are independent();
-    only the `at_once` most frequent reach the driver. The strings are kept as tokens, one row for equal ones, in the
-    checkpoint folder, so a round applies its own merges only. `rounds` bounds the merges. Null strings are left out.
+    Pairs are counted once; a round merges all that are independent() and changes the counts by what it did. An index from
+    pairs to buckets of about `bucket` distinct strings tells which to rewrite, so late rounds, whose pairs are rare, read
+    few strings; `report` gets what each read. Only the `at_once` most frequent pairs reach the driver. Tables are in the
+    checkpoint folder, one row for equal strings, and deleted at the end. `rounds` bounds the merges. Null strings are
+    left out.
     """
     limit, learned = plan.max_token_length, []
-    if limit == 1:
-        return learned
     most = plan.merges if rounds is None else min(rounds, plan.merges)
-
-    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums: dict[tuple[str, str], int] = {}
-            for tokens, w in zip(batch["tokens"].to_pylist(), batch["w"].to_pylist(), strict=True):
-                for p in zip(tokens, tokens[1:], strict=False):
-                    if limit is None or len(p[0]) + len(p[1]) <= limit:
-                        sums[p] = sums.get(p, 0) + w
-            cols = [pa.array([p[0] for p in sums], pa.string()), pa.array([p[1] for p in sums], pa.string()), pa.array(list(sums.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "n"])
-
-    def applied(found: set[tuple[str, str]]):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                tokens = [joined(t, found) for t in batch["tokens"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.string())), batch["w"]], ["tokens", "w"])
-
-        return run
-
-    weighted = strings.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("s")).agg(F.count(F.lit(1)).alias("w"))
-    state = checkpoint(weighted.select(F.split("s", "").alias("tokens"), "w"))
-    made: set[str] = set()
-    while len(learned) < most:
-        counts = state.mapInArrow(pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        ranked = [tuple(r) for r in counts.filter(F.col("n") >= plan.min_frequency).orderBy(F.desc("n"), "a", "b").limit(at_once).collect()]
-        if not ranked:
-            break
-        found = independent(ranked, made, len(ranked) < at_once)[: most - len(learned)]
-        learned += found
-        made |= {a + b for a, b in found}
-        if len(learned) < most:
-            state = checkpoint(state.mapInArrow(applied(set(found)), "tokens array<string>, w long"))
+    if limit == 1 or most <= 0:
+        return learned
+    state, made = Buckets(strings, column, limit, bucket), set()
+    try:
+        while len(learned) < most:
+            ranked = state.ranked(plan.min_frequency, at_once)
+            if not ranked:
+                break
+            found = independent(ranked, made, len(ranked) < at_once)[: most - len(learned)]
+            learned += found
+            made |= {a + b for a, b in found}
+            if len(learned) < most:
+                work = state.merge(found)
+                if report:
+                    report(work)
+    finally:
+        state.close()
     return learned
 
 

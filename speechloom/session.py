@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared one, for tables of one run; whoever asks for it removes it."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder the cluster shares.
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from speechloom import plugins
+from speechloom import plugins, session
 from speechloom.functions.alphabet import Alphabet
 from speechloom.functions import ids
 from speechloom.functions.markup import AE, AS, BOS, EOS, TE, TS
@@ -279,6 +279,40 @@ def test_merges_of_a_table(spark):
     assert got == one_at_a_time(texts, 6, 12)[0]
 
 
+def test_merges_of_buckets(spark):
+    """Strings in many buckets: the merges of one string after another, fewer strings read for rarer pairs, nothing left."""
+    folder = session.checkpoint_folder(spark).removeprefix("file:")
+    plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=400, max_ngrams=6)
+    for seed, at_once in ((5, 2), (13, 1000)):
+        texts, work = random_texts(seed) + random_texts(seed + 1), []
+        df = spark.createDataFrame([(t,) for t in [*texts, None]], "s string")
+        got = merges.train(df, "s", plan, rounds=14, at_once=at_once, bucket=5, report=work.append)
+        assert got == one_at_a_time(texts, 6, 14)[0]
+        assert max(w.strings for w in work) <= len(set(texts)) and sum(w.merges for w in work) <= 14
+    assert not [f for f in os.listdir(folder) if f.startswith("merges-")]
+
+
+def test_rounds_read_what_holds_their_pairs(spark):
+    """The frequent pairs are everywhere, the rare ones in few strings each: rounds read ever less."""
+    r = random.Random(3)
+    texts = ["ab" * 3 + "".join(r.choice("cd") for _ in range(2)) + f"{chr(0x4E00 + k // 2)}{chr(0x6E00 + k // 2)}" for k in range(200)]
+    plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=400)
+    work = []
+    got = merges.train(spark.createDataFrame([(t,) for t in texts], "s string"), "s", plan, rounds=16, at_once=8, bucket=4, report=work.append)
+    assert work[0].strings == len(set(texts)) and work[-1].strings < work[0].strings / 4
+    rows = [list(t) for t in texts]
+    for p in got:
+        ranked = pair_counts(rows, 1 << 30)
+        assert ranked[0][:2] == p
+        rows = [merges.joined(t, {p}) for t in rows]
+
+
+def test_merges_of_no_strings(spark):
+    plan = merges.MergePlan(Alphabet(codebooks=1, size=26, offset=97), vocab_size=400)
+    assert merges.train(spark.createDataFrame([], "s string"), "s", plan) == []
+    assert merges.train(spark.createDataFrame([(None,), ("",)], "s string"), "s", plan) == []
+
+
 def test_independent_pairs():
     ranked = [("a", "b", 9), ("c", "d", 8), ("e", "f", 5), ("b", "c", 5), ("g", "h", 4)]
     assert merges.independent(ranked, set(), True) == [("a", "b"), ("c", "d")]
