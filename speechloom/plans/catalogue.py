@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import plugins
 from ..functions import display, ids, markup
 from ..functions.alphabet import Alphabet
-from ..operators import audits, documents, merges, sequences, statistics
+from ..operators import audits, documents, encoding, merges, sequences, statistics
 from ..session import checkpoint_folder
 from ..sources import publish, readers, writers
 from ..streaming import ingest
@@ -166,6 +166,20 @@ def codec_robust(spark, d):
     return back.select("vec_id", "codebook", F.array_join("row", ",").alias("codes"))
 
 
+@query(
+    """WITH c AS (SELECT doc_id, generate_subscripts(string_split(text, ''), 1) - 1 AS place, unicode(unnest(string_split(text, ''))) AS point FROM documents WHERE text <> ''),
+    f AS (SELECT doc_id, place // 1920 AS frame, CAST(floor((sum(CAST(point % 256 AS DOUBLE) / 256 - 0.5) / 1920 + 1) / 2 * 2047) AS INT) AS v FROM c GROUP BY ALL)
+    SELECT doc_id, CAST(k AS INT) AS codebook, count(*) AS n_frames, CAST((max(frame) + 5) // 5 AS INT) AS parts, string_agg(CAST((v + k) % 2048 AS VARCHAR), ',' ORDER BY frame) AS codes FROM f, range(8) r(k) GROUP BY doc_id, k"""
+)
+def encoded_recordings(spark, d):
+    """Whole texts as recordings, a sample for each character, in parts of five frames: encoded in batches of like length."""
+    sample = lambda c: ((F.ascii(c) % 256).cast("float") / 256 - 0.5).cast("float")
+    recordings = Tables(spark, d).documents.select("doc_id", F.when(F.col("text") != "", F.transform(F.split("text", ""), sample)).alias("samples"))
+    whole = encoding.encoded_audio(recordings, "doc_id", "samples", plugins.Energy, limit=0.4)
+    rows = whole.select("doc_id", "parts", F.posexplode("codes").alias("codebook", "row"))
+    return rows.select("doc_id", "codebook", F.size("row").cast("long").alias("n_frames"), "parts", F.array_join("row", ",").alias("codes"))
+
+
 # documents and views
 
 

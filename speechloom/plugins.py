@@ -38,10 +38,13 @@ class Energy:
         self.codebooks, self.size, self.step = codebooks, size, int(self.rate / per_second)
 
     def encode(self, batch):
+        import numpy as np
+
         out = []
         for samples in batch:
-            frames = [samples[i : i + self.step] for i in range(0, len(samples), self.step)]
-            level = [int((sum(f) / self.step + 1) / 2 * (self.size - 1)) for f in frames]
+            x = np.asarray(samples, np.float64)
+            sums = np.pad(x, (0, -len(x) % self.step)).reshape(-1, self.step).sum(1)
+            level = ((sums / self.step + 1) / 2 * (self.size - 1)).astype(int).tolist()
             out.append([[(v + k) % self.size for v in level] for k in range(self.codebooks)])
         return out
 
