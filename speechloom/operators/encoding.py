@@ -30,8 +30,8 @@ def batches_of(lengths: list[int], budget: int, slack: float) -> Iterator[tuple[
 def encoded(df: DataFrame, samples: str, make: Callable[[], Encoder], budget: int = 16 * 60 * 24_000, slack: float = 0.1, per_second: float = PER_SECOND) -> DataFrame:
     """The other columns with `codes`, array<array<int>>, and `silence`, the samples a batch added to the row's own.
 
-    Rows are range-partitioned and sorted by length, equal lengths by a hash of their samples, so no length makes a large
-    partition, and neighbours make the batches. A model that gives a recording the same codes in any batch gives those of
+    Rows are range-partitioned and sorted by length, equal lengths by a hash of the other columns, so neither a length nor
+    copies under many keys make a large partition, and neighbours make the batches. A model that gives a recording the same codes in any batch gives those of
     recordings encoded one by one. Null or empty samples have no codes. An Arrow batch is the unit of memory: recordings
     of minutes want a small spark.sql.execution.arrow.maxRecordsPerBatch.
     """
@@ -60,7 +60,8 @@ def encoded(df: DataFrame, samples: str, make: Callable[[], Encoder], budget: in
             yield pa.RecordBatch.from_arrays([*rest, pa.array(codes, pa.list_(pa.list_(pa.int32()))), pa.array(silence, pa.int64())], [*[f.name for f in kept], "codes", "silence"])
 
     length = F.coalesce(F.size(samples), F.lit(0))
-    near = df.repartitionByRange(length, F.xxhash64(samples)).sortWithinPartitions(length)
+    told = [F.col("`" + f.name.replace("`", "``") + "`") for f in kept if "map<" not in f.dataType.simpleString()] or [F.col(samples)]
+    near = df.repartitionByRange(length, F.xxhash64(*told)).sortWithinPartitions(length)
     return near.mapInArrow(run, T.StructType([*kept, T.StructField("codes", CODES), T.StructField("silence", T.LongType())]))
 
 
