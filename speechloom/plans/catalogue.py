@@ -13,7 +13,7 @@ from ..functions import display, ids, markup
 from ..functions.alphabet import Alphabet
 from ..operators import audits, documents, encoding, merges, sequences, statistics
 from ..session import checkpoint_folder
-from ..sources import publish, readers, writers
+from ..sources import numbered, publish, readers, writers
 from ..streaming import ingest, late
 from . import recipes
 
@@ -785,6 +785,17 @@ def sharded_roundtrip(spark, d):
     return spark.read.parquet(path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
+@query("SELECT doc_id, md5(text) AS digest, true AS bounded, true AS gapless FROM documents")
+def numbered_roundtrip(spark, d):
+    """Whole documents in numbered files of at most 500 rows, by two jobs; each row tells whether the files are as they should be."""
+    docs, path = Tables(spark, d).documents.select("doc_id", "text", "lang"), scratch(spark)
+    numbered.numbered_parquet(docs.filter("lang = 'en'"), path, 500)
+    numbered.numbered_parquet(docs.filter("lang IS DISTINCT FROM 'en'"), path, 500)
+    files = numbered.units_of_files(spark, path, "lang").groupBy("number").agg(F.sum("rows").alias("rows"), F.countDistinct(F.coalesce(F.col("lang") == "en", F.lit(False))).alias("jobs"))
+    state = files.agg((F.max("rows") <= 500).alias("bounded"), ((F.max("number") + 1 == F.count(F.lit(1))) & (F.max("jobs") == 1)).alias("gapless"))
+    return spark.read.parquet(path).select("doc_id", F.md5("text").alias("digest")).join(F.broadcast(state))  # one row
+
+
 @query("SELECT n_name AS shard_id, CAST(n_regionkey AS VARCHAR) AS subshard_id FROM nation")
 def tsv_roundtrip(spark, d):
     path = scratch(spark)
