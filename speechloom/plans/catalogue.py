@@ -759,15 +759,15 @@ def human_numbers(spark, d):
 @query(ORACLES["gap_sessions"])
 def streamed_sessions(spark, d):
     """Events that come up to an hour late, in three runs of a stream that goes on from its checkpoint; a row of a later time ends it."""
-    own, path = late.stateful(spark), scratch(spark)
-    spans = Tables(own, d).spans().select("event_id", "user_id", F.expr("timestamp_micros(CAST(round(begin * 1e6) AS BIGINT))").alias("time"), "begin", "end")
+    path = scratch(spark)
+    spans = Tables(spark, d).spans().select("event_id", "user_id", F.expr("timestamp_micros(CAST(round(begin * 1e6) AS BIGINT))").alias("time"), "begin", "end")
     came = spans.withColumn("came", F.col("begin") + F.pmod(F.xxhash64("event_id"), F.lit(3600)))
     first, last = came.agg(F.min("came"), F.max("came")).first()
     third = F.when(F.lit(last == first), 0).otherwise(F.floor((F.col("came") - first) * 3 / ((last or 0) - (first or 0) + 1)))
-    ending = own.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(None).cast("long").alias("user_id"), F.timestamp_seconds(F.lit((last or 0) + 2_000_000_000)).alias("time"), F.lit(0.0).alias("begin"), F.lit(0.0).alias("end"))
+    ending = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(None).cast("long").alias("user_id"), F.timestamp_seconds(F.lit((last or 0) + 2_000_000_000)).alias("time"), F.lit(0.0).alias("begin"), F.lit(0.0).alias("end"))
     for k, part in enumerate([*(came.filter(third == k).drop("came") for k in range(3)), ending]):
         part.select([F.col(f.name).cast(f.dataType) for f in spans.schema]).write.parquet(f"{path}/in/{k}")
-        stream = own.readStream.schema(spans.schema).option("recursiveFileLookup", True).parquet(f"{path}/in")
+        stream = spark.readStream.schema(spans.schema).option("recursiveFileLookup", True).parquet(f"{path}/in")
         rows = late.late_sessions(stream, "user_id", "time", "event_id", "begin", "end", 3600.0, "1 hour")
         rows.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return spark.read.schema("event_id long, user_id long, segment_index int").parquet(f"{path}/out")

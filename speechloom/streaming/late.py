@@ -2,120 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+def reordered(names: list[str], tolerance: float, forget_ms: int | None) -> Callable[[tuple, Iterator, GroupState], Iterator]:
+    """What a batch does with a key: its rows wait, those that the watermark has passed are numbered in order.
 
-def stateful(spark: SparkSession) -> SparkSession:
-    """A session of its own whose state stores know timers and lists; the caller's settings stay."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    return own
-
-
-class Reordered(StatefulProcessor):
-    """Holds a key's rows until the watermark has passed them, then numbers their segments in order.
-
-    State of a key: its waiting rows, the end and number of its last segment, and one timer, at the earliest waiting row; without
-    waiting rows, at the time when the key is forgotten.
+    State: the waiting rows as four arrays, the time, end and segment of the last row that was numbered. The timer is set at the
+    earliest waiting row; without one, at the time when the key is forgotten. Rows up to the watermark are dropped from the next
+    batch on, so none can come between rows that are numbered already.
     """
+    import pandas as pd
 
-    def __init__(self, key: str, columns: list[T.StructField], tolerance: float, forget_ms: int | None):
-        self.key, self.names, self.tolerance, self.forget = key, [c.name for c in columns], tolerance, forget_ms
-        self.waits = T.StructType([T.StructField("at", T.LongType()), *columns])  # at: event time in microseconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.waits)
-        self.last = handle.getValueState("last", "at long, end double, segment int")
-
-    def wake(self, ms: int) -> None:
-        due = list(self.handle.listTimers())
-        if due != [ms]:
-            for t in due:
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(ms)
-
-    def shown(self, key: tuple, rows: list[tuple], segments: list[int | None]):
-        import pandas as pd
-
-        out = pd.DataFrame([r[1:] for r in rows], columns=self.names)
-        out.insert(0, self.key, pd.Series([key[0]] * len(rows), dtype=object))
+    def shown(key: tuple, rows: list[tuple], segments: list[int | None]):
+        out = pd.DataFrame(rows, columns=["at", *names[1:]]).drop(columns="at")
+        out.insert(0, names[0], pd.Series([key[0]] * len(rows), dtype=object))
         out["segment_index"] = pd.array(segments, "Int32")
         return out
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
-        fresh, timeless = [], []
-        for frame in rows:
-            # by place, as Spark renames columns that aren't identifiers: key, time, then those of `waits`
-            columns = [[None if x != x else x for x in frame.iloc[:, k].tolist()] for k in range(2, 2 + len(self.waits))]
+    def step(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
+        *waiting, at, end, segment = state.get if state.exists else ([], [], [], [], None, None, 0)
+        rows, timeless = list(zip(*waiting, strict=True)), []
+        for frame in [] if state.hasTimedOut else frames:
+            # by place, as Spark renames columns that aren't identifiers: key, time, then at, tie, begin, end
+            columns = [[None if x != x else x for x in frame.iloc[:, k].tolist()] for k in range(2, 6)]
             for row in zip(*columns, strict=True):
-                if row[0] is None:
-                    timeless.append(row)
-                else:
-                    fresh.append((int(row[0]), *row[1:]))
-        if fresh:
-            first = -(-min(r[0] for r in fresh) // 1000)
-            due = min(self.handle.listTimers(), default=None) if self.waiting.exists() else None
-            self.waiting.appendList(fresh)
-            self.wake(first if due is None else min(first, due))
-        if timeless:
-            yield self.shown(key, timeless, [None] * len(timeless))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = sorted((r for r in rows if r[0] <= passed), key=lambda r: r[:2])
-        later = [r for r in rows if r[0] > passed]
-        at, end, segment = self.last.get() if self.last.exists() else (None, None, 0)
-        segments = []
-        for row in ready:
-            now, _, b, e = row
-            if self.forget is not None and at is not None and now - at > self.forget * 1000:
+                (timeless if row[0] is None else rows).append(row)
+        watermark = state.getCurrentWatermarkMs()
+        ready = sorted((r for r in rows if r[0] <= watermark * 1000), key=lambda r: r[:2])
+        later = [r for r in rows if r[0] > watermark * 1000]
+        segments: list[int] = []
+        for now, _, b, e in ready:
+            if forget_ms is not None and at is not None and now - at > forget_ms * 1000:
                 segment = 0
-            elif end is not None and b is not None and abs(b - end) > self.tolerance:
+            elif end is not None and b is not None and abs(b - end) > tolerance:
                 segment += 1
-            at, end = now, e
+            at, end = int(now), e
             segments.append(segment)
-        if ready:
-            self.last.update((at, end, segment))
-        if later:
-            self.waiting.put(later)
-            self.wake(-(-min(r[0] for r in later) // 1000))
+        over = None if at is None or forget_ms is None else -(-at // 1000) + forget_ms
+        if not later and (at is None or (over is not None and over <= watermark)):
+            if state.exists:
+                state.remove()
         else:
-            self.waiting.clear()
-            if self.forget is not None and at is not None:
-                over = -(-at // 1000) + self.forget
-                if over * 1000 <= passed:
-                    self.last.clear()
-                else:
-                    self.wake(over)
-        if ready:
-            yield self.shown(key, ready, segments)
+            columns = [list(c) for c in zip(*later, strict=True)] or [[], [], [], []]
+            state.update((*([int(x) for x in columns[0]], *columns[1:]), at, end, segment))
+            if later:
+                state.setTimeoutTimestamp(-(-min(columns[0]) // 1000))
+            elif over is not None:
+                state.setTimeoutTimestamp(over)
+        if timeless or ready:
+            yield shown(key, timeless + ready, [None] * len(timeless) + segments)
+
+    return step
 
 
 def late_sessions(stream: DataFrame, key: str, time: str, tie: str, begin: str, end: str, tolerance: float = 0.2, delay: str = "1 hour", forget_ms: int | None = None) -> DataFrame:
     """(key, tie, begin, end, segment_index) of a stream, in append mode: the batch's gap sessions, for rows in any order
     within `delay` of the latest time seen.
 
-    `time` is a timestamp, in the order of `begin` within a key; rows of one time are ordered by `tie`, which isn't null. The
-    stream has to be of a session that `stateful` gives. A row later than the watermark is dropped by Spark, which counts
-    it in the progress as numRowsDroppedByWatermark. A row without time has no place in the order: it comes at once, with a
-    null segment. A null begin or end counts as no gap, as in the batch. A task holds the rows of a key that came within the
-    delay.
+    `time` is a timestamp, in the order of `begin` within a key; rows of one time are ordered by `tie`, a whole number that isn't
+    null. A row later than the watermark is dropped by Spark, which counts it in the progress as numRowsDroppedByWatermark. A row
+    without time has no place in the order: it comes at once, with a null segment. A null begin or end counts as no gap, as
+    in the batch. A task holds the rows of one key that came within the delay; any state store does.
 
     forget_ms: a key without rows for longer than that, in event time, begins at segment 0 again, and a timer drops its state;
     so what comes out doesn't depend on how rows fall into batches. Without it, a key keeps its last end and number for ever.
     """
     kind = {f.name: f.dataType for f in stream.schema}
-    columns = [T.StructField(tie, kind[tie]), T.StructField(begin, T.DoubleType()), T.StructField(end, T.DoubleType())]
     told = stream.withWatermark(time, delay)
     told = told.select(key, time, F.unix_micros(time).alias("_at"), tie, F.col(begin).cast("double").alias(begin), F.col(end).cast("double").alias(end))
-    out = T.StructType([T.StructField(key, kind[key]), *columns, T.StructField("segment_index", T.IntegerType())])
-    return told.groupBy(key).transformWithStateInPandas(Reordered(key, columns, tolerance, forget_ms), out, "append", "eventTime")
+    out = T.StructType([T.StructField(key, kind[key]), T.StructField(tie, kind[tie]), T.StructField(begin, T.DoubleType()), T.StructField(end, T.DoubleType()), T.StructField("segment_index", T.IntegerType())])
+    state = f"ats array<long>, ties array<{kind[tie].simpleString()}>, begins array<double>, ends array<double>, at long, last double, segment int"
+    step = reordered([key, tie, begin, end], tolerance, forget_ms)
+    return told.groupBy(key).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.EventTimeTimeout)
