@@ -158,8 +158,10 @@ def numbered_parquet(df: DataFrame, path: str, records: int = 20_000) -> None:
     Drafts that no journal names, of tasks that ran again or still ran when their job had failed, go with the next job. One job at a time may write to a folder. Without rows no file is
     written.
     """
-    spark = df.sparkSession
-    spark.dataSource.register(NumberedParquet)
+    # Spark looks a source up in the active session, which need not be the frame's
+    for s in (df.sparkSession, SparkSession.getActiveSession()):
+        if s is not None:
+            s.dataSource.register(NumberedParquet)
     df.write.format("numbered_parquet").option("records", records).mode("append").save(path)
 
 
