@@ -6,6 +6,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -149,6 +150,22 @@ class NumberedParquet(DataSource):
         return NumberedWriter(self.options["path"], records)
 
 
+@contextmanager
+def as_active(spark: SparkSession) -> Iterator[SparkSession | None]:
+    """Within it the session is the active one of this thread; gives the one that was. Spark looks sources up there, whatever
+    session the frame has; and after a stream's foreachBatch Python's `getActiveSession` tells of the batch's session."""
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    before = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        yield SparkSession(spark.sparkContext, before.get()) if before.isDefined() else None
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+        else:
+            sessions.clearActiveSession()
+
+
 def numbered_parquet(df: DataFrame, path: str, records: int = 20_000) -> None:
     """Adds the rows as files 00000000.parquet, 00000001.parquet, ... of at most `records` rows, numbered in the order of the
     partitions from the first number that was never drawn.
@@ -158,11 +175,12 @@ def numbered_parquet(df: DataFrame, path: str, records: int = 20_000) -> None:
     Drafts that no journal names, of tasks that ran again or still ran when their job had failed, go with the next job. One job at a time may write to a folder. Without rows no file is
     written.
     """
-    # Spark looks a source up in the active session, which need not be the frame's
-    for s in (df.sparkSession, SparkSession.getActiveSession()):
-        if s is not None:
-            s.dataSource.register(NumberedParquet)
-    df.write.format("numbered_parquet").option("records", records).mode("append").save(path)
+    with as_active(df.sparkSession) as before:
+        df.sparkSession.dataSource.register(NumberedParquet)
+        if before is not None:  # for writes by hand
+            with as_active(before):
+                before.dataSource.register(NumberedParquet)
+        df.write.format("numbered_parquet").option("records", records).mode("append").save(path)
 
 
 def recovered(path: str) -> int:

@@ -80,3 +80,22 @@ def test_a_killed_job_is_whole_or_absent(spark, tmp_path, step, by):
     assert values(spark, path) == [0, 1] + ([2, 3, 4, 5, 6] if step else []) + more
     assert files(path) == [f"{k:08d}.parquet" for k in range((4 if step else 1) + len(more))]
     assert not os.listdir(f"{path}/_drafts")
+
+
+def test_sessions_whichever_is_active_and_after_a_stream_with_batches(spark, tmp_path):
+    one, other = spark.newSession(), spark.newSession()
+    one.createDataFrame([(1,)], "a int")  # makes its session the active one
+    numbered.numbered_parquet(one.range(0, 3, 1, 1), str(tmp_path / "t"), 2)
+    numbered.numbered_parquet(other.range(3, 5, 1, 1), str(tmp_path / "t"), 2)  # `one`, which is active, has the source
+    other.createDataFrame([(1,)], "a int")
+    numbered.numbered_parquet(one.range(5, 7, 1, 1), str(tmp_path / "t"), 2)
+    third = spark.newSession()
+    third.createDataFrame([(1,)], "id long").write.parquet(str(tmp_path / "in"))
+
+    def batch(df, number):
+        df.sparkSession.createDataFrame([(1,)], "a int")  # Python's active session, not the JVM's in this thread
+
+    third.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).foreachBatch(batch).start().awaitTermination()
+    numbered.numbered_parquet(third.range(7, 9, 1, 1), str(tmp_path / "t"), 2)
+    assert values(spark, str(tmp_path / "t")) == list(range(9)) and len(files(str(tmp_path / "t"))) == 5
+    spark.createDataFrame([(1,)], "a int")
