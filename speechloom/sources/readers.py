@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import io
+import itertools
+import json
 import lzma
 import pickle
+import re
 import tarfile
 import zlib
 from collections.abc import Iterable, Iterator
@@ -20,6 +23,11 @@ from ..session import checkpoint
 #: Raw utterance documents. Never inferred: each chunk id would become a column.
 RAW = "audio_id string, text map<string,string>, codes map<string,array<array<int>>>"
 UTTERANCE = "entry_id string, original_path string, speaker_id string, book_id string, transcript string, begin_time string, end_time string, audio_duration string, audio_str string"
+#: Files and folders of a tree that the driver lists.
+FEW = 1000
+BLANK = re.compile(r"[ \t\n\r]*")
+#: What is escaped in a file's URI.
+SIGNS = re.compile(r'[\x00-\x20"#%<>?\[\\\]^`{|}\x7f]')
 PROGRESS_SUBSHARDS = "shard_id string, completed_subshards array<string>, failed_subshards array<string>, parquet_counter int"
 PROGRESS_ROWS = "shard_id string, processed_count int, total_count int, last_processed_index int"
 PROGRESS_STATUS = "shard_id string, split string, lang string, status string, timestamp string, hf_repo_id string, num_samples int"
@@ -59,9 +67,160 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _children(store, folder: str) -> Iterator[tuple[str, bool]]:
+    """(path, whether it is a folder) of what a folder holds; local folders are read as a stream, others by the file system's list."""
+    import os
+
+    from pyarrow import fs
+
+    if store.type_name == "local":
+        with os.scandir(folder) as found:
+            for f in found:
+                if not hidden(f.name):
+                    yield f"{folder.rstrip('/')}/{f.name}", f.is_dir()
+    else:
+        for f in store.get_file_info(fs.FileSelector(folder)):
+            if not hidden(f.base_name):
+                yield f.path, f.type == fs.FileType.Directory
+
+
+def _below(store, folder: str) -> Iterator[tuple[str, bool]]:
+    """(path, whether it is a folder) of all that is below a folder, a folder after another."""
+    open_folders = [_children(store, folder)]
+    while open_folders:
+        entry = next(open_folders[-1], None)
+        if entry is None:
+            open_folders.pop()
+            continue
+        yield entry
+        if entry[1]:
+            open_folders.append(_children(store, entry[0]))
+
+
+def tree_files(spark: SparkSession, base: str, suffix: str = "") -> DataFrame:
+    """(path) of the files below a folder, as the base's file system names them, listed by tasks.
+
+    Spark's own listing asks for a folder at a time on the driver and keeps all files there; here the folders of the first
+    two levels are dealt over tasks, and each task walks through those it gets. A task holds the names of one folder at a time.
+    """
+    from pyarrow import fs
+
+    store, top = fs.FileSystem.from_uri(base)
+    kind = store.get_file_info(top).type
+    if kind == fs.FileType.NotFound:
+        raise FileNotFoundError(base)
+    spread = 4 * spark.sparkContext.defaultParallelism
+    shape = pa.schema([("path", pa.string()), ("folder", pa.bool_())])
+
+    def rows(found: Iterable[tuple[str, bool]]) -> Iterator[pa.RecordBatch]:
+        while some := list(itertools.islice(found, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), shape.types, strict=True)], schema=shape)
+
+    def walk(batches: Iterable[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
+        own, _ = fs.FileSystem.from_uri(base)
+
+        def found() -> Iterator[tuple[str, bool]]:
+            for b in batches:
+                for path, folder in zip(b["path"].to_pylist(), b["folder"].to_pylist(), strict=True):
+                    below = iter([(path, False)]) if not folder else _below(own, path) if deep else _children(own, path)
+                    yield from (e for e in below if (e[1] and not deep) or (not e[1] and e[0].endswith(suffix)))
+
+        return rows(found())
+
+    out = spark.createDataFrame([(top, kind == fs.FileType.Directory)], "path string, folder boolean")
+    for deep in (False, False, True):
+        out = out.mapInArrow(lambda batches, deep=deep: walk(batches, deep), "path string, folder boolean").repartition(spread, "path")
+    return out.select("path")
+
+
+def exact(text: str) -> str:
+    """A JSON object, or an array of objects, with a string for each value that is none: its own signs, as Spark's readers of
+    files take them (1.50, NaN, {"a": 1}) and from_json does not. Any other text stays as it is."""
+    decode = json.JSONDecoder().raw_decode
+
+    def after(at: int) -> int:
+        return BLANK.match(text, at).end()
+
+    def one(at: int) -> tuple[dict[str, str | None], int]:
+        out, at = {}, after(at + 1)
+        while text[at] != "}":
+            key, at = decode(text, at)
+            at = after(after(at) + 1)
+            value, end = decode(text, at)
+            out[key] = value if value is None or isinstance(value, str) else text[at:end]
+            at = after(end)
+            at = after(at + 1) if text[at] == "," else at
+        return out, at + 1
+
+    try:
+        whole = json.loads(text)
+    except (ValueError, RecursionError):
+        return text
+    first = after(0)
+    if isinstance(whole, dict):
+        return json.dumps(one(first)[0])
+    if not isinstance(whole, list) or not all(isinstance(x, dict) for x in whole):
+        return text
+    out, at = [], after(first + 1)
+    for _ in whole:
+        x, at = one(at)
+        out.append(x)
+        at = after(after(at) + 1)
+    return json.dumps(out)
+
+
 def _tree(spark: SparkSession, base: str) -> DataFrame:
-    reader = spark.read.schema(UTTERANCE + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE")
-    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base).withColumn("path", F.col("_metadata.file_path"))
+    """The objects of all JSON files below a folder: a file's object, or each of its array's. A tree of few files and folders is
+    listed and scanned by Spark's reader; any other by tasks, which give the same rows."""
+    from pyarrow import fs
+
+    store, plain = fs.FileSystem.from_uri(base)
+    if store.get_file_info(plain).type != fs.FileType.Directory or sum(1 for _ in itertools.islice(_below(store, plain), FEW + 1)) <= FEW:
+        reader = spark.read.schema(UTTERANCE + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE")
+        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base).withColumn("path", F.col("_metadata.file_path"))
+    prefix = base.rstrip("/").removesuffix(plain.rstrip("/")) or "file:"
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = fs.FileSystem.from_uri(base)
+        names: list[str] = []
+        texts: list[str | None] = []
+        held = 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["path", "content"])
+
+        for b in batches:
+            for path in b["path"].to_pylist():
+                with store.open_input_file(path) as file:
+                    content = file.read()
+                held += len(content)
+                try:
+                    text = content.decode(json.detect_encoding(content))
+                except UnicodeDecodeError:
+                    text = None
+                if text is None or text.strip():  # as Spark does, nothing of an empty file
+                    names.append(prefix + SIGNS.sub(lambda m: f"%{ord(m[0]):02X}", path))
+                    texts.append(text if text is None else exact(text))
+                if held > 8 << 20 or len(names) == 1000:
+                    yield batch()
+                    names, texts, held = [], [], 0
+        if names:
+            yield batch()
+
+    files = tree_files(spark, base, ".json").mapInArrow(read, "path string, content string")
+    listed = F.col("content").rlike(r"^\s*\[")
+    one = F.from_json("content", UTTERANCE + ", _corrupt_record string", {"mode": "PERMISSIVE"})
+    several = F.from_json(F.when(listed, F.col("content")), T.ArrayType(T.StructType.fromDDL(UTTERANCE)))
+    several = F.when(~F.exists(several, F.isnull), F.transform(several, lambda r: r.withField("_corrupt_record", F.lit(None).cast("string"))))
+    none = [F.lit(None).cast("string").alias(f.name) for f in T.StructType.fromDDL(UTTERANCE)]
+    wrong = F.array(F.struct(*none, F.coalesce("content", F.lit("")).alias("_corrupt_record")))
+    objects = F.when(F.col("content").isNull(), wrong).when(listed, F.coalesce(several, wrong)).otherwise(F.array(one))
+    return files.select("path", F.explode(objects).alias("o")).select("o.*", "path")
 
 
 def unreadable_utterances(spark: SparkSession, base: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.audits import first_by_id
 from ..operators.sequences import indexed
 from ..session import checkpoint
-from .readers import footers, listing
+from .readers import footers, tree_files
 
 
 def batched_parquet(df: DataFrame, path: str, records: int = 20_000, mode: str = "append") -> None:
@@ -29,8 +29,9 @@ def sharded_parquet(df: DataFrame, path: str, shard: str = "shard_id") -> None:
 def entry_names(spark: SparkSession, path: str) -> DataFrame:
     """(name) of the files that utterance_tree() has written, from a listing; nothing is read."""
     try:
-        return listing(spark, path, "*.json").select(F.regexp_extract("path", r"([^/]*)\.json$", 1).alias("name"))
-    except AnalysisException:  # nothing yet
+        names = tree_files(spark, path, ".json").select(F.regexp_extract("path", r"([^/]*)\.json$", 1).alias("name"))
+        return checkpoint(names)  # as they were before this job's files
+    except FileNotFoundError:  # nothing yet
         return spark.createDataFrame([], "name string")
 
 
@@ -48,6 +49,8 @@ def utterance_tree(df: DataFrame, path: str, skip_existing: bool = True) -> int:
     name = lambda c: F.coalesce(F.nullif(shown(plain(c)), F.lit("")), F.lit("~"))
     rows = first_by_id(df, "entry_id", ["begin_time", "end_time"] if "begin_time" in df.columns else ["entry_id"])
     files = rows.select(name("speaker_id").alias("speaker"), name("book_id").alias("book"), name("entry_id").alias("name"), F.to_json(F.struct(*rows.columns)).alias("line"))
+    # many small files: as many tasks as there may be, not as few as the bytes ask for
+    files = files.repartition(4 * spark.sparkContext.defaultParallelism, "name")
     if skip_existing:
         files = files.join(entry_names(spark, path), "name", "left_anti").select("speaker", "book", "name", "line")
 

@@ -523,6 +523,27 @@ def test_utterance_files_and_resumed_chunks(spark, tmp_path):
     assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "chunks" / "chunk=0").glob("*.parquet")} == before
 
 
+def test_trees_are_listed_by_tasks_and_read_as_by_spark(spark, tmp_path, monkeypatch):
+    odd = [b'{"entry_id": "x", "begin_time": 1.50, "transcript": { "a": 1e5 }}', b'[ {"entry_id":"p"}, {"begin_time":NaN} ]', b'{"entry_id":', b"", b" \n", b"null", b"[]", b'[{"entry_id":"p"},3]', b"[null]", b"7"]
+    odd += ['{"entry_id":"ü"}'.encode("utf-16"), b'\xef\xbb\xbf{"entry_id":"bom"}', b'{"entry_id":"\xff"}', b'{"entry_id":"1"} more', b"{'entry_id':'y'}", b'{"entry_id":"1","entry_id":true}']
+    for n, content in enumerate(odd):
+        (tmp_path / f"s{n % 3}" / "b" / "deep").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"s{n % 3}" / ("b" if n % 2 else "b/deep") / f"é {n}%.json").write_bytes(content)
+    for name in ("top.json", "s1/_f.json", "s1/.f.json", "s1/f.txt", "s1/_f=1.json", "s1/f._COPYING_"):
+        (tmp_path / name).write_bytes(odd[0])
+    schema = readers.UTTERANCE + ", _corrupt_record string"
+    want = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(str(tmp_path))
+    told = lambda df, path: sorted(map(repr, df.select(path.alias("path"), F.isnull("_corrupt_record"), *(F.when(F.isnull("_corrupt_record"), F.col(c)) for c in readers.UTTERANCE.replace(" string", "").split(", "))).collect()))
+    want = told(want, F.col("_metadata.file_path"))
+    assert told(readers._tree(spark, str(tmp_path)), F.col("path")) == want and len(want) > 15
+    driver = []
+    monkeypatch.setattr(readers, "FEW", 3)
+    monkeypatch.setattr(readers, "listing", lambda *a: driver.append(a))
+    monkeypatch.setattr(type(spark.read), "json", lambda *a, **k: driver.append(a))
+    assert told(readers._tree(spark, str(tmp_path)), F.col("path")) == want and len(want) > 15
+    assert writers.entry_names(spark, str(tmp_path)).count() == len(odd) + 2 and not driver  # nothing is listed on the driver
+
+
 def test_cache_computes_what_is_new(spark, tmp_path):
     asked = []
 
