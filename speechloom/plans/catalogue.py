@@ -12,7 +12,7 @@ from .. import plugins
 from ..functions import display, ids, markup
 from ..functions.alphabet import Alphabet
 from ..operators import audits, documents, encoding, merges, sequences, statistics
-from ..session import checkpoint_folder
+from ..session import bound_batches, checkpoint_folder
 from ..sources import numbered, publish, readers, writers
 from ..streaming import ingest, late
 from . import recipes
@@ -851,6 +851,7 @@ def listed_folders(spark, d):
 @query(f"SELECT doc_id, {DIGEST} AS digest FROM documents")
 def compatible_digests(spark, d):
     """Latin letters widened to their compatibility forms, which the normal form takes back."""
+    bound_batches(spark)
     plain = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
     wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
     return Tables(spark, d).documents.select("doc_id", ids.digest(ids.folded(plugins.nfkc(F.translate("text", plain, wide)))).alias("digest"))

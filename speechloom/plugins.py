@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, StructField, StructType
@@ -174,10 +175,13 @@ def token_length_udf(make: Callable[[], Callable[[str], list]]) -> Callable[[Col
     return length
 
 
-@F.pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """Compatibility composition, which goes before ids.folded(). Not for codec strings."""
-    return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@F.arrow_udf(StringType())
+def nfkc(s: pa.Array) -> pa.Array:
+    """Compatibility composition, which goes before ids.folded(). Not for codec strings. Of an Arrow batch, a hundred texts at a
+    time are Python's; session.bound_batches() bounds the batch."""
+    normal = lambda t: None if t is None else unicodedata.normalize("NFKC", t)
+    parts = [pa.array(map(normal, s.slice(at, 100).to_pylist()), pa.string()) for at in range(0, len(s), 100)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def consistent_udf(offset: int, codebooks: int, size: int) -> Callable[[Column], Column]:

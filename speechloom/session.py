@@ -26,6 +26,14 @@ def session(app: str = "speechloom", master: str | None = None, **settings: str)
     return (b.master(master) if master else b).getOrCreate()
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows, as `session` sets: whole documents are held several times over on their way to a
+    Python worker and back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder that the cluster shares: spark.checkpoint.dir of the session.
 

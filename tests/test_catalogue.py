@@ -34,3 +34,10 @@ def test_query(spark, duck, name):
         want = sorted(repr([plain(r[names.index(c)]) for c in sorted(names)]) for r in out.fetchall())
         assert sorted(names) == sorted(df.columns)
         assert got == want
+
+
+def test_digests_of_whole_documents_pass_in_small_batches(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    catalogue.QUERIES["compatible_digests"](own, DIR)
+    assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
