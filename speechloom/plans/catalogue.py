@@ -768,7 +768,7 @@ def streamed_sessions(spark, d):
     for k, part in enumerate([*(came.filter(third == k).drop("came") for k in range(3)), ending]):
         part.select([F.col(f.name).cast(f.dataType) for f in spans.schema]).write.parquet(f"{path}/in/{k}")
         stream = spark.readStream.schema(spans.schema).option("recursiveFileLookup", True).parquet(f"{path}/in")
-        rows = late.late_sessions(stream, "user_id", "time", "event_id", "begin", "end", 3600.0, "1 hour")
+        rows = late.late_sessions(stream, "user_id", "time", "event_id", "begin", "end", 3600.0, "1 hour", buckets=1024)
         rows.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return spark.read.schema("event_id long, user_id long, segment_index int").parquet(f"{path}/out")
 
