@@ -6,13 +6,11 @@ kana character, are units of their own. With `words` false the units are charact
 order 4. Trusted are documents labelled with quality 1; four fifths of them, by a hash of the id, are counted, the rest
 sets the thresholds, so these are not flattered by texts the model has seen.
 
-Counts are tables spread by key. One pass counts the n-grams of trusted texts and collects the distinct n-grams of all
-texts, merged in each task before the shuffle. Continuation counts of the lower orders, the totals and kinds of each
-context and the discounts follow by aggregates over distinct n-grams, and the probabilities by joins, order by order:
-p_k = max(c - D(c), 0) / total + gamma * p_(k-1). Contexts of one unit are broadcast if they were counted to be few; those
-of frequent words have many partners, and adaptive execution splits the wanted side of these joins.
-The result is a log-probability for each distinct n-gram of the corpus; each document's distinct n-grams are joined with it
-and summed, at every size in the same way.
+The formula of order k is p_k = max(c - D(c), 0) / total + gamma * p_(k-1); lower orders count different left neighbours.
+Words: `word_trigrams`, in rounds over classes of middle words, which bound what is on disk. Characters: the tables are near
+the size of the alphabet's n-grams, so counts, continuation counts and probabilities are aggregates and joins, order by order,
+and each document's distinct n-grams are joined with the log-probabilities and summed. Contexts of one unit are broadcast if
+they were counted to be few; adaptive execution splits the wanted side of joins with frequent ones.
 
 A document is kept when its mean negative log-probability is at most the `quantile` of its language's trusted, held-back
 documents; a language with fewer than `least` of these uses that of all.
@@ -24,8 +22,6 @@ if any of their labels is 1; rows with a null id are scored and never trusted; e
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,54 +29,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Bounded, alone, checkpoint, ship, slices, small_or_plain, table
+from . import word_trigrams
+from ._common import alone, checkpoint, ship, slices, small_or_plain, table
 
 BEGIN, END = 2, 3
+ORDER, BITS = 4, 16
 CHUNK = 2_000_000
-WORD = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|[^\W\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+|[^\w\s]")
-_word_hash = Bounded(lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")), owner="quality")
 
 
-def order_and_bits(words: bool) -> tuple[int, int]:
-    return (3, 32) if words else (4, 16)
-
-
-def units(text: str | None, words: bool) -> np.ndarray:
+def grams(text: str | None, words: bool) -> np.ndarray:
+    """The n-grams of a text with begin marks and an end mark, one for each unit and the end: three words, or a packed number."""
     if words:
-        return np.array([_word_hash[w] for w in WORD.findall(text or "")], np.int64)
+        return word_trigrams.trigrams([text or ""])[0].T
     cp = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    return ((cp ^ (cp >> 16)) & 0xFFFF).astype(np.int64)
-
-
-def grams(text: str | None, words: bool) -> np.ndarray:
-    """The n-grams of a text with begin marks and an end mark, one for each unit and the end: columns hi, gram.
-
-    gram packs as many of the last units as 64 bits hold, hi the one before them (0 for characters).
-    """
-    order, bits = order_and_bits(words)
-    u = units(text, words)
-    c = np.empty(len(u) + order, np.int64)
-    c[: order - 1], c[-1] = BEGIN, END
-    c[order - 1 : -1] = u
-    n, packed = len(u) + 1, 64 // bits
-    out = np.zeros((n, 2), np.int64)
-    for k in range(order):
-        if k < order - packed:
-            out[:, 0] = c[k : k + n]
-        else:
-            out[:, 1] = out[:, 1] << bits | c[k : k + n]
+    c = np.empty(len(cp) + ORDER, np.int64)
+    c[: ORDER - 1], c[-1] = BEGIN, END
+    c[ORDER - 1 : -1] = (cp ^ (cp >> 16)) & 0xFFFF
+    out = np.zeros(len(cp) + 1, np.int64)
+    for k in range(ORDER):
+        out = out << BITS | c[k : k + len(out)]
     return out
 
 
-def mixed(g: np.ndarray) -> np.ndarray:
-    """64 bits of an n-gram: one to one where hi is 0, a hash otherwise."""
-    x = g[:, 1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x += g[:, 0].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
 class Merged:
     """Counts by n-gram, merged whenever enough has come together."""
 
@@ -88,10 +58,10 @@ class Merged:
         self.grams, self.counts, self.waiting = [], [], 0
 
     def add(self, grams: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        _, at, n = np.unique(mixed(grams), return_index=True, return_counts=True)
-        self.grams.append(grams[at])
+        grams, n = np.unique(grams, return_counts=True)
+        self.grams.append(grams)
         self.counts.append(n)
-        self.waiting += len(at)
+        self.waiting += len(grams)
         if self.waiting > 4 * CHUNK:
             self.settle()
             if self.waiting > 2 * CHUNK:  # hardly anything repeats: the shuffle merges the rest
@@ -100,8 +70,8 @@ class Merged:
     def settle(self) -> None:
         if len(self.grams) > 1:
             grams, counts = np.concatenate(self.grams), np.concatenate(self.counts)
-            _, at, inv = np.unique(mixed(grams), return_index=True, return_inverse=True)
-            self.grams, self.counts = [grams[at]], [np.bincount(inv, counts).astype(np.int64)]
+            grams, inv = np.unique(grams, return_inverse=True)
+            self.grams, self.counts = [grams], [np.bincount(inv, counts).astype(np.int64)]
         self.waiting = sum(map(len, self.grams))
 
     def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,7 +84,9 @@ class Merged:
 
 
 def counted(docs: DataFrame, words: bool) -> DataFrame:
-    """(hi, gram, c): counts in texts marked `learn`, 0 for those that only other texts hold."""
+    """(gram, c): counts in texts marked `learn`, 0 for those that only other texts hold. Of words, those that may be frequent."""
+    if words:
+        return word_trigrams.word_counts(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("quality")
@@ -123,7 +95,7 @@ def counted(docs: DataFrame, words: bool) -> DataFrame:
         size = {True: 0, False: 0}
 
         def batch(kind: bool, g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(g[:, 0]), pa.array(g[:, 1]), pa.array(n if kind else np.zeros(len(n), np.int64))], ["hi", "gram", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n if kind else np.zeros(len(n), np.int64))], ["gram", "c"])
 
         def flush(kind: bool) -> Iterator[pa.RecordBatch]:
             if wait[kind]:
@@ -133,8 +105,8 @@ def counted(docs: DataFrame, words: bool) -> DataFrame:
                     yield batch(kind, g, n)
 
         for b in slices(batches):
-            for text, learn in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                g = grams(text, words)
+            for text, learn in zip(b["text"].to_pylist(), b["learn"].to_pylist(), strict=True):
+                g = grams(text, False)
                 kind = bool(learn)
                 wait[kind].append(g)
                 size[kind] += len(g)
@@ -145,23 +117,22 @@ def counted(docs: DataFrame, words: bool) -> DataFrame:
             for g, n in sums[kind].take():
                 yield batch(kind, g, n)
 
-    return docs.mapInArrow(run, "hi long, gram long, c long").groupBy("hi", "gram").agg(F.sum("c").alias("c"))
+    return docs.select("text", "learn").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def low(chars: int, bits: int) -> Column:
-    """The last units of an n-gram."""
-    return F.col("gram") if bits * chars >= 64 else F.col("gram").bitwiseAND(F.lit((1 << bits * chars) - 1))
+def low(chars: int) -> Column:
+    """The last characters of an n-gram."""
+    return F.col("gram").bitwiseAND(F.lit((1 << BITS * chars) - 1))
 
 
-def context(top: bool, bits: int) -> Column:
-    """All units but the last; a unit in hi comes down."""
-    rest = F.shiftrightunsigned(F.col("gram"), bits)
-    return rest.bitwiseOR(F.shiftleft(F.col("hi"), 64 - bits)) if top else rest
+def context() -> Column:
+    """All characters but the last."""
+    return F.shiftrightunsigned(F.col("gram"), BITS)
 
 
-def discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """D1, D2 and D3+ of Chen and Goodman; where counts of counts are missing, half a count and its like."""
-    n = dict.fromkeys((1, 2, 3, 4), 0) | {int(r[0]): int(r[1]) for r in counts.filter(F.col("c").between(1, 4)).groupBy("c").count().collect()}
+def discounts(found: dict[int, int]) -> tuple[float, float, float]:
+    """D1, D2 and D3+ of Chen and Goodman from how many n-grams have counts of 1 to 4; where these are missing, half a count and its like."""
+    n = dict.fromkeys((1, 2, 3, 4), 0) | found
     if not n[1] or not n[2]:
         return 0.5, 0.75, 0.9
     y = n[1] / (n[1] + 2 * n[2])
@@ -169,82 +140,87 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), k) for x, k in zip(d, (0.95, 1.9, 2.85), strict=True))  # type: ignore[return-value]
 
 
-def smoothed(wanted: DataFrame, counts: DataFrame, lower: DataFrame, order: int, bits: int, few: int | None, top: bool) -> DataFrame:
+def discounts_of(counts: DataFrame) -> tuple[float, float, float]:
+    return discounts({int(r[0]): int(r[1]) for r in counts.filter(F.col("c").between(1, 4)).groupBy("c").count().collect()})
+
+
+def smoothed(wanted: DataFrame, counts: DataFrame, lower: DataFrame, order: int, few: int | None) -> DataFrame:
     """(key, p) of an order for the wanted n-grams, from the counts of this order and the order below.
 
     few: how many contexts there are at most, if known. At the top order, `wanted` has its counts already.
     """
-    d1, d2, d3 = discounts(counts)
+    d1, d2, d3 = discounts_of(counts)
     less = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-    of = counts.groupBy(context(top, bits).alias("before")).agg(F.sum("c").alias("total"), F.sum(less).alias("spare"))
+    of = counts.groupBy(context().alias("before")).agg(F.sum("c").alias("total"), F.sum(less).alias("spare"))
     hint = (lambda x: small_or_plain(x, few, 24)) if few is not None else (lambda x: x)
-    rows = wanted.withColumn("c", F.expr("nullif(c, 0)")) if top else wanted.join(counts, "gram", "left")
+    rows = wanted.withColumn("c", F.expr("nullif(c, 0)")) if order == ORDER else wanted.join(counts, "gram", "left")
     return (
-        rows.withColumn("before", context(top, bits))
+        rows.withColumn("before", context())
         .join(hint(of), "before", "left")
-        .withColumn("after", low(order - 1, bits))
+        .withColumn("after", low(order - 1))
         .join(hint(lower.select(F.col("gram").alias("after"), F.col("p").alias("q"))), "after", "left")
-        .select(*["hi"] * top, "gram", F.when(F.col("total").isNull(), F.col("q")).otherwise((F.coalesce(F.col("c") - less, F.lit(0.0)) + F.col("spare") * F.col("q")) / F.col("total")).alias("p"))
+        .select("gram", F.when(F.col("total").isNull(), F.col("q")).otherwise((F.coalesce(F.col("c") - less, F.lit(0.0)) + F.col("spare") * F.col("q")) / F.col("total")).alias("p"))
     )
 
 
-def probabilities(found: DataFrame, words: bool) -> DataFrame:
-    """(hi, gram, log): the natural logarithm of the probability of each n-gram's last unit after the others."""
-    order, bits = order_and_bits(words)
-    counts = {order: found.filter("c > 0")}
-    for k in range(order - 1, 0, -1):  # continuation counts: distinct left neighbours
-        counts[k] = checkpoint(counts[k + 1].groupBy(low(k, bits).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
-    wanted = {order: found}
-    for k in range(order - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(low(k, bits).alias("gram")).distinct()
-        wanted[k] = checkpoint(wanted[k]) if words else wanted[k]
-    d1, d2, d3 = discounts(counts[1])
+def probabilities(found: DataFrame) -> DataFrame:
+    """(gram, log): the natural logarithm of the probability of each n-gram's last character after the others."""
+    counts = {ORDER: found.filter("c > 0")}
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct left neighbours
+        counts[k] = checkpoint(counts[k + 1].groupBy(low(k).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
+    wanted = {ORDER: found}
+    for k in range(ORDER - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(low(k).alias("gram")).distinct()
+    d1, d2, d3 = discounts_of(counts[1])
     less = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
     total, spare, kinds = counts[1].agg(F.sum("c"), F.sum(less), F.count(F.lit(1))).first()
     floor = (spare or 1.0) / ((kinds or 0) + 1) if total else 1 / 65536
     one = F.coalesce(F.col("c") - less, F.lit(0.0)) + F.lit(float(floor))
     p = checkpoint(wanted[1].join(counts[1], "gram", "left").select("gram", (one / F.lit(float(total or 1))).alias("p")))
-    few = p.count() + 1  # the contexts of order 2 are units too, or the begin mark
-    for k in range(2, order + 1):
-        p = smoothed(wanted[k], counts[k], p, k, bits, few if k == 2 else None, k == order)
-        p = checkpoint(p) if k < order else p
-    return p.select("hi", "gram", F.ln("p").alias("log"))
+    few = p.count() + 1  # the contexts of order 2 are characters too, or the begin mark
+    for k in range(2, ORDER + 1):
+        p = smoothed(wanted[k], counts[k], p, k, few if k == 2 else None)
+        p = checkpoint(p) if k < ORDER else p
+    return p.select("gram", F.ln("p").alias("log"))
+
 
+def scored(rows: DataFrame, logs: DataFrame) -> DataFrame:
+    """(row, units, loss): the mean negative log-probability of each text."""
 
-def scored(source: DataFrame, logs: DataFrame, words: bool) -> DataFrame:
-    """(row's columns but text, units, loss): the mean negative log-probability of each text."""
-    rest = [f for f in source.schema if f.name != "text"]
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("quality")
         for b in slices(batches, 128):
             row, key, count = [], [], []
             for r, text in zip(b["row"].to_pylist(), b["text"].to_pylist(), strict=True):
-                g = grams(text, words)
-                _, at, c = np.unique(mixed(g), return_index=True, return_counts=True)
-                row.append(np.full(len(at), r, np.int64))
-                key.append(g[at])
+                g, c = np.unique(grams(text, False), return_counts=True)
+                row.append(np.full(len(g), r, np.int64))
+                key.append(g)
                 count.append(c)
             if row:
-                keys = np.concatenate(key)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(row), keys[:, 0], keys[:, 1], np.concatenate(count))], ["row", "hi", "gram", "k"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (row, key, count)], ["row", "gram", "k"])
 
-    rows = checkpoint(source.withColumn("row", F.monotonically_increasing_id()))
-    parts = rows.select("row", "text").mapInArrow(spread, "row long, hi long, gram long, k long").join(logs, ["hi", "gram"])
+    parts = rows.select("row", "text").mapInArrow(spread, "row long, gram long, k long").join(logs, "gram")
     sums = parts.groupBy("row").agg(F.sum("k").alias("n"), (-F.sum(F.col("k") * F.col("log"))).alias("sum"))
-    return rows.drop("text").join(sums, "row").select(*(f.name for f in rest), (F.col("n") - 1).alias("units"), (F.col("sum") / F.col("n")).alias("loss"))
+    return sums.select("row", (F.col("n") - 1).alias("units"), (F.col("sum") / F.col("n")).alias("loss"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", quantile: float = 0.99, least: int = 50, words: bool = False) -> DataFrame:
     """(id_col, lang, n_chars, perplexity, threshold, kept), one row for each row of `docs`."""
     ship(docs.sparkSession)
     trust = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("good")).filter("good = 1 and id is not null").select("id", F.lit(True).alias("trusted"))
-    source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"), F.col(text_col).alias("text"))
-    source = source.join(small_or_plain(trust, trust.count(), 16), "id", "left")
+    source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    source = word_trigrams.placed(source, "row").join(small_or_plain(trust, trust.count(), 16), "id", "left")
     back = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(5)) == 0
     trusted = F.col("trusted").isNotNull()
-    found = checkpoint(counted(source.select("text", (trusted & ~back).alias("learn")), words))
-    logs = checkpoint(probabilities(found, words))
-    out = checkpoint(scored(source, logs, words))
+    source = source.withColumn("learn", trusted & F.coalesce(~back, F.lit(False)))
+    rows = checkpoint(source.select("row", "id", "lang", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), "trusted", "learn"))
+    found = counted(source, words)
+    if words:
+        part = rows.agg(F.avg(F.col("learn").cast("double"))).first()[0]
+        losses = word_trigrams.losses(source, found, part or 0.0, discounts)
+    else:
+        losses = scored(source, checkpoint(probabilities(checkpoint(found))))
+    out = checkpoint(rows.join(losses, "row"))
     told = out.filter(trusted & back & (F.col("units") > 0))
     cut = F.percentile_approx("loss", F.lit(quantile), F.lit(10_000)).alias("cut")
     common = told.agg(cut).first()[0]

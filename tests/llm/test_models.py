@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from speechloom.llm import langid, quality, toxicity, url_filter
+from speechloom.llm import langid, quality, toxicity, url_filter, word_trigrams
 
 from . import plain_url_models
 
@@ -422,3 +422,27 @@ def test_quality_without_labels(spark):
     got = {g.doc_id: g.kept for g in quality.quality(docs(spark, [(1, "abc", "x"), (2, "", "x")]), none).collect()}
     assert got == {1: True, 2: False}
     assert quality.quality(docs(spark, []), none).count() == 0
+
+
+def test_quality_of_words_in_rounds(spark, tmp_path, monkeypatch):
+    """Each round deals a share of the trigrams only; split words and parts of the vocabulary change no row."""
+    r = random.Random(21)
+    rows = [(k, " ".join(r.choice(["the", "of", f"w{r.randrange(400)}"]) for _ in range(120)), "x") for k in range(60)]
+    docs(spark, rows).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    source = word_trigrams.placed(read.select("text"), "row").withColumn("learn", F.col("row") % 2 == 0)
+    one = word_trigrams.Deal(6, 4, np.array([], np.uint32), np.array([], np.int64))
+    n = [word_trigrams.dealt(source, one, k, True).filter("kind = 2").agg(F.sum("n")).first()[0] for k in range(6)]
+    assert sum(n) == 60 * 121 and max(n) < 0.6 * sum(n)
+
+    monkeypatch.setattr(word_trigrams, "settled", lambda s: None)
+    monkeypatch.setattr(word_trigrams, "ROUNDS", 2)
+
+    def run(limit):
+        out = word_trigrams.losses(source, quality.counted(source, True), 0.5, quality.discounts, limit)
+        return sorted(out.collect())
+
+    whole = run(1 << 20)
+    monkeypatch.setattr(word_trigrams, "HEAVY", 100)
+    assert len(word_trigrams.deal_of(word_trigrams.word_counts(source), 6).words) > 1
+    assert run(2500) == whole and len(whole) == 60
